@@ -74,6 +74,7 @@ def null_model(
         rows = rank_inverse_normal(rows.withColumn("__t", F.lit(trait)), ["__t"], "y", "__y")
         rows = rows.withColumn("y", F.col("__y")).drop("__y", "__t")
     moments = rows.agg(
+        F.count(F.lit(1)).alias("n"),
         *[F.avg(c).alias(f"m_{c}") for c in covariates],
         *[F.stddev_samp(c).alias(f"s_{c}") for c in covariates],
     ).first()
@@ -209,7 +210,7 @@ def assoc_scan(genotypes: DataFrame, null: DataFrame, min_mac: float = MIN_MAC)
 
 
 def spa_pvalue(
-    scan: DataFrame, genotypes: DataFrame, null: DataFrame, cutoff: float = SPA_CUTOFF, rounds: int = 12
+    scan: DataFrame, genotypes: DataFrame, null: DataFrame, cutoff: float = SPA_CUTOFF, rounds: int = 30
 ) -> DataFrame:
     """Saddlepoint p-value of binary traits for scores beyond ``cutoff`` standard deviations.
 
@@ -250,12 +251,15 @@ def spa_pvalue(
             "t": F.col("q") / F.col("var"),
             "low": F.when(F.col("q") > 0, 0.0).otherwise(-1e6),
             "high": F.when(F.col("q") > 0, 1e6).otherwise(0.0),
+            "excess": F.col("q"),
         }
     )
     # mu e^(gt) / (1 - mu + mu e^(gt)) without overflow
     tilt = 1.0 / (1.0 + (1.0 - mu) / mu * F.exp(-F.greatest(F.least(g * t, F.lit(500.0)), F.lit(-500.0))))
     for _ in range(rounds):
         state = write_intermediate(state, "saddlepoint")
+        if state.where(F.abs("excess") > 1e-7 * F.greatest(F.abs("q"), F.lit(1.0))).isEmpty():
+            break
         slopes = (
             carriers.join(state.select(*key, "q", "t"), key)
             .groupBy(*key, "q")
@@ -266,7 +270,8 @@ def spa_pvalue(
         )
         excess = F.col("k1") + F.col("rest_var") * t - F.col("q")
         stepped = (
-            state.join(slopes, [*key, "q"])
+            state.drop("excess")
+            .join(slopes, [*key, "q"])
             .withColumn("excess", excess)
             .withColumns(
                 {
@@ -280,7 +285,8 @@ def spa_pvalue(
         state = stepped.withColumn(
             "t", F.when(inside, F.col("next")).otherwise((F.col("low") + F.col("high")) / 2)
         ).select(*state.columns)
-    state = write_intermediate(state, "saddlepoint")
+    else:
+        state = write_intermediate(state, "saddlepoint")
     # log(1 - mu + mu e^(gt)) - mu g t, stable for large gt
     gt = g * t
     log_mgf = F.when(gt > 0, gt + F.log((1.0 - mu) * F.exp(-gt) + mu)).otherwise(

@@ -307,17 +307,20 @@ def remove_linked(edges: DataFrame) -> DataFrame | None:
 def markers_for_variance_ratio(
     genotypes: DataFrame,
     samples: DataFrame,
-    per_class: int = MARKERS_PER_CLASS,
+    per_class: dict[str, int] = {"rare": MARKERS_PER_CLASS, "common": MARKERS_PER_CLASS},
     min_hwe_p: float = MIN_HWE_P,
     sample_blocks: int = 64,
 ) -> DataFrame:
-    """Quality filter, pruning, then an equal number of rare and common markers; fails when a
-    class is too small."""
+    """Quality filter, pruning, then the wanted number of markers of each class; fails when a class is
+    too small."""
     kept = genotypes.join(samples.select("s"), "s", "left_semi")
     passed = variant_qc(kept, min_maf=None, min_hwe_p=min_hwe_p).select("marker_id")
     kept = kept.join(passed, "marker_id", "left_semi")
     pruned = ld_prune(kept, sample_blocks=sample_blocks)
     counts = allele_counts(kept.join(pruned.select("marker_id"), "marker_id", "left_semi"))
     classes = mac_class(counts)
-    assert_min_rows(classes, "mac_class", {"rare": per_class, "common": per_class})
-    return sample_per_class(classes, per_class)
+    assert_min_rows(classes, "mac_class", per_class)
+    parts = [
+        sample_per_class(classes.where(F.col("mac_class") == name), n) for name, n in per_class.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)

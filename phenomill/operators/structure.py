@@ -64,7 +64,7 @@ def hwe_normalized_pca(genotypes: DataFrame, k: int = N_COMPONENTS) -> tuple[lis
     svd = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "row")).computeSVD(min(k, m), computeU=False)
     v = svd.V.toArray()
     table = genotypes.sparkSession.createDataFrame(
-        pd.DataFrame({"idx": np.arange(m, dtype="int32"), "loadings": list(v)}), "idx int, loadings array<double>"
+        [(i, row.tolist()) for i, row in enumerate(v)], "idx int, loadings array<double>"
     )
     loadings = index.join(table, "idx").select(*VARIANT, "af", "m", "loadings")
     eigenvalues = [float(s) ** 2 for s in svd.s]
@@ -164,8 +164,15 @@ def sparse_relatedness(
     packed = write_intermediate(rows.mapInPandas(pack, f"s {s_type}, line binary"), "packed")
     n_blocks = max(1, -(-packed.count() // block_size))
     placed = packed.withColumn("block", F.pmod(F.xxhash64("s"), F.lit(n_blocks)).cast("int"))
-    left = placed.select("s", "line", F.col("block").alias("bi"), F.explode(F.sequence(F.col("block"), F.lit(n_blocks - 1))).alias("bj"))
-    right = placed.select("s", "line", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("bi"), F.col("block").alias("bj"))
+    left = placed.select(
+        "s", "line", F.col("block").alias("bi"), F.explode(F.sequence(F.col("block"), F.lit(n_blocks - 1))).alias("bj")
+    )
+    right = placed.select(
+        F.col("s").alias("s2"),
+        F.col("line").alias("line2"),
+        F.explode(F.sequence(F.lit(0), F.col("block"))).alias("bi2"),
+        F.col("block").alias("bj2"),
+    )
 
     def normalized(lines) -> np.ndarray:
         g = np.frombuffer(b"".join(lines), dtype="int8").reshape(-1, m)
@@ -176,8 +183,8 @@ def sparse_relatedness(
     def multiply(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
             return pd.DataFrame({"i": [], "j": [], "kinship": []})
-        sa, sb = a["s"].to_numpy(), b["s"].to_numpy()
-        kinship = normalized(a["line"]) @ normalized(b["line"]).T / m
+        sa, sb = a["s"].to_numpy(), b["s2"].to_numpy()
+        kinship = normalized(a["line"]) @ normalized(b["line2"]).T / m
         keep = kinship >= cutoff
         if key[0] == key[1]:
             keep &= sa[:, None] <= sb[None, :]
@@ -188,6 +195,6 @@ def sparse_relatedness(
 
     return (
         left.groupBy("bi", "bj")
-        .cogroup(right.groupBy("bi", "bj"))
+        .cogroup(right.groupBy("bi2", "bj2"))
         .applyInPandas(multiply, f"i {s_type}, j {s_type}, kinship double")
     )
