@@ -39,15 +39,28 @@ def summarize(
     aggs: list[Column] = (),
     out: str = "pctl",
     sized_by: DataFrame | None = None,
+    few_groups: bool = False,
     max_group_rows: int = MAX_GROUP_ROWS,
     max_map_values: int = MAX_MAP_VALUES,
 ) -> DataFrame:
     """One row per group: ``aggs`` (aggregates of constant state) and ``out``, the array of linearly
     interpolated percentiles of ``value`` in the order of ``probs``.
 
-    ``sized_by`` is a cheaper frame with at least the rows of ``df`` to take the sizes from.
+    ``sized_by`` is a cheaper frame with at least the rows of ``df`` to take the sizes from. With
+    ``few_groups`` all groups count as large and no sizes are taken.
     """
     column = F.col(value) if isinstance(value, str) else value
+
+    def by_counts(rows: DataFrame) -> DataFrame:
+        counted = summarize_counts(
+            value_counts(rows, keys, column, "__v"), keys, "__v", probs, out=out, max_map_values=max_map_values
+        )
+        if not aggs:
+            return counted
+        return join_null_safe(rows.groupBy(*keys).agg(*aggs), counted, keys, "left")
+
+    if few_groups:
+        return by_counts(df)
     sizes = (
         (df if sized_by is None else sized_by)
         .groupBy(*keys)
@@ -61,12 +74,7 @@ def summarize(
     small = join_null_safe(df, large, keys, "left_anti")
     big = join_null_safe(df, large, keys, "left_semi")
     usual = small.groupBy(*keys).agg(*aggs, F.percentile(column, _array(probs)).alias(out))
-    counted = summarize_counts(
-        value_counts(big, keys, column, "__v"), keys, "__v", probs, out=out, max_map_values=max_map_values
-    )
-    if aggs:
-        counted = join_null_safe(big.groupBy(*keys).agg(*aggs), counted, keys, "left")
-    return usual.unionByName(counted)
+    return usual.unionByName(by_counts(big))
 
 
 def summarize_counts(

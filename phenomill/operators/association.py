@@ -20,7 +20,7 @@ from phenomill.functions.ranks import ordered_prefix
 from phenomill.functions.nulls import join_null_safe
 from phenomill.functions.stats import normal_quantile
 from phenomill.operators.genotypes import VARIANT
-from phenomill.session import write_intermediate
+from phenomill.session import broadcast_checked, write_intermediate
 
 # Covariates of the null model, minimum minor allele count, score (in standard
 # deviations) from which the saddlepoint p-value is used, frequency limits of gene tests.
@@ -83,6 +83,8 @@ def null_model(
     rows = rows.select(
         "s", "y", *[((F.col(c) - moments[f"m_{c}"]) / moments[f"s_{c}"]).alias(c) for c in varying]
     )
+    # The fit reads the rows once per iteration.
+    rows = write_intermediate(rows, "null-model")
     if varying:
         features = VectorAssembler(inputCols=varying, outputCol="features").transform(rows)
         glm = GeneralizedLinearRegression(
@@ -159,11 +161,13 @@ def score_sums(genotypes: DataFrame, null: DataFrame, width: int) -> DataFrame:
 def assoc_scan(genotypes: DataFrame, null: DataFrame, min_mac: float = MIN_MAC) -> DataFrame:
     """Covariate-adjusted score test of every variant and trait.
 
-    Non-carriers add nothing to the sums, so only carrier rows are joined and shuffled, and the
-    partial sums combine before the shuffle.
+    Non-carriers add nothing to the sums, so only carrier rows are joined, with a broadcast null
+    model while its counted rows fit, and the partial sums combine before the shuffle.
     """
+    null = write_intermediate(null, "null-model")
     width = null.agg(F.max(F.size("x"))).first()[0]
     totals = _design_totals(null, width)
+    null = broadcast_checked(null, 8 * width + 80)
     chrom_type = dict(genotypes.dtypes)["chrom"]
     pos_type = dict(genotypes.dtypes)["pos"]
 
@@ -220,9 +224,12 @@ def spa_pvalue(
     variant's carriers have to meet in one task. ``Is.SPA`` tells where it was used.
     """
     beyond = (F.abs("Tstat") > cutoff * F.sqrt("var")) & F.col("N_case").isNotNull()
+    scan = write_intermediate(scan, "scan")
     wanted = scan.where(beyond).select(
         F.col("MarkerID").alias("marker_id"), "trait", F.abs("Tstat").alias("q"), "var", "mean_dosage", "covariate_effect"
     )
+    rows = write_intermediate(null.select("s", "trait", "mu", "weight", "x"), "null-model")
+    width = rows.agg(F.max(F.size("x"))).first()[0]
     adjusted = F.coalesce(F.col("dosage").cast("double"), F.col("mean_dosage")) - F.aggregate(
         F.zip_with("x", "covariate_effect", lambda a, b: F.coalesce(a * b, F.lit(0.0))),
         F.lit(0.0),
@@ -231,7 +238,7 @@ def spa_pvalue(
     carriers = write_intermediate(
         genotypes.where(F.col("dosage").isNull() | (F.col("dosage") != 0))
         .select("marker_id", "s", "dosage")
-        .join(null.select("s", "trait", "mu", "weight", "x"), "s")
+        .join(broadcast_checked(rows, 8 * width + 60), "s")
         .join(wanted, ["marker_id", "trait"])
         .select("marker_id", "trait", adjusted.alias("g"), "mu", "weight"),
         "carriers",

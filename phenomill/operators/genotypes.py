@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from phenomill.functions.ranks import ordered_prefix, top_n_per_group
 from phenomill.functions.stats import hwe_exact_p
-from phenomill.session import write_intermediate
+from phenomill.session import broadcast_checked, write_intermediate
 
 VARIANT = ["chrom", "pos", "marker_id"]
 
@@ -214,11 +214,11 @@ def ld_r2(
     per pair. Choose ``sample_blocks`` for a few thousand samples each.
     """
     if indexed is None:
-        indexed = variant_index(genotypes)
+        indexed = write_intermediate(variant_index(genotypes), "variants")
     block = F.floor(F.col("idx") / window).cast("bigint")
     tiles = (
         genotypes.where(F.col("dosage").isNotNull())
-        .join(indexed, VARIANT)
+        .join(broadcast_checked(indexed, 64), VARIANT)
         .select(
             "chrom",
             "idx",
@@ -263,7 +263,7 @@ def ld_prune(
     no kept partner, but decided in rounds: a variant that loses to no undecided partner stays and
     its partners go. Linked pairs are sparse; each round is two small joins.
     """
-    indexed = variant_index(genotypes)
+    indexed = write_intermediate(variant_index(genotypes), "variants")
     pairs = ld_r2(genotypes, window, sample_blocks, indexed).where(F.col("r2") > max_r2)
     maf = with_maf(genotype_counts(genotypes)).select("marker_id", "maf")
     first = F.struct(-F.col("maf_i"), F.col("i"))

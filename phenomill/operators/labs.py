@@ -42,6 +42,9 @@ CLEAN_COLUMNS = [
     "value_as_number",
 ]
 
+# From this size on, the concept table is first cut to the concepts in use.
+MANY_CONCEPTS = 200_000
+
 # Numbers that stand for "no value", and the unit text for a missing unit.
 NAN_EQUIVALENTS = [10000000, 100000000]
 NO_UNIT = "none"
@@ -85,7 +88,8 @@ def join_fact_ext(measurement: DataFrame, ext: DataFrame) -> DataFrame:
 
 
 def join_concept_roles(facts: DataFrame, concept: DataFrame) -> DataFrame:
-    """Attach concept names for the measurement, operator, unit and value roles."""
+    """Attach concept names for the measurement, operator, unit and value roles. ``concept`` has one
+    row per concept id."""
 
     def role(key: str, **columns: str) -> DataFrame:
         return concept.select(
@@ -109,6 +113,14 @@ def join_concept_roles(facts: DataFrame, concept: DataFrame) -> DataFrame:
     )
 
 
+def used_concepts(facts: DataFrame, concept: DataFrame) -> DataFrame:
+    """The concepts that occur in any role: small enough to broadcast, unlike a full vocabulary, so
+    the facts are not shuffled once per role."""
+    roles = ["measurement_concept_id", "operator_concept_id", "unit_concept_id", "value_as_concept_id"]
+    ids = facts.select(F.explode(F.array(*roles)).alias("concept_id")).distinct()
+    return write_intermediate(concept.join(ids, "concept_id", "left_semi"), "concepts")
+
+
 def filter_concepts(df: DataFrame, concepts: list | DataFrame, column: str = "measurement_concept_id") -> DataFrame:
     """Keep listed concepts; the list is literal or a one-column table."""
     if isinstance(concepts, DataFrame):
@@ -119,15 +131,24 @@ def filter_concepts(df: DataFrame, concepts: list | DataFrame, column: str = "me
 def scan_measurements(
     measurement: DataFrame, ext: DataFrame, concept: DataFrame, concepts: list | DataFrame
 ) -> DataFrame:
-    """Distinct 17-column extract of the wanted measurement concepts."""
+    """Distinct 17-column extract of the wanted measurement concepts.
+
+    The concept ids stay in the result, so the rows are made distinct on ids and values before the
+    names are attached: the wide text columns are never shuffled.
+    """
     wanted = filter_concepts(measurement, concepts)
-    return (
-        join_concept_roles(join_fact_ext(wanted, ext), concept)
+    if concept.count() > MANY_CONCEPTS:
+        concept = used_concepts(wanted, concept)
+    facts = (
+        join_fact_ext(wanted, ext)
         .select(
-            *CONTRACT,
+            "person_id",
+            "measurement_concept_id",
+            "src_id",
+            "measurement_datetime",
+            "value_as_number",
             "unit_concept_id",
             "value_as_concept_id",
-            F.lower("value_as_concept_name").alias("value_as_concept_name"),
             "operator_concept_id",
             "measurement_source_concept_id",
             F.lower("measurement_source_value").alias("measurement_source_value"),
@@ -135,6 +156,16 @@ def scan_measurements(
         )
         .distinct()
     )
+    return join_concept_roles(facts, concept).select(
+        *CONTRACT,
+        "unit_concept_id",
+        "value_as_concept_id",
+        F.lower("value_as_concept_name").alias("value_as_concept_name"),
+        "operator_concept_id",
+        "measurement_source_concept_id",
+        "measurement_source_value",
+        "unit_source_value",
+    )
 
 
 def project_contract(df: DataFrame, columns: list[str] = CONTRACT) -> DataFrame:
@@ -315,16 +346,13 @@ def drop_sites_by_concept(df: DataFrame, site_drops: DataFrame) -> DataFrame:
 
 
 def query_summary(df: DataFrame) -> DataFrame:
-    """Rows, persons, sites and units per concept. Counting on pre-grouped rows keeps the three
-    distinct counts from multiplying the raw rows."""
+    """Rows, persons, sites and units per concept."""
     keys = ["standard_concept_name", "measurement_concept_id"]
     return (
         df.where(F.col(keys[0]).isNotNull() & F.col(keys[1]).isNotNull())
-        .groupBy(*keys, "person_id", "src_id", "unit_concept_name")
-        .agg(F.count(F.lit(1)).alias("__n"))
         .groupBy(*keys)
         .agg(
-            F.sum("__n").alias("measurement_count"),
+            F.count(F.lit(1)).alias("measurement_count"),
             F.countDistinct("person_id").alias("participant_count"),
             F.countDistinct("src_id").alias("site_count"),
             F.countDistinct("unit_concept_name").alias("unit_count"),
@@ -351,7 +379,7 @@ def units_dist(df: DataFrame, keys: list[str] = ("assigned_unit",), **limits) ->
         F.stddev_samp(value).alias("std"),
     ]
     names = ["median", "percentile_01", "percentile_10", "percentile_75", "percentile_99"]
-    stats = summarize(df, keys, value, [0.5, 0.01, 0.1, 0.75, 0.99], counts, **limits)
+    stats = summarize(df, keys, value, [0.5, 0.01, 0.1, 0.75, 0.99], counts, few_groups=True, **limits)
     return stats.select(
         *[c for c in stats.columns if c != "pctl"],
         *[F.get("pctl", F.lit(i)).alias(n) for i, n in enumerate(names)],

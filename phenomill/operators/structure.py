@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from phenomill.functions.ranks import ordered_prefix, top_n_per_group
 from phenomill.operators.cohort import anti_join_samples, semi_join_samples
 from phenomill.operators.genotypes import VARIANT, allele_frequency
-from phenomill.session import write_intermediate
+from phenomill.session import broadcast_checked, write_intermediate
 
 # Number of components; relatedness cut-off and marker count.
 N_COMPONENTS = 20
@@ -44,7 +44,7 @@ def hwe_normalized_pca(genotypes: DataFrame, k: int = N_COMPONENTS) -> tuple[lis
     m = index.count()
     if m == 0:
         raise ValueError("no polymorphic variant")
-    called = genotypes.where(F.col("dosage").isNotNull()).join(index, VARIANT)
+    called = genotypes.where(F.col("dosage").isNotNull()).join(broadcast_checked(index, 80), VARIANT)
     sparse = called.groupBy("s").agg(F.collect_list(F.struct("idx", _normalized().alias("z"))).alias("zs")).select(
         "s", F.col("zs.idx").alias("idx"), F.col("zs.z").alias("z")
     )
@@ -85,6 +85,7 @@ def pc_project(genotypes: DataFrame, loadings: DataFrame, k: int = N_COMPONENTS)
     if "m" not in usable.columns:
         usable = usable.withColumn("m", usable.agg(F.count(F.lit(1))).scalar())
     flat = usable.select(*VARIANT, "af", "m", *[F.col("loadings")[i].alias(f"l{i}") for i in range(k)])
+    flat = broadcast_checked(write_intermediate(flat, "loadings"), 80 + 8 * k)
     return (
         genotypes.where(F.col("dosage").isNotNull())
         .join(flat, VARIANT)

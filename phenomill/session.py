@@ -10,6 +10,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _fallback_dirs: dict[str, str] = {}
 
@@ -59,13 +60,23 @@ def write_intermediate(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and return it as a fresh scan.
 
     Cuts the lineage of a step whose result must not change between two uses (a
-    sampled range partitioning) and of loops. Survives the loss of executors.
+    sampled range partitioning), of loops, and of small tables that are read several times.
+    Survives the loss of executors, and the optimizer knows the size of what was written.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def broadcast_checked(df: DataFrame, bytes_per_row: int, limit: int = 256 << 20) -> DataFrame:
+    """``df`` with a broadcast hint if its counted rows fit ``limit``, else as it is, for a shuffled join.
+
+    For tables that are larger than Spark's own threshold but small next to the other side, whose
+    shuffle the hint saves. ``df`` should be a scan, as it is counted.
+    """
+    return F.broadcast(df) if df.count() * bytes_per_row <= limit else df
+
+
 def small_table(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame:
     """A literal table whose size the optimizer knows, so that joins with it are broadcast."""
 

@@ -8,6 +8,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from phenomill.session import write_intermediate
+
 # The three leading bytes of a variant-major bed file, and the count of the first bim
 # allele for the 2-bit codes 00, 01, 10, 11 (-1: missing).
 BED_MAGIC = b"\x6c\x1b\x01"
@@ -110,9 +112,12 @@ def scan_vcf_dosage(
     Sample names come from the header line of the same file. A missing entry is NULL.
     """
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
-    # One header row per file.
-    headers = lines.where(F.col("value").startswith("#CHROM")).select(
-        "file", F.expr("slice(split(value, '\t'), 10, size(split(value, '\t')))").alias("samples")
+    # One header row per file, written so that its size is known to the join.
+    headers = write_intermediate(
+        lines.where(F.col("value").startswith("#CHROM")).select(
+            "file", F.expr("slice(split(value, '\t'), 10, size(split(value, '\t')))").alias("samples")
+        ),
+        "headers",
     )
     body = lines.where(~F.col("value").startswith("#"))
     if chrom is not None:

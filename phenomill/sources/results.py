@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from phenomill.session import write_intermediate
+
 # File name pattern (ancestry, trait, variant class) and the excluded marker.
 FILE_PATTERN = r"aou_snp_(.*?)_step2_(.*?)_vars_(.*?)\.txt"
 FILE_GLOB = "aou_snp_*_step2_*_vars_*.txt*"
@@ -44,8 +46,10 @@ def scan_result_files(
     if not with_additive:
         lines = lines.where(~F.regexp_extract("file", r"([^/]+)$", 1).contains(EXCLUDED))
     is_header = F.col("value").startswith(first_column + "\t")
-    # One header row per file.
-    headers = lines.where(is_header).select("file", F.split("value", "\t").alias("names"))
+    # One header row per file, written so that its size is known to the join.
+    headers = write_intermediate(
+        lines.where(is_header).select("file", F.split("value", "\t").alias("names")), "headers"
+    )
     fields = lines.where(~is_header).select("file", F.split("value", "\t", -1).alias("f"))
     joined = fields.join(headers, "file")
 
