@@ -29,10 +29,12 @@ def lookup_join(
     )
 
 
-def attach_codes(catalogue: DataFrame, crosswalk: DataFrame) -> DataFrame:
-    """Set ``phecode`` of the catalogue entries found in (brava_code, aou_code, ord)."""
-    keyed = crosswalk.withColumnRenamed("brava_code", "phenotype_ID")
-    return lookup_join(catalogue, keyed, "phenotype_ID", "aou_code", "phecode", F.col("phecode"), "ord")
+def attach_codes(
+    catalogue: DataFrame, crosswalk: DataFrame, source: str = "source_code", target: str = "target_code", order: str = "ord"
+) -> DataFrame:
+    """Set ``phecode`` of the catalogue entries whose id is a ``source`` code of the crosswalk."""
+    keyed = crosswalk.withColumnRenamed(source, "phenotype_ID")
+    return lookup_join(catalogue, keyed, "phenotype_ID", target, "phecode", F.col("phecode"), order)
 
 
 def explode_phecodes(catalogue: DataFrame, order: str = "ord") -> DataFrame:

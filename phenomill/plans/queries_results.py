@@ -42,15 +42,15 @@ def filter_two_phecode(t):
     return catalogue.filter_two_phecode(t.catalogue())
 
 
-@query("""SELECT phenotype_ID, coalesce(aou_code, phecode) AS phecode
-          FROM catalogue LEFT JOIN (SELECT p_name || ' ' || p_type AS k, max('X_' || p_brand) AS aou_code FROM part GROUP BY 1) x
+@query("""SELECT phenotype_ID, coalesce(code_x, phecode) AS phecode
+          FROM catalogue LEFT JOIN (SELECT p_name || ' ' || p_type AS k, max('X_' || p_brand) AS code_x FROM part GROUP BY 1) x
             ON phenotype || ' STANDARD' = k""")
 def lookup_join(t):
     part = t.raw("part").select(
-        F.concat_ws(" ", "p_name", "p_type").alias("key"), F.concat(F.lit("X_"), "p_brand").alias("aou_code")
+        F.concat_ws(" ", "p_name", "p_type").alias("key"), F.concat(F.lit("X_"), "p_brand").alias("code_x")
     )
     keyed = t.catalogue().withColumn("key", F.concat("phenotype", F.lit(" STANDARD")))
-    return catalogue.lookup_join(keyed, part, "key", "aou_code", "phecode", F.col("phecode")).select("phenotype_ID", "phecode")
+    return catalogue.lookup_join(keyed, part, "key", "code_x", "phecode", F.col("phecode")).select("phenotype_ID", "phecode")
 
 
 @query("""SELECT phenotype_ID, 'A_' || phenotype_ID AS phecode FROM catalogue""")
@@ -58,12 +58,12 @@ def attach_codes(t):
     """Every phenotype has two crosswalk rows; the later one counts."""
     number = F.col("p_partkey")
     crosswalk = t.raw("part").select(
-        F.concat(F.lit("P"), number.cast("string")).alias("brava_code"),
+        F.concat(F.lit("P"), number.cast("string")).alias("source_code"),
         F.explode(F.array(F.lit("Z"), F.lit("A"))).alias("first"),
     )
     crosswalk = crosswalk.select(
-        "brava_code",
-        F.concat_ws("_", "first", "brava_code").alias("aou_code"),
+        "source_code",
+        F.concat_ws("_", "first", "source_code").alias("target_code"),
         F.when(F.col("first") == "A", 2).otherwise(1).alias("ord"),
     )
     return catalogue.attach_codes(t.catalogue(), crosswalk).select("phenotype_ID", "phecode")

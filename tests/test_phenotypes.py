@@ -194,6 +194,6 @@ def test_catalogue(frame):
     assert [r.phecode for r in catalogue.sorted_phenotypes(df).collect()] == sorted(codes)
     grid = cohort.run_grid(catalogue.sorted_phenotypes(df), ["afr", "eur"], ["snp"], ["plof"])
     assert grid.count() == 16
-    crosswalk = frame("brava_code string, aou_code string, ord int", ("A", "old", 1), ("A", "new", 2))
+    crosswalk = frame("source_code string, target_code string, ord int", ("A", "old", 1), ("A", "new", 2))
     attached = {r.phenotype_ID: r.phecode for r in catalogue.attach_codes(df, crosswalk).collect()}
     assert attached["A"] == "new" and attached["B"] == "427.21"
