@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from phenomill.llm import bpe, chat_windows, exact_index, packing, secret_scan, warc
+from phenomill.llm import (
+    bpe,
+    chat_windows,
+    exact_index,
+    jaccard_join,
+    near_dup_vectors,
+    packing,
+    phrase_automata,
+    quality_mil,
+    secret_scan,
+    warc,
+)
 from phenomill.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -27,6 +38,23 @@ def query(sql: str | None = None):
     return register
 
 
+@query(
+    """
+    WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings),
+    l AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+        WHERE list_cosine_similarity(a.x, b.x) >= 0.93
+    ),
+    n AS (SELECT a, count(*) AS n FROM l GROUP BY a),
+    r(node, seen) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.node, l.b FROM r JOIN l ON l.a = r.seen)
+    SELECT vec_id, coalesce(any_value(n), 0) AS n_links, min(seen) AS component_id, min(seen) = vec_id AS kept
+    FROM v LEFT JOIN n ON n.a = vec_id JOIN r ON r.node = vec_id GROUP BY vec_id
+    """
+)
+def op1_vector_codes(spark, folder):
+    return near_dup_vectors.near_duplicates(table(spark, folder, "embeddings"))
+
+
 @query()
 def op2_chat_windows(spark, folder):
     probe = "</s>[INST] ok [/INST]"
@@ -40,6 +68,33 @@ def op3_secret_scan(spark, folder):
     return secret_scan.digest_columns(secret_scan.scan(table(spark, folder, "documents"), public_tokenizers.path(RANKS)))
 
 
+@query()
+def op4_quality_mil(spark, folder):
+    docs = table(spark, folder, "documents")
+    return quality_mil.scores(docs, quality_mil.fit(docs, table(spark, folder, "labels")))
+
+
+@query(
+    r"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS i, w FROM d WHERE len(w) >= 50),
+    k AS (SELECT doc_id, i, md5(array_to_string(list_slice(w, i, i + 49), ' ')) AS h FROM s),
+    f AS (SELECT h, min(doc_id) AS first FROM k GROUP BY h),
+    g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM k JOIN f USING (h) WHERE first < doc_id),
+    g2 AS (SELECT doc_id, list(i) AS gone FROM g GROUP BY doc_id),
+    r AS (
+        SELECT doc_id, w, coalesce(gone, []) AS gone FROM d LEFT JOIN g2 USING (doc_id)
+    ),
+    p AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+    t AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM p ANTI JOIN g USING (doc_id, i) GROUP BY doc_id)
+    SELECT doc_id, len(w) AS n_words, len(gone) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM r LEFT JOIN t USING (doc_id)
+    """
+)
+def op5_phrase_automata(spark, folder):
+    return phrase_automata.remove_repeats(table(spark, folder, "documents"))
+
+
 @query(
     """
     WITH d AS (
@@ -79,3 +134,27 @@ def op8_warc(spark, folder):
 @query()
 def op9_packing(spark, folder):
     return packing.packed_documents(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+
+
+@query(
+    r"""
+    WITH RECURSIVE d AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x20\x09-\x0D]+') AS w
+        FROM documents
+    ),
+    s AS (
+        SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) AS g
+        FROM d WHERE len(w) > 0
+    ),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+    l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+    e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+    r(node, seen) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.seen)
+    SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.seen) AS component_id
+    FROM d LEFT JOIN n USING (doc_id) JOIN r ON r.node = d.doc_id GROUP BY d.doc_id
+    """
+)
+def op10_jaccard_join(spark, folder):
+    return jaccard_join.components(table(spark, folder, "documents"))

@@ -244,7 +244,7 @@ def test_chat_windows(spark, frame):
     rows += [(7, i, ("user", "assistant")[i % 2], f"{i} " + "word " * (i % 9 * 12) + "<|end|>\n\\.") for i in range(1, 60)]
     rows += [(8, None, None, None), (8, 1, "assistant", "x " * 900), (8, 1, "assistant", "x " * 900), (9, 1, "<|turn|>", "<<|<s>|>\\")]
     df = frame("conv_id long, turn long, role string, text string", *rows).selectExpr("*", "1 AS window", "2 AS n_tokens")
-    windows = chat_windows.windows(df, RANKS, budget=200, history=60)
+    windows = chat_windows.windows(df, RANKS, budget=200, history=120)
     found = windows.collect()
     same(chat_windows.read_back(windows).drop("formatted_chars").collect(), expected_chat(rows))
     long = sorted((w for w in found if w.conv_id == 7), key=lambda w: w.window)
