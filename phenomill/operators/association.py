@@ -158,11 +158,27 @@ def score_sums(genotypes: DataFrame, null: DataFrame, width: int) -> DataFrame:
     )
 
 
-def assoc_scan(genotypes: DataFrame, null: DataFrame, min_mac: float = MIN_MAC) -> DataFrame:
+def _erfc(values: np.ndarray) -> np.ndarray:
+    return np.frompyfunc(math.erfc, 1, 1)(values).astype(float)
+
+
+def _filled(values: pd.Series) -> np.ndarray:
+    return values.fillna(0.0).to_numpy(dtype=float)
+
+
+def _filled_rows(values: pd.Series) -> np.ndarray:
+    return np.nan_to_num(np.array([[np.nan if e is None else e for e in row] for row in values], dtype=float))
+
+
+def assoc_scan(genotypes: DataFrame, null: DataFrame, min_mac: float = MIN_MAC, burden: bool = False) -> DataFrame:
     """Covariate-adjusted score test of every variant and trait.
 
     Non-carriers add nothing to the sums, so only carrier rows are joined, with a broadcast null
     model while its counted rows fit, and the partial sums combine before the shuffle.
+
+    ``min_mac`` is a limit on the minor allele count. The dosages of a ``burden`` are not bounded by 2, so it has no other
+    allele: there the limit is on the count itself. A variant that can't be tested (no called sample, or no variance
+    left by the covariates) keeps its row with NULL statistics.
     """
     null = write_intermediate(null, "null-model")
     width = null.agg(F.max(F.size("x"))).first()[0]
@@ -173,38 +189,33 @@ def assoc_scan(genotypes: DataFrame, null: DataFrame, min_mac: float = MIN_MAC)
 
     def test(batches):
         for pdf in batches:
-            rows = []
-            for v in pdf.itertuples(index=False):
-                n, cases, inverse = totals[v.trait]
-                alt = v.g if v.g == v.g and v.g is not None else 0.0
-                called = n - v.n_missing
-                if called <= 0:
-                    continue
-                af = alt / (2.0 * called)
+            for trait, rows in pdf.groupby("trait", sort=False):
+                n, cases, inverse = totals[trait]
+                alt = _filled(rows["g"])
+                called = n - rows["n_missing"].to_numpy(dtype=float)
+                af = np.divide(alt, 2.0 * called, out=np.full(len(alt), np.nan), where=called > 0)
                 mean = 2.0 * af
-                ac = alt + v.n_missing * mean
-                if min(ac, 2.0 * n - ac) < min_mac:
-                    continue
-                filled = [0.0 if s is None or s != s else s for s in (v.gr, v.wgg)]
-                score = filled[0] + mean * v.mr
-                wgx = np.nan_to_num(np.asarray([np.nan if e is None else e for e in v.wgx], dtype=float))
-                wgx = wgx + mean * np.asarray(v.mwx, dtype=float)
-                effect = inverse @ wgx
-                var = filled[1] + mean * mean * v.mw - wgx @ effect
-                if var <= 0:
-                    continue
-                z2 = score * score / var
-                rows.append(
-                    (v.chrom, v.pos, v.marker_id, v.trait, ac, af, score / var, 1.0 / math.sqrt(var), score, var,
-                     math.erfc(math.sqrt(z2 / 2.0)), n, cases, None if cases is None else n - cases,
-                     mean, effect.tolist())
-                )
-            yield pd.DataFrame(rows, columns=columns)
-
-    columns = [
-        "chrom", "pos", "MarkerID", "trait", "AC_Allele2", "AF_Allele2", "BETA", "SE", "Tstat", "var",
-        "p.value", "N", "N_case", "N_ctrl", "mean_dosage", "covariate_effect",
-    ]
+                ac = alt + rows["n_missing"].to_numpy() * mean
+                count = ac if burden else np.minimum(ac, 2.0 * n - ac)
+                mw, mr = _filled(rows["mw"]), _filled(rows["mr"])
+                score = _filled(rows["gr"]) + mean * mr
+                wgx = _filled_rows(rows["wgx"]) + mean[:, None] * _filled_rows(rows["mwx"])
+                effect = wgx @ inverse
+                total = _filled(rows["wgg"]) + mean * mean * mw
+                var = total - np.einsum("ij,ij->i", wgx, effect)
+                tested = var > 1e-10 * total  # below that only rounding is left
+                score, var = np.where(tested, score, np.nan), np.where(tested, var, np.nan)
+                out = pd.DataFrame(
+                    {
+                        "chrom": rows["chrom"], "pos": rows["pos"], "MarkerID": rows["marker_id"], "trait": trait,
+                        "AC_Allele2": ac, "AF_Allele2": af, "BETA": score / var, "SE": 1.0 / np.sqrt(var), "Tstat": score, "var": var,
+                        "p.value": _erfc(np.sqrt(score * score / var / 2.0)), "N": n,
+                        "N_case": cases, "N_ctrl": None if cases is None else n - cases, "mean_dosage": mean,
+                        "covariate_effect": [e.tolist() if t else None for e, t in zip(effect, tested)],
+                    }
+                )
+                yield out[~(count < min_mac)].astype({"N_case": float, "N_ctrl": float})
+
     schema = (
         f"chrom {chrom_type}, pos {pos_type}, MarkerID string, trait string, AC_Allele2 double, "
         "AF_Allele2 double, BETA double, SE double, Tstat double, var double, `p.value` double, "
@@ -213,15 +224,15 @@ def assoc_scan(genotypes: DataFrame, null: DataFrame, min_mac: float = MIN_MAC)
     return score_sums(genotypes, null, width).mapInPandas(test, schema)
 
 
-def spa_pvalue(
-    scan: DataFrame, genotypes: DataFrame, null: DataFrame, cutoff: float = SPA_CUTOFF, rounds: int = 30
-) -> DataFrame:
+def spa_pvalue(scan: DataFrame, genotypes: DataFrame, null: DataFrame, cutoff: float = SPA_CUTOFF) -> DataFrame:
     """Saddlepoint p-value of binary traits for scores beyond ``cutoff`` standard deviations.
 
     Carriers enter the cumulant function exactly, all others by their normal part. The two
     saddlepoints (for +|score| and -|score|) of all variants are found together: each round sums
-    the derivatives per variant over the carrier rows and takes one guarded Newton step, so no
-    variant's carriers have to meet in one task. ``Is.SPA`` tells where it was used.
+    the derivatives per variant over the carrier rows and takes one guarded Newton step (or halves the
+    bracket), so no variant's carriers have to meet in one task. Rounds go on, over what is still open, until each
+    root is found or its bracket can't shrink. ``Is.SPA`` tells where the p-value was used; ``SPA.Converged`` is FALSE where
+    it was wanted but no root was found (a score at the edge of what its carriers allow).
     """
     beyond = (F.abs("Tstat") > cutoff * F.sqrt("var")) & F.col("N_case").isNotNull()
     scan = write_intermediate(scan, "scan")
@@ -245,13 +256,22 @@ def spa_pvalue(
     )
     key = ["marker_id", "trait"]
     g, mu, t = F.col("g"), F.col("mu"), F.col("t")
-    rest = carriers.groupBy(*key).agg(F.sum(F.col("weight") * g * g).alias("carrier_var"))
+    # As t grows without bound the slope of the carriers' part tends to ``top``, in the other direction to ``bottom``.
+    rest = carriers.groupBy(*key).agg(
+        F.sum(F.col("weight") * g * g).alias("carrier_var"),
+        F.sum(F.when(g > 0, g * (1.0 - mu)).otherwise(-g * mu)).alias("top"),
+        F.sum(F.when(g > 0, -g * mu).otherwise(g * (1.0 - mu))).alias("bottom"),
+    )
     sides = wanted.join(rest, key).select(
         *key,
         F.greatest(F.col("var") - F.col("carrier_var"), F.lit(0.0)).alias("rest_var"),
         F.explode(F.array(F.col("q"), -F.col("q"))).alias("q"),
         "var",
+        "top",
+        "bottom",
     )
+    reached = (F.col("rest_var") > 0) | (F.col("q") < F.col("top")) & (F.col("q") > F.col("bottom"))
+    sides = sides.where(reached).drop("top", "bottom")
     # The first step of Newton from 0; brackets keep the root between 0 and the far side.
     state = sides.withColumns(
         {
@@ -259,13 +279,21 @@ def spa_pvalue(
             "low": F.when(F.col("q") > 0, 0.0).otherwise(-1e6),
             "high": F.when(F.col("q") > 0, 1e6).otherwise(0.0),
             "excess": F.col("q"),
+            "round": F.lit(0),
         }
     )
     # mu e^(gt) / (1 - mu + mu e^(gt)) without overflow
     tilt = 1.0 / (1.0 + (1.0 - mu) / mu * F.exp(-F.greatest(F.least(g * t, F.lit(500.0)), F.lit(-500.0))))
-    for _ in range(rounds):
+    found = None
+    while True:
         state = write_intermediate(state, "saddlepoint")
-        if state.where(F.abs("excess") > 1e-7 * F.greatest(F.abs("q"), F.lit(1.0))).isEmpty():
+        width = F.col("high") - F.col("low")
+        exact = F.abs("excess") <= 1e-7 * F.greatest(F.abs("q"), F.lit(1.0))
+        settled = exact | (width <= 1e-12 * F.greatest(F.abs("t"), F.lit(1e-6)))
+        done = state.where(settled)
+        found = done if found is None else found.unionByName(done)
+        state = state.where(~settled)
+        if state.isEmpty():
             break
         slopes = (
             carriers.join(state.select(*key, "q", "t"), key)
@@ -285,15 +313,20 @@ def spa_pvalue(
                     "low": F.when(F.col("excess") < 0, t).otherwise(F.col("low")),
                     "high": F.when(F.col("excess") > 0, t).otherwise(F.col("high")),
                     "next": t - F.col("excess") / F.greatest(F.col("k2") + F.col("rest_var"), F.lit(1e-300)),
+                    "round": F.col("round") + 1,
                 }
             )
         )
-        inside = (F.col("next") > F.col("low")) & (F.col("next") < F.col("high"))
+        # Newton inside the bracket; every third round its middle, by factors while it spans more than one of four.
+        near_end, far_end = F.least(F.abs("low"), F.abs("high")), F.greatest(F.abs("low"), F.abs("high"))
+        by_factor = F.signum("q") * F.sqrt(F.greatest(near_end, F.lit(1e-9)) * far_end)
+        middle = F.when(far_end > 4 * near_end, by_factor).otherwise((F.col("low") + F.col("high")) / 2)
+        inside = (F.col("next") > F.col("low")) & (F.col("next") < F.col("high")) & (F.col("round") % 3 != 0)
+        near = F.abs("excess") <= 1e-7 * F.greatest(F.abs("q"), F.lit(1.0))
         state = stepped.withColumn(
-            "t", F.when(inside, F.col("next")).otherwise((F.col("low") + F.col("high")) / 2)
+            "t", F.when(near, t).when(inside, F.col("next")).otherwise(middle)
         ).select(*state.columns)
-    else:
-        state = write_intermediate(state, "saddlepoint")
+    state = found
     # log(1 - mu + mu e^(gt)) - mu g t, stable for large gt
     gt = g * t
     log_mgf = F.when(gt > 0, gt + F.log((1.0 - mu) * F.exp(-gt) + mu)).otherwise(
@@ -324,6 +357,7 @@ def spa_pvalue(
         .withColumn("p.value.NA", F.col("`p.value`"))
         .withColumn("p.value", F.when(use, F.least("__spa", F.lit(1.0))).otherwise(F.col("`p.value`")))
         .withColumn("Is.SPA", use)
+        .withColumn("SPA.Converged", F.when(F.coalesce(beyond, F.lit(False)), use))
         .drop("__spa", "__tails")
     )
 
@@ -356,11 +390,14 @@ def gene_burden(
     groups: DataFrame,
     masks: dict[str, list[str]],
     max_mafs: list[float] = MAX_MAFS,
+    samples: DataFrame | None = None,
 ) -> DataFrame:
-    """Collapsed dosage per (gene, mask, frequency limit, sample) in genotype form.
+    """Collapsed minor allele copies per (gene, mask, frequency limit, sample) in genotype form.
 
-    ``groups``: (gene, annotation, marker_id); ``masks``: mask name to its annotations;
-    ``frequencies``: (marker_id, maf). The result can go to ``assoc_scan``.
+    ``groups``: (gene, annotation, marker_id); ``masks``: mask name to its annotations; ``frequencies``: (marker_id, af).
+    Where the alternate allele is the common one, a sample's copies are 2 - dosage. A sample without a row
+    then has two; these are found with ``samples`` (s), which may be left out if every sample has rows of
+    such variants. Missing calls count as none. The result can go to ``assoc_scan`` with ``burden=True``.
     """
     mask_rows = F.array(
         *[
@@ -370,16 +407,27 @@ def gene_burden(
         ]
     )
     limits = F.array(*[F.lit(float(v)) for v in max_mafs])
+    af = F.col("af")
+    rated = frequencies.select("marker_id", F.least(af, 1 - af).alias("maf"), (af > 0.5).alias("flipped"))
     members = (
-        groups.join(frequencies.select("marker_id", "maf"), "marker_id")
+        groups.join(rated, "marker_id")
         .withColumn("__m", F.explode(F.filter(mask_rows, lambda m: m["annotation"] == F.col("annotation"))))
         .withColumn("max_maf", F.explode(F.filter(limits, lambda v: F.col("maf") <= v)))
-        .select("gene", "marker_id", F.col("__m.mask").alias("mask"), "max_maf")
+        .select("gene", "marker_id", F.col("__m.mask").alias("mask"), "max_maf", "flipped")
         .distinct()
     )
+    rows = genotypes.select("marker_id", "s", "dosage", "chrom", "pos")
+    if samples is not None:
+        # A row of two copies for each sample without one; as many as the burden itself has rows.
+        place = genotypes.groupBy("marker_id").agg(F.min("chrom").alias("chrom"), F.min("pos").alias("pos"))
+        common = members.where("flipped").select("marker_id").distinct().join(place, "marker_id")
+        every = common.join(samples.select("s").distinct()).join(rows.select("marker_id", "s"), ["marker_id", "s"], "left_anti")
+        rows = rows.unionByName(every.withColumn("dosage", F.lit(0)), allowMissingColumns=True)
+    copies = F.when(F.col("flipped"), 2 - F.col("dosage")).otherwise(F.col("dosage"))
     return (
-        genotypes.where(F.col("dosage") > 0)
-        .join(members, "marker_id")
+        rows.join(members, "marker_id")
+        .withColumn("dosage", copies)
+        .where("dosage > 0")
         .groupBy("gene", "mask", "max_maf", "s")
         .agg(F.sum("dosage").alias("dosage"), F.min("chrom").alias("chrom"), F.min("pos").alias("pos"))
     )

@@ -408,10 +408,11 @@ def person_summary(
     clean: DataFrame, keys: list[str] = ("person_id",), truncate: bool = True, **limits
 ) -> DataFrame:
     """min, median, max, mean, count and latest value per person (and lab), as integers cut toward
-    zero unless ``truncate`` is off."""
+    zero unless ``truncate`` is off. Undated values count in all but ``latest``, which is NULL if all are undated."""
     keys = list(keys)
     value = F.col("value_as_number")
-    rows = clean.where(value.isNotNull() & F.col("measurement_datetime").isNotNull())
+    rows = clean.where(value.isNotNull())
+    dated = F.col("measurement_datetime").isNotNull()
     stats = summarize(
         rows,
         keys,
@@ -422,7 +423,7 @@ def person_summary(
             F.max(value).alias("max"),
             F.avg(value).alias("mean"),
             F.count(value).alias("count"),
-            F.max(F.struct(F.to_date("measurement_datetime").alias("d"), value.alias("v"))).alias("__latest"),
+            F.max(F.when(dated, F.struct(F.to_date("measurement_datetime").alias("d"), value.alias("v")))).alias("__latest"),
         ],
         **limits,
     ).select(

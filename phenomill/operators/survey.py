@@ -90,17 +90,20 @@ def recode_values(df: DataFrame, column: str, codes: dict[str, str]) -> DataFram
 
 
 def join_procedure_status(
-    procedures: DataFrame, persons: DataFrame, concepts: list[int] = HIP_PROCEDURES, out: str | None = None
+    procedures: DataFrame,
+    persons: DataFrame,
+    concepts: list[int] = HIP_PROCEDURES,
+    out: str | None = None,
+    one_row: bool = True,
 ) -> DataFrame:
     """Whether each person (with or without a procedure row) has a listed procedure.
 
-    A person with several procedures can have both a TRUE and a FALSE row, as the distinct
-    (person, flag) pairs are returned.
+    With ``one_row=False`` the distinct (person, flag) pairs: someone with several procedures can then have
+    both a TRUE and a FALSE row.
     """
     flag = out or f"is_concept_{concepts[0]}"
-    rows = procedures.select("person_id", "procedure_concept_id").distinct()
-    return (
-        rows.join(persons.select("person_id"), "person_id", "full")
-        .select("person_id", true_or_false(F.col("procedure_concept_id").isin(concepts)).alias(flag))
-        .distinct()
+    rows = procedures.select("person_id", F.col("procedure_concept_id").isin(concepts).alias("listed"))
+    joined = rows.groupBy("person_id", *(() if one_row else ("listed",))).agg(F.max("listed").alias("any"))
+    return persons.select("person_id").distinct().join(joined, "person_id", "full").select(
+        "person_id", true_or_false(F.col("any")).alias(flag)
     )

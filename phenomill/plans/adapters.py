@@ -223,13 +223,13 @@ class Tables:
     # --- results and catalogue ---
 
     def association_results(self) -> DataFrame:
-        # One row per part and region: the region keys are listed, then looked up.
-        region = self.raw("region").select(F.col("r_regionkey").cast("bigint").alias("nk"))
-        part = self.raw("part").withColumn("nk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(4).cast("bigint"))))
+        # One row per part and region: the regions, a handful, are one value that each part explodes.
+        keys = self.raw("region").agg(F.collect_list(F.col("r_regionkey").cast("bigint"))).scalar()
+        part = self.raw("part").withColumn("nk", F.explode(keys))
         key, nk = F.col("p_partkey"), F.col("nk")
         binary = F.col("p_type").isin("STANDARD", "PROMO", "SMALL")
         score = key * 13 + nk
-        return part.join(region, "nk").select(
+        return part.select(
             F.concat(F.col("p_name"), F.lit(" "), key.cast("string")).alias("MarkerID"),
             F.concat(F.lit("anc"), nk.cast("string")).alias("Ancestry"),
             F.col("p_type").alias("Trait"),

@@ -8,7 +8,7 @@ from phenomill.functions import scalar
 from phenomill.operators import cohort, demographics, labs, survey
 from phenomill.plans.queries_labs import SITE_FREE, clean
 from phenomill.plans.registry import query, rounded
-from phenomill.session import scratch_path
+from phenomill.session import scratch_path, write_intermediate
 from phenomill.sources import readers, sinks
 
 PM = ["height", "weight", "waist-circumference-mean", "hip-circumference-mean"]
@@ -161,12 +161,18 @@ def recode_values(t):
     return survey.recode_values(t.cb_search_person(), "sex_at_birth", RECODED).select("person_id", "sex_at_birth")
 
 
-@query("""SELECT DISTINCT person_id, coalesce(procedure_concept_id IN (4134857, 398010007), FALSE) AS is_concept_4134857
-          FROM procedure_occurrence FULL JOIN person USING (person_id)""")
+@query("""SELECT person_id, coalesce(bool_or(procedure_concept_id IN (4134857, 398010007)), FALSE) AS is_concept_4134857
+          FROM procedure_occurrence FULL JOIN person USING (person_id) GROUP BY person_id""")
 def join_procedure_status(t):
     return survey.join_procedure_status(t.procedure_occurrence(), t.person())
 
 
+@query("""SELECT DISTINCT person_id, coalesce(procedure_concept_id IN (4134857, 398010007), FALSE) AS is_concept_4134857
+          FROM procedure_occurrence FULL JOIN person USING (person_id)""")
+def join_procedure_pairs(t):
+    return survey.join_procedure_status(t.procedure_occurrence(), t.person(), one_row=False)
+
+
 # --- cohort assembly ---
 
 
@@ -249,10 +255,13 @@ def median_by_lab(t):
                   round(median(value_as_number) FILTER (measurement_concept_id = 2), 6) AS median_2
            FROM ({SITE_FREE}) GROUP BY person_id""")
 def scan_measurement_summaries(t):
-    """The summary files of all labs as one long table, then one column per lab."""
+    """Summary files with another header for each lab, read as one long table, then one column per lab."""
     path = scratch_path(t.spark, "summaries")
-    sinks.write_person_summary(median_by_lab(t), path)
-    long = t.spark.read.schema("person_id bigint, median double, concept_key string").parquet(path)
+    medians = write_intermediate(median_by_lab(t), "medians")
+    for key, columns in (("1", ["person_id", "median"]), ("2", ["concept_key", "median", "note", "person_id"])):
+        rows = medians.where(F.col("concept_key") == key).withColumn("note", F.lit('a, "b"'))
+        sinks.write_csv(rows.select(*columns), f"{path}/measurement_{key}_summary.csv")
+    long = readers.scan_measurement_summaries(t.spark, path, r"measurement_([\d_]+)_summary\.csv/", "part-*")
     return rounded(cohort.medians_wide(long, ["1", "2"]), "median_1", "median_2")
 
 

@@ -238,34 +238,35 @@ def variant_groups(t):
 
 
 @query("""
-    WITH q AS (SELECT marker_id, least(af, 1 - af) AS maf FROM af),
-         members AS (SELECT DISTINCT 'gene' || ((pos // 1000) // 8) AS gene, marker_id, mask, max_maf
+    WITH q AS (SELECT marker_id, least(af, 1 - af) AS maf, af > 0.5 AS flipped FROM af),
+         members AS (SELECT DISTINCT 'gene' || ((pos // 1000) // 8) AS gene, marker_id, mask, max_maf, flipped
                      FROM variants JOIN q USING (marker_id), (VALUES ('plof', 0), ('plof_missense', 0), ('plof_missense', 1)) m(mask, odd),
                           (VALUES (CAST(0.1 AS DOUBLE)), (CAST(0.3 AS DOUBLE))) l(max_maf)
                      WHERE odd = (pos // 1000) % 2 AND maf <= max_maf)
-    SELECT gene, mask, max_maf, s, CAST(sum(dosage) AS BIGINT) AS dosage FROM genotypes JOIN members USING (marker_id)
-    WHERE dosage > 0 GROUP BY gene, mask, max_maf, s""")
+    SELECT gene, mask, max_maf, s, CAST(sum(copies) AS BIGINT) AS dosage
+    FROM (SELECT *, CASE WHEN flipped THEN 2 - dosage ELSE dosage END AS copies FROM genotypes JOIN members USING (marker_id))
+    WHERE copies > 0 GROUP BY gene, mask, max_maf, s""")
 def gene_burden(t):
     """Frequency limits that fit these common markers; the defaults are for rare ones."""
-    af = genotypes.allele_frequency(t.genotypes()).withColumn("maf", F.least("af", 1 - F.col("af")))
+    af = genotypes.allele_frequency(t.genotypes())
     out = association.gene_burden(t.genotypes(), af, variant_groups(t), MASKS, [0.1, 0.3])
     return out.select("gene", "mask", "max_maf", "s", "dosage")
 
 
 @query()
 def gene_burden_scan(t):
-    af = genotypes.allele_frequency(t.genotypes()).withColumn("maf", F.least("af", 1 - F.col("af")))
+    af = genotypes.allele_frequency(t.genotypes())
     burden = association.gene_burden(t.genotypes(), af, variant_groups(t), MASKS, [0.1, 0.3])
     null = association.null_model(t.genotype_phenotype(), "q", "y_quantitative", ["age", "sex"], "quantitative", sample="s")
-    return association.assoc_scan(association.burden_markers(burden), null).drop("covariate_effect")
+    return association.assoc_scan(association.burden_markers(burden), null, burden=True).drop("covariate_effect")
 
 
 # --- files ---
 
 
-@query("SELECT CAST(s AS VARCHAR) AS s, CAST(chrom AS VARCHAR) AS chrom, pos, marker_id, CAST(dosage AS DOUBLE) AS dosage FROM genotypes WHERE chrom = 1")
+@query("SELECT CAST(s AS VARCHAR) AS s, CAST(chrom AS VARCHAR) AS chrom, pos, marker_id, CAST(dosage AS DOUBLE) AS dosage FROM genotypes")
 def scan_vcf_dosage(t):
-    """Genotypes written as VCF files of up to a few hundred samples, one chromosome read back."""
+    """Genotypes written as VCF files of up to a few hundred samples and read back, each chromosome by itself."""
     path = scratch_path(t.spark, "vcf")
     rows = t.sample_dosages().select(
         F.floor(F.col("s") / 256).alias("block"), "s", F.posexplode("dosages").alias("j", "d")
@@ -282,7 +283,7 @@ def scan_vcf_dosage(t):
         "block", F.concat_ws("\t", F.lit(names), F.array_join(F.col("es.s").cast("array<string>"), "\t")).alias("value")
     )
     header.unionByName(body).repartition("block").write.partitionBy("block").text(path)
-    out = genotype_files.scan_vcf_dosage(t.spark, path, "1")
+    out = genotype_files.scan_vcf_dosage(t.spark, path, "1").unionByName(genotype_files.scan_vcf_dosage(t.spark, path, "2"))
     return out.select("s", "chrom", "pos", "marker_id", "dosage")
 
 

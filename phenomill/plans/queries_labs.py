@@ -254,6 +254,18 @@ def person_summary(t):
     return labs.person_summary(kept, ["measurement_concept_id", "person_id"])
 
 
+UNDATED = f"SELECT * REPLACE (CASE WHEN person_id % 3 = 0 OR src_id >= 'EHR site 5' THEN measurement_datetime END AS measurement_datetime) FROM ({SITE_FREE})"
+
+
+@query((SUMMARY % UNDATED).replace("'v': value_as_number})", "'v': value_as_number}) FILTER (measurement_datetime IS NOT NULL)"))
+def person_summary_undated(t):
+    """Many values, and all of some persons, have no date."""
+    kept = labs.drop_sites_by_concept(clean(t), t.site_drops())
+    dated = (F.col("person_id") % 3 == 0) | (F.col("src_id") >= "EHR site 5")
+    kept = kept.withColumn("measurement_datetime", F.when(dated, F.col("measurement_datetime")))
+    return labs.person_summary(kept, ["measurement_concept_id", "person_id"])
+
+
 @query("""SELECT person_id, round(arg_max(value_as_number, {'d': CAST(measurement_datetime AS DATE), 'v': value_as_number}), 6) AS latest
           FROM clean GROUP BY person_id""")
 def latest_per_person(t):

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from phenomill.functions import scalar
 from phenomill.operators import catalogue, cohort, results
 from phenomill.plans.registry import query, rounded
+from phenomill.session import scratch_path, write_intermediate
+from phenomill.sources import sinks
 from phenomill.sources import results as result_files
 
 # --- catalogue ---
@@ -112,6 +114,30 @@ def parse_file_name(t):
     return result_files.parse_file_name(files, "file").drop("file")
 
 
+FILES = {
+    "has_n_case": ["CHR", "POS", "MarkerID", "AC_Allele2", "AF_Allele2", "p.value", "N_case"],
+    "NOT has_n_case AND Ancestry <> 'anc0'": ["MarkerID", "p.value", "Note", "AF_Allele2", "AC_Allele2"],
+    "NOT has_n_case AND Ancestry = 'anc0'": ["POS", "AC_Allele2", "AF_Allele2", "p.value"],
+}
+
+
+@query("""SELECT CASE WHEN has_n_case OR Ancestry <> 'anc0' THEN MarkerID END AS MarkerID, AC_Allele2, AF_Allele2, round("p.value", 12) AS "p.value", N_case,
+                 CASE WHEN has_n_case THEN 'chr1' END AS CHR, CASE WHEN has_n_case OR Ancestry = 'anc0' THEN CAST(length(MarkerID) AS VARCHAR) END AS POS,
+                 CASE WHEN NOT has_n_case AND Ancestry <> 'anc0' THEN VariantClass END AS Note,
+                 has_n_case, has_n_case OR Ancestry <> 'anc0' AS has_marker, TRUE AS has_af
+          FROM association_results""")
+def scan_result_files(t):
+    """Files with three headers: one that begins with other columns, one without case counts, one without markers."""
+    path = scratch_path(t.spark, "results")
+    more = {"CHR": F.lit("chr1"), "POS": F.length("MarkerID"), "Note": F.col("VariantClass")}
+    rows = write_intermediate(t.association_results().withColumns(more), "results")
+    for number, (condition, columns) in enumerate(FILES.items()):
+        sinks.write_tsv(rows.where(condition).select(*[f"`{c}`" for c in columns]), f"{path}/{number}")
+    out = result_files.scan_result_files(t.spark, path, pattern=r"(part)-(\d+)-(.+)", glob="part-*")
+    columns = ["MarkerID", "AC_Allele2", "AF_Allele2", "p.value", "N_case", "CHR", "POS", "Note", "has_n_case", "has_marker", "has_af"]
+    return rounded(out.select(*[f"`{c}`" for c in columns]), "p.value", places=12)
+
+
 RESULT = 'MarkerID, Ancestry, Trait, VariantClass, AC_Allele2, AF_Allele2, round("p.value", 12) AS "p.value", N_case'
 
 

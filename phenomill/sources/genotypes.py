@@ -109,15 +109,13 @@ def scan_vcf_dosage(
 ) -> DataFrame:
     """Long dosages (chrom, pos, marker_id, ref, alt, s, dosage) of VCF text, plain or gzip.
 
-    Sample names come from the header line of the same file. A missing entry is NULL.
+    Sample names come from the header line of the same file; entries find theirs by file and column, so no file
+    is one join key. A missing entry is NULL.
     """
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
-    # One header row per file, written so that its size is known to the join.
-    headers = write_intermediate(
-        lines.where(F.col("value").startswith("#CHROM")).select(
-            "file", F.expr("slice(split(value, '\t'), 10, size(split(value, '\t')))").alias("samples")
-        ),
-        "headers",
+    names = F.expr("slice(split(value, '\t'), 10, size(split(value, '\t')))")
+    samples = write_intermediate(
+        lines.where(F.col("value").startswith("#CHROM")).select("file", F.posexplode(names).alias("column", "s")), "vcf-samples"
     )
     body = lines.where(~F.col("value").startswith("#"))
     if chrom is not None:
@@ -132,13 +130,9 @@ def scan_vcf_dosage(
         F.col("f")[3].alias("ref"),
         F.col("f")[4].alias("alt"),
         (at - 1).cast("int").alias("at"),
-        F.expr("slice(f, 10, size(f))").alias("entries"),
+        F.posexplode(F.expr("slice(f, 10, size(f))")).alias("column", "entry"),
     )
-    joined = entries.join(headers, "file")
-    long = joined.select(
-        "chrom", "pos", "marker_id", "ref", "alt", "at", F.explode(F.arrays_zip("samples", "entries")).alias("e")
-    )
-    value = F.get(F.split("e.entries", ":"), F.col("at"))
-    return long.select(
-        "chrom", "pos", "marker_id", "ref", "alt", F.col("e.samples").alias("s"), value.try_cast("double").alias("dosage")
+    value = F.get(F.split("entry", ":"), F.col("at"))
+    return entries.join(samples, ["file", "column"]).select(
+        "chrom", "pos", "marker_id", "ref", "alt", "s", value.try_cast("double").alias("dosage")
     )

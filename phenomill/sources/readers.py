@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from phenomill.functions.nulls import nan_to_null
+from phenomill.sources.headers import files_by_header, read_files
 
 DICTIONARIES = ["metadata", "unit_map", "unit_reduce", "site_drop"]
 
@@ -93,33 +96,33 @@ def file_name() -> F.Column:
     return F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1)
 
 
-def scan_measurement_summaries(spark: SparkSession, path: str) -> DataFrame:
-    """(person_id, concept_key, median) of all ``measurement_<key>_summary.csv`` under ``path``."""
-    schema = header_columns_of_first(spark, path)
-    return (
-        spark.read.option("header", True)
-        .schema(schema)
-        .option("pathGlobFilter", "measurement_*_summary.csv*")
-        .option("recursiveFileLookup", True)
-        .csv(path)
-        .select(
-            "person_id",
-            F.regexp_extract(F.col("_metadata.file_path"), r"measurement_([\d_]+)_summary\.csv", 1).alias("concept_key"),
-            F.col("median").cast("double").alias("median"),
+def scan_measurement_summaries(
+    spark: SparkSession,
+    path: str,
+    pattern: str = r"measurement_([\d_]+)_summary\.csv",
+    glob: str = "measurement_*_summary.csv*",
+) -> DataFrame:
+    """(person_id, concept_key, median) of all summary files under ``path``, matched by name in each file.
+
+    The key is the group of ``pattern``. A file without a median has NULLs; one without person_id is an error.
+    """
+    parts = []
+    for header, files in files_by_header(spark, path, glob).items():
+        names = [n.strip().strip('"') for n in header.split(",")]
+        if "person_id" not in names:
+            raise ValueError(f"no person_id in {files[0]}")
+        table = read_files(spark, files, names, ",")
+        median = F.col("median").try_cast("double") if "median" in names else F.lit(None).cast("double")
+        parts.append(
+            table.select(
+                F.col("person_id").cast("bigint").alias("person_id"),
+                F.regexp_extract("file", pattern, 1).alias("concept_key"),
+                median.alias("median"),
+            )
         )
-    )
-
-
-def header_columns_of_first(spark: SparkSession, path: str) -> str:
-    """Schema of the summary files: person_id and the summary columns of their shared header."""
-    columns = (
-        spark.read.option("header", True)
-        .option("pathGlobFilter", "measurement_*_summary.csv*")
-        .option("recursiveFileLookup", True)
-        .csv(path)
-        .columns
-    )
-    return ", ".join(f"`{c}` {'bigint' if c == 'person_id' else 'double'}" for c in columns)
+    if not parts:
+        return spark.createDataFrame([], "person_id bigint, concept_key string, median double")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def scan_sample_list(spark: SparkSession, path: str, header: bool = True, sep: str = "\t") -> DataFrame:

@@ -237,6 +237,7 @@ def test_saddlepoint(long, matrix, phenotypes):
         assert rows[j]["p.value"] == pytest.approx(min(want, 1.0), rel=1e-3)
     others = [r for j, r in rows.items() if j not in used]
     assert all(r["p.value"] == r["p.value.NA"] for r in others)
+    assert all(rows[j]["SPA.Converged"] for j in used) and {r["SPA.Converged"] for r in others} <= {None, False}
 
 
 def test_rank_inverse_normal(frame):
@@ -263,7 +264,7 @@ def test_null_model_with_normalized_trait(phenotypes):
 def test_burden(frame):
     geno = frame(SCHEMA, (1, 1, "a", 1, 1), (1, 2, "b", 1, 2), (1, 2, "b", 2, 1), (1, 3, "c", 2, 1), (1, 3, "c", 3, None))
     groups = frame("gene string, annotation string, marker_id string", ("G", "plof", "a"), ("G", "missense", "b"), ("G", "plof", "c"))
-    maf = frame("marker_id string, maf double", ("a", 0.00005), ("b", 0.0005), ("c", 0.005))
+    maf = frame("marker_id string, af double", ("a", 0.00005), ("b", 0.0005), ("c", 0.005))
     masks = {"plof": ["plof"], "both": ["plof", "missense"]}
     out = association.gene_burden(geno, maf, groups, masks)
     got = {(r["mask"], r.max_maf, r.s): r.dosage for r in out.collect()}
@@ -275,6 +276,28 @@ def test_burden(frame):
     assert "G:both:0.001" in names
 
 
+def test_burden_counts_the_minor_allele(frame):
+    groups = frame("gene string, annotation string, marker_id string", ("G", "plof", "a"), ("G", "plof", "b"))
+    af = frame("marker_id string, af double", ("a", 0.9995), ("b", 0.0005))
+    geno = frame(SCHEMA, (1, 1, "a", 1, 2), (1, 1, "a", 2, 1), (1, 1, "a", 3, None), (1, 2, "b", 2, 1))
+    out = association.gene_burden(geno, af, groups, {"plof": ["plof"]}, [0.001])
+    assert {r.s: r.dosage for r in out.collect()} == {2: 2}
+    everyone = frame("s bigint", (1,), (2,), (3,), (4,))
+    out = association.gene_burden(geno, af, groups, {"plof": ["plof"]}, [0.001], everyone)
+    assert {r.s: (r.dosage, r.chrom) for r in out.collect()} == {2: (2, 1), 4: (2, 1)}
+
+
+def test_scan_keeps_burdens_and_untested_variants(frame):
+    people = frame("s bigint, y double, a double", *[(i, float(i * i % 7), float(i % 3)) for i in range(10)])
+    null = association.null_model(people, "t", "y", ["a"], "quantitative", sample="s")
+    rows = [(1, 1, "high", i, 3 + i % 2) for i in range(10)] + [(1, 2, "flat", i, 1) for i in range(10)] + [(1, 3, "gone", i, None) for i in range(10)]
+    rows += [(1, 4, "one", 0, 2)]
+    got = {r.MarkerID: r for r in association.assoc_scan(frame(SCHEMA, *rows), null, burden=True).collect()}
+    assert set(got) == {"high", "flat", "gone", "one"} and got["high"].AC_Allele2 == 35.0 and 0 < got["high"]["p.value"] <= 1
+    assert got["flat"].BETA is None and got["flat"]["p.value"] is None and got["gone"].AF_Allele2 is None and got["gone"].covariate_effect is None
+    assert "high" not in {r.MarkerID for r in association.assoc_scan(frame(SCHEMA, *rows), null).collect()}
+
+
 # --- files ---
 
 

@@ -147,6 +147,8 @@ def test_recode_and_procedures(frame):
     procedures = frame("person_id bigint, procedure_concept_id bigint", (1, 4134857), (1, 5), (2, 5), (8, 398010007))
     persons = frame("person_id bigint", (1,), (2,), (3,))
     rows = sorted(map(tuple, survey.join_procedure_status(procedures, persons).collect()))
+    assert rows == [(1, True), (2, False), (3, False), (8, True)]
+    rows = sorted(map(tuple, survey.join_procedure_status(procedures, persons, one_row=False).collect()))
     assert rows == [(1, False), (1, True), (2, False), (3, False), (8, True)]
 
 

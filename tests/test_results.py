@@ -52,6 +52,22 @@ def test_files_with_different_headers(spark, folder):
     assert {tuple(r) for r in combos.collect()} == {("g4", "eur", "plof"), ("g7", "afr", "missense"), ("g9", "afr", "ADDITIVE")}
 
 
+def test_any_header_is_read_whole(spark, tmp_path):
+    put(tmp_path, "aou_snp_eur_step2_a_vars_plof.txt", "CHR\tPOS\tMarkerID\tp.value\tAF_Allele2", "1\t5\tm1\t0.5\t0.7", "1\t6\tMarkerID\t0.25\t0.1")
+    put(tmp_path, "aou_snp_eur_step2_b_vars_plof.txt", "p.value\tAF_Allele2\tCHR", "0.125\t0.9\t2", "0.5\t0.9")
+    (tmp_path / "aou_snp_eur_step2_c_vars_plof.txt").write_text("")
+    df = result_files.scan_result_files(spark, str(tmp_path))
+    rows = {(r.Trait, r["p.value"]): r for r in df.collect()}
+    assert len(rows) == 4 and rows[("a", 0.5)].POS == "5" and rows[("a", 0.25)].MarkerID == "MarkerID"
+    assert rows[("b", 0.125)].CHR == "2" and rows[("b", 0.125)].MarkerID is None and rows[("b", 0.5)].CHR is None
+    assert [r.has_marker for r in df.select("Trait", "has_marker").distinct().orderBy("Trait").collect()] == [True, False]
+    assert {r.Trait for r in results.filter_high_af(df).collect()} == {"a"}
+    put(tmp_path, "mine-x-y-z.tsv", "MarkerID\tp.value", "q\t1")
+    own = result_files.scan_result_files(spark, str(tmp_path), pattern=r"mine-(\w)-(\w)-(\w)", glob="mine-*.tsv")
+    assert [(r.Ancestry, r.Trait, r.VariantClass, r["p.value"]) for r in own.collect()] == [("x", "y", "z", 1.0)]
+    assert result_files.scan_result_files(spark, str(tmp_path), glob="none*").count() == 0
+
+
 def test_censoring(frame):
     df = frame("ac double", (9.0,), (39.0,), (40.0,), (None,))
     assert [r[0] for r in df.select(results.censor_small_counts(F.col("ac"))).collect()] == ["<40", "<40", "40", None]
@@ -121,8 +137,14 @@ def test_measurement_summaries(spark, tmp_path):
     put(tmp_path, "measurement_3006923_summary.csv", "person_id,min,median", "1,2,3", "2,4,5")
     put(tmp_path, "measurement_3045440_3023939_summary.csv", "person_id,min,median", "1,7,8")
     put(tmp_path, "other.csv", "person_id,min,median", "1,9,9")
+    put(tmp_path, "measurement_77_summary.csv", "person_id,median", "4,6.5")
+    put(tmp_path, "measurement_78_summary.csv", "note,median,person_id,mean", '"x,y",7,5,1')
     df = readers.scan_measurement_summaries(spark, str(tmp_path))
-    assert sorted(map(tuple, df.collect())) == [(1, "3006923", 3.0), (1, "3045440_3023939", 8.0), (2, "3006923", 5.0)]
+    rows = sorted(map(tuple, df.collect()))
+    assert rows == [(1, "3006923", 3.0), (1, "3045440_3023939", 8.0), (2, "3006923", 5.0), (4, "77", 6.5), (5, "78", 7.0)]
+    put(tmp_path, "measurement_79_summary.csv", "median", "1")
+    with pytest.raises(ValueError):
+        readers.scan_measurement_summaries(spark, str(tmp_path))
 
 
 def test_dictionaries(spark, frame, tmp_path):
