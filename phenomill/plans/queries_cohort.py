@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from phenomill.functions import scalar
 from phenomill.operators import cohort, demographics, labs, survey
 from phenomill.plans.queries_labs import SITE_FREE, clean
+from phenomill.plans.queries_phecodes import WIDE, WIDE_SQL, wide
 from phenomill.plans.registry import query, rounded
 from phenomill.session import scratch_path, write_intermediate
 from phenomill.sources import readers, sinks
@@ -194,7 +195,10 @@ def reorder_columns(t):
     return cohort.reorder_columns(covariates(t), ["sex", "person_id"]).select("sex", "person_id", "age")
 
 
-def scores_as_text(t, k: int = 3):
+WIDE_COLUMNS = ", ".join(f'"{code}"' for code in WIDE)
+
+
+def scores_as_text(t, k: int = 20):
     """Scores in their exported text form: the first elements of each vector."""
     parts = F.transform(F.slice("embedding", 1, k), lambda x: F.format_string("%.6f", x.cast("double")))
     return t.raw("embeddings").select(
@@ -203,13 +207,13 @@ def scores_as_text(t, k: int = 3):
 
 
 PCS = "SELECT vec_id AS person_id, " + ", ".join(
-    f"CAST(format('{{:.6f}}', CAST(embedding[{i + 1}] AS DOUBLE)) AS DOUBLE) AS PC{i + 1}" for i in range(3)
+    f"CAST(format('{{:.6f}}', CAST(embedding[{i + 1}] AS DOUBLE)) AS DOUBLE) AS PC{i + 1}" for i in range(20)
 ) + " FROM embeddings"
 
 
 @query(PCS)
 def expand_scores_to_pcs(t):
-    pcs = cohort.expand_scores_to_pcs(cohort.rename_first_column(scores_as_text(t)), k=3)
+    pcs = cohort.expand_scores_to_pcs(cohort.rename_first_column(scores_as_text(t)))
     return cohort.with_person_id(pcs)
 
 
@@ -232,17 +236,21 @@ def join_person_left(t):
     return cohort.join_person_left(covariates(t).select("person_id", "age"), n_orders)
 
 
-@query(f"SELECT person_id, age, sex, PC1, PC2, PC3 FROM covariates JOIN ({PCS}) USING (person_id)")
+ALL_PCS = ", ".join(f"PC{i + 1}" for i in range(20))
+
+
+@query(f"SELECT person_id, age, sex, {ALL_PCS} FROM covariates JOIN ({PCS}) USING (person_id)")
 def join_pcs_strict(t):
-    pcs = cohort.expand_scores_to_pcs(cohort.rename_first_column(scores_as_text(t)), k=3)
+    pcs = cohort.expand_scores_to_pcs(cohort.rename_first_column(scores_as_text(t)))
     return cohort.join_pcs_strict(covariates(t).select("person_id", "age", "sex"), pcs)
 
 
-@query(f"""SELECT CAST(person_id AS VARCHAR) AS person_id, CAST(age AS VARCHAR) AS age, CAST(sex AS VARCHAR) AS sex
+@query(f"""SELECT CAST(person_id AS VARCHAR) AS person_id, CAST(age AS VARCHAR) AS age, CAST(sex AS VARCHAR) AS sex, {ALL_PCS}
            FROM covariates JOIN ({PCS}) USING (person_id) WHERE sex = 0""")
 def combine_covariates_and_pcs(t):
-    out = cohort.combine_covariates_and_pcs(covariates(t).select("person_id", "age", "sex"), scores_as_text(t), "Male", 3)
-    return out.select("person_id", "age", "sex")
+    """The components, which come as text, are compared as numbers."""
+    out = cohort.combine_covariates_and_pcs(covariates(t).select("person_id", "age", "sex"), scores_as_text(t), "Male")
+    return out.withColumns({f"PC{i + 1}": F.col(f"PC{i + 1}").cast("double") for i in range(20)})
 
 
 def median_by_lab(t):
@@ -265,20 +273,27 @@ def scan_measurement_summaries(t):
     return rounded(cohort.medians_wide(long, ["1", "2"]), "median_1", "median_2")
 
 
-@query(f"""SELECT person_id, age, sex, round(bmi.bmi, 6) AS BMI, height, round(median_1, 6) AS median_1
+@query(f"""SELECT person_id, age, age2, age_sex, age2_sex, sex, round(bmi.bmi, 6) AS BMI, round(whr, 6) AS waist_hip_ratio, height, weight,
+                  waist AS "waist-circumference-mean", hip AS "hip-circumference-mean",
+                  round(median_1, 6) AS median_1, round(median_2, 6) AS median_2, {WIDE_COLUMNS}
            FROM covariates FULL JOIN bmi USING (person_id)
-           FULL JOIN (SELECT person_id, median(value_as_number) AS median_1 FROM ({SITE_FREE}) WHERE measurement_concept_id = 1
-                      GROUP BY person_id) USING (person_id)""")
+           FULL JOIN (SELECT person_id, median(value_as_number) FILTER (measurement_concept_id = 1) AS median_1,
+                             median(value_as_number) FILTER (measurement_concept_id = 2) AS median_2
+                      FROM ({SITE_FREE}) GROUP BY person_id) USING (person_id)
+           FULL JOIN ({WIDE_SQL}) USING (person_id)""")
 def join_all_phenotypes(t):
+    """All covariates, physical columns, labs and phecodes; the physical table is built once."""
+    physical = write_intermediate(demographics.derive_bmi_whr(pm_wide(t)), "physical")
     out = cohort.join_all_phenotypes(
         {
-            "demographics": covariates(t).select("person_id", "age", "sex"),
-            "bmi": demographics.derive_bmi_whr(pm_wide(t)).select("person_id", "BMI"),
-            "physical": pm_wide(t).select("person_id", "height"),
-            "labs": cohort.medians_wide(median_by_lab(t), ["1"]),
+            "demographics": covariates(t),
+            "bmi": physical.select("person_id", "BMI", "waist_hip_ratio"),
+            "physical": physical.select("person_id", "height", "weight", "`waist-circumference-mean`", "`hip-circumference-mean`"),
+            "labs": cohort.medians_wide(median_by_lab(t), ["1", "2"]),
+            "phecodes": wide(t),
         }
     )
-    return rounded(out, "BMI", "median_1")
+    return rounded(out, "BMI", "waist_hip_ratio", "median_1", "median_2")
 
 
 ANCESTRIES = "SELECT c_mktsegment AS ancestry, vec_id AS s, c_acctbal / 10000 AS prob FROM embeddings JOIN customer ON vec_id = c_custkey"

@@ -9,8 +9,8 @@ from phenomill.plans.registry import query, rounded
 from phenomill.session import scratch_path
 from phenomill.sources import readers, sinks
 
-# Fixed columns of the wide table: the parents and some of their children.
-WIDE = ["GR_0", "GR_1", "GR_2", "GR_3", "GR_4", "GR_0.5", "GR_1.11", "GR_2.7"]
+# Columns of the wide table: every code of the data, the five parents and their 25 children (brands 11 to 55).
+WIDE = [f"GR_{i}" for i in range(5)] + [f"GR_{n % 5}.{n}" for n in (10 * a + b for a in range(1, 6) for b in range(1, 6))]
 
 
 def expanded(t):
@@ -88,6 +88,13 @@ def missing_population(t):
     return phecodes.missing_population(t.population(), phecodes.icd_events(t.icd_branches(), t.concept()))
 
 
+@query("SELECT person_id FROM population WHERE person_id NOT IN (SELECT person_id FROM icd_codes WHERE date < DATE '1993-01-01')")
+def missing_population_early(t):
+    """Persons without a code in the first years, of whom there are some."""
+    events = phecodes.icd_events(t.icd_branches(), t.concept()).where("date < DATE '1993-01-01'")
+    return phecodes.missing_population(t.population(), events)
+
+
 @query("SELECT person_id, phecode, status FROM phecode_status")
 def phecode_status(t):
     return status(t)
@@ -108,13 +115,20 @@ def _wide_sql() -> str:
     )
 
 
-@query(_wide_sql())
-def phecode_wide(t):
+WIDE_SQL = _wide_sql()
+
+
+def wide(t):
     return phecodes.phecode_wide(
         counts(t), t.population(), WIDE, phecodes.person_sex(t.person()), {"GR_0": "F", "GR_1": "M"}
     )
 
 
+@query(WIDE_SQL)
+def phecode_wide(t):
+    return wide(t)
+
+
 @query("SELECT phecode, count(*) FILTER (status) AS cases FROM phecode_status GROUP BY phecode")
 def phecode_case_counts(t):
     return phecodes.phecode_case_counts(status(t))
