@@ -177,18 +177,19 @@ def ld_pairs_kb(indexed: DataFrame, kb: int = 1000) -> DataFrame:
     )
 
 
-def _tile_sums(window: int):
+def _tile_sums(span: int):
     def sums(pdf: pd.DataFrame) -> pd.DataFrame:
         """Pair sums over the samples of one tile (up to two blocks of variants)."""
-        ids, row = np.unique(pdf["idx"].to_numpy(), return_inverse=True)
+        ids, first, row = np.unique(pdf["idx"].to_numpy(), return_index=True, return_inverse=True)
+        at = pdf["at"].to_numpy()[first]
         col, samples = pd.factorize(pdf["s"])
         x = np.zeros((len(ids), len(samples)))
         seen = np.zeros_like(x)
         x[row, col] = pdf["dosage"].to_numpy(dtype=float)
         seen[row, col] = 1.0
-        gap = ids[None, :] - ids[:, None]
-        own = (ids // window == pdf["block"].iloc[0])[:, None]
-        i, j = np.nonzero(own & (gap > 0) & (gap < window))
+        later, gap = ids[None, :] > ids[:, None], at[None, :] - at[:, None]
+        own = (at // span == pdf["block"].iloc[0])[:, None]
+        i, j = np.nonzero(own & later & (gap < span))
         squares = x * x
         grids = {
             "n": seen @ seen.T,
@@ -205,23 +206,30 @@ def _tile_sums(window: int):
 
 
 def ld_r2(
-    genotypes: DataFrame, window: int = LD_WINDOW, sample_blocks: int = 64, indexed: DataFrame | None = None
+    genotypes: DataFrame,
+    window: int = LD_WINDOW,
+    sample_blocks: int = 64,
+    indexed: DataFrame | None = None,
+    kb: int | None = None,
 ) -> DataFrame:
     """Squared correlation of all variant pairs within the window, over samples called at both.
 
-    A tile is ``2 * window`` variants by one of ``sample_blocks`` sample blocks; its pair sums add
-    up over the blocks. The genotypes are sent twice, whatever the window, instead of once
-    per pair. Choose ``sample_blocks`` for a few thousand samples each.
+    The window is ``window`` variants, or ``kb`` kilobases if that is given. A tile is two windows of variants by one
+    of ``sample_blocks`` sample blocks; its pair sums add up over the blocks. The genotypes are sent
+    twice, whatever the window, instead of once per pair. Choose ``sample_blocks`` so that a tile
+    (samples of a block times variants of two windows) fits a task.
     """
+    span, at = (window, F.col("idx")) if kb is None else (kb * 1000 + 1, F.col("pos"))
     if indexed is None:
         indexed = write_intermediate(variant_index(genotypes), "variants")
-    block = F.floor(F.col("idx") / window).cast("bigint")
+    block = F.floor(at / span).cast("bigint")
     tiles = (
         genotypes.where(F.col("dosage").isNotNull())
         .join(broadcast_checked(indexed, 64), VARIANT)
         .select(
             "chrom",
             "idx",
+            at.alias("at"),
             "s",
             "dosage",
             F.pmod(F.xxhash64("s"), F.lit(sample_blocks)).alias("sblock"),
@@ -233,7 +241,7 @@ def ld_r2(
     schema = f"chrom {chrom_type}, i bigint, j bigint, n bigint, sx bigint, sy bigint, sxx bigint, syy bigint, sxy bigint"
     sums = (
         tiles.groupBy("chrom", "block", "sblock")
-        .applyInPandas(_tile_sums(window), schema)
+        .applyInPandas(_tile_sums(span), schema)
         .groupBy("chrom", "i", "j")
         .agg(*[F.sum(c).cast("double").alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
     )
@@ -254,17 +262,24 @@ def _with_markers(pairs: DataFrame, indexed: DataFrame) -> DataFrame:
 
 
 def ld_prune(
-    genotypes: DataFrame, window: int = LD_WINDOW, max_r2: float = LD_R2, sample_blocks: int = 64
+    genotypes: DataFrame,
+    window: int = LD_WINDOW,
+    max_r2: float | None = None,
+    sample_blocks: int = 64,
+    kb: int | None = None,
 ) -> DataFrame:
     """Variants left after removing one of each linked pair: the one with the lower minor allele
-    frequency, then the later one.
+    frequency, then the later one. Linked are variants of one window (of ``window`` variants, or
+    ``kb`` kilobases if given) beyond ``max_r2``, by default the usual limit of that kind of window.
 
     Equal to going through the variants from the highest frequency down and keeping each that has
     no kept partner, but decided in rounds: a variant that loses to no undecided partner stays and
     its partners go. Linked pairs are sparse; each round is two small joins.
     """
     indexed = write_intermediate(variant_index(genotypes), "variants")
-    pairs = ld_r2(genotypes, window, sample_blocks, indexed).where(F.col("r2") > max_r2)
+    if max_r2 is None:
+        max_r2 = LD_R2 if kb is None else LD_KB_R2
+    pairs = ld_r2(genotypes, window, sample_blocks, indexed, kb).where(F.col("r2") > max_r2)
     maf = with_maf(genotype_counts(genotypes)).select("marker_id", "maf")
     first = F.struct(-F.col("maf_i"), F.col("i"))
     second = F.struct(-F.col("maf_j"), F.col("j"))

@@ -233,6 +233,8 @@ def with_views(body: str, **replaced: str) -> str:
         return body
     views = ",\n".join(f"{n} AS ({definition(n).strip()})" for n in needed)
     body = body.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {views},\n{body[15:]}"
     if body.upper().startswith("WITH "):
         return f"WITH {views},\n{body[5:]}"
     return f"WITH {views}\n{body}"

@@ -90,11 +90,46 @@ def ld_r2(t):
     return rounded(genotypes.ld_r2(t.genotypes(), sample_blocks=SAMPLE_BLOCKS), "r2")
 
 
-@query()
+@query("""
+    WITH g AS (SELECT v.chrom, v.idx, v.pos, v.marker_id, s, CAST(dosage AS DOUBLE) AS d
+               FROM genotypes JOIN variants v USING (marker_id) WHERE dosage IS NOT NULL)
+    SELECT a.chrom, a.idx AS i, b.idx AS j, a.marker_id AS marker_i, b.marker_id AS marker_j,
+           round(corr(a.d, b.d) * corr(a.d, b.d), 6) AS r2
+    FROM g a JOIN g b ON a.s = b.s AND a.chrom = b.chrom AND b.idx > a.idx AND b.pos - a.pos <= 20000
+    GROUP BY ALL""")
+def ld_r2_kb(t):
+    return rounded(genotypes.ld_r2(t.genotypes(), sample_blocks=SAMPLE_BLOCKS, kb=20), "r2")
+
+
+PRUNE = """
+    WITH RECURSIVE g AS (SELECT v.chrom, v.idx, v.pos, v.marker_id, s, CAST(dosage AS DOUBLE) AS d
+                         FROM genotypes JOIN variants v USING (marker_id) WHERE dosage IS NOT NULL),
+         q AS (SELECT chrom, idx, pos, marker_id, round(least(avg(d) / 2, 1 - avg(d) / 2), 12) AS maf FROM g GROUP BY ALL),
+         ranked AS (SELECT *, row_number() OVER (ORDER BY maf DESC, chrom, idx) AS k FROM q),
+         linked AS (SELECT x.k AS winner, y.k AS loser
+                    FROM (SELECT a.marker_id AS m, b.marker_id AS n FROM g a JOIN g b ON a.s = b.s AND a.chrom = b.chrom AND a.idx <> b.idx AND {near}
+                          GROUP BY ALL HAVING corr(a.d, b.d) * corr(a.d, b.d) > {r2}) p
+                    JOIN ranked x ON x.marker_id = p.m JOIN ranked y ON y.marker_id = p.n WHERE x.k < y.k),
+         walk(k, kept) AS (
+             SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[])
+             UNION ALL
+             SELECT w.k + 1, CASE WHEN EXISTS (SELECT 1 FROM linked l WHERE l.loser = w.k + 1 AND list_contains(w.kept, l.winner))
+                                  THEN w.kept ELSE list_append(w.kept, w.k + 1) END
+             FROM walk w WHERE w.k < (SELECT max(k) FROM ranked))
+    SELECT chrom, pos, marker_id FROM ranked
+    WHERE list_contains((SELECT kept FROM walk ORDER BY k DESC LIMIT 1), k)"""
+
+
+@query(PRUNE.format(near="abs(b.idx - a.idx) < 50", r2="CAST(0.05 AS DOUBLE)"))
 def ld_prune(t):
     return genotypes.ld_prune(t.genotypes(), sample_blocks=SAMPLE_BLOCKS)
 
 
+@query(PRUNE.format(near="abs(b.pos - a.pos) <= 20000", r2="CAST(0.1 AS DOUBLE)"))
+def ld_prune_kb(t):
+    return genotypes.ld_prune(t.genotypes(), sample_blocks=SAMPLE_BLOCKS, kb=20)
+
+
 @query()
 def markers_for_variance_ratio(t):
     """Both classes are needed; at this size only common markers exist, so five of them."""

@@ -59,6 +59,12 @@ def test_pairs_and_r2_across_tile_borders(long, matrix):
             assert r2 == (pytest.approx(pair_r2(matrix, i, j)) if pair_r2(matrix, i, j) is not None else None)
     near = genotypes.ld_pairs_kb(indexed, 1).collect()
     assert len(near) == len(expected_pairs(11))
+    by_length = {(r.marker_i, r.marker_j): r.r2 for r in genotypes.ld_r2(long, sample_blocks=3, indexed=indexed, kb=1).collect()}
+    assert set(by_length) == {(r.marker_i, r.marker_j) for r in near}
+    assert all(
+        (r2 is None and pair_r2(matrix, int(i[1:]), int(j[1:])) is None) or r2 == pytest.approx(pair_r2(matrix, int(i[1:]), int(j[1:])))
+        for (i, j), r2 in by_length.items()
+    )
 
 
 def test_prune_equals_greedy(long, matrix):
