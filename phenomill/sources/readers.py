@@ -81,10 +81,11 @@ def scan_external_mapping(spark: SparkSession, path: str) -> DataFrame:
     return scan_delimited(spark, path, "vocabulary_id string, concept_code string, phecode string")
 
 
-def scan_phenotype_catalogue(spark: SparkSession, path: str) -> DataFrame:
-    """JSON array of phenotype definitions. ``ord`` follows the file order; bare NaN codes are NULL."""
+def scan_phenotype_catalogue(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """JSON array of phenotype definitions, or with ``lines`` one object per line, as ``write_catalogue_json``
+    gives them. ``ord`` follows the file order; bare NaN codes are NULL."""
     return (
-        spark.read.option("multiLine", True)
+        spark.read.option("multiLine", not lines)
         .schema(CATALOGUE_SCHEMA)
         .json(path)
         .withColumn("phecode", F.nullif(F.col("phecode"), F.lit("NaN")))
