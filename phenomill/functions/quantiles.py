@@ -6,22 +6,23 @@ looks at the group sizes first (one pass over the key columns, combined before i
 * no group above ``max_group_rows``: one group-by;
 * larger groups: their rows are reduced to (keys, value, count), which spreads a group over all
   tasks. Up to ``max_map_values`` distinct values, ``percentile`` takes the counts as weights;
-* beyond that, the group is cut into value ranges at cut points drawn by a hash of the value (a
-  fixed function of the data, so a recomputed stage sees the same cuts), and only the ranges
-  that hold a wanted rank are ordered.
+* beyond that, (keys, value) are range-partitioned and each value's rank follows from the counts
+  before it, so no group is ever in one task, whatever its size.
+
+All three interpolate by the same formula, so a result doesn't depend on the way it was found.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from phenomill.functions.nulls import join_null_safe
+from phenomill.functions.ranks import ordered_prefix
 from phenomill.session import write_intermediate
 
 MAX_GROUP_ROWS = 250_000
 MAX_MAP_VALUES = 1_000_000
-CUT_POINTS = 256
 
 
 def value_counts(df: DataFrame, keys: list[str], value: str | Column, name: str | None = None) -> DataFrame:
@@ -69,8 +70,7 @@ def summarize(
     )
     if sizes.isEmpty():
         return df.groupBy(*keys).agg(*aggs, F.percentile(column, _array(probs)).alias(out))
-    # At most rows / max_group_rows keys.
-    large = F.broadcast(write_intermediate(sizes.select(*keys), "large-groups"))
+    large = write_intermediate(sizes.select(*keys), "large-groups")
     small = join_null_safe(df, large, keys, "left_anti")
     big = join_null_safe(df, large, keys, "left_semi")
     usual = small.groupBy(*keys).agg(*aggs, F.percentile(column, _array(probs)).alias(out))
@@ -85,7 +85,6 @@ def summarize_counts(
     aggs: list[Column] = (),
     out: str = "pctl",
     max_map_values: int = MAX_MAP_VALUES,
-    cut_points: int = CUT_POINTS,
 ) -> DataFrame:
     """The same from rows (keys, value, __n); ``aggs`` are built on ``value`` and ``__n``. The counts
     are written once, as they are read several times."""
@@ -96,16 +95,15 @@ def summarize_counts(
     counts = write_intermediate(counts, "value-counts")
     sizes = (
         counts.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__rows"), F.sum("__n").alias("__total"))
+        .agg(F.count(F.lit(1)).alias("__rows"))
         .where(F.col("__rows") > max_map_values)
     )
     if sizes.isEmpty():
         return weighted(counts)
-    # At most rows / max_map_values keys.
-    large = F.broadcast(write_intermediate(sizes, "large-groups"))
-    usual = weighted(join_null_safe(counts, large.select(*keys), keys, "left_anti"))
-    rows = join_null_safe(counts, large, keys, "inner")
-    ranged = _percentiles_by_ranges(rows, keys, value, probs, out, cut_points)
+    large = write_intermediate(sizes.select(*keys), "large-groups")
+    usual = weighted(join_null_safe(counts, large, keys, "left_anti"))
+    rows = join_null_safe(counts, large, keys, "left_semi")
+    ranged = _percentiles_by_ranks(rows, keys, value, probs, out)
     if aggs:
         ranged = join_null_safe(rows.groupBy(*keys).agg(*aggs), ranged, keys, "inner")
     return usual.unionByName(ranged)
@@ -131,66 +129,13 @@ def _array(probs: list[float]) -> Column:
     return F.array(*[F.lit(float(p)) for p in probs])
 
 
-def _percentiles_by_ranges(
-    rows: DataFrame, keys: list[str], value: str, probs: list[float], out: str, cut_points: int
-) -> DataFrame:
-    """``rows``: (keys, value, __n, __rows, __total) of large groups only."""
-    buckets = 1 << 30
-    draw = F.pmod(F.xxhash64(*keys, value), F.lit(buckets)) / F.lit(float(buckets))
-    cuts = (
-        rows.where(draw < F.lit(float(cut_points)) / F.col("__rows"))
-        .groupBy(*keys)
-        .agg(F.sort_array(F.collect_set(value)).alias("__cuts"))
-    )
-    placed = join_null_safe(rows, cuts, keys, "left").withColumn(
-        "__range",
-        F.coalesce(
-            F.size(F.filter("__cuts", lambda c: c <= F.col(value))), F.lit(0)
-        ),
-    ).drop("__cuts", "__rows")
-
-    ranges = placed.groupBy(*keys, "__range").agg(
-        F.sum("__n").alias("__in_range"), F.max("__total").alias("__total")
-    )
-    by_range = Window.partitionBy(*keys).orderBy("__range")
-    ranges = ranges.withColumn("__before", F.sum("__in_range").over(by_range) - F.col("__in_range"))
-
-    ranks = [
-        (F.col("__total") - 1) * F.lit(float(p)) for p in probs
-    ]
-    wanted = F.array(
-        *[F.floor(r).cast("bigint") for r in ranks], *[F.ceil(r).cast("bigint") for r in ranks]
-    )
-    ranges = ranges.withColumn(
-        "__wanted",
-        F.filter(
-            wanted,
-            lambda r: (r >= F.col("__before")) & (r < F.col("__before") + F.col("__in_range")),
-        ),
-    ).where(F.size("__wanted") > 0)
-
-    inside = join_null_safe(
-        placed.drop("__total"),
-        ranges.select(*keys, "__range", "__before", "__total", "__wanted"),
-        [*keys, "__range"],
-        "inner",
-    )
-    ordered = Window.partitionBy(*keys, "__range").orderBy(value)
-    inside = inside.withColumn(
-        "__last", F.col("__before") + F.sum("__n").over(ordered) - 1
-    ).withColumn("__first", F.col("__last") - F.col("__n") + 1)
-    hits = inside.select(
-        *keys,
-        "__total",
-        value,
-        F.explode(
-            F.array_distinct(
-                F.filter(
-                    "__wanted", lambda r: (r >= F.col("__first")) & (r <= F.col("__last"))
-                )
-            )
-        ).alias("__rank"),
-    )
+def _percentiles_by_ranks(rows: DataFrame, keys: list[str], value: str, probs: list[float], out: str) -> DataFrame:
+    """``rows``: (keys, value, __n) of large groups. Same arithmetic as ``percentile``."""
+    ranked = ordered_prefix(rows.select(*keys, value, "__n"), keys, [value], "__n")
+    places = [(F.col("__total") - 1) * F.lit(float(p)) for p in probs]
+    wanted = F.array_distinct(F.array(*[f(r).cast("bigint") for r in places for f in (F.floor, F.ceil)]))
+    inside = F.filter(wanted, lambda r: (r >= F.col("__before")) & (r < F.col("__before") + F.col("__n")))
+    hits = ranked.select(*keys, "__total", value, F.explode(inside).alias("__rank"))
     at_rank = hits.groupBy(*keys).agg(
         F.max("__total").alias("__total"),
         F.map_from_entries(F.collect_set(F.struct("__rank", value))).alias("__at"),
@@ -198,7 +143,8 @@ def _percentiles_by_ranges(
     results = []
     for p in probs:
         rank = (F.col("__total") - 1) * F.lit(float(p))
-        low = F.col("__at")[F.floor(rank).cast("bigint")].cast("double")
-        high = F.col("__at")[F.ceil(rank).cast("bigint")].cast("double")
-        results.append(low + (high - low) * (rank - F.floor(rank)))
+        below, above = F.floor(rank), F.ceil(rank)
+        low = F.col("__at")[below.cast("bigint")].cast("double")
+        high = F.col("__at")[above.cast("bigint")].cast("double")
+        results.append(F.when(low == high, low).otherwise((above - rank) * low + (rank - below) * high))
     return at_rank.select(*keys, F.array(*results).alias(out))

@@ -237,6 +237,17 @@ def percentile_agg(t):
     return rounded(out, "percentile_01", "percentile_50", "percentile_99")
 
 
+@query("""SELECT lab_name, round(quantile_cont(value_as_number, 0.01), 6) AS percentile_01,
+                 round(quantile_cont(value_as_number, 0.5), 6) AS percentile_50,
+                 round(quantile_cont(value_as_number, 0.99), 6) AS percentile_99
+          FROM clean GROUP BY lab_name""")
+def percentile_agg_by_ranks(t):
+    """The same with every group treated as a very large one."""
+    limits = {"max_group_rows": 0, "max_map_values": 0}
+    out = labs.percentile_agg(clean(t), ["lab_name"], "value_as_number", [0.01, 0.5, 0.99], **limits)
+    return rounded(out, "percentile_01", "percentile_50", "percentile_99")
+
+
 SUMMARY = """
     SELECT measurement_concept_id, person_id,
            CAST(trunc(round(min(value_as_number), 9)) AS BIGINT) AS min,

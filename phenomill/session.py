@@ -56,6 +56,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{app_id}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete the application's intermediate tables; frames that still read them can't be used any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_intermediate(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and return it as a fresh scan.
 

@@ -11,7 +11,7 @@ sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.
 
 import __spark_entry__ as entry  # noqa: E402
 from compare import difference, duck  # noqa: E402
-from phenomill.session import get_session  # noqa: E402
+from phenomill.session import get_session, remove_scratch  # noqa: E402
 
 
 def main(folder: str, names: list[str]) -> None:
@@ -33,6 +33,7 @@ def main(folder: str, names: list[str]) -> None:
                 traceback.print_exc()
         if status != "ok" or time.time() - start > 3 or len(names):
             print(f"{name:28s} {time.time() - start:6.2f}s {status[:900]}", flush=True)
+    remove_scratch(spark)
     print("done", len(names or queries))
 
 

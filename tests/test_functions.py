@@ -100,3 +100,15 @@ def test_hwe_exact():
     for counts in [(57, 14, 50), (5, 10, 2), (0, 0, 9), (3, 0, 0), (1, 1, 1), (50, 0, 50), (90, 10, 0), (2, 30, 2)]:
         assert stats.hwe_exact(*counts) == pytest.approx(brute_hwe(*counts), rel=1e-9)
     assert stats.hwe_exact(5000, 0, 5000) < 1e-50
+
+
+def test_scratch_is_removed(spark):
+    import os
+
+    from phenomill.session import remove_scratch, scratch_root, write_intermediate
+
+    write_intermediate(spark.range(3), "gone")
+    own = f"{scratch_root(spark)}/{spark.sparkContext.applicationId}"
+    assert os.path.isdir(own)
+    remove_scratch(spark)
+    assert not os.path.exists(own)
