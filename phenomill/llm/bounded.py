@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from phenomill.llm.common import mix, slices
+
 PIECE_BITS = 14
 PIECE = "piece int, data binary"
 
@@ -96,3 +98,39 @@ def bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
 def in_bitmap(hashes: np.ndarray, bits: int, data: np.ndarray) -> np.ndarray:
     at = bucket(hashes, bits)
     return (data[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+
+
+def split_by(df: DataFrame, column: str, keys: DataFrame, bits: int) -> tuple[DataFrame, DataFrame]:
+    """(likely, never): rows whose long ``column`` may be among ``keys`` (one long column), and rows whose isn't.
+
+    A bitmap of fixed size sorts them before a join has to shuffle them. All rows with a key are likely; how many
+    others are depends on how full the bitmap is. The join itself still follows. Nulls are never among the keys.
+    """
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_mixed(batch.column(0)).view(np.int64))], ["h"])
+
+    wanted = bitmap(keys.mapInArrow(hashed, "h long"), bits)
+
+    def chosen(likely: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches, 1000):
+                values = batch.column(column)
+                found = in_bitmap(_mixed(values.fill_null(0)), bits, wanted) & values.is_valid().to_numpy(zero_copy_only=False)
+                keep = found if likely else ~found
+                if keep.any():
+                    yield batch.filter(pa.array(keep))
+
+        return df.mapInArrow(run, df.schema)
+
+    return chosen(True), chosen(False)
+
+
+def only_in(df: DataFrame, column: str, keys: DataFrame, bits: int) -> DataFrame:
+    """The likely rows of ``split_by``."""
+    return split_by(df, column, keys, bits)[0]
+
+
+def _mixed(column: pa.Array) -> np.ndarray:
+    return mix(column.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))

@@ -31,6 +31,13 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return [b"" if t is None else t for t in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``rows`` rows, so that only so many texts are taken out of Arrow at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def longs(values: np.ndarray) -> pa.Array:
     """Unsigned hashes as Spark's signed longs, bit by bit."""
     return pa.array(values.view(np.int64) if values.dtype == np.uint64 else values, pa.int64())

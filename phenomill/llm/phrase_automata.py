@@ -28,18 +28,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phenomill.llm.bounded import bitmap, in_bitmap
-from phenomill.llm.common import longs, rolling_hashes, shingle_hashes, texts, unsigned, word_hashes, written
+from phenomill.llm.bounded import bitmap, in_bitmap, only_in, split_by
+from phenomill.llm.common import longs, rolling_hashes, shingle_hashes, slices, texts, unsigned, word_hashes, written
 
 WINDOW = 50
 ANCHOR = 24
 BITS = 25
+FILTER_BITS = 22
 #: An anchor in more than this share of the documents is salted. So many anchors at most are that frequent: their mean number per document, times 1 / share.
 HOT_SHARE = 0.005
 
 ANCHORS = "h long, doc_id long"
 MARKED = "doc_id long, n_words long, n_removed long, kept_sha256 string, text binary, hits array<long>"
-STRETCH = "h long, salt int, phrase boolean, doc_id long, start long, at int, words binary"
+STRETCH = "h long, salt int, phrase boolean, doc_id long, starts array<long>, at int, words binary"
 COVERED = "doc_id long, start long, end long"
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
@@ -58,7 +59,7 @@ def window_anchors(words: np.ndarray, window: int, size: int) -> tuple[np.ndarra
 
 def _anchors(window: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             hashes, owners = [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
                 if doc_id is None:
@@ -83,7 +84,7 @@ def _mark(window: int, size: int, recurring: np.ndarray, bits: int):
     """Documents without a suspect window get their result at once; the others keep their text and suspect windows' hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
                 words, hits = text.split(), None
@@ -115,29 +116,40 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), _KINDS[k]) for c, k in zip(columns, kinds)], list(names))
 
 
-def _stretches(windows: np.ndarray, at: np.ndarray, window: int) -> Iterator[tuple[int, int, int]]:
-    """(start, end, anchor position) of the words under the given windows, per run of windows and anchor."""
+def _stretches(
+    windows: np.ndarray, at: np.ndarray, window: int, words: list[bytes], shingles: np.ndarray
+) -> Iterator[tuple[int, int, bytes, list[int]]]:
+    """(anchor hash, its place, words, starts) of the distinct stretches under runs of windows that share an anchor.
+
+    A text that repeats itself has the same stretch at many starts.
+    """
     if not len(windows):
         return
     cut = np.flatnonzero((np.diff(windows) > 1) | (np.diff(at[windows]) != 0)) + 1
-    for group in np.split(windows, cut):
-        yield int(group[0]), int(group[-1]) + window, int(at[group[0]])
+    begin = windows[np.append(0, cut)]
+    end = windows[np.append(cut, len(windows)) - 1] + window
+    anchor = at[begin]
+    starts: dict[tuple, list[int]] = {}
+    for s, e, a, h in zip(begin.tolist(), end.tolist(), anchor.tolist(), shingles[anchor].view(np.int64).tolist()):
+        starts.setdefault((h, a - s, b" ".join(words[s:e])), []).append(s)
+    for (h, place, data), own in starts.items():
+        yield h, place, data, own
 
 
 def _phrases(window: int, size: int, hot: dict[int, int]):
     """Phrases of the documents that are the first ones of recurring windows (hashes in ``own``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for doc_id, text, own in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("own")):
                 words, hashes = text.split(), word_hashes(text)
                 shingles, at = window_anchors(hashes, window, size)
-                found = np.flatnonzero(np.isin(rolling_hashes(hashes, window), unsigned(own.values)))
-                for start, end, anchor in _stretches(found, at, window):
-                    h = int(shingles[anchor].view(np.int64))
-                    data = b" ".join(words[start:end])
-                    rows += [(h, salt, True, doc_id, start, anchor - start, data) for salt in range(hot.get(h, 1))]
+                # Each recurring window once, where it first starts.
+                distinct, begin = np.unique(rolling_hashes(hashes, window), return_index=True)
+                found = np.sort(begin[np.isin(distinct, unsigned(own.values))])
+                for h, place, data, starts in _stretches(found, at, window, words, shingles):
+                    rows += [(h, salt, True, doc_id, starts[:1], place, data) for salt in range(hot.get(h, 1))]
                 if len(rows) >= 2000:
                     yield _batch(rows, STRETCH)
                     rows = []
@@ -151,16 +163,14 @@ def _candidates(window: int, size: int, confirmed: np.ndarray, bits: int, hot: d
     """Stretches of all marked documents under windows whose anchor belongs to a phrase."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 words, hashes = text.split(), word_hashes(text)
                 shingles, at = window_anchors(hashes, window, size)
                 found = np.flatnonzero(in_bitmap(shingles[at], bits, confirmed))
-                for start, end, anchor in _stretches(found, at, window):
-                    h = int(shingles[anchor].view(np.int64))
-                    data = b" ".join(words[start:end])
-                    rows.append((h, doc_id % hot[h] if h in hot else 0, False, doc_id, start, anchor - start, data))
+                for h, place, data, starts in _stretches(found, at, window, words, shingles):
+                    rows.append((h, doc_id % hot[h] if h in hot else 0, False, doc_id, starts, place, data))
                 if len(rows) >= 2000:
                     yield _batch(rows, STRETCH)
                     rows = []
@@ -176,64 +186,73 @@ class Automaton:
     def __init__(self, window: int, size: int):
         self.window, self.size = window, size
         self.word: dict[bytes, int] = {}
-        self.phrases: list[tuple[list[int], int, int]] = []  # words, place of the anchor, document
-        self.of: dict[tuple, list[int]] = {}
+        self.owner: dict[tuple, int] = {}  # (words, place of the anchor) of a phrase to its first document
         self.compiled = None
 
     def add(self, words: list[bytes], at: int, doc_id: int) -> None:
-        ids = [self.word.setdefault(w, len(self.word) + 1) for w in words]
-        self.of.setdefault(tuple(ids[at : at + self.size]), []).append(len(self.phrases))
-        self.phrases.append((ids, at, doc_id))
+        phrase = (tuple(self.word.setdefault(w, len(self.word) + 1) for w in words), at)
+        self.owner[phrase] = min(doc_id, self.owner.get(phrase, doc_id))
 
     def compile(self) -> None:
-        self.compiled = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for key, numbers in self.of.items():
-            self.compiled.add_word(key, numbers)
-        self.compiled.make_automaton()
-
-    def covered(self, words: list[bytes], doc_id: int) -> list[tuple[int, int]]:
-        """Stretches of ``words`` that lie under windows of phrases of earlier documents, merged."""
-        if not self.phrases:
+        around: dict[tuple, list[tuple]] = {}
+        for (ids, at), doc_id in self.owner.items():
+            around.setdefault(ids[at : at + self.size], []).append((ids, at, doc_id))
+        if around:
+            self.compiled = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+            for key, phrases in around.items():
+                self.compiled.add_word(key, phrases)
+            self.compiled.make_automaton()
+
+    def matches(self, words: list[bytes]) -> list[tuple[int, int, int]]:
+        """(start, end, document) of the stretches of ``words`` that lie under windows of a phrase."""
+        if self.compiled is None:
             return []
         ids = tuple(self.word.get(w, 0) for w in words)
-        found = []
-        for last, numbers in self.compiled.iter(ids):
+        found = set()
+        for last, phrases in self.compiled.iter(ids):
             first = last - self.size + 1
-            for number in numbers:
-                phrase, at, owner = self.phrases[number]
-                if owner >= doc_id:
-                    continue
-                left = 0
-                while left < min(first, at) and ids[first - left - 1] == phrase[at - left - 1]:
+            for phrase, at, owner in phrases:
+                left, most = 0, min(first, at)
+                while left < most and ids[first - left - 1] == phrase[at - left - 1]:
                     left += 1
                 right, end = self.size, min(len(ids) - first, len(phrase) - at)
                 while right < end and ids[first + right] == phrase[at + right]:
                     right += 1
                 if left + right >= self.window:
-                    found.append((first - left, first + right))
-        merged: list[tuple[int, int]] = []
-        for start, end in sorted(found):
-            if merged and start <= merged[-1][1]:
-                merged[-1] = (merged[-1][0], max(end, merged[-1][1]))
-            else:
-                merged.append((start, end))
-        return merged
+                    found.add((first - left, first + right, owner))
+        return sorted(found)
+
+
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans joined where they touch."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
 
 
 def _search(window: int, size: int):
-    """Rows sorted with the phrases first: compile, then stream."""
+    """Rows sorted with the phrases first, then by words: compile, then stream; equal stretches are searched once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Automaton(window, size)
+        automaton, compiled, last, found = Automaton(window, size), False, None, []
         for batch in batches:
             rows = []
-            for phrase, doc_id, start, at, data in zip(*(batch.column(c).to_pylist() for c in ("phrase", "doc_id", "start", "at", "words"))):
+            for phrase, doc_id, starts, at, data in zip(*(batch.column(c).to_pylist() for c in ("phrase", "doc_id", "starts", "at", "words"))):
                 if phrase:
                     automaton.add(data.split(b" "), at, doc_id)
                     continue
-                if automaton.compiled is None:
+                if not compiled:
                     automaton.compile()
-                rows += [(doc_id, start + a, start + b) for a, b in automaton.covered(data.split(b" "), doc_id)]
+                    compiled = True
+                if data != last:
+                    last, found = data, automaton.matches(data.split(b" "))
+                spans = merged([(a, b) for a, b, owner in found if owner < doc_id])
+                if spans:
+                    rows += [(doc_id, a, b) for a, b in merged([(s + a, s + b) for s in starts for a, b in spans])]
             if rows:
                 yield _batch(rows, COVERED)
 
@@ -241,7 +260,7 @@ def _search(window: int, size: int):
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         rows = []
         for doc_id, text, spans in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
             words = text.split()
@@ -267,11 +286,12 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, size: int = ANCHOR,
     windows = suspects.select("doc_id", F.explode("hits").alias("w")).groupBy("w").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     firsts = written(windows.where("first <> last").groupBy("first").agg(F.collect_list("w").alias("own")), "phrase-windows")
 
-    owners = suspects.select("doc_id", "text").join(firsts.withColumnRenamed("first", "doc_id"), "doc_id")
+    firsts = firsts.withColumnRenamed("first", "doc_id")
+    owners = only_in(suspects.select("doc_id", "text"), "doc_id", firsts.select("doc_id"), FILTER_BITS).join(firsts, "doc_id")
     phrases = written(owners.mapInArrow(_phrases(window, size, hot), STRETCH), "phrases")
     confirmed = bitmap(phrases.select("h"), BITS)
     stretches = suspects.select("doc_id", "text").mapInArrow(_candidates(window, size, confirmed, BITS, hot), STRETCH)
-    dealt = phrases.unionByName(stretches).repartition("h", "salt").sortWithinPartitions(F.col("phrase").desc())
+    dealt = phrases.unionByName(stretches).repartition("h", "salt").sortWithinPartitions(F.col("phrase").desc(), "words")
     return marked, written(dealt.mapInArrow(_search(window, size), COVERED), "phrase-covered")
 
 
@@ -280,5 +300,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, size: int = ANCHOR, do
     marked, covered = repeated_passages(docs, window, size, doc_id, text)
     spans = covered.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     suspects = marked.where("text IS NOT NULL").select("doc_id", "text")
-    cut = suspects.join(spans, "doc_id", "left").mapInArrow(_remove, RESULT)
+    touched, whole = split_by(suspects, "doc_id", covered.select("doc_id"), FILTER_BITS)
+    none = F.lit(None).cast(spans.schema["spans"].dataType).alias("spans")
+    cut = touched.join(spans, "doc_id", "left").unionByName(whole.select("doc_id", "text", none)).mapInArrow(_remove, RESULT)
     return marked.where("text IS NULL").select("doc_id", "n_words", "n_removed", "kept_sha256").unionByName(cut)
