@@ -9,10 +9,10 @@ link share a prefix shingle. The order needs one fixed table of counts by hash b
 size doesn't depend on the data; any fixed order gives the same links.
 
 Classes that share a prefix shingle meet in one sorted stream, smallest sets first. Pairs must pass the length filter
-and the positional filter; then the suffix filter compares how many shingles two sets have in each of 64 parts
-of the hash space, and what is left is verified on the whole sets, once per pair.
+and the positional filter; then the suffix filter compares how many shingles two sets have in each part of
+the hash space (about as many parts as shingles), and what is left is verified on the whole sets, once per pair.
 
-Large groups don't list all their pairs. First each member meets the first few of its group (which settles small
+Large groups don't list all their pairs, and in the later steps the suffix filter runs before a pair leaves its task. First each member meets the first few of its group (which settles small
 groups); shingles that are frequent are salted in this step. Then one member of each component meets the others of
 its group. Last, members of different components meet; a group that has become one component is left out by an
 aggregate, without coming together. So every pair is either compared or already in one component.
@@ -31,21 +31,22 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phenomill.llm.bounded import Counts, bucket, total_counts
-from phenomill.llm.common import longs, regroup, shingle_hashes, texts, unsigned, word_hashes, written
+from phenomill.llm.bounded import Counts, bucket, only_in, total_counts
+from phenomill.llm.common import longs, regroup, shingle_hashes, slices, texts, unsigned, word_hashes, written
 from phenomill.llm.components import connected_components
 
 SIZE = 5
 PERCENT = 75
 BITS = 20
+FILTER_BITS = 22
 LEADERS = 4
 SALTED_ROWS = 50_000
-PARTS = 64
 
 PROFILE = "doc_id long, n long, key long, piece int, data binary"
 ENTRY = "h long, salt int, meta long, key long"
 PAIR = "a long, b long, gid long, meta long"
-SET = "key long, n long, parts binary, members binary"
+SET = "key long, n long, parts binary, members array<long>"
+MOST_PART_BITS = 12
 
 
 def shingle_set(text: bytes, size: int = SIZE) -> np.ndarray:
@@ -62,6 +63,30 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def part_counts(members: np.ndarray) -> np.ndarray:
+    """Members per part of the hash space, a byte each; as many parts as members, rounded up to a power of two, but no
+    more than 2^MOST_PART_BITS unless a part would hold over 255."""
+    bits = min(MOST_PART_BITS, max(0, len(members) - 1).bit_length())
+    while True:
+        counts = np.bincount(bucket(members, bits) if bits else np.zeros(len(members), dtype=np.int64), minlength=1 << bits)
+        if not len(counts) or counts.max() < 256:
+            return counts.astype(np.uint8)
+        bits += 1
+
+
+def _folded(counts: np.ndarray, parts: int) -> np.ndarray:
+    """Counts (last axis) summed up to fewer parts; parts are nested."""
+    if counts.shape[-1] == parts:
+        return counts
+    return counts.reshape(*counts.shape[:-1], parts, -1).sum(axis=-1, dtype=np.uint16)
+
+
+def most_common(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Upper bounds of the intersections of a set with others, from their part counts (rows of ``others``)."""
+    parts = min(one.shape[-1], others.shape[-1])
+    return np.minimum(_folded(one, parts), _folded(others, parts)).sum(axis=-1, dtype=np.int64)
+
+
 def _narrow(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
@@ -70,7 +95,7 @@ def _profile(size: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = Counts(bits)
         names = ["doc_id", "n", "key", "piece", "data"]
-        for batch in batches:
+        for batch in slices(batches):
             n, keys = [], []
             for text in texts(batch):
                 members = shingle_set(text, size)
@@ -93,7 +118,7 @@ def _entries(size: int, percent: int, bits: int, counts: np.ndarray, salted_rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
+        for batch in slices(batches):
             columns: list[list[np.ndarray]] = [[], [], [], []]
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
                 members = shingle_set(text, size)
@@ -181,20 +206,44 @@ def _leader_pairs(percent: int, leaders: int):
 
 
 def _cross_pairs(percent: int):
-    """All pairs of a group whose labels differ and that pass the filters; sorted by (gid, meta, key)."""
+    """Pairs of a group whose labels differ and that pass all filters; rows sorted by (gid, meta, key).
+
+    A pair comes from one group only, that of the first shingle its sets share in prefix order (``gids`` in that order).
+    There the positional filter holds; pairs that met a leader at an earlier one are settled.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in regroup(batches, "gid"):
             gid, meta, key, label = (part.column(c).to_numpy() for c in ("gid", "meta", "key", "label"))
+            n = meta >> 32
+            parts = [np.frombuffer(v.as_buffer(), dtype=np.uint8) for v in part.column("parts")]
+            gids = part.column("gids").to_pylist()
+            members: dict[int, set[int]] = {}
             ends = np.append(np.flatnonzero(np.diff(gid)) + 1, len(gid))
             at, a, b, size = 0, [], [], 0
             for end in ends.tolist():
+                # Sets of about one size have equally many parts: one matrix for each number.
+                width = np.array([len(p) for p in parts[at:end]])
+                row = np.empty(end - at, dtype=np.int64)
+                stacked = {}
+                for w in np.unique(width).tolist():
+                    own = np.flatnonzero(width == w)
+                    row[own] = np.arange(len(own))
+                    stacked[w] = np.stack([parts[at + i] for i in own.tolist()])
                 for i in range(at, end - 1):
                     # set sizes ascend: beyond ``to`` the length filter fails
-                    to = int(np.searchsorted(meta[i + 1 : end] >> 32, 100 * (meta[i] >> 32) // percent, side="right")) + i + 1
+                    to = int(np.searchsorted(n[i + 1 : end], 100 * n[i] // percent, side="right")) + i + 1
                     ok = (label[i + 1 : to] != label[i]) & _may_link(meta[i : i + 1], meta[i + 1 : to], percent)
-                    found = key[i + 1 : to][ok]
-                    if len(found):
+                    near = np.flatnonzero(ok) + i + 1
+                    for w in np.unique(width[near - at]).tolist():
+                        own = near[width[near - at] == w]
+                        most = most_common(parts[i], stacked[w][row[own - at]])
+                        own = own[(100 + percent) * most >= percent * (n[i] + n[own])].tolist()
+                        for j in own:
+                            if j not in members:
+                                members[j] = set(gids[j])
+                        first = int(gid[i])
+                        found = key[[j for j in own if next(g for g in gids[i] if g in members[j]) == first]]
                         a.append(np.full(len(found), key[i]))
                         b.append(found)
                         size += len(found)
@@ -210,17 +259,15 @@ def _cross_pairs(percent: int):
 
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = PARTS.bit_length() - 1
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for wanted, text in zip(unsigned(batch.column("key")).tolist(), texts(batch)):
                 members = shingle_set(text, size)
                 if set_key(members) == wanted:
-                    parts = np.bincount(bucket(members, bits), minlength=PARTS).astype(np.int32)
-                    rows.append((wanted, len(members), parts.tobytes(), members.tobytes()))
+                    rows.append((wanted, len(members), part_counts(members).tobytes(), members.view(np.int64)))
             for at in range(0, len(rows), 500):
                 key, n, parts, members = zip(*rows[at : at + 500])
-                columns = [longs(np.array(key, dtype=np.uint64)), pa.array(n, pa.int64()), pa.array(parts, pa.binary()), pa.array(members, pa.binary())]
+                columns = [longs(np.array(key, dtype=np.uint64)), pa.array(n, pa.int64()), pa.array(parts, pa.binary()), pa.array(members, pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(columns, ["key", "n", "parts", "members"])
 
     return run
@@ -229,42 +276,34 @@ def _sets(size: int):
 def _suffix_filter(percent: int):
     """Keeps pairs whose counts by part of the hash space leave room for enough common members."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            parts = [np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.int32).reshape(-1, PARTS) for c in ("parts_a", "parts_b")]
-            most = np.minimum(*parts).sum(axis=1)
-            both = sum(p.sum(axis=1) for p in parts)
-            keep = pa.array((100 + percent) * most.astype(np.int64) >= percent * both.astype(np.int64))
-            yield batch.select(["a", "b"]).filter(keep)
-
-    return run
-
-
-def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("set_a"), batch.column("set_b")):
-                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
+            for x, y in zip(batch.column("parts_a"), batch.column("parts_b")):
+                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint8) for v in (x, y))
+                most = most_common(x, y)
+                keep.append(bool((100 + percent) * most >= percent * (int(x.sum()) + int(y.sum()))))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that do link, as a stored table."""
+def _with_sides(rows: DataFrame, sets: DataFrame, columns: list[str]) -> DataFrame:
+    for side in "ab":
+        rows = rows.join(sets.select(F.col("key").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
+    return rows
 
-    def with_sides(rows: DataFrame, column: str, name: str) -> DataFrame:
-        for side in "ab":
-            rows = rows.join(sets.select(F.col("key").alias(side), F.col(column).alias(f"{name}_{side}")), side)
-        return rows
 
-    likely = written(with_sides(pairs, "parts", "parts").mapInArrow(_suffix_filter(percent), "a long, b long"), "jaccard-likely")
-    return written(with_sides(likely, "members", "set").mapInArrow(_verify(percent), "a long, b long"), "jaccard-links")
+def _links(likely: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that do link, as a stored table. ``likely`` is one, too.
+
+    The sets meet in a join and are compared row by row, so a task never holds many of them.
+    """
+    keys = likely.select(F.explode(F.array("a", "b")).alias("key"))
+    sets = only_in(sets.select("key", "n", "members"), "key", keys, FILTER_BITS)
+    common = F.size(F.array_intersect("members_a", "members_b"))
+    linked = _with_sides(likely, sets, ["n", "members"]).where((100 + percent) * common >= percent * (F.col("n_a") + F.col("n_b")))
+    return written(linked.select("a", "b"), "jaccard-links")
 
 
 def _labelled(groups: DataFrame, links: DataFrame) -> DataFrame:
@@ -293,14 +332,21 @@ def link_table(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, doc_id
 
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).unionByName(groups.select("key")).distinct()
     chosen = profile.where("doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("doc_id")).join(wanted, "key")
-    sets = written(written(chosen, "jaccard-chosen").join(docs, "doc_id").select("key", "text").mapInArrow(_sets(size), SET), "jaccard-sets")
+    chosen = written(chosen, "jaccard-chosen")
+    wanted_docs = only_in(docs, "doc_id", chosen.select("doc_id"), FILTER_BITS)
+    sets = written(chosen.join(wanted_docs, "doc_id").select("key", "text").mapInArrow(_sets(size), SET), "jaccard-sets")
 
-    links = _links(pairs, sets, percent)
+    likely = _with_sides(pairs, sets, ["parts"]).mapInArrow(_suffix_filter(percent), "a long, b long")
+    links = _links(written(likely, "jaccard-likely"), sets, percent)
     if groups.limit(1).count():
         order = F.struct(F.xxhash64("key").alias("order"), "meta", "key")
         leads = _labelled(groups, links).groupBy("gid", "label").agg(F.min(order).alias("lead")).select("gid", "label", "lead.meta", "lead.key")
         for narrowed in (lambda: leads, lambda: _labelled(groups, links)):
-            ordered = narrowed().repartition("gid").sortWithinPartitions("gid", "meta", "key")
+            rows = written(narrowed(), "jaccard-mixed")
+            place = F.col("meta").bitwiseAND(F.lit(0xFFFFFFFF)).alias("place")
+            own = rows.groupBy("key").agg(F.array_sort(F.collect_list(F.struct(place, "gid"))).alias("own")).select("key", F.col("own.gid").alias("gids"))
+            parts = only_in(sets.select("key", "parts"), "key", rows.select("key"), FILTER_BITS)
+            ordered = rows.join(own.join(parts, "key"), "key").repartition("gid").sortWithinPartitions("gid", "meta", "key")
             more = ordered.mapInArrow(_cross_pairs(percent), PAIR).select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
             more = written(more, "jaccard-more")
             links = links.unionByName(_links(more, sets, percent))

@@ -67,6 +67,13 @@ def test_bounded(spark):
     assert bounded.in_bitmap(strangers, 18, bounded.bitmap(df, 18)).mean() < 0.05
 
 
+def test_split_by(frame):
+    df = frame("k long, t string", *[(i, str(i)) for i in range(2000)], (None, "x"))
+    likely, never = bounded.split_by(df, "k", frame("q long", *[(i,) for i in range(0, 2000, 100)]), 16)
+    a, b = {r.k for r in likely.collect()}, {r.k for r in never.collect()}
+    assert not a & b and len(a) + len(b) == 2001 and set(range(0, 2000, 100)) <= a and len(a) < 60 and None in b
+
+
 # shingle join
 
 
@@ -179,9 +186,18 @@ def test_repeats_without_id_and_twice(frame):
 def test_automaton():
     automaton = phrase_automata.Automaton(4, 2)
     automaton.add([b"a", b"b", b"c", b"d", b"e"], 1, 3)
+    automaton.add([b"a", b"b", b"c", b"d", b"e"], 1, 2)
     automaton.compile()
-    assert automaton.covered([b"x", b"a", b"b", b"c", b"d", b"e", b"f"], 4) == [(1, 6)]
-    assert automaton.covered([b"b", b"c", b"d"], 4) == [] and automaton.covered([b"a", b"b", b"c", b"d"], 3) == []
+    assert automaton.matches([b"x", b"a", b"b", b"c", b"d", b"e", b"f"]) == [(1, 6, 2)]
+    assert automaton.matches([b"b", b"c", b"d"]) == [] and phrase_automata.Automaton(4, 2).matches([b"a"]) == []
+    assert phrase_automata.merged([(5, 6), (0, 2), (2, 4), (1, 3)]) == [(0, 4), (5, 6)]
+
+
+def test_texts_that_repeat_themselves(frame):
+    line = [f"w{i}" for i in range(7)]
+    rows = [(1, " ".join(line * 300)), (2, " ".join(["x"] + line * 200 + ["y"])), (3, "spam " * 900), (4, "spam " * 2000), (5, "a spam " * 40)]
+    mine = phrase_automata.remove_repeats(frame("doc_id long, text string", *rows)).collect()
+    same(mine, brute_repeats(rows, 50))
 
 
 # vectors
@@ -328,3 +344,13 @@ def test_pipeline(spark):
 def test_empty_corpus(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard_join.components(docs).count() == phrase_automata.remove_repeats(docs).count() == exact_index.exact_groups(docs).count() == 0
+
+
+def test_part_counts_bound_the_intersection():
+    rng = np.random.default_rng(4)
+    for n, m in ((1, 1), (5, 9), (64, 65), (300, 700), (3000, 2500)):
+        x = np.unique(common.mix(rng.integers(0, 4000, n).astype(np.uint64)))
+        y = np.unique(common.mix(rng.integers(0, 4000, m).astype(np.uint64)))
+        counts = jaccard_join.part_counts(y)
+        most = jaccard_join.most_common(jaccard_join.part_counts(x), counts[None, :])
+        assert most[0] >= len(np.intersect1d(x, y)) and counts.sum() == len(y) and (most <= min(len(x), len(y))).all()
