@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phenomill.llm.common import texts, written
+from phenomill.llm.common import slices, texts, written
 
 KEY_SCHEMA = "digest binary, keep_id long, group_size long"
 KEYS_HELD = 200_000
@@ -129,7 +129,7 @@ def normalised(text: bytes) -> bytes:
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, 1000):
         keys = [hashlib.sha256(normalised(t)).digest() for t in texts(batch)]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(keys, pa.binary())], ["doc_id", "digest"])
 

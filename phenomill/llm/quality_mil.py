@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phenomill.llm.common import texts, word_hashes, word_spans, written
+from phenomill.llm.common import slices, texts, word_hashes, word_spans, written
 
 PASSAGE = 64
 PER_CLASS = 2000
@@ -159,7 +159,7 @@ def fold(doc_id: str) -> F.Column:
 
 
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         data = [features(t).astype(np.float16).tobytes() for t in texts(batch)]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(data, pa.binary())], ["doc_id", "quality", "passages"])
 
@@ -195,7 +195,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, doc_id:
 def _scores(model: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = AttentionModel.load(model)
-        for batch in batches:
+        for batch in slices(batches):
             scores: list[float] = []
             held, size = [], 0
             for text in texts(batch):
@@ -232,10 +232,8 @@ def keep_good(docs: DataFrame, model: bytes, cut: float = CUT, text: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = AttentionModel.load(model)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                good = np.array(_scored(net, [features(t) for t in texts(part, text)])) >= cut
-                yield part.select(columns).filter(pa.array(good))
+        for part in slices(batches, 200):
+            good = np.array(_scored(net, [features(t) for t in texts(part, text)])) >= cut
+            yield part.select(columns).filter(pa.array(good))
 
     return docs.mapInArrow(run, schema)

@@ -24,6 +24,8 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from phenomill.llm.common import slices
+
 # The base patterns and least lengths.
 ASSIGN = re.compile(
     r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.ASCII | re.IGNORECASE
@@ -92,7 +94,7 @@ def scan(docs: DataFrame, ranks_path: str, doc_id: str = "doc_id", text: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoding(ranks_path)
-        for batch in batches:
+        for batch in slices(batches):
             out = [
                 [{"kind": KINDS[k], "start": s, "end": e} for s, k, e in spans_of(t or "", ratio, tokens)]
                 for t in batch.column("text").to_pylist()
@@ -133,7 +135,7 @@ def redact(docs: DataFrame, ranks_path: str, text: str = "text", mark: str = "[s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoding(ranks_path)
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for value in batch.column(text).to_pylist():
                 if value:
