@@ -39,12 +39,16 @@ FILTER_BITS = 22
 HOT_SHARE = 0.005
 
 ANCHORS = "h long, doc_id long"
-MARKED = "doc_id long, n_words long, n_removed long, kept_sha256 string, text binary, hits array<long>"
+WINDOWS = "w long, doc_id long"
 STRETCH = "h long, salt int, phrase boolean, doc_id long, starts array<long>, at int, words binary"
 COVERED = "doc_id long, start long, end long"
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
+def _narrow(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+
+
 def window_anchors(words: np.ndarray, window: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingle hashes, and for each window the position of its anchor (of equal ones the first)."""
     if len(words) < window:
@@ -74,35 +78,29 @@ def _anchors(window: int, size: int):
     return run
 
 
-def _result(words: list[bytes], removed: np.ndarray | None = None) -> tuple[int, int, str]:
-    if removed is not None:
+def _result(words: list[bytes], removed: np.ndarray) -> tuple[int, str]:
+    """Number of removed words and the digest of the others."""
+    if removed.any():
         words = [w for w, gone in zip(words, removed.tolist()) if not gone]
-    return (0 if removed is None else int(removed.sum())), hashlib.sha256(b" ".join(words)).hexdigest()
+    return int(removed.sum()), hashlib.sha256(b" ".join(words)).hexdigest()
 
 
-def _mark(window: int, size: int, recurring: np.ndarray, bits: int):
-    """Documents without a suspect window get their result at once; the others keep their text and suspect windows' hashes."""
+def _windows(window: int, size: int, recurring: np.ndarray, bits: int):
+    """Hashes of the distinct windows of each document whose anchor may recur."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            rows = []
+            hashes, owners = [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
-                words, hits = text.split(), None
-                if doc_id is not None and len(words) >= window:
-                    hashes = word_hashes(text)
-                    shingles, at = window_anchors(hashes, window, size)
-                    suspect = in_bitmap(shingles[at], bits, recurring)
-                    if suspect.any():
-                        hits = np.unique(rolling_hashes(hashes, window)[suspect]).view(np.int64)
-                if hits is None:
-                    rows.append((doc_id, len(words), *_result(words), None, None))
-                else:
-                    rows.append((doc_id, len(words), None, None, text, hits))
-                if len(rows) >= 500:
-                    yield _batch(rows, MARKED)
-                    rows = []
-            if rows:
-                yield _batch(rows, MARKED)
+                if doc_id is None:
+                    continue
+                words = word_hashes(text)
+                shingles, at = window_anchors(words, window, size)
+                if len(at) and (suspect := in_bitmap(shingles[at], bits, recurring)).any():
+                    hashes.append(np.unique(rolling_hashes(words, window)[suspect]))
+                    owners.append(np.full(len(hashes[-1]), doc_id, dtype=np.int64))
+            if hashes:
+                yield pa.RecordBatch.from_arrays([longs(np.concatenate(hashes)), pa.array(np.concatenate(owners))], ["w", "doc_id"])
 
     return run
 
@@ -142,7 +140,7 @@ def _phrases(window: int, size: int, hot: dict[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             rows = []
-            for doc_id, text, own in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("own")):
+            for doc_id, text, own in zip(batch.column("doc_id").to_pylist(), texts(batch), batch.column("own")):
                 words, hashes = text.split(), word_hashes(text)
                 shingles, at = window_anchors(hashes, window, size)
                 # Each recurring window once, where it first starts.
@@ -160,15 +158,17 @@ def _phrases(window: int, size: int, hot: dict[int, int]):
 
 
 def _candidates(window: int, size: int, confirmed: np.ndarray, bits: int, hot: dict[int, int]):
-    """Stretches of all marked documents under windows whose anchor belongs to a phrase."""
+    """Stretches of all documents under windows whose anchor belongs to a phrase."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                words, hashes = text.split(), word_hashes(text)
-                shingles, at = window_anchors(hashes, window, size)
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
+                shingles, at = window_anchors(word_hashes(text), window, size)
                 found = np.flatnonzero(in_bitmap(shingles[at], bits, confirmed))
+                if doc_id is None or not len(found):
+                    continue
+                words = text.split()
                 for h, place, data, starts in _stretches(found, at, window, words, shingles):
                     rows.append((h, doc_id % hot[h] if h in hot else 0, False, doc_id, starts, place, data))
                 if len(rows) >= 2000:
@@ -262,7 +262,7 @@ def _search(window: int, size: int):
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         rows = []
-        for doc_id, text, spans in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
+        for doc_id, text, spans in zip(batch.column("doc_id").to_pylist(), texts(batch), batch.column("spans").to_pylist()):
             words = text.split()
             gone = np.zeros(len(words), dtype=bool)
             for span in spans or ():
@@ -271,9 +271,9 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(rows, RESULT)
 
 
-def repeated_passages(docs: DataFrame, window: int = WINDOW, size: int = ANCHOR, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(marked, covered): documents with their text where it has suspect windows, and the covered stretches of words."""
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+def repeated_passages(docs: DataFrame, window: int = WINDOW, size: int = ANCHOR, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, start, end): stretches of words under windows that a document with a smaller id also has."""
+    docs = _narrow(docs, doc_id, text)
     per_anchor = docs.mapInArrow(_anchors(window, size), ANCHORS).groupBy("h")
     counted = per_anchor.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")).where("low <> high")
     counted = written(counted.select("h", "n"), "phrase-anchors")
@@ -281,26 +281,23 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, size: int = ANCHOR,
     many = max(1000, int(docs.count() * HOT_SHARE))
     hot = {r.h: r.n // many + 1 for r in counted.where(F.col("n") > many).toLocalIterator()}
 
-    marked = written(docs.mapInArrow(_mark(window, size, recurring, BITS), MARKED), "phrase-marked")
-    suspects = marked.where("text IS NOT NULL")
-    windows = suspects.select("doc_id", F.explode("hits").alias("w")).groupBy("w").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    windows = docs.mapInArrow(_windows(window, size, recurring, BITS), WINDOWS).groupBy("w").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     firsts = written(windows.where("first <> last").groupBy("first").agg(F.collect_list("w").alias("own")), "phrase-windows")
 
     firsts = firsts.withColumnRenamed("first", "doc_id")
-    owners = only_in(suspects.select("doc_id", "text"), "doc_id", firsts.select("doc_id"), FILTER_BITS).join(firsts, "doc_id")
+    owners = only_in(docs, "doc_id", firsts.select("doc_id"), FILTER_BITS).join(firsts, "doc_id")
     phrases = written(owners.mapInArrow(_phrases(window, size, hot), STRETCH), "phrases")
     confirmed = bitmap(phrases.select("h"), BITS)
-    stretches = suspects.select("doc_id", "text").mapInArrow(_candidates(window, size, confirmed, BITS, hot), STRETCH)
+    stretches = docs.mapInArrow(_candidates(window, size, confirmed, BITS, hot), STRETCH)
     dealt = phrases.unionByName(stretches).repartition("h", "salt").sortWithinPartitions(F.col("phrase").desc(), "words")
-    return marked, written(dealt.mapInArrow(_search(window, size), COVERED), "phrase-covered")
+    return written(dealt.mapInArrow(_search(window, size), COVERED), "phrase-covered")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, size: int = ANCHOR, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, n_words, n_removed, kept_sha256 (the kept words joined by spaces)."""
-    marked, covered = repeated_passages(docs, window, size, doc_id, text)
+    docs = _narrow(docs, doc_id, text)
+    covered = repeated_passages(docs, window, size)
     spans = covered.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    suspects = marked.where("text IS NOT NULL").select("doc_id", "text")
-    touched, whole = split_by(suspects, "doc_id", covered.select("doc_id"), FILTER_BITS)
+    touched, whole = split_by(docs, "doc_id", covered.select("doc_id"), FILTER_BITS)
     none = F.lit(None).cast(spans.schema["spans"].dataType).alias("spans")
-    cut = touched.join(spans, "doc_id", "left").unionByName(whole.select("doc_id", "text", none)).mapInArrow(_remove, RESULT)
-    return marked.where("text IS NULL").select("doc_id", "n_words", "n_removed", "kept_sha256").unionByName(cut)
+    return touched.join(spans, "doc_id", "left").unionByName(whole.select("doc_id", "text", none)).mapInArrow(_remove, RESULT)
