@@ -66,7 +66,7 @@ def total_counts(pieces: DataFrame, bits: int) -> np.ndarray:
     """The 2^bits counts of all tasks from their pieces (piece, data)."""
     width = 1 << min(PIECE_BITS, bits)
     out = np.zeros(1 << bits, dtype=np.uint64)
-    for row in pieces.repartition("piece").mapInArrow(_sum, PIECE).toLocalIterator():
+    for row in pieces.repartition("piece").mapInArrow(_sum, PIECE).collect():
         out[row.piece * width : (row.piece + 1) * width] = np.frombuffer(row.data, dtype=np.uint64)
     return out
 
@@ -90,7 +90,7 @@ def bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
 
     out = np.zeros((1 << bits) // 8, dtype=np.uint8)
     rows = hashes.mapInArrow(positions, "piece int, at int").distinct().repartition("piece").mapInArrow(packed, PIECE)
-    for row in rows.toLocalIterator():
+    for row in rows.collect():
         out[row.piece * span // 8 : (row.piece + 1) * span // 8] = np.frombuffer(row.data, dtype=np.uint8)
     return out
 

@@ -279,7 +279,7 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, size: int = ANCHOR,
     counted = written(counted.select("h", "n"), "phrase-anchors")
     recurring = bitmap(counted.select("h"), BITS)
     many = max(1000, int(docs.count() * HOT_SHARE))
-    hot = {r.h: r.n // many + 1 for r in counted.where(F.col("n") > many).toLocalIterator()}
+    hot = {r.h: r.n // many + 1 for r in counted.where(F.col("n") > many).collect()}
 
     windows = docs.mapInArrow(_windows(window, size, recurring, BITS), WINDOWS).groupBy("w").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     firsts = written(windows.where("first <> last").groupBy("first").agg(F.collect_list("w").alias("own")), "phrase-windows")
