@@ -1,7 +1,9 @@
 """Secrets in texts: fixed patterns plus a token-efficiency test.
 
 A byte-pair vocabulary spells ordinary words with few tokens and random strings with many. Runs of
-``[A-Za-z0-9+/_=-]`` are measured in characters per token; a low ratio marks a random string. Known digests and
+``[A-Za-z0-9+/_=-]`` are measured in characters per token; a low ratio marks a random string. A run that passes as
+a whole is searched for random stretches: its pieces between ``= / _ -``, and any 20 characters that tokens cover;
+what is found is reported in whole pieces, without words at its ends. Known digests and
 identifiers are left out first: hex digests of the usual lengths, UUIDs, numbers, and names made of words
 (letters of one case, capitalised words, or such words joined by ``_ - /``).
 
@@ -41,6 +43,12 @@ DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 NAME = re.compile(r"[+/_=-]*(?:(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+)[+/_=-]+)*(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+)?[+/_=-]*")
 
+LEAST = 20
+PIECE = re.compile(r"[A-Za-z0-9+]+")
+WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+# What is left out inside a longer run.
+INSIDE = re.compile(rf"(?<![A-Za-z0-9])(?:{UUID.pattern}|(?:0x)?(?:[0-9a-f]+|[0-9A-F]+))(?![A-Za-z0-9])")
+
 SCHEMA = "doc_id long, spans array<struct<kind:string,start:long,end:long>>"
 MAX_RATIO = 2.0
 
@@ -73,14 +81,71 @@ def known(run: str) -> bool:
     return NAME.fullmatch(run) is not None
 
 
+def _ratio(run: str, tokens: tiktoken.Encoding) -> float:
+    return len(run) / len(tokens.encode_ordinary(run))
+
+
+def _random_parts(run: str, ratio: float, tokens: tiktoken.Encoding) -> list[tuple[int, int]]:
+    """Random stretches of a run without known parts, in order and apart."""
+    pieces = [m.span() for m in PIECE.finditer(run)]
+    hits = [(s, e) for s, e in pieces if e - s >= LEAST and not known(run[s:e]) and _ratio(run[s:e], tokens) <= ratio]
+    ends = [0]
+    for token in tokens.decode_tokens_bytes(tokens.encode_ordinary(run)):
+        ends.append(ends[-1] + len(token))
+    last = 0
+    for first, start in enumerate(ends):
+        while last < len(ends) and ends[last] - start < LEAST:
+            last += 1
+        if last == len(ends):
+            break
+        if ends[last] - start <= ratio * (last - first) and not known(run[start : ends[last]]):
+            hits.append((start, ends[last]))
+    merged: list[list[int]] = []
+    for start, end in sorted(hits):
+        if merged and start <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], end)
+        else:
+            merged.append([start, end])
+    found: list[tuple[int, int]] = []
+    at = 0
+    for start, end in merged:
+        while at < len(pieces) and pieces[at][1] <= start:
+            at += 1
+        to = at
+        while to < len(pieces) and pieces[to][0] < end:
+            to += 1
+        own = pieces[at:to]
+        word = [WORD.fullmatch(run[s:e]) is not None and _ratio(run[s:e], tokens) > ratio for s, e in own]
+        keep = [p for p, w in zip(own, word) if not w]
+        if keep:
+            if found and keep[0][0] <= found[-1][1]:
+                found[-1] = (found[-1][0], max(found[-1][1], keep[-1][1]))
+            else:
+                found.append((keep[0][0], keep[-1][1]))
+    return found
+
+
+def random_parts(run: str, ratio: float, tokens: tiktoken.Encoding) -> list[tuple[int, int]]:
+    """Random stretches of a run that isn't random on the whole; digests and identifiers inside it are left out."""
+    cuts = [m.span() for m in INSIDE.finditer(run) if known(m[0])]
+    found, at = [], 0
+    for start, end in [*cuts, (len(run), len(run))]:
+        if start - at >= LEAST:
+            found += [(at + s, at + e) for s, e in _random_parts(run[at:start], ratio, tokens)]
+        at = end
+    return found
+
+
 def random_spans(text: str, taken: list[tuple[int, int, int]], ratio: float, tokens: tiktoken.Encoding) -> list[tuple[int, int, int]]:
     found = []
     for m in RUN.finditer(text):
         start, end = m.span()
         if any(s < end and start < e for s, _, e in taken) or known(m[0]):
             continue
-        if (end - start) / len(tokens.encode_ordinary(m[0])) <= ratio:
+        if _ratio(m[0], tokens) <= ratio:
             found.append((start, 3, end))
+        else:
+            found += [(start + s, 3, start + e) for s, e in random_parts(m[0], ratio, tokens)]
     return found
 
 

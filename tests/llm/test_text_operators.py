@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import random
 import re
+import string
 import zlib
 
 import numpy as np
@@ -126,6 +127,33 @@ def test_secret_cases(frame):
     assert rows[8] == [("assign", 0, 19)] and rows[10] == [("access", 0, 20)] and rows[11] == [("assign", 0, 31)]
 
 
+def random_strings(letters: str, length: int, n: int = 300) -> list[str]:
+    rng = random.Random(length)
+    return ["".join(rng.choices(letters, k=length)) for _ in range(n)]
+
+
+def covered(text: str, secret: str) -> bool:
+    at = text.index(secret)
+    return any(s <= at and at + len(secret) <= e for s, _, e in secret_scan.spans_of(text, secret_scan.MAX_RATIO, secret_scan.encoding(RANKS)))
+
+
+@pytest.mark.parametrize("length", [20, 24, 32, 40])
+def test_random_after_words(length):
+    for frame_ in ("access_credentials_for_production_database={}", "https_callback/oauth/authorize/{}", "value-of-the-session-cookie-{}-for-the-user"):
+        texts = random_strings(string.ascii_letters + string.digits, length)
+        assert sum(covered(f"see {frame_.format(s)} here", s) for s in texts) >= 0.99 * len(texts)
+    for s in random_strings(string.ascii_letters + string.digits, 36, 50):
+        s = f"{s[:12]}/{s[12:20]}+{s[20:]}"  # no piece has 20 characters
+        assert covered(f"access_credentials_for_production_database={s}", s)
+
+
+def test_readable_runs_stay():
+    digest = "9E107D9D372BB6826BD81D3542A419D6"
+    for text in ("access_credentials_for_production_database", "https_callback/oauth/authorize/user_settings", f"checksum_of_the_archive_in_the_production_database_server={digest}",
+                 "identifier_of_the_request/123e4567-e89b-12d3-a456-426614174000/details"):
+        assert secret_scan.spans_of(text, secret_scan.MAX_RATIO, secret_scan.encoding(RANKS)) == []
+
+
 def test_redact_keeps_columns(awkward):
     out = secret_scan.redact(awkward, RANKS)
     assert out.columns == awkward.columns and out.count() == awkward.count()
