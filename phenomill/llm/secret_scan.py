@@ -4,8 +4,8 @@ A byte-pair vocabulary spells ordinary words with few tokens and random strings
 ``[A-Za-z0-9+/_=-]`` are measured in characters per token; a low ratio marks a random string. A run that passes as
 a whole is searched for random stretches: its pieces between ``= / _ -``, and any 20 characters that tokens cover;
 what is found is reported in whole pieces, without words at its ends. Known digests and
-identifiers are left out first: hex digests of the usual lengths, UUIDs, numbers, and names made of words
-(letters of one case, capitalised words, or such words joined by ``_ - /``).
+identifiers are left out first: hex digests of the usual lengths, UUIDs and numbers (digits, also in groups). Names
+made of words have many characters per token and need no rule of their own.
 
 Spans are in code points, end exclusive, and come per text in order of start, then kind (assign, access,
 hex, random). The three base kinds are matched leftmost and non-overlapping, each kind on its own; random
@@ -41,7 +41,7 @@ RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 DIGEST = re.compile(r"(?:0x)?(?:[0-9a-f]+|[0-9A-F]+)")
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
-NAME = re.compile(r"[+/_=-]*(?:(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+)[+/_=-]+)*(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+)?[+/_=-]*")
+NUMBER = re.compile(r"[0-9+/_=-]+")
 
 LEAST = 20
 PIECE = re.compile(r"[A-Za-z0-9+]+")
@@ -75,10 +75,10 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def known(run: str) -> bool:
-    """A digest, an identifier or a name: not a secret by its looks."""
+    """A digest, a UUID or a number (or no letter or digit at all): not a secret by its looks."""
     if DIGEST.fullmatch(run) and len(run.removeprefix("0x")) in DIGEST_LENGTHS or UUID.fullmatch(run):
         return True
-    return NAME.fullmatch(run) is not None
+    return NUMBER.fullmatch(run) is not None
 
 
 def _ratio(run: str, tokens: tiktoken.Encoding) -> float:

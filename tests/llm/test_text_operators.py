@@ -147,6 +147,16 @@ def test_random_after_words(length):
         assert covered(f"access_credentials_for_production_database={s}", s)
 
 
+def test_random_of_one_case_and_in_groups():
+    for letters in (string.ascii_lowercase, string.ascii_uppercase):
+        texts = random_strings(letters, 32)
+        for form in ("{}", "access_credentials_for_production_database={}"):
+            assert sum(covered(form.format(s), s) for s in texts) >= 0.97 * len(texts)
+    assert covered("key QWZXK-82719-PLKVQ-93821-XJQZW", "QWZXK-82719-PLKVQ-93821-XJQZW")
+    for text in ("2024-01-15_10-30-00_000000", "12345678901234567890123", "-" * 40, "=_" * 20, "123E4567-E89B-12D3-A456-426614174000"):
+        assert not covered(text, text)
+
+
 def test_readable_runs_stay():
     digest = "9E107D9D372BB6826BD81D3542A419D6"
     for text in ("access_credentials_for_production_database", "https_callback/oauth/authorize/user_settings", f"checksum_of_the_archive_in_the_production_database_server={digest}",
