@@ -11,7 +11,7 @@ from phenomill.llm import (
     bpe,
     chat_windows,
     exact_index,
-    jaccard_join,
+    jaccard_links,
     near_dup_vectors,
     packing,
     phrase_automata,
@@ -157,4 +157,11 @@ def op9_packing(spark, folder):
     """
 )
 def op10_jaccard_join(spark, folder):
-    return jaccard_join.components(table(spark, folder, "documents"))
+    """The complete join in the columns that the SQL has."""
+    return op10_jaccard_links(spark, folder).drop("n_links")
+
+
+@query()
+def op10_jaccard_links(spark, folder):
+    """The same join with the number of links of each document."""
+    return jaccard_links.linked_documents(table(spark, folder, "documents"))

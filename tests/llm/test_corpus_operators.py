@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from helpers import components, lower, same, sha, words
 
-from phenomill.llm import bounded, common, exact_index, jaccard_join, near_dup_vectors, phrase_automata, quality_mil, queries
+from phenomill.llm import bounded, common, exact_index, jaccard_join, jaccard_links, near_dup_vectors, phrase_automata, quality_mil, queries
 from phenomill.llm.components import connected_components
 
 FOLDER = "/root/testdata/sf0.001"
@@ -117,6 +117,31 @@ def test_jaccard_components(spark, monkeypatch, salted):
     assert kept == {k for k, (_, c) in expected.items() if c == k} | {None}
 
 
+@pytest.mark.parametrize(("salted", "block"), [(50_000, 1024), (20, 7)])
+def test_jaccard_links(spark, monkeypatch, salted, block):
+    monkeypatch.setattr(jaccard_join, "SALTED_ROWS", salted)
+    monkeypatch.setattr(jaccard_links, "BLOCK", block)
+    rows = join_rows(random.Random(5))
+    df = spark.createDataFrame([*rows, (None, rows[20][1]), (None, None)], "doc_id long, text string")
+    mine = jaccard_links.linked_documents(df.repartition(6)).collect()
+    assert all(r.n_links == 0 for r in mine if r.doc_id is None)
+    sets = {}
+    for key, text in rows:
+        w = words(lower(text or ""))
+        sets[key] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    n_links = {a: sum(a != b and bool(y) and 100 * len(x & y) >= 75 * len(x | y) for b, y in sets.items()) for a, x in sets.items()}
+    assert max(n_links.values()) > 50
+    same([r for r in mine if r.doc_id is not None], {k: (*v, n_links[k]) for k, v in brute_join(rows).items()})
+
+
+def test_jaccard_links_of_repeated_rows(frame):
+    text = " ".join(f"r{i}" for i in range(60))
+    rows = frame("doc_id long, text string", (1, text), (2, text + " end"), (2, text + " end"), (3, text), (4, ""), (5, None))
+    mine = sorted(tuple(r) for r in jaccard_links.linked_documents(rows).collect())
+    assert mine == [(1, 56, 1, 3), (2, 57, 1, 3), (2, 57, 1, 3), (3, 56, 1, 3), (4, 0, 4, 0), (5, 0, 5, 0)]
+    assert jaccard_links.linked_documents(rows.limit(0)).count() == 0
+
+
 def test_jaccard_borders(frame):
     base = [f"b{i}" for i in range(11)]  # 7 shingles
     rows = [(1, " ".join(base)), (2, " ".join(base[:-1])), (3, " ".join(base[:-2])), (4, " ".join(base[:8])), (4, " ".join(base[:8]))]
