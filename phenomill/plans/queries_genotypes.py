@@ -101,6 +101,18 @@ def ld_r2_kb(t):
     return rounded(genotypes.ld_r2(t.genotypes(), sample_blocks=SAMPLE_BLOCKS, kb=20), "r2")
 
 
+@query("""
+    WITH g AS (SELECT v.chrom, v.idx, v.pos, v.marker_id, s, CAST(dosage AS DOUBLE) AS d
+               FROM genotypes JOIN variants v USING (marker_id) WHERE dosage IS NOT NULL)
+    SELECT a.chrom, a.idx AS i, b.idx AS j, a.marker_id AS marker_i, b.marker_id AS marker_j,
+           round(corr(a.d, b.d) * corr(a.d, b.d), 6) AS r2
+    FROM g a JOIN g b ON a.s = b.s AND a.chrom = b.chrom AND b.idx > a.idx AND b.pos - a.pos <= 1000000
+    GROUP BY ALL""")
+def ld_r2_1000kb(t):
+    """The window in use; it holds all pairs of a chromosome here."""
+    return rounded(genotypes.ld_r2(t.genotypes(), sample_blocks=SAMPLE_BLOCKS, kb=1000), "r2")
+
+
 PRUNE = """
     WITH RECURSIVE g AS (SELECT v.chrom, v.idx, v.pos, v.marker_id, s, CAST(dosage AS DOUBLE) AS d
                          FROM genotypes JOIN variants v USING (marker_id) WHERE dosage IS NOT NULL),
@@ -130,6 +142,11 @@ def ld_prune_kb(t):
     return genotypes.ld_prune(t.genotypes(), sample_blocks=SAMPLE_BLOCKS, kb=20)
 
 
+@query(PRUNE.format(near="abs(b.pos - a.pos) <= 1000000", r2="CAST(0.1 AS DOUBLE)"))
+def ld_prune_1000kb(t):
+    return genotypes.ld_prune(t.genotypes(), sample_blocks=SAMPLE_BLOCKS, kb=1000)
+
+
 @query()
 def markers_for_variance_ratio(t):
     """Both classes are needed; at this size only common markers exist, so five of them."""

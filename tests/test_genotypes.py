@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import importlib
 import math
 
 import numpy as np
@@ -342,3 +343,10 @@ def test_vcf(spark, tmp_path):
     rows = {(r.marker_id, r.s): r.dosage for r in files.scan_vcf_dosage(spark, str(tmp_path)).collect()}
     assert rows == {("g1", "x"): 0.5, ("g1", "y"): None, ("g2", "x"): 2.0, ("g2", "y"): 0.0, ("g1", "z"): 1.5}
     assert files.scan_vcf_dosage(spark, str(tmp_path), "1").count() == 3
+
+
+def test_registered_window_reaches_across_a_chromosome(spark):
+    queries = importlib.import_module("__spark_entry__").queries()
+    far = {name: queries[name](spark, "/root/testdata/sf0.001").where("j - i > 20").count() for name in ("ld_r2_kb", "ld_r2_1000kb")}
+    assert far["ld_r2_kb"] == 0 < far["ld_r2_1000kb"]
+    assert queries["ld_prune_1000kb"](spark, "/root/testdata/sf0.001").count() > 0
