@@ -26,6 +26,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table that ``written`` returned, once nothing reads it any more."""
+    files = df.inputFiles()
+    if files:
+        jvm = df.sparkSession._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(files[0].rsplit("/", 1)[0])
+        folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     """UTF-8 bytes of a string column, null as empty."""
     return [b"" if t is None else t for t in batch.column(column).cast(pa.binary()).to_pylist()]

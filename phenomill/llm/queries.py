@@ -15,6 +15,7 @@ from phenomill.llm import (
     near_dup_vectors,
     packing,
     phrase_automata,
+    prefix_trie,
     quality_mil,
     secret_scan,
     warc,
@@ -165,3 +166,51 @@ def op10_jaccard_join(spark, folder):
 def op10_jaccard_links(spark, folder):
     """The same join with the number of links of each document."""
     return jaccard_links.linked_documents(table(spark, folder, "documents"))
+
+
+CRC32 = """list_reduce(
+    list_concat([4294967295::BIGINT], flatten(list_transform(string_split({0}::VARCHAR, ''), lambda c: list_concat([ascii(c)::BIGINT], repeat([-1::BIGINT], 8))))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END)"""
+
+
+def crc32(column: str) -> str:
+    """SQL for the unsigned crc32 of a number's digits."""
+    return f"xor({CRC32.format(column)}, 4294967295)"
+
+
+@query(
+    f"""
+    WITH t AS (
+        SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos,
+               {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS said
+        FROM conversations WHERE conv_id IS NOT NULL
+    ),
+    c AS (SELECT conv_id, list(said ORDER BY pos) AS own, ({crc32('conv_id')} % 6)::INT AS h FROM t GROUP BY conv_id),
+    r AS (
+        SELECT c.conv_id, list_concat(coalesce(d.own, [])[:c.h], c.own[c.h + 1:]) AS said
+        FROM c LEFT JOIN c d ON d.conv_id = c.conv_id - c.conv_id % 100
+    ),
+    p AS (SELECT conv_id, len(said) AS ends, unnest(range(0, len(said) + 1)) AS depth, said FROM r),
+    k AS (
+        SELECT conv_id, ends, depth, sha256(said[:depth]::JSON::VARCHAR) AS node,
+               CASE WHEN depth > 0 THEN length(said[depth].text) ELSE 0 END AS size,
+               list_transform(range(0, depth + 1), lambda i: sha256(said[:i]::JSON::VARCHAR)) AS path
+        FROM p
+    ),
+    n AS (
+        SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(path) AS path, (count(*) - 1) * any_value(size) AS saved,
+               sha256(coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (ends = depth), '')) AS ends_sha256
+        FROM k GROUP BY node, depth
+    ),
+    kids AS (SELECT path[-2] AS node, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+    below AS (
+        SELECT u.node, count(*) FILTER (kids.node IS NULL) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+        FROM (SELECT node AS leaf, saved, unnest(path) AS node FROM n) u LEFT JOIN kids ON kids.node = u.leaf GROUP BY u.node
+    )
+    SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, n.ends_sha256
+    FROM n JOIN below USING (node) LEFT JOIN kids USING (node) LEFT JOIN n up ON n.depth > 0 AND up.node = n.path[-2]
+    """
+)
+def op11_prefix_trie(spark, folder):
+    """One row per distinct prefix of the rebuilt conversations."""
+    return prefix_trie.conversation_trie(table(spark, folder, "conversations"))
