@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -76,13 +77,10 @@ def with_borrowed_heads(turns: DataFrame, every: int = 100, most: int = 6) -> Da
     return rows.select("conv", F.inline(pieces))
 
 
-def _names(position: Column, only: Column | None = None) -> list[Column]:
-    """The two lanes of a name of the rows ``only``."""
-    out = []
-    for lane in (1, 2):
-        h = F.xxhash64(F.lit(lane), position, F.col("t"))
-        out.append(F.bit_xor(h if only is None else F.when(only, h)).alias(f"x{lane}"))
-    return out
+def _names(position: Column, of: Column | bool = True) -> list[Column]:
+    """The two lanes of the name of the rows for which ``of`` holds."""
+    hashed = lambda lane: F.xxhash64(F.lit(lane), position, F.col("t"))
+    return [F.bit_xor(F.when(F.lit(of) if of is True else of, hashed(lane))).alias(f"x{lane}") for lane in (1, 2)]
 
 
 def _hash_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,15 +120,12 @@ def _distinct(rows: DataFrame) -> DataFrame:
 
 
 def _cut(table: DataFrame, s: int) -> DataFrame:
-    """One round: every subproblem of height 2 s becomes an upper trie and lower forests of height s."""
+    """One round over the sequences of at least ``s`` turns: their upper tries and lower forests."""
     head = F.col("pos") < s
     groups = table.groupBy(*FOREST, "w").agg(
-        *_names(F.col("pos"), head),
-        F.count_if(head).alias("have"),
-        F.first("n").alias("weight"),
-        F.max(F.when(F.col("pos") == s - 1, F.col("ends"))).alias("end"),
+        *_names(F.col("pos"), head), F.first("n").alias("weight"), F.max(F.when(F.col("pos") == s - 1, F.col("ends"))).alias("end")
     )
-    full = groups.where(F.col("have") == s).select(
+    prefix = groups.select(
         *FOREST,
         "w",
         "weight",
@@ -138,28 +133,26 @@ def _cut(table: DataFrame, s: int) -> DataFrame:
         F.xxhash64(F.lit(3), "fa", "fb", "x1").alias("na"),
         F.xxhash64(F.lit(4), "fa", "fb", "x2").alias("nb"),
     )
-    cut = full.groupBy("na", "nb").agg(F.min("w").alias("rep"), F.sum("weight").alias("total"), F.max("end").alias("end"))
-    named = full.drop("weight", "end").join(cut, ["na", "nb"])
-    below, whole = ~head, F.col("rep").isNotNull()
-    last = whole & (F.col("pos") == s - 1)
+    # Both are written, so that the join may split a prefix that very many sequences share.
+    prefix = written(prefix, "trie-prefix")
+    named = written(prefix.groupBy("na", "nb").agg(F.min("w").alias("rep"), F.sum("weight").alias("total"), F.max("end").alias("end")), "trie-named")
+    rows = table.join(prefix.drop("weight", "end").join(named, ["na", "nb"]), [*FOREST, "w"])
+    last, below = F.col("pos") == s - 1, ~head
     fa, fb = F.when(below, F.col("na")).otherwise(F.col("fa")), F.when(below, F.col("nb")).otherwise(F.col("fb"))
-    return (
-        table.join(named, [*FOREST, "w"], "left")
-        .where(below | ~whole | (F.col("rep") == F.col("w")))
-        .select(
-            fa.alias("fa"),
-            fb.alias("fb"),
-            "w",
-            F.when(head & whole, F.col("total")).otherwise(F.col("n")).alias("n"),
-            "depth",
-            F.when(below, F.col("pos") - s).otherwise(F.col("pos")).alias("pos"),
-            "t",
-            "size",
-            F.when(last, F.col("end")).otherwise(F.col("ends")).alias("ends"),
-            F.when(below, F.col("rep")).otherwise(F.col("top")).alias("top"),
-            F.when(last, F.struct(F.col("na").alias("a"), F.col("nb").alias("b"))).otherwise(F.col("id")).alias("id"),
-            F.array_append("roots", F.struct(fa.alias("a"), fb.alias("b"))).alias("roots"),
-        )
+    return rows.where(below | (F.col("rep") == F.col("w"))).select(
+        fa.alias("fa"),
+        fb.alias("fb"),
+        "w",
+        F.when(head, F.col("total")).otherwise(F.col("n")).alias("n"),
+        "depth",
+        F.when(below, F.col("pos") - s).otherwise(F.col("pos")).alias("pos"),
+        F.when(below, F.col("span") - s).otherwise(F.lit(s)).alias("span"),
+        "t",
+        "size",
+        F.when(last, F.col("end")).otherwise(F.col("ends")).alias("ends"),
+        F.when(below, F.col("rep")).otherwise(F.col("top")).alias("top"),
+        F.when(last, F.struct(F.col("na").alias("a"), F.col("nb").alias("b"))).otherwise(F.col("id")).alias("id"),
+        F.when(below, F.map_concat("roots", F.create_map(F.lit(s), F.struct(fa.alias("a"), fb.alias("b"))))).otherwise(F.col("roots")).alias("roots"),
     )
 
 
@@ -167,8 +160,8 @@ def _grafted(nodes: DataFrame, steps: list[int]) -> DataFrame:
     """(id, leaves, saved): what lies below each node that has children."""
     totals = ["leaves", "saved"]
     hung: DataFrame | None = None
-    for i, s in enumerate(steps):
-        root = F.element_at("roots", i + 1)
+    for s in steps:
+        root = F.col("roots")[s]
         lower = nodes.where(F.col("depth").bitwiseAND(F.lit(s)) != 0)
         parts = lower.select(root.alias("id"), *totals)
         if hung is not None:
@@ -198,21 +191,23 @@ def prefix_trie(sequences: DataFrame) -> DataFrame:
             F.col("members").alias("n"),
             "depth",
             F.col("depth").alias("pos"),
+            F.col("length").alias("span"),
             "t",
             "size",
             F.when(F.col("depth") == F.col("length") - 1, F.col("ends")).alias("ends"),
             F.lit(None).cast("long").alias("top"),
             F.lit(None).cast(pair).alias("id"),
-            F.array().cast(f"array<{pair}>").alias("roots"),
+            F.create_map().cast(f"map<int,{pair}>").alias("roots"),
         ),
         "trie-distinct",
     )
     discard(rows)
+    # A sequence waits for the first round that cuts it; the first rounds only move the longest ones.
+    made = [table]
     for s in steps:
-        cut = written(_cut(table, s), "trie-cut")
-        discard(table)
-        table = cut
-    found = table.groupBy(*FOREST, "t").agg(
+        ready = reduce(DataFrame.unionByName, [t.where((F.col("span") >= s) & (F.col("span") <= (2 * s if t is made[-1] else 2 * s - 1))) for t in made])
+        made.append(written(_cut(ready, s), "trie-cut"))
+    found = made[-1].groupBy(*FOREST, "t").agg(
         F.min("w").alias("conv_id"),
         F.first("depth").alias("depth"),
         F.first("top").alias("parent_conv_id"),
@@ -223,7 +218,8 @@ def prefix_trie(sequences: DataFrame) -> DataFrame:
         F.first("roots").alias("roots"),
     )
     found = written(found, "trie-found")
-    discard(table)
+    for used in made:
+        discard(used)
     children = found.groupBy(F.struct(F.col("fa").alias("a"), F.col("fb").alias("b")).alias("id")).agg(F.count("*").alias("n_children"))
     own = found.join(children, "id", "left").select(
         "id",
