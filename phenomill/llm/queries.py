@@ -12,6 +12,7 @@ from phenomill.llm import (
     chat_windows,
     exact_index,
     jaccard_links,
+    kneser_ney,
     near_dup_vectors,
     packing,
     phrase_automata,
@@ -214,3 +215,9 @@ def crc32(column: str) -> str:
 def op11_prefix_trie(spark, folder):
     """One row per distinct prefix of the rebuilt conversations."""
     return prefix_trie.conversation_trie(table(spark, folder, "conversations"))
+
+
+@query()
+def op12_kneser_ney(spark, folder):
+    """Log10 probabilities of all documents under the model of the four folds that are not held out."""
+    return kneser_ney.held_out_scores(table(spark, folder, "documents"))
