@@ -85,8 +85,9 @@ def _long(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
-def chunks(column: pa.Array, breaks: np.ndarray = WHITE, lower: bool = True) -> Iterator[Chunk]:
-    """The texts of a string column, null as empty, in chunks; ``lower`` lower-cases A to Z."""
+def chunks(column: pa.Array, breaks: np.ndarray = WHITE, lower: bool = True, size: int | None = None) -> Iterator[Chunk]:
+    """The texts of a string column, null as empty, in chunks of ``size`` bytes; ``lower`` lower-cases A to Z."""
+    size = size or CHUNK
     column = column.fill_null("").cast(pa.large_string())
     _, offsets, data = column.buffers()
     if not len(column):
@@ -95,12 +96,12 @@ def chunks(column: pa.Array, breaks: np.ndarray = WHITE, lower: bool = True) ->
     data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.empty(0, dtype=np.uint8)
     first = 0
     while first < len(column):
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + CHUNK, side="right")) - 1)
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + size, side="right")) - 1)
         part = data[offsets[first] : offsets[last]]
         if lower:
             part = UPPER[part]
         local = offsets[first:last] - offsets[first]
-        if len(part) > CHUNK and last == first + 1:
+        if len(part) > size and last == first + 1:
             starts, ends, hashes = _long(part, breaks)
         else:
             starts, ends, hashes = _segment(part, local, breaks)

@@ -19,8 +19,6 @@ training texts each token has probability 1. Other columns are ignored.
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -28,12 +26,12 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from phenomill.llm.common import longs, mix
-from phenomill.llm.hashed_words import CHUNK, chunks
+from phenomill.llm.hashed_words import chunks
+from phenomill.llm.mapped import map_file, write_file
 from phenomill.session import scratch_path
 
 ORDER = 2
@@ -155,20 +153,6 @@ class Model:
         return out if all(0 <= d <= k for k, d in enumerate(out, 1)) else fixed
 
 
-def _write(folder: str, name: str, parts: list[np.ndarray]) -> None:
-    """A whole file or none: a second attempt of a task writes the same bytes again."""
-    system, path = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
-    system.create_dir(path)
-    local = isinstance(system, fs.LocalFileSystem)
-    target = f"{path}/{name}"
-    at = f"{path}/.{name}-{uuid.uuid4().hex}" if local else target
-    with system.open_output_stream(at) as out:
-        for part in parts:
-            out.write(np.ascontiguousarray(part))
-    if local:
-        os.replace(at, target)
-
-
 class Shard:
     """The arrays of one file."""
 
@@ -193,15 +177,8 @@ class Files:
     def shard(self, level: int, number: int) -> Shard | None:
         key = (level, number)
         if key not in self.open:
-            path = self.model.file(level, number)
-            system, path = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
-            if system.get_file_info(path).type != fs.FileType.File:
-                self.open[key] = None
-            elif isinstance(system, fs.LocalFileSystem):
-                self.open[key] = Shard(np.memmap(path, dtype=np.uint8, mode="r"))
-            else:
-                with system.open_input_file(path) as source:
-                    self.open[key] = Shard(np.frombuffer(source.read(), dtype=np.uint8))
+            data = map_file(self.model.file(level, number))
+            self.open[key] = None if data is None else Shard(data)
             while len(self.open) > FILES_HELD:
                 self.open.popitem(last=False)
         self.open.move_to_end(key)
@@ -322,7 +299,7 @@ def _merge(model: Model, level: int):
         wide = bool(len(counts)) and int(counts.max()) >> 32 > 0
         head = np.array([len(keys), len(contexts), 8 if wide else 4, level == 1], dtype=np.uint64)
         body = [head, keys, contexts, stats, *([raw] if level == 1 else []), counts.astype(np.uint64 if wide else np.uint32)]
-        _write(model.folder, model.file(level, number).rsplit("/", 1)[1], body)
+        write_file(model.folder, model.file(level, number).rsplit("/", 1)[1], body)
         yield _batch(rows)
         if level > 1:
             _, rest, sums = _summed(words[1:], [np.ones(len(keys)), raw])

@@ -16,6 +16,7 @@ from phenomill.llm import (
     near_dup_vectors,
     packing,
     phrase_automata,
+    phrase_mining,
     prefix_trie,
     quality_mil,
     secret_scan,
@@ -221,3 +222,42 @@ def op11_prefix_trie(spark, folder):
 def op12_kneser_ney(spark, folder):
     """Log10 probabilities of all documents under the model of the four folds that are not held out."""
     return kneser_ney.held_out_scores(table(spark, folder, "documents"))
+
+
+@query(
+    r"""
+    WITH d AS (
+        SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS doc,
+               regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\f\r]') AS pieces
+        FROM documents
+    ),
+    p AS (SELECT lang, regexp_extract_all(unnest(pieces), '[^ \t]+') AS w FROM d),
+    g AS (
+        SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase
+        FROM (SELECT lang, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM p, (VALUES (1), (2), (3)) AS s(k) WHERE len(w) >= k)
+    ),
+    f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL),
+    n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+    c AS MATERIALIZED (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND a >= 10),
+    h AS MATERIALIZED (
+        SELECT lang, phrase, a, cut, array_to_string(w[:cut], ' ') AS head, array_to_string(w[cut + 1:], ' ') AS tail
+        FROM (SELECT *, unnest(range(1, k)) AS cut FROM c)
+    ),
+    s AS (
+        SELECT h.lang, h.phrase, h.a, cut, x.a AS l, y.a AS r, ((1000000 * h.a::HUGEINT * h.a) // (x.a::HUGEINT * y.a))::BIGINT AS score
+        FROM h JOIN f x ON x.lang = h.lang AND x.phrase = head JOIN f y ON y.lang = h.lang AND y.phrase = tail
+    ),
+    b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+    i AS (
+        SELECT lang, phrase, max(a) AS longer FROM (
+            SELECT lang, a, array_to_string(w[:2], ' ') AS phrase FROM c WHERE k = 3 UNION ALL SELECT lang, a, array_to_string(w[2:], ' ') FROM c WHERE k = 3
+        ) GROUP BY ALL
+    ),
+    kept AS (SELECT b.* FROM b LEFT JOIN i USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+    FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
+    """
+)
+def op13_phrase_mining(spark, folder):
+    """The 2,000 strongest phrases of two and three words of each language."""
+    return phrase_mining.collocations(table(spark, folder, "documents"))
