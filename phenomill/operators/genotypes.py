@@ -1,7 +1,8 @@
 """Variant statistics, quality filters, linkage pruning and marker sampling.
 
 Genotypes are long rows ``chrom, pos, marker_id, s, dosage`` (0, 1, 2 alternate alleles, NULL when
-missing). Statistics are sums over samples, so they are built from partial sums of bounded tiles.
+missing) or variant rows with a dosage array (``variant_rows``). Statistics of variant rows are narrow;
+those of long rows are sums over samples, built from partial sums of bounded tiles.
 """
 
 from __future__ import annotations
@@ -15,10 +16,9 @@ from pyspark.sql import functions as F
 
 from phenomill.functions.ranks import ordered_prefix, top_n_per_group
 from phenomill.functions.stats import hwe_exact_p
+from phenomill.operators.variant_rows import VARIANT, called, copies, having, is_variant_rows, restrict, variant_key
 from phenomill.session import broadcast_checked, write_intermediate
 
-VARIANT = ["chrom", "pos", "marker_id"]
-
 # Thresholds of the array quality filter and of linkage pruning.
 MIN_MAF = 0.01
 MIN_HWE_P = 1e-50
@@ -29,23 +29,35 @@ MARKERS_PER_CLASS = 2000
 
 
 def allele_frequency(genotypes: DataFrame) -> DataFrame:
-    return genotypes.groupBy(*VARIANT).agg((F.avg("dosage") / 2).alias("af"))
+    key = variant_key(genotypes)
+    if is_variant_rows(genotypes):
+        return genotypes.select(*key, F.try_divide(copies(), 2.0 * called()).alias("af"))
+    return genotypes.groupBy(*key).agg((F.avg("dosage") / 2).alias("af"))
 
 
 def allele_counts(genotypes: DataFrame) -> DataFrame:
     """Alternate and reference allele counts; ``c1`` is the minor allele's count, ``c2`` the other's."""
-    alt = F.coalesce(F.sum("dosage"), F.lit(0)).cast("bigint")
-    ref = 2 * F.count("dosage") - alt
-    return genotypes.groupBy(*VARIANT).agg(
-        alt.alias("alt_count"),
-        ref.alias("ref_count"),
-        F.least(alt, ref).alias("c1"),
-        F.greatest(alt, ref).alias("c2"),
-    )
+    key = variant_key(genotypes)
+    if is_variant_rows(genotypes):
+        sums = genotypes.select(*key, copies().cast("bigint").alias("alt_count"), called().cast("bigint").alias("calls"))
+    else:
+        alt = F.coalesce(F.sum("dosage"), F.lit(0)).cast("bigint")
+        sums = genotypes.groupBy(*key).agg(alt.alias("alt_count"), F.count("dosage").alias("calls"))
+    alt, ref = F.col("alt_count"), 2 * F.col("calls") - F.col("alt_count")
+    return sums.select(*key, "alt_count", ref.alias("ref_count"), F.least(alt, ref).alias("c1"), F.greatest(alt, ref).alias("c2"))
 
 
 def genotype_counts(genotypes: DataFrame) -> DataFrame:
-    return genotypes.groupBy(*VARIANT).agg(
+    key = variant_key(genotypes)
+    if is_variant_rows(genotypes):
+        return genotypes.select(
+            *key,
+            having(0).alias("hom_ref"),
+            having(1).alias("het"),
+            having(2).alias("hom_alt"),
+            (F.size("dosages") - called()).cast("bigint").alias("missing"),
+        )
+    return genotypes.groupBy(*key).agg(
         F.count_if(F.col("dosage") == 0).alias("hom_ref"),
         F.count_if(F.col("dosage") == 1).alias("het"),
         F.count_if(F.col("dosage") == 2).alias("hom_alt"),
@@ -65,14 +77,18 @@ def variant_qc(
     chromosomes: list | None = None,
     min_maf: float | None = MIN_MAF,
     min_hwe_p: float | None = MIN_HWE_P,
+    index: DataFrame | None = None,
 ) -> DataFrame:
     """Variants passing the frequency and Hardy-Weinberg filters among the kept samples.
 
-    The exact test runs on three counts per variant, after the cheap filters.
+    The exact test runs on three counts per variant, after the cheap filters. Variant rows need their ``index`` (sample_idx,
+    s) to keep some of the samples.
     """
     if chromosomes is not None:
         genotypes = genotypes.where(F.col("chrom").isin(chromosomes))
-    if samples is not None:
+    if samples is not None and is_variant_rows(genotypes):
+        genotypes, _ = restrict(genotypes, index, samples)
+    elif samples is not None:
         genotypes = genotypes.join(samples.select("s"), "s", "left_semi")
     counts = with_maf(genotype_counts(genotypes))
     if min_maf is not None:

@@ -4,15 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phenomill.functions.ranks import ordered_prefix, top_n_per_group
-from phenomill.operators.cohort import anti_join_samples, semi_join_samples
+from phenomill.operators import alleles, pca
 from phenomill.operators.genotypes import VARIANT, allele_frequency
+from phenomill.operators.variant_rows import from_long, is_variant_rows, restrict, sample_index
 from phenomill.session import broadcast_checked, write_intermediate
 
 # Number of components; relatedness cut-off and marker count.
@@ -34,62 +32,67 @@ def _normalized():
     return (F.col("dosage") - 2 * p) / F.sqrt(F.col("m") * 2 * p * (1 - p))
 
 
-def hwe_normalized_pca(genotypes: DataFrame, k: int = N_COMPONENTS) -> tuple[list[float], DataFrame, DataFrame]:
+def _components(genotypes: DataFrame, samples: DataFrame | None, flagged: DataFrame | None, k: int):
+    """Components of the samples that aren't flagged, from either form of genotypes; scores of all."""
+    if is_variant_rows(genotypes):
+        index, variants = samples, genotypes
+    else:
+        index = write_intermediate(sample_index(genotypes if samples is None else samples), "samples")
+        variants = write_intermediate(from_long(genotypes, index), "variant-rows")
+    if flagged is None:
+        marked, kept = index.withColumn("kept", F.lit(True)), variants
+    else:
+        out = flagged.select("s").distinct().withColumn("__flagged", F.lit(True))
+        marked = index.join(out, "s", "left").select("sample_idx", "s", F.col("__flagged").isNull().alias("kept"))
+        marked = write_intermediate(marked, "marked-samples")
+        kept, _ = restrict(variants, index, marked.where("kept"))
+    return pca.principal_components(variants, allele_frequency(kept), marked, k)
+
+
+def hwe_normalized_pca(
+    genotypes: DataFrame, k: int = N_COMPONENTS, samples: DataFrame | None = None
+) -> tuple[list[float], DataFrame, DataFrame]:
     """Eigenvalues, scores (s, scores) and loadings (variant, af, m, loadings).
 
-    The sample rows stay distributed; the SVD multiplies by them and only vectors of variant
-    length come back. Scores are the projection of the same rows on the loadings.
+    Long rows are brought into variant rows first; variant rows need their ``samples`` (sample_idx, s).
     """
-    index = write_intermediate(polymorphic_index(genotypes), "variants")
-    m = index.count()
-    if m == 0:
-        raise ValueError("no polymorphic variant")
-    called = genotypes.where(F.col("dosage").isNotNull()).join(broadcast_checked(index, 80), VARIANT)
-    sparse = called.groupBy("s").agg(F.collect_list(F.struct("idx", _normalized().alias("z"))).alias("zs")).select(
-        "s", F.col("zs.idx").alias("idx"), F.col("zs.z").alias("z")
-    )
-
-    def dense(batches):
-        for pdf in batches:
-            rows = []
-            for idx, z in zip(pdf["idx"], pdf["z"]):
-                row = np.zeros(m)
-                row[np.asarray(idx)] = z
-                rows.append(row)
-            yield pd.DataFrame({"row": rows})
-
-    vectors = write_intermediate(sparse.mapInPandas(dense, "row array<double>"), "samples").select(
-        array_to_vector("row").alias("row")
-    )
-    svd = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "row")).computeSVD(min(k, m), computeU=False)
-    v = svd.V.toArray()
-    table = genotypes.sparkSession.createDataFrame(
-        [(i, row.tolist()) for i, row in enumerate(v)], "idx int, loadings array<double>"
-    )
-    loadings = index.join(table, "idx").select(*VARIANT, "af", "m", "loadings")
-    eigenvalues = [float(s) ** 2 for s in svd.s]
-    scores = pc_project(genotypes, loadings, v.shape[1])
-    return eigenvalues, scores, loadings
+    return _components(genotypes, samples, None, k)
 
 
 def join_loadings_af(loadings: DataFrame, af: DataFrame) -> DataFrame:
-    return loadings.join(af, VARIANT, "left")
+    """Loadings with the frequency ``af`` of their alt allele. With alleles on both sides these are matched,
+    and the frequency of a swapped variant is turned; else the marker id is."""
+    if not (_has_alleles(loadings) and _has_alleles(af)):
+        return loadings.join(af, VARIANT, "left")
+    joined = alleles.join_alleles(loadings, af, ["af"])
+    return joined.withColumn("af", F.when(F.col("swapped"), 1 - F.col("af")).otherwise(F.col("af"))).drop("swapped")
+
+
+def _has_alleles(df: DataFrame) -> bool:
+    return {"ref", "alt"} <= set(df.columns)
 
 
 def pc_project(genotypes: DataFrame, loadings: DataFrame, k: int = N_COMPONENTS) -> DataFrame:
     """Scores of samples on given loadings; missing calls are skipped, variants need 0 < af < 1.
 
-    ``m`` is the number of usable variants of the loadings; it is counted when not given.
+    ``m`` is the number of usable variants of the loadings; it is counted when not given. Where both sides have alleles a variant
+    is found by locus and alleles, and the dosage of a swapped one is turned (2 - g); else by locus and marker id.
     """
     usable = loadings.where((F.col("af") > 0) & (F.col("af") < 1))
     if "m" not in usable.columns:
         usable = usable.withColumn("m", usable.agg(F.count(F.lit(1))).scalar())
-    flat = usable.select(*VARIANT, "af", "m", *[F.col("loadings")[i].alias(f"l{i}") for i in range(k)])
-    flat = broadcast_checked(write_intermediate(flat, "loadings"), 80 + 8 * k)
+    matched = _has_alleles(loadings) and _has_alleles(genotypes)
+    values = ["af", "m", *[F.col("loadings")[i].alias(f"l{i}") for i in range(k)]]
+    flat = usable.select(*VARIANT, *(["ref", "alt"] if matched else []), *values)
+    flat = broadcast_checked(write_intermediate(flat, "loadings"), 120 + 8 * k)
+    called = genotypes.where(F.col("dosage").isNotNull())
+    if matched:
+        rows = alleles.join_alleles(called, flat, ["af", "m", *[f"l{i}" for i in range(k)]], "inner")
+        rows = rows.withColumn("dosage", F.when(F.col("swapped"), 2 - F.col("dosage")).otherwise(F.col("dosage")))
+    else:
+        rows = called.join(flat.drop("ref", "alt"), VARIANT)
     return (
-        genotypes.where(F.col("dosage").isNotNull())
-        .join(flat, VARIANT)
-        .withColumn("__z", _normalized())
+        rows.withColumn("__z", _normalized())
         .groupBy("s")
         .agg(F.array(*[F.sum(F.col("__z") * F.col(f"l{i}")) for i in range(k)]).alias("scores"))
     )
@@ -100,14 +103,13 @@ def union_scores(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def population_pcs(
-    genotypes: DataFrame, flagged: DataFrame, k: int = N_COMPONENTS
+    genotypes: DataFrame, flagged: DataFrame, k: int = N_COMPONENTS, samples: DataFrame | None = None
 ) -> tuple[list[float], DataFrame, DataFrame]:
-    """PCA on unflagged samples, projection of the flagged ones, all scores together."""
-    unrelated = anti_join_samples(genotypes, flagged)
-    related = semi_join_samples(genotypes, flagged)
-    eigenvalues, scores, loadings = hwe_normalized_pca(unrelated, k)
-    width = len(eigenvalues)
-    return eigenvalues, union_scores(scores, pc_project(related, loadings, width)), loadings
+    """PCA on unflagged samples, projection of the flagged ones, all scores together.
+
+    Flagged samples have a weight of 0 in every round; the last product, of all samples with the loadings, is the projection.
+    """
+    return _components(genotypes, samples, flagged, k)
 
 
 def eigenvalue_table(spark, eigenvalues: list[float]) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from phenomill.session import small_table
+from phenomill.operators import variant_rows
+from phenomill.session import write_intermediate
 
 
 # Schemas of the tables used, so that opening a table reads no footer.
@@ -298,6 +300,17 @@ class Tables:
             "dosage",
         )
 
+    def genotypes_with_alleles(self) -> DataFrame:
+        """Long rows with ref and alt: six kinds of pairs in turn, two of them ambiguous."""
+        kind = F.floor(F.col("pos") / 1000) % 6
+        pick = lambda bases: F.element_at(F.array(*[F.lit(b) for b in bases]), (kind + 1).cast("int"))
+        return self.genotypes().withColumns({"ref": pick("ACAGAC"), "alt": pick("GTCTTG")})
+
+    def variant_rows(self) -> tuple[DataFrame, DataFrame]:
+        """The genotypes as a stored table of variant rows, and their samples (sample_idx, s)."""
+        samples = write_intermediate(variant_rows.sample_index(self.raw("embeddings").select(F.col("vec_id").alias("s"))), "samples")
+        return write_intermediate(variant_rows.from_long(self.genotypes_with_alleles(), samples), "variant-rows"), samples
+
     def flagged_samples(self) -> DataFrame:
         return self.raw("embeddings").where("label = 0").select(F.col("vec_id").alias("s"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from phenomill.operators import association, cohort, genotypes, structure
+from phenomill.operators import alleles, association, cohort, genotypes, structure, variant_rows
 from phenomill.plans.registry import query, rounded
 from phenomill.session import scratch_path
 from phenomill.sources import genotypes as genotype_files
@@ -17,12 +17,15 @@ SAMPLE_BLOCKS = 8
 
 @query("SELECT chrom, pos, marker_id, round(af, 6) AS af FROM af")
 def allele_frequency(t):
-    return rounded(genotypes.allele_frequency(t.genotypes()), "af")
+    """Narrow, from the stored variant rows, as are the next two."""
+    variants, _ = t.variant_rows()
+    return rounded(genotypes.allele_frequency(variants).drop("ref", "alt"), "af")
 
 
 @query("SELECT chrom, pos, marker_id, alt_count, ref_count, c1, c2 FROM allele_counts")
 def allele_counts(t):
-    return genotypes.allele_counts(t.genotypes())
+    variants, _ = t.variant_rows()
+    return genotypes.allele_counts(variants).drop("ref", "alt")
 
 
 QC = """
@@ -34,6 +37,13 @@ QC = """
 
 @query(QC)
 def variant_qc(t):
+    variants, _ = t.variant_rows()
+    return rounded(genotypes.variant_qc(variants, min_hwe_p=None).drop("ref", "alt"), "maf")
+
+
+@query(QC)
+def variant_qc_long(t):
+    """The same from long rows."""
     return rounded(genotypes.variant_qc(t.genotypes(), min_hwe_p=None), "maf")
 
 
@@ -41,7 +51,8 @@ def variant_qc(t):
 def variant_qc_hwe(t):
     """Frequency and exact Hardy-Weinberg filters among unflagged samples."""
     samples = cohort.anti_join_samples(t.raw("embeddings").select(F.col("vec_id").alias("s")), t.flagged_samples())
-    return genotypes.variant_qc(t.genotypes(), samples)
+    variants, index = t.variant_rows()
+    return genotypes.variant_qc(variants, samples, index=index).drop("ref", "alt")
 
 
 @query("SELECT marker_id, c1, c2, mac_class FROM mac_class")
@@ -195,17 +206,77 @@ def union_scores(t):
     return rounded(structure.union_scores(*parts).select("s", F.col("scores")[0].alias("pc1")), "pc1")
 
 
+TURNED = "CASE WHEN (pos // 1000) % 3 = 1 THEN -1 ELSE 1 END"
+
+
+def foreign_loadings(t):
+    """Loadings as another source writes them: a third counts the other allele, of another third the unambiguous pairs are on the other strand."""
+    kind = F.floor(F.col("pos") / 1000) % 3
+    af = genotypes.allele_frequency(t.genotypes_with_alleles())
+    known = loadings(t).select("chrom", "pos", "marker_id", "loadings").join(af, ["chrom", "pos", "marker_id"])
+    strand = lambda c: F.when((kind == 2) & ~alleles.is_ambiguous(), F.translate(c, "ACGT", "TGCA")).otherwise(F.col(c))
+    swap = kind == 1
+    return known.select(
+        "chrom",
+        "pos",
+        F.concat(F.lit("x"), "marker_id").alias("marker_id"),
+        F.when(swap, F.col("alt")).otherwise(strand("ref")).alias("ref"),
+        F.when(swap, F.col("ref")).otherwise(strand("alt")).alias("alt"),
+        F.when(swap, 1 - F.col("af")).otherwise(F.col("af")).alias("af"),
+        "loadings",
+    )
+
+
+@query(f"""
+    WITH m AS (SELECT count(*) AS m FROM loadings)
+    SELECT s, round(sum({TURNED} * l0 * (dosage - 2 * af) / sqrt(m * 2 * af * (1 - af))), 6) AS pc1,
+           round(sum({TURNED} * l1 * (dosage - 2 * af) / sqrt(m * 2 * af * (1 - af))), 6) AS pc2
+    FROM genotypes JOIN loadings USING (chrom, pos, marker_id), m WHERE dosage IS NOT NULL GROUP BY s""")
+def pc_project_alleles(t):
+    """Variants matched by locus and alleles; other marker ids, swapped alleles and strands."""
+    out = structure.pc_project(t.genotypes_with_alleles(), foreign_loadings(t), 2)
+    return rounded(out.select("s", F.col("scores")[0].alias("pc1"), F.col("scores")[1].alias("pc2")), "pc1", "pc2")
+
+
+@query("""SELECT chrom, pos, 'x' || marker_id AS marker_id, round(l0, 6) AS l0,
+                 round(CASE WHEN (pos // 1000) % 3 = 1 THEN 1 - af ELSE af END, 6) AS af FROM loadings""")
+def join_loadings_af_alleles(t):
+    """Frequencies of the loadings' own alleles."""
+    bare = foreign_loadings(t).select("chrom", "pos", "marker_id", "ref", "alt", F.col("loadings")[0].alias("l0"))
+    af = genotypes.allele_frequency(t.genotypes_with_alleles())
+    return rounded(structure.join_loadings_af(bare, af).drop("ref", "alt"), "l0", "af")
+
+
 @query()
 def hwe_normalized_pca(t):
     """Eigenvalues of the unflagged samples."""
-    unrelated = cohort.anti_join_samples(t.genotypes(), t.flagged_samples())
-    values, _, _ = structure.hwe_normalized_pca(unrelated)
+    variants, index = t.variant_rows()
+    kept, samples = variant_rows.restrict(variants, index, cohort.anti_join_samples(index, t.flagged_samples()))
+    values, _, _ = structure.hwe_normalized_pca(kept, samples=samples)
     return structure.eigenvalue_table(t.spark, values)
 
 
+@query("""
+    WITH k AS (SELECT count(*) AS m FROM loadings),
+         z AS (SELECT s, marker_id, (dosage - 2 * af) / sqrt(2 * af * (1 - af) * m) AS z
+               FROM genotypes JOIN loadings USING (chrom, pos, marker_id), k WHERE dosage IS NOT NULL),
+         g AS (SELECT a.marker_id AS i, b.marker_id AS j, sum(a.z * b.z) AS g FROM z a JOIN z b ON a.s = b.s GROUP BY ALL),
+         h AS (SELECT a.i, b.j, sum(a.g * b.g) AS h FROM g a JOIN g b ON a.j = b.i GROUP BY ALL)
+    SELECT round((SELECT sum(g) FROM g WHERE i = j), 6) AS first, round((SELECT sum(g * g) FROM g), 6) AS second,
+           round((SELECT sum(g.g * h.h) FROM g JOIN h ON g.i = h.j AND g.j = h.i), 6) AS third""")
+def pca_moments(t):
+    """Sums of the eigenvalues, their squares and cubes, the eigenvalues as squared norms of the scores of all components."""
+    variants, samples = t.variant_rows()
+    values, scores, _ = structure.hwe_normalized_pca(variants, 64, samples)
+    norms = scores.select(F.posexplode("scores").alias("pc", "x")).groupBy("pc").agg(F.sum(F.col("x") * F.col("x")).alias("v"))
+    powers = [F.sum(F.pow("v", F.lit(n))).alias(name) for n, name in ((1, "first"), (2, "second"), (3, "third"))]
+    return rounded(norms.agg(*powers), "first", "second", "third")
+
+
 @query()
 def population_pcs(t):
-    _, scores, _ = structure.population_pcs(t.genotypes(), t.flagged_samples())
+    variants, samples = t.variant_rows()
+    _, scores, _ = structure.population_pcs(variants, t.flagged_samples(), samples=samples)
     return scores.select("s", *[F.col("scores")[i].alias(f"PC{i + 1}") for i in range(structure.N_COMPONENTS)])
 
 
@@ -341,6 +412,24 @@ def scan_vcf_dosage(t):
 
 @query("SELECT chrom, pos, marker_id, s, dosage FROM genotypes")
 def write_genotypes(t):
+    """Variant rows written by chromosome, read again and taken apart."""
     path = scratch_path(t.spark, "genotypes")
-    sinks.write_genotypes(t.genotypes(), path)
-    return t.spark.read.schema("pos bigint, marker_id string, s bigint, dosage int, chrom bigint").parquet(path)
+    variants, samples = t.variant_rows()
+    sinks.write_genotypes(variants, path)
+    schema = "pos bigint, marker_id string, ref string, alt string, dosages array<int>, chrom bigint"
+    return genotype_files.to_long(t.spark.read.schema(schema).parquet(path), samples).drop("ref", "alt")
+
+
+@query("""SELECT CAST(chrom AS VARCHAR) AS chrom, pos, marker_id, CAST(s AS VARCHAR) AS s, CAST(dosage AS INT) AS dosage,
+                 'ACAGAC'[(pos // 1000) % 6 + 1] AS ref, 'GTCTTG'[(pos // 1000) % 6 + 1] AS alt FROM genotypes""")
+def scan_plink(t):
+    """Variant rows written as a bed / bim / fam set for each chromosome and read again."""
+    folder = scratch_path(t.spark, "plink")
+    variants, samples = t.variant_rows()
+    parts = []
+    for chrom in (1, 2):
+        prefix = f"{folder}/chr{chrom}"
+        sinks.write_plink(variants.where(F.col("chrom") == chrom), samples, prefix)
+        rows = genotype_files.scan_plink(t.spark, prefix)
+        parts.append(genotype_files.to_long(rows, genotype_files.scan_fam(t.spark, prefix + ".fam")))
+    return parts[0].unionByName(parts[1]).withColumn("dosage", F.col("dosage").cast("int"))

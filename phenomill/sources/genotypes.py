@@ -72,7 +72,7 @@ def scan_plink(spark: SparkSession, prefix: str, variants_per_task: int = 256) -
         table = np.array(BED_CODES, dtype="int8")
         for pdf in batches:
             for first in pdf["id"]:
-                system, name = fs.FileSystem.from_uri(bed if "://" in bed else "file://" + bed)
+                system, name = fs.FileSystem.from_uri(bed if ":/" in bed else "file://" + bed)
                 count = min(variants_per_task, n_variants - first)
                 with system.open_input_file(name) as handle:
                     if handle.read(3) != BED_MAGIC:

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from phenomill.operators import association, genotypes, structure
+from phenomill.operators import alleles, association, genotypes, pca, structure, variant_rows
 from phenomill.sources import genotypes as files
 
 N, M = 90, 40
@@ -136,6 +136,67 @@ def test_principal_components(long, matrix, frame):
     assert v.T @ v == pytest.approx(np.eye(5), abs=1e-8)
 
 
+def test_components_by_rounds_over_small_tiles(long, matrix, frame, monkeypatch):
+    """Fewer directions than variants, so that rounds have to converge; every border lies inside the matrix."""
+    for name, value in (("WIDTH", 8), ("VARIANTS", 7), ("SAMPLES", 16), ("TILES_PER_TASK", 3)):
+        monkeypatch.setattr(pca, name, value)
+    values, scores, loadings = structure.hwe_normalized_pca(long, 3)
+    z = normalized(matrix, list(range(N)))
+    _, s, vt = np.linalg.svd(z, full_matrices=False)
+    assert values == pytest.approx((s[:3] ** 2).tolist(), rel=1e-7)
+    got = {r.s: np.array(r.scores) for r in scores.collect()}
+    stacked = np.array([got[i] for i in range(N)])
+    assert np.abs(stacked) == pytest.approx(np.abs(z @ vt[:3].T), abs=1e-3)
+    assert (stacked**2).sum(axis=0) == pytest.approx(values)
+    assert np.array([r.loadings for r in loadings.collect()]).sum(axis=0).min() >= 0
+
+
+def test_no_polymorphic_variant(frame):
+    rows = frame("chrom int, pos bigint, marker_id string, s bigint, dosage int", (1, 1, "a", 1, 0), (1, 1, "a", 2, 0))
+    with pytest.raises(ValueError):
+        structure.hwe_normalized_pca(rows)
+
+
+def test_variant_rows(spark, long, matrix, frame, monkeypatch):
+    monkeypatch.setattr(variant_rows, "PIECE", 32)
+    index = variant_rows.sample_index(long)
+    holes = long.where("NOT (marker_id = 'm03' AND s < 40)")
+    variants = variant_rows.from_long(holes, index).cache()
+    rows = {r.marker_id: r.dosages for r in variants.collect()}
+    for j in range(M):
+        want = [None if np.isnan(v) or (j == 3 and i < 40) else int(v) for i, v in enumerate(matrix[:, j])]
+        assert rows[f"m{j:02d}"] == want
+    filled = holes.unionByName(long.where("marker_id = 'm03' AND s < 40").withColumn("dosage", F.lit(None).cast("int")))
+    for statistic in (genotypes.allele_frequency, genotypes.allele_counts, genotypes.genotype_counts):
+        for mine, other in zip(sorted(statistic(variants).collect()), sorted(statistic(filled).collect()), strict=True):
+            assert mine[:3] == other[:3] and mine[3:] == pytest.approx(other[3:])
+    keep = frame("s bigint", *[(i,) for i in range(0, N, 3)], (0,), (10**6,))
+    kept, samples = variant_rows.restrict(variants, index, keep)
+    assert [r.s for r in samples.orderBy("sample_idx").collect()] == list(range(0, N, 3))
+    assert {r.marker_id: r.dosages for r in kept.collect()} == {k: v[::3] for k, v in rows.items()}
+    few = genotypes.variant_qc(variants, keep, index=index).collect()
+    assert sorted(few) == sorted(genotypes.variant_qc(filled, keep).collect())
+
+
+def test_frequencies_of_variant_rows_need_no_shuffle(spark, long, tmp_path):
+    variant_rows.from_long(long, variant_rows.sample_index(long)).write.parquet(str(tmp_path / "v"))
+    for statistic in (genotypes.allele_frequency, genotypes.allele_counts, genotypes.genotype_counts):
+        plan = statistic(spark.read.parquet(str(tmp_path / "v")))._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_alleles(frame):
+    schema = "chrom int, pos bigint, marker_id string, ref string, alt string"
+    mine = [(1, 1, "A", "G"), (1, 2, "A", "G"), (1, 3, "A", "G"), (1, 4, "A", "G"), (1, 5, "A", "T"), (1, 6, "A", "T"), (1, 7, "AC", "A"), (1, 8, "AC", "A"), (1, 9, "A", "G"), (1, 10, "a", "g"), (2, 1, "A", "G"), (1, 11, None, "G")]
+    other = [(1, 1, "A", "G"), (1, 2, "G", "A"), (1, 3, "T", "C"), (1, 4, "C", "T"), (1, 5, "A", "T"), (1, 6, "T", "A"), (1, 7, "A", "AC"), (1, 8, "GT", "T"), (1, 9, "A", "C"), (1, 10, "G", "A"), (1, 11, None, "G")]
+    left = frame(schema, *[(c, p, "x", r, a) for c, p, r, a in mine])
+    right = frame(schema, *[(c, p, "y", r, a) for c, p, r, a in other]).withColumn("af", F.lit(0.25))
+    want = {(1, 1): False, (1, 2): True, (1, 3): False, (1, 4): True, (1, 5): False, (1, 6): True, (1, 7): True, (1, 8): False, (1, 9): None, (1, 10): True, (2, 1): None, (1, 11): None}
+    assert {(r.chrom, r.pos): r.swapped for r in alleles.join_alleles(left, right, ["af"]).collect()} == want
+    strict = {(r.chrom, r.pos): r.swapped for r in alleles.join_alleles(left, right, ["af"], drop_ambiguous=True).collect()}
+    assert strict == want | {(1, 5): None, (1, 6): None}
+
+
 def test_relatedness_over_blocks(long, matrix):
     af = np.nanmean(matrix, axis=0) / 2
     ok = (af > 0) & (af < 1)
