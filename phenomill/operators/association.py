@@ -112,11 +112,145 @@ def null_model(
     )
 
 
+def _weighted_sums(rows: DataFrame, keys: list[str], width: int) -> DataFrame:
+    """Per group one array: the upper triangle of sum(w x x'), sum(x (y - mu)), sum((y - mu)^2) and the number of rows.
+
+    ``rows`` has x, y, beta and binary. Tasks add up matrices for each of their groups, so only those are shuffled.
+    """
+    upper = np.triu_indices(width)
+    size = len(upper[0]) + width + 2
+
+    def partial(batches):
+        held: dict[tuple, np.ndarray] = {}
+        for pdf in batches:
+            for key, part in pdf.groupby(keys, sort=False, dropna=False):
+                x, y = np.stack(part["x"].to_numpy()), part["y"].to_numpy(dtype=float)
+                mu = x @ part["beta"].iloc[0]
+                weight = np.ones(len(y))
+                if part["binary"].iloc[0]:
+                    mu = 1.0 / (1.0 + np.exp(-np.clip(mu, -700.0, 700.0)))
+                    weight = mu * (1.0 - mu)
+                off = y - mu
+                sums = np.concatenate([(x.T @ (weight[:, None] * x))[upper], x.T @ off, [off @ off, len(y)]])
+                held[key] = held[key] + sums if key in held else sums
+            if len(held) > 20_000:
+                yield pd.DataFrame([(*k, v) for k, v in held.items()], columns=[*keys, "sums"])
+                held = {}
+        if held:
+            yield pd.DataFrame([(*k, v) for k, v in held.items()], columns=[*keys, "sums"])
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pdf.iloc[:1][keys].assign(sums=[np.sum(np.stack(pdf["sums"].to_numpy()), axis=0)])
+
+    types = dict(rows.dtypes)
+    schema = ", ".join(f"{k} {types[k]}" for k in keys) + ", sums array<double>"
+    parts = rows.select(*keys, "x", "y", "beta", "binary").mapInPandas(partial, schema)
+    # One row per task and group.
+    return parts.groupBy(*keys).applyInPandas(add, schema)
+
+
+def null_models(
+    people: DataFrame,
+    runs: DataFrame,
+    outcomes: dict[str, str],
+    covariates: list[str] = NULL_COVARIATES,
+    keys: list[str] = ["ancestry", "trait"],  # noqa: B006
+    inverse_normal: bool = False,
+    sample: str = "person_id",
+    max_iterations: int = 50,
+) -> DataFrame:
+    """Null models of all groups (ancestry, trait) at once: the group's keys and the columns of ``null_model``.
+
+    ``people``: one row per sample with its ancestry, covariates and an outcome column for each trait. ``outcomes``: the kind of each
+    trait, 'binary' or 'quantitative'; a trait's name is its column. ``runs``: the groups to fit, as ``cohort.run_grid`` gives them (more
+    columns and repeats don't matter). All groups take a step of iteratively reweighted least squares together, with
+    one aggregate of matrices per group; settled groups leave. The equations of a group are solved in a task. Constant covariates of
+    a group are 0 in its ``x``.
+    """
+    if bad := set(outcomes.values()) - {"binary", "quantitative"}:
+        raise ValueError(f"kinds of traits are 'binary' or 'quantitative', not {sorted(bad)}")
+    by_person = [k for k in keys if k != "trait"]
+    choices = [F.struct(F.lit(t).alias("trait"), F.lit(k == "binary").alias("binary"), F.col(t).cast("double").alias("y")) for t, k in outcomes.items()]
+    wide = people.select(
+        F.col(sample).alias("s"), *by_person, F.array(*[F.col(c).cast("double") for c in covariates]).cast("array<double>").alias("c"), F.inline(F.array(*choices))
+    )
+    wanted = write_intermediate(runs.select(*keys).distinct(), "runs")
+    rows = wide.where(F.col("y").isNotNull() & ~F.exists("c", lambda v: v.isNull())).join(broadcast_checked(wanted, 100), keys)
+    if inverse_normal:
+        scored = rank_inverse_normal(rows, keys, "y", "__y")
+        rows = scored.withColumn("y", F.when(F.col("binary"), F.col("y")).otherwise(F.col("__y"))).drop("__y")
+    n = len(covariates)
+    moments = rows.groupBy(*keys).agg(
+        F.array(*[F.avg(F.col("c")[i]) for i in range(n)]).cast("array<double>").alias("means"),
+        F.array(*[F.stddev_samp(F.col("c")[i]) for i in range(n)]).cast("array<double>").alias("spreads"),
+    )
+    moments = write_intermediate(moments, "moments")
+    scaled = F.transform(
+        F.arrays_zip("c", "means", "spreads"),
+        lambda v: F.when(v["spreads"] > 0, (v["c"] - v["means"]) / v["spreads"]).otherwise(0.0),
+    )
+    width = n + 1
+    rows = rows.join(broadcast_checked(moments, 16 * n + 100), keys).select(
+        "s", *keys, "binary", "y", F.concat(F.array(F.lit(1.0)), scaled).alias("x"),
+        (1 + F.size(F.filter("spreads", lambda v: v > 0))).alias("rank"),
+    )
+    rows = write_intermediate(rows, "null-rows")
+    start = rows.groupBy(*keys).agg(F.first("binary").alias("binary"), F.max("rank").alias("rank"), F.count("*").alias("n"))
+    zero = F.array_repeat(F.lit(0.0), width).alias("beta")
+    state = write_intermediate(start.select(*keys, "binary", "rank", "n", zero, F.lit(False).alias("settled")), "null-state")
+    types = dict(state.dtypes)
+    schema = ", ".join(f"{c} {types[c]}" for c in state.columns)
+    upper = np.triu_indices(width)
+
+    def solve(batches):
+        for pdf in batches:
+            betas, settled = [], []
+            for beta, sums, binary in zip(pdf["beta"], pdf["sums"], pdf["binary"]):
+                gram = np.zeros((width, width))
+                gram[upper] = sums[: len(upper[0])]
+                gram = gram + np.triu(gram, 1).T
+                step = np.linalg.pinv(gram, rcond=1e-12, hermitian=True) @ sums[len(upper[0]) : len(upper[0]) + width]
+                betas.append(beta + step)
+                settled.append(not binary or bool(np.abs(step).max() <= 1e-10 * (1.0 + np.abs(beta).max())))
+            yield pdf.drop(columns="sums").assign(beta=betas, settled=settled)[state_columns]
+
+    state_columns = state.columns
+    for _ in range(max_iterations):
+        open_ = state.where("NOT settled").select(*keys, "beta")
+        if open_.isEmpty():
+            break
+        sums = _weighted_sums(rows.join(broadcast_checked(open_, 8 * width + 100), keys), keys, width)
+        moved = state.where("NOT settled").join(sums, keys).mapInPandas(solve, schema)
+        state = write_intermediate(state.where("settled").unionByName(moved), "null-state")
+    fitted = rows.join(broadcast_checked(state.select(*keys, "beta"), 8 * width + 100), keys)
+    linear = F.aggregate(F.zip_with("x", "beta", lambda a, b: a * b), F.lit(0.0), lambda t, e: t + e)
+    fitted = fitted.withColumn("mu", F.when(F.col("binary"), 1.0 / (1.0 + F.exp(-linear))).otherwise(linear))
+    off = F.col("y") - F.col("mu")
+    spread = fitted.where("NOT binary").groupBy(*keys).agg((F.sum(off * off) / (F.count("*") - F.max("rank"))).alias("sigma2"))
+    fitted = fitted.join(broadcast_checked(write_intermediate(spread, "null-spread"), 100), keys, "left")
+    binary = F.col("binary")
+    return fitted.select(
+        "s",
+        *keys,
+        F.when(binary, F.col("y")).alias("is_case"),
+        "mu",
+        F.when(binary, off).otherwise(off / F.col("sigma2")).alias("residual"),
+        F.when(binary, F.col("mu") * (1 - F.col("mu"))).otherwise(1.0 / F.col("sigma2")).alias("weight"),
+        "x",
+    )
+
+
+def group_keys(null: DataFrame) -> list[str]:
+    """What tells the null models of a table apart."""
+    return [c for c in ("ancestry", "trait") if c in null.columns]
+
+
 def _design_totals(null: DataFrame, width: int) -> dict:
-    """Per trait: sample and case counts and the inverse of sum(weight * x x')."""
+    """Per group: sample and case counts and the inverse of sum(weight * x x')."""
+    keys = group_keys(null)
     w = F.col("weight")
     cells = [(a, b) for a in range(width) for b in range(a, width)]
-    totals = null.groupBy("trait").agg(
+    totals = null.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("is_case").alias("cases"),
         F.array(
@@ -127,16 +261,16 @@ def _design_totals(null: DataFrame, width: int) -> dict:
         ).alias("xwx"),
     )
     out = {}
-    for row in totals.collect():  # one row per trait
+    for row in totals.collect():  # one row per group
         full = np.zeros((width, width))
         for (a, b), value in zip(cells, row["xwx"]):
             full[a, b] = full[b, a] = value
-        out[row["trait"]] = (row["n"], row["cases"], np.linalg.pinv(full))
+        out[tuple(row[k] for k in keys)] = (row["n"], row["cases"], np.linalg.pinv(full))
     return out
 
 
 def score_sums(genotypes: DataFrame, null: DataFrame, width: int) -> DataFrame:
-    """Sums per variant and trait over carriers and missing calls only."""
+    """Sums per variant and group over carriers and missing calls only."""
     carriers = genotypes.where(F.col("dosage").isNull() | (F.col("dosage") != 0))
     joined = carriers.join(null, "s")
     g, w, r = F.col("dosage").cast("double"), F.col("weight"), F.col("residual")
@@ -145,7 +279,7 @@ def score_sums(genotypes: DataFrame, null: DataFrame, width: int) -> DataFrame:
     def x(i):
         return F.coalesce(F.get("x", F.lit(i)), F.lit(0.0))
 
-    return joined.groupBy(*VARIANT, "trait").agg(
+    return joined.groupBy(*VARIANT, *group_keys(null)).agg(
         F.sum(g).alias("g"),
         F.sum(g * F.col("is_case")).alias("g_case"),
         F.sum(g * r).alias("gr"),
@@ -171,7 +305,7 @@ def _filled_rows(values: pd.Series) -> np.ndarray:
 
 
 def assoc_scan(genotypes: DataFrame, null: DataFrame, min_mac: float = MIN_MAC, burden: bool = False) -> DataFrame:
-    """Covariate-adjusted score test of every variant and trait.
+    """Covariate-adjusted score test of every variant and trait, or ancestry and trait if the null models have both.
 
     Non-carriers add nothing to the sums, so only carrier rows are joined, with a broadcast null
     model while its counted rows fit, and the partial sums combine before the shuffle.
@@ -181,6 +315,7 @@ def assoc_scan(genotypes: DataFrame, null: DataFrame, min_mac: float = MIN_MAC,
     left by the covariates) keeps its row with NULL statistics.
     """
     null = write_intermediate(null, "null-model")
+    keys = group_keys(null)
     width = null.agg(F.max(F.size("x"))).first()[0]
     totals = _design_totals(null, width)
     null = broadcast_checked(null, 8 * width + 80)
@@ -189,8 +324,8 @@ def assoc_scan(genotypes: DataFrame, null: DataFrame, min_mac: float = MIN_MAC,
 
     def test(batches):
         for pdf in batches:
-            for trait, rows in pdf.groupby("trait", sort=False):
-                n, cases, inverse = totals[trait]
+            for group, rows in pdf.groupby(keys, sort=False):
+                n, cases, inverse = totals[group]
                 alt = _filled(rows["g"])
                 called = n - rows["n_missing"].to_numpy(dtype=float)
                 af = np.divide(alt, 2.0 * called, out=np.full(len(alt), np.nan), where=called > 0)
@@ -207,7 +342,7 @@ def assoc_scan(genotypes: DataFrame, null: DataFrame, min_mac: float = MIN_MAC,
                 score, var = np.where(tested, score, np.nan), np.where(tested, var, np.nan)
                 out = pd.DataFrame(
                     {
-                        "chrom": rows["chrom"], "pos": rows["pos"], "MarkerID": rows["marker_id"], "trait": trait,
+                        "chrom": rows["chrom"], "pos": rows["pos"], "MarkerID": rows["marker_id"], **dict(zip(keys, group)),
                         "AC_Allele2": ac, "AF_Allele2": af, "BETA": score / var, "SE": 1.0 / np.sqrt(var), "Tstat": score, "var": var,
                         "p.value": _erfc(np.sqrt(score * score / var / 2.0)), "N": n,
                         "N_case": cases, "N_ctrl": None if cases is None else n - cases, "mean_dosage": mean,
@@ -217,7 +352,7 @@ def assoc_scan(genotypes: DataFrame, null: DataFrame, min_mac: float = MIN_MAC,
                 yield out[~(count < min_mac)].astype({"N_case": float, "N_ctrl": float})
 
     schema = (
-        f"chrom {chrom_type}, pos {pos_type}, MarkerID string, trait string, AC_Allele2 double, "
+        f"chrom {chrom_type}, pos {pos_type}, MarkerID string, {', '.join(f'{k} string' for k in keys)}, AC_Allele2 double, "
         "AF_Allele2 double, BETA double, SE double, Tstat double, var double, `p.value` double, "
         "N bigint, N_case double, N_ctrl double, mean_dosage double, covariate_effect array<double>"
     )

@@ -305,6 +305,42 @@ def null_model(t):
     return rounded(out.select("s", "mu", "residual", "weight"), "mu", "residual", "weight")
 
 
+def grid_people(t):
+    """Samples with an ancestry, two covariates and outcomes of both kinds; and the runs of their grid."""
+    people = t.genotype_phenotype().withColumn("ancestry", F.when(F.col("s") % 3 == 0, "afr").otherwise("eur"))
+    people = people.withColumn("y_shifted", F.col("y_quantitative") + 2 * F.col("sex") * F.col("age"))
+    kinds = {"y_binary": "binary", "y_quantitative": "quantitative", "y_shifted": "quantitative"}
+    phenotypes = t.spark.createDataFrame([(k,) for k in kinds], "trait string")
+    return people, cohort.run_grid(phenotypes, ["afr", "eur"], ["indep"], ["array", "wgs"]), kinds
+
+
+@query("""
+    WITH d AS (SELECT vec_id AS s, CASE WHEN vec_id % 3 = 0 THEN 'afr' ELSE 'eur' END AS ancestry, CAST(vec_id % 101 + label AS DOUBLE) AS y0,
+                      CAST(18 + vec_id % 60 AS DOUBLE) AS a, CAST(vec_id % 2 AS DOUBLE) AS b FROM embeddings),
+         u AS (SELECT s, ancestry, a, b, 'y_quantitative' AS trait, y0 AS y FROM d UNION ALL
+               SELECT s, ancestry, a, b, 'y_shifted', y0 + 2 * b * a FROM d),
+         m AS (SELECT ancestry, trait, count(*) AS n, avg(y) AS my, avg(a) AS ma, avg(b) AS mb, covar_pop(a, a) AS aa, covar_pop(b, b) AS bb,
+                      covar_pop(a, b) AS ab, covar_pop(a, y) AS ay, covar_pop(b, y) AS b_y FROM u GROUP BY ALL),
+         f AS (SELECT *, (ay * bb - b_y * ab) / (aa * bb - ab * ab) AS ca, (b_y * aa - ay * ab) / (aa * bb - ab * ab) AS cb FROM m),
+         e AS (SELECT s, u.ancestry, u.trait, y - (my + ca * (a - ma) + cb * (b - mb)) AS r, my + ca * (a - ma) + cb * (b - mb) AS mu, n
+               FROM u JOIN f USING (ancestry, trait)),
+         v AS (SELECT ancestry, trait, sum(r * r) / (max(n) - 3) AS s2 FROM e GROUP BY ALL)
+    SELECT s, ancestry, trait, round(mu, 6) AS mu, round(r / s2, 6) AS residual, round(1 / s2, 6) AS weight FROM e JOIN v USING (ancestry, trait)""")
+def null_models(t):
+    """The quantitative traits of a grid that is fitted in one call, two covariates."""
+    people, runs, kinds = grid_people(t)
+    out = association.null_models(people, runs, kinds, ["age", "sex"], sample="s").where(F.col("trait") != "y_binary")
+    return rounded(out.select("s", "ancestry", "trait", "mu", "residual", "weight"), "mu", "residual", "weight")
+
+
+@query()
+def assoc_scan_grid(t):
+    """Every variant, ancestry and trait of the grid, binary ones too."""
+    people, runs, kinds = grid_people(t)
+    null = association.null_models(people, runs, kinds, ["age", "sex"], sample="s")
+    return association.assoc_scan(t.genotypes(), null).drop("covariate_effect")
+
+
 @query()
 def null_model_binary(t):
     return association.null_model(t.genotype_phenotype(), "b", "y_binary", ["age", "sex"], sample="s")
@@ -324,13 +360,16 @@ def rank_inverse_normal(t):
          a AS (SELECT marker_id, sum(g) AS ac, sum(g * (y - mu) / s2) AS score, (sum(g * g) - sum(g) * sum(g) / max(n)) / max(s2) AS v,
                       max(n) AS n FROM g JOIN d USING (s), k GROUP BY marker_id)
     SELECT marker_id AS MarkerID, round(ac, 6) AS AC_Allele2, round(ac / (2 * n), 6) AS AF_Allele2, round(score / v, 6) AS BETA,
-           round(1 / sqrt(v), 6) AS SE, round(score, 6) AS Tstat, round(v, 6) AS var, n AS N
+           round(1 / sqrt(v), 6) AS SE, round(score, 6) AS Tstat, round(v, 6) AS var, n AS N,
+           round(greatest(0, 1 - 2 * abs(score) / sqrt(v) / 3000 * list_sum(list_transform(range(0, 1001),
+               lambda i: (CASE WHEN i IN (0, 1000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * exp(-score * score / v * i * i / 2000000) / sqrt(2 * pi())))), 6) AS "p.value",
+           CAST(NULL AS DOUBLE) AS N_case, CAST(NULL AS DOUBLE) AS N_ctrl
     FROM a WHERE v > 0 AND least(ac, 2 * n - ac) >= 0.5""")
 def assoc_scan(t):
-    """Score test without covariates, which SQL can express."""
+    """Score test without covariates, which SQL can express (p-values by Simpson's rule)."""
     null = association.null_model(t.genotype_phenotype(), "q", "y_quantitative", [], "quantitative", sample="s")
-    columns = ["MarkerID", "AC_Allele2", "AF_Allele2", "BETA", "SE", "Tstat", "var", "N"]
-    return rounded(association.assoc_scan(t.genotypes(), null).select(*columns), *columns[1:7])
+    columns = ["MarkerID", "AC_Allele2", "AF_Allele2", "BETA", "SE", "Tstat", "var", "N", "`p.value`", "N_case", "N_ctrl"]
+    return rounded(association.assoc_scan(t.genotypes(), null).select(*columns), *columns[1:7], "p.value")
 
 
 @query()

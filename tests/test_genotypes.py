@@ -265,6 +265,35 @@ def test_scan_against_numpy(long, matrix, phenotypes, binary):
         assert r.N_case == (y.sum() if binary else None)
 
 
+def test_null_models_of_a_grid(spark, long, phenotypes):
+    """All groups in one call equal single fits, and so do their scans."""
+    df = phenotypes[3].withColumns({"ancestry": F.when(F.col("person_id") % 3 == 0, "x").otherwise("y"), "person_id": F.col("person_id").cast("bigint")})
+    df = df.withColumn("q", F.when(F.col("person_id") != 5, F.col("q")))
+    runs = spark.createDataFrame([(a, t, "more") for a in "xy" for t in ("y", "q")] * 2 + [("z", "q", "")], "ancestry string, trait string, other string")
+    covariates = ["a", "b", "constant"]
+    both = association.null_models(df, runs, {"y": "binary", "q": "quantitative"}, covariates)
+    scanned = association.assoc_scan(long, both).collect()
+    rows = {(r.ancestry, r.trait, r.s): r for r in both.collect()}
+    for a in "xy":
+        for t, kind in (("y", "binary"), ("q", "quantitative")):
+            part = df.where(F.col("ancestry") == a)
+            one = association.null_model(part, t, t, covariates, kind)
+            single = one.collect()
+            assert len(single) == sum(1 for k in rows if k[:2] == (a, t))
+            for r in single:
+                mine = rows[a, t, r.s]
+                assert (mine.mu, mine.residual, mine.weight) == pytest.approx((r.mu, r.residual, r.weight), rel=1e-5, abs=1e-6)
+                assert mine.is_case == r.is_case and len(mine.x) == 4 and mine.x[3] == 0
+            want = {r.MarkerID: r for r in association.assoc_scan(long, one).collect()}
+            got = {r.MarkerID: r for r in scanned if (r.ancestry, r.trait) == (a, t)}
+            assert got.keys() == want.keys()
+            for k, r in want.items():
+                assert (got[k].N, got[k].N_case, got[k].N_ctrl) == (r.N, r.N_case, r.N_ctrl)
+                assert (got[k].Tstat, got[k]["p.value"]) == pytest.approx((r.Tstat, r["p.value"]), rel=1e-4, abs=1e-4, nan_ok=True)
+    with pytest.raises(ValueError):
+        association.null_models(df, runs, {"y": "survival"})
+
+
 def spa_numpy(g, mu, rest, q):
     def k(t):
         return np.log(1 - mu + mu * np.exp(g * t)).sum() - t * (g * mu).sum() + rest * t * t / 2
