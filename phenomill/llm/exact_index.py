@@ -219,6 +219,28 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 
 def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the rows that an equal text with a larger id replaces; rows without an id stay."""
-    gone = exact_groups(docs, doc_id, text).where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(doc_id)).distinct()
-    return docs.join(gone, doc_id, "left_anti")
+    """One row of each group of equal texts: that with the largest id, any one of several such rows; a row without an id
+    stays only if no equal text has one.
+
+    Ids of which no row stays are left out by id, so texts aren't shuffled by their digest; only rows of an id that also
+    has a row that stays (repeated ids, rows without an id) are told apart by their text.
+    """
+    rows = written(digests(docs, doc_id, text), "digests")
+    index = written(build_index(rows), "exact-index")
+    stays = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    by_id = rows.join(index, "digest").groupBy("doc_id").agg(F.count("*").alias("n"), F.count_if(stays).alias("kept"))
+    by_id = written(by_id.where("n > 1 OR kept = 0"), "exact-by-id")
+    same_id = lambda ids: docs[doc_id].cast("long").eqNullSafe(ids["doc_id"])
+    rest = docs.join(by_id, same_id(by_id), "left_anti")
+    mixed = by_id.where("kept > 0")
+    some = docs.join(mixed, same_id(mixed), "left_semi")
+    keyed = some.withColumns({"__digest": _digest_column(text), "__id": F.col(doc_id).cast("long")})
+    winners = index.select(F.col("digest").alias("__digest"), F.col("keep_id").alias("__keep"))
+    chosen = keyed.join(winners, "__digest").where(F.col("__id").eqNullSafe(F.col("__keep"))).dropDuplicates(["__digest"])
+    return rest.unionByName(chosen.select(*docs.columns))
+
+
+def _digest_column(text: str):
+    """The digest of ``digests`` as an expression."""
+    lower = F.translate(F.coalesce(F.col(text), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.unhex(F.sha2(lower.cast("binary"), 256))

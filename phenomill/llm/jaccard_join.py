@@ -370,7 +370,42 @@ def components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, doc_id
     return rows.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
+def _keys(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = [shingle_set(text, size) for text in texts(batch, "__text")]
+            columns = [longs(np.array([set_key(m) for m in sets], dtype=np.uint64)), pa.array([len(m) for m in sets], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "__key", "__n"])
+
+    return run
+
+
 def drop_near_copies(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the smallest id of each component; rows without an id stay."""
-    gone = components(docs, size, percent, doc_id, text).where("doc_id <> component_id").select(F.col("doc_id").alias(doc_id)).distinct()
-    return docs.join(gone, doc_id, "left_anti")
+    """One row of each component, one with the smallest id; rows without an id or without words stay, equal ones of these with
+    an id once.
+
+    Rows are told apart by id and set, so an id may belong to several texts: each is judged by itself. Only rows of ids that occur
+    more than once have their sets computed again.
+    """
+    profile, links = link_table(docs, size, percent, doc_id, text)
+    labels = connected_components(links).withColumnRenamed("node", "key")
+    named = profile.where("doc_id IS NOT NULL AND n > 0")
+    classes = named.groupBy("key").agg(F.min("doc_id").alias("least")).join(labels, "key", "left")
+    classes = written(classes.select("key", "least", F.coalesce("component", "key").alias("component")), "near-classes")
+    winners = written(classes.groupBy("component").agg(F.min(F.struct("least", "key")).alias("w")).select("w.*"), "near-winners")
+    # A set that wins keeps the rows of its smallest id; every other row with words goes.
+    won = winners.select("key", F.col("least").alias("doc_id"), F.lit(True).alias("won"))
+    marked = profile.where("doc_id IS NOT NULL").join(won, ["key", "doc_id"], "left")
+    stays = (F.col("n") == 0) | F.col("won").isNotNull()
+    by_id = marked.groupBy("doc_id").agg(F.count("*").alias("rows"), F.count_if(stays).alias("kept"))
+    by_id = written(by_id.where("rows > 1 OR kept = 0"), "near-by-id")
+    same_id = lambda ids: docs[doc_id].cast("long") == ids["doc_id"]
+    rest = docs.join(by_id, same_id(by_id), "left_anti")
+    mixed = by_id.where("kept > 0")
+    some = docs.join(mixed, same_id(mixed), "left_semi").withColumns({"__text": F.col(text), "__id": F.col(doc_id).cast("long")})
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in some.schema.fields)
+    keyed = some.mapInArrow(_keys(size), f"{kinds}, __key long, __n long")
+    known = winners.select(F.col("key").alias("__key"), F.col("least").alias("__id"), F.lit(True).alias("__won"))
+    keyed = keyed.join(known, ["__key", "__id"], "left").where("__n = 0 OR __won IS NOT NULL")
+    once = keyed.withColumn("__same", F.when(F.col("__n") == 0, F.xxhash64("__text"))).dropDuplicates(["__id", "__key", "__same"])
+    return rest.unionByName(once.select(*docs.columns))

@@ -9,6 +9,8 @@ dot product of demand and what is left (``dot``). Weights divide by the capaciti
 Pieces are dealt by hash into groups of about ``group_size``; each task packs whole groups, so the work spreads,
 and a group wastes at most about one sequence. Ids are stable: group number and number within it.
 
+A text that the fast encoder's splitter can't read (a very long run of white space) is encoded by the ``tokenizers`` library.
+
 Null texts count as empty (only the end id), rows without an id and repeated rows are packed as
 documents of their own, an empty table gives no rows, other columns are ignored.
 """
@@ -25,6 +27,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from phenomill.llm.common import regroup, written
 
@@ -51,6 +54,20 @@ def encoder(path: str, pattern: str) -> tuple[tiktoken.Encoding, frozenset[str]]
     return tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special), frozenset(special)
 
 
+@functools.lru_cache(maxsize=2)
+def exact_encoder(path: str) -> Tokenizer:
+    return Tokenizer.from_file(path)
+
+
+def text_ids(text: str, path: str, pattern: str) -> list[int]:
+    """Ids of a text as the ``tokenizers`` library gives them."""
+    encoding, special = encoder(path, pattern)
+    try:
+        return encoding.encode(text, allowed_special=special)
+    except ValueError:  # its splitter ran out of stack
+        return exact_encoder(path).encode(text, add_special_tokens=False).ids
+
+
 def token_pieces(
     docs: DataFrame,
     path: str,
@@ -64,13 +81,12 @@ def token_pieces(
     """Pieces of every document, with their ids as an array if asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding, special = encoder(path, pattern)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 rows: list[tuple] = []
                 for key, value in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
-                    ids = np.array(encoding.encode(value or "", allowed_special=special) + [end_id], dtype="<u4")
+                    ids = np.array([*text_ids(value or "", path, pattern), end_id], dtype="<u4")
                     first = (len(ids) - 1) % max_tokens + 1
                     cuts = [0, *range(first, len(ids) + 1, max_tokens)]
                     for number, (a, b) in enumerate(zip(cuts, cuts[1:])):

@@ -136,16 +136,41 @@ def random_parts(run: str, ratio: float, tokens: tiktoken.Encoding) -> list[tupl
     return found
 
 
+def _apart(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """Runs, and what base spans leave of them on either side; both lists are in order, so each is walked once."""
+    base: list[list[int]] = []
+    for start, _, end in sorted(taken):
+        if base and start <= base[-1][1]:
+            base[-1][1] = max(base[-1][1], end)
+        else:
+            base.append([start, end])
+    first = 0
+    for m in RUN.finditer(text):
+        at, end = m.span()
+        while first < len(base) and base[first][1] <= at:
+            first += 1
+        k = first
+        while k < len(base) and base[k][0] < end:
+            if base[k][0] - at >= LEAST:
+                yield at, base[k][0]
+            at = max(at, base[k][1])
+            k += 1
+        first = max(first, k - 1)
+        if end - at >= LEAST:
+            yield at, end
+
+
 def random_spans(text: str, taken: list[tuple[int, int, int]], ratio: float, tokens: tiktoken.Encoding) -> list[tuple[int, int, int]]:
+    """Random runs and stretches of runs outside the base spans."""
     found = []
-    for m in RUN.finditer(text):
-        start, end = m.span()
-        if any(s < end and start < e for s, _, e in taken) or known(m[0]):
+    for start, end in _apart(text, taken):
+        run = text[start:end]
+        if known(run):
             continue
-        if _ratio(m[0], tokens) <= ratio:
+        if _ratio(run, tokens) <= ratio:
             found.append((start, 3, end))
         else:
-            found += [(start + s, 3, start + e) for s, e in random_parts(m[0], ratio, tokens)]
+            found += [(start + s, 3, start + e) for s, e in random_parts(run, ratio, tokens)]
     return found
 
 
