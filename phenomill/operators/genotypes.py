@@ -341,13 +341,14 @@ def markers_for_variance_ratio(
     per_class: dict[str, int] = {"rare": MARKERS_PER_CLASS, "common": MARKERS_PER_CLASS},
     min_hwe_p: float = MIN_HWE_P,
     sample_blocks: int = 64,
+    kb: float | None = None,
 ) -> DataFrame:
     """Quality filter, pruning, then the wanted number of markers of each class; fails when a class is
-    too small."""
+    too small. ``kb`` prunes by length instead of by number of variants."""
     kept = genotypes.join(samples.select("s"), "s", "left_semi")
     passed = variant_qc(kept, min_maf=None, min_hwe_p=min_hwe_p).select("marker_id")
     kept = kept.join(passed, "marker_id", "left_semi")
-    pruned = ld_prune(kept, sample_blocks=sample_blocks)
+    pruned = ld_prune(kept, sample_blocks=sample_blocks, kb=kb)
     counts = allele_counts(kept.join(pruned.select("marker_id"), "marker_id", "left_semi"))
     classes = mac_class(counts)
     assert_min_rows(classes, "mac_class", per_class)

@@ -306,6 +306,19 @@ class Tables:
         pick = lambda bases: F.element_at(F.array(*[F.lit(b) for b in bases]), (kind + 1).cast("int"))
         return self.genotypes().withColumns({"ref": pick("ACAGAC"), "alt": pick("GTCTTG")})
 
+    def spread_genotypes(self) -> DataFrame:
+        """The genotypes 60 times as far apart, so that a chromosome is longer than 1000 kb, and a third one of rare markers, 10 to 17 carriers each."""
+        apart = self.genotypes().withColumn("pos", F.col("pos") * 60)
+        s, k = F.col("vec_id"), F.col("k")
+        rare = self.raw("embeddings").select(s, F.explode(F.sequence(F.lit(0), F.lit(7))).alias("k")).select(
+            F.lit(3).cast("bigint").alias("chrom"),
+            (400_000 * (k + 1)).cast("bigint").alias("pos"),
+            F.concat(F.lit("r"), k.cast("string")).alias("marker_id"),
+            s.alias("s"),
+            F.when(s.between(20 * k, 21 * k + 9), 1).otherwise(0).alias("dosage"),
+        )
+        return apart.unionByName(rare)
+
     def variant_rows(self) -> tuple[DataFrame, DataFrame]:
         """The genotypes as a stored table of variant rows, and their samples (sample_idx, s)."""
         samples = write_intermediate(variant_rows.sample_index(self.raw("embeddings").select(F.col("vec_id").alias("s"))), "samples")

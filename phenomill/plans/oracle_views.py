@@ -190,6 +190,20 @@ VIEWS: dict[str, str] = {
     "variants": """
         SELECT chrom, pos, marker_id, row_number() OVER (PARTITION BY chrom ORDER BY pos, marker_id) - 1 AS idx
         FROM (SELECT DISTINCT chrom, pos, marker_id FROM genotypes)""",
+    "spread": """
+        SELECT chrom, 60 * pos AS pos, marker_id, s, dosage FROM genotypes
+        UNION ALL
+        SELECT CAST(3 AS BIGINT), CAST(400000 * (k + 1) AS BIGINT), 'r' || k, vec_id, CASE WHEN vec_id BETWEEN 20 * k AND 21 * k + 9 THEN 1 ELSE 0 END
+        FROM embeddings, range(8) t(k)""",
+    "spread_variants": """
+        SELECT chrom, pos, marker_id, row_number() OVER (PARTITION BY chrom ORDER BY pos, marker_id) - 1 AS idx
+        FROM (SELECT DISTINCT chrom, pos, marker_id FROM spread)""",
+    "spread_classes": """
+        SELECT * FROM (SELECT *, CASE WHEN c2 - c1 BETWEEN 10 AND 19 OR c1 BETWEEN 10 AND 19 THEN 'rare'
+                                      WHEN c1 >= 20 AND c2 - c1 >= 20 THEN 'common' END AS mac_class
+                       FROM (SELECT marker_id, least(sum(dosage), 2 * count(dosage) - sum(dosage)) AS c1,
+                                    greatest(sum(dosage), 2 * count(dosage) - sum(dosage)) AS c2 FROM spread GROUP BY marker_id))
+        WHERE mac_class IS NOT NULL""",
     "af": "SELECT chrom, pos, marker_id, avg(dosage) / 2 AS af FROM genotypes GROUP BY ALL",
     "geno_counts": """
         SELECT chrom, pos, marker_id, count(*) FILTER (dosage = 0) AS hom_ref, count(*) FILTER (dosage = 1) AS het,

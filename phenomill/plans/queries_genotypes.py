@@ -68,10 +68,11 @@ def sample_per_class(t):
     return genotypes.sample_per_class(classes, 20, [F.col("c1"), F.col("marker_id")]).select("marker_id", "mac_class")
 
 
-@query("SELECT mac_class, count(*) AS n FROM mac_class GROUP BY mac_class")
+@query("SELECT mac_class, count(*) AS n FROM spread_classes GROUP BY mac_class")
 def assert_min_rows(t):
-    classes = genotypes.mac_class(genotypes.allele_counts(t.genotypes()))
-    checked = genotypes.assert_min_rows(classes, "mac_class", {"common": 20})
+    """Both classes."""
+    classes = genotypes.mac_class(genotypes.allele_counts(t.spread_genotypes()))
+    checked = genotypes.assert_min_rows(classes, "mac_class", {"common": 20, "rare": 8})
     return checked.groupBy("mac_class").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -103,13 +104,14 @@ def ld_r2(t):
 
 @query("""
     WITH g AS (SELECT v.chrom, v.idx, v.pos, v.marker_id, s, CAST(dosage AS DOUBLE) AS d
-               FROM genotypes JOIN variants v USING (marker_id) WHERE dosage IS NOT NULL)
+               FROM spread JOIN spread_variants v USING (marker_id) WHERE dosage IS NOT NULL)
     SELECT a.chrom, a.idx AS i, b.idx AS j, a.marker_id AS marker_i, b.marker_id AS marker_j,
            round(corr(a.d, b.d) * corr(a.d, b.d), 6) AS r2
-    FROM g a JOIN g b ON a.s = b.s AND a.chrom = b.chrom AND b.idx > a.idx AND b.pos - a.pos <= 20000
+    FROM g a JOIN g b ON a.s = b.s AND a.chrom = b.chrom AND b.idx > a.idx AND b.pos - a.pos <= 1000000
     GROUP BY ALL""")
 def ld_r2_kb(t):
-    return rounded(genotypes.ld_r2(t.genotypes(), sample_blocks=SAMPLE_BLOCKS, kb=20), "r2")
+    """A window of 1000 kb over chromosomes that are longer."""
+    return rounded(genotypes.ld_r2(t.spread_genotypes(), sample_blocks=SAMPLE_BLOCKS, kb=1000), "r2")
 
 
 @query("""
@@ -148,9 +150,13 @@ def ld_prune(t):
     return genotypes.ld_prune(t.genotypes(), sample_blocks=SAMPLE_BLOCKS)
 
 
-@query(PRUNE.format(near="abs(b.pos - a.pos) <= 20000", r2="CAST(0.1 AS DOUBLE)"))
+@query(
+    PRUNE.replace("FROM genotypes JOIN variants v", "FROM spread JOIN spread_variants v").format(
+        near="abs(b.pos - a.pos) <= 1000000", r2="CAST(0.1 AS DOUBLE)"
+    )
+)
 def ld_prune_kb(t):
-    return genotypes.ld_prune(t.genotypes(), sample_blocks=SAMPLE_BLOCKS, kb=20)
+    return genotypes.ld_prune(t.spread_genotypes(), sample_blocks=SAMPLE_BLOCKS, kb=1000)
 
 
 @query(PRUNE.format(near="abs(b.pos - a.pos) <= 1000000", r2="CAST(0.1 AS DOUBLE)"))
@@ -160,11 +166,16 @@ def ld_prune_1000kb(t):
 
 @query()
 def markers_for_variance_ratio(t):
-    """Both classes are needed; at this size only common markers exist, so five of them."""
+    """Both classes, pruned by the window of variants."""
     samples = t.raw("embeddings").select(F.col("vec_id").alias("s"))
-    return genotypes.markers_for_variance_ratio(
-        t.genotypes(), samples, {"common": 5}, sample_blocks=SAMPLE_BLOCKS
-    )
+    return genotypes.markers_for_variance_ratio(t.spread_genotypes(), samples, {"rare": 5, "common": 5}, sample_blocks=SAMPLE_BLOCKS)
+
+
+@query()
+def markers_for_variance_ratio_kb(t):
+    """Both classes, pruned by 1000 kb at an r2 of 0.1."""
+    samples = t.raw("embeddings").select(F.col("vec_id").alias("s"))
+    return genotypes.markers_for_variance_ratio(t.spread_genotypes(), samples, {"rare": 5, "common": 5}, sample_blocks=SAMPLE_BLOCKS, kb=1000)
 
 
 # --- structure ---

@@ -152,11 +152,18 @@ def order_pairs(t):
     return phecodes.pair_case_counts(brand_pairs(t), status(t))
 
 
-@query(f"""SELECT round(corr(a.cases, b.cases), 6) AS r, count(*) AS n
-           FROM ({PAIRS}) JOIN ({CASES}) a ON phecode_1 = a.phecode JOIN ({CASES}) b ON phecode_2 = b.phecode""")
+# Two-sided p-value of a correlation: the tail of its density, (1 - x^2)^((n - 4) / 2) with a constant, by Simpson's rule.
+P_VALUE = """round(least(1, greatest(0, 1 - 2 * exp(lgamma((n - 1) / 2.0) - lgamma((n - 2) / 2.0)) / sqrt(pi()) * abs(r) / 18000
+    * list_sum(list_transform(range(0, 6001), lambda i: (CASE WHEN i IN (0, 6000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END)
+                                                        * pow(greatest(0, 1 - r * r * i * i / 36000000.0), (n - 4) / 2.0))))), 6)"""
+
+
+@query(f"""WITH c AS (SELECT corr(a.cases, b.cases) AS r, count(*) AS n
+                      FROM ({PAIRS}) JOIN ({CASES}) a ON phecode_1 = a.phecode JOIN ({CASES}) b ON phecode_2 = b.phecode)
+           SELECT round(r, 6) AS r, n, {P_VALUE} AS p_value FROM c""")
 def pearson_corr(t):
     pairs = phecodes.pair_case_counts(brand_pairs(t), status(t))
-    return rounded(correlation.pearson_corr(pairs, "cases_1", "cases_2").drop("p_value"), "r")
+    return rounded(correlation.pearson_corr(pairs, "cases_1", "cases_2"), "r", "p_value")
 
 
 @query(f"""
@@ -164,13 +171,14 @@ def pearson_corr(t):
                           max(CASE WHEN s.status AND s.phecode = phecode_1 THEN 1 ELSE 0 END) AS a,
                           max(CASE WHEN s.status AND s.phecode = phecode_2 THEN 1 ELSE 0 END) AS b
                    FROM ({PAIRS}), population p LEFT JOIN phecode_status s ON p.person_id = s.person_id
-                   GROUP BY ALL)
-    SELECT phenotype_ID, phecode_1, phecode_2, CAST(sum(a) AS BIGINT) AS cases_1, CAST(sum(b) AS BIGINT) AS cases_2,
-           CAST(sum(a * b) AS BIGINT) AS both, count(*) AS n, CASE WHEN NOT isnan(corr(a, b)) THEN round(corr(a, b), 6) END AS r
-    FROM flags GROUP BY ALL HAVING sum(a + b) > 0""")
+                   GROUP BY ALL),
+         c AS (SELECT phenotype_ID, phecode_1, phecode_2, CAST(sum(a) AS BIGINT) AS cases_1, CAST(sum(b) AS BIGINT) AS cases_2,
+                      CAST(sum(a * b) AS BIGINT) AS both, count(*) AS n, CASE WHEN NOT isnan(corr(a, b)) THEN corr(a, b) END AS r
+               FROM flags GROUP BY ALL HAVING sum(a + b) > 0)
+    SELECT phenotype_ID, phecode_1, phecode_2, cases_1, cases_2, c."both", n, round(r, 6) AS r, {P_VALUE} AS p_value FROM c""")
 def phecode_pair_corr(t):
     out = correlation.phecode_pair_corr(brand_pairs(t), status(t), t.population())
-    return rounded(out.drop("p_value"), "r")
+    return rounded(out, "r", "p_value")
 
 
 def people(t):
