@@ -226,14 +226,27 @@ def scores(docs: DataFrame, model: bytes, cut: float = CUT, doc_id: str = "doc_i
     )
 
 
+def _in_portions(net: AttentionModel, documents: list[bytes], passages: int = 2000) -> list[float]:
+    """Scores of the documents, encoded some at a time: until they have so many passages together."""
+    out: list[float] = []
+    held, size = [], 0
+    for text in documents:
+        held.append(features(text))
+        size += len(held[-1])
+        if size > passages:
+            out += _scored(net, held)
+            held, size = [], 0
+    return out + _scored(net, held)
+
+
 def keep_good(docs: DataFrame, model: bytes, cut: float = CUT, text: str = "text") -> DataFrame:
     """``docs`` without the rows that score below the cut; one pass, all columns stay."""
     columns, schema = docs.columns, docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = AttentionModel.load(model)
-        for part in slices(batches, 200):
-            good = np.array(_scored(net, [features(t) for t in texts(part, text)])) >= cut
+        for part in slices(batches, 50):
+            good = np.array(_in_portions(net, texts(part, text))) >= cut
             yield part.select(columns).filter(pa.array(good))
 
     return docs.mapInArrow(run, schema)
