@@ -17,6 +17,12 @@ SAMPLE_BLOCKS = 8
 
 @query("SELECT chrom, pos, marker_id, round(af, 6) AS af FROM af")
 def allele_frequency(t):
+    """From long rows."""
+    return rounded(genotypes.allele_frequency(t.genotypes()), "af")
+
+
+@query("SELECT chrom, pos, marker_id, round(af, 6) AS af FROM af")
+def allele_frequency_rows(t):
     """Narrow, from the stored variant rows, as are the next two."""
     variants, _ = t.variant_rows()
     return rounded(genotypes.allele_frequency(variants).drop("ref", "alt"), "af")
