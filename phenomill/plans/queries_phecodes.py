@@ -153,9 +153,9 @@ def order_pairs(t):
 
 
 # Two-sided p-value of a correlation: the tail of its density, (1 - x^2)^((n - 4) / 2) with a constant, by Simpson's rule.
-P_VALUE = """round(least(1, greatest(0, 1 - 2 * exp(lgamma((n - 1) / 2.0) - lgamma((n - 2) / 2.0)) / sqrt(pi()) * abs(r) / 18000
+P_VALUE = """CASE WHEN r IS NOT NULL THEN round(least(1, greatest(0, 1 - 2 * exp(lgamma((n - 1) / 2.0) - lgamma((n - 2) / 2.0)) / sqrt(pi()) * abs(r) / 18000
     * list_sum(list_transform(range(0, 6001), lambda i: (CASE WHEN i IN (0, 6000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END)
-                                                        * pow(greatest(0, 1 - r * r * i * i / 36000000.0), (n - 4) / 2.0))))), 6)"""
+                                                        * pow(greatest(0, 1 - r * r * i * i / 36000000.0), (n - 4) / 2.0))))), 6) END"""
 
 
 @query(f"""WITH c AS (SELECT corr(a.cases, b.cases) AS r, count(*) AS n
