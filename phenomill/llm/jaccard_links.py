@@ -1,10 +1,12 @@
 """The complete Jaccard self-join: every pair of different sets that may link is verified once, and links are counted.
 
 Sets, order and prefixes are those of ``jaccard_join``. Groups of one prefix shingle are cut into blocks by a hash of the
-set; each pair of blocks is a task's work of its own, so a group of any size is spread. Two steps keep whole sets out of
-the first shuffle: with positions and the first few shared shingles only, a set finds out in which block pairs it has
-a candidate; there alone its members follow. A pair belongs to the first shingle that its prefixes share, and is
-verified in that group. No pair leaves a task: links are summed up per set, and a spanning forest gives the components.
+set; each pair of blocks is a task's work of its own, so a group of any size is spread. Three steps follow. With
+positions and the first few shared shingles only, a set finds out in which block pairs it has a candidate by length and
+position. There its counts by part of the hash space follow (a byte for about each member), and the suffix filter leaves
+out candidates that can't have enough in common. Where one is left, the members themselves follow. A pair belongs to the
+first shingle that its prefixes share, and is verified in that group. No pair leaves a task: links are summed up per set,
+and a spanning forest gives the components.
 
 Rows with an id are counted one by one, equal texts included; a row doesn't count itself. Rows without an id, or
 without words, link with nothing.
@@ -21,16 +23,18 @@ from pyspark.sql import functions as F
 
 from phenomill.llm import jaccard_join as jj
 from phenomill.llm.bounded import bucket, only_in, total_counts
-from phenomill.llm.common import longs, regroup, slices, texts, unsigned, written
+from phenomill.llm.common import discard, longs, regroup, slices, texts, unsigned, written
 from phenomill.llm.components import connected_components, local_roots
 
 BLOCK = 1024
 FIRST = 8
 PAIRS_AT_ONCE = 200_000
+CELLS_AT_ONCE = 1 << 24
 LOW = np.int64(0xFFFFFFFF)
 
+BLOCKS = ["h", "i", "j", "side", "meta", "key"]
 NEEDED = "h long, i int, j int, side int, meta long, key long"
-SET = "key long, data binary"
+SET = "key long, parts binary, data binary"
 FOUND = "a long, b long, links long"
 
 
@@ -58,11 +62,33 @@ def _blocks(part: pa.Table) -> tuple[list[np.ndarray], np.ndarray]:
     return columns, np.append(np.flatnonzero(change) + 1, part.num_rows)
 
 
-def _candidates(percent: int):
-    """Rows that have a candidate in their block pair; rows sorted by (h, i, j)."""
+def _room(parts: list[np.ndarray], n: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """The suffix filter: which pairs (row numbers) may have enough members in common, by their counts per part."""
+    width = np.array([len(p) for p in parts])
+    narrow = np.minimum(width[a], width[b])
+    room = np.empty(len(a), dtype=bool)
+    for w in np.unique(narrow).tolist():
+        own = np.flatnonzero(narrow == w)
+        rows, at = np.unique(np.concatenate([a[own], b[own]]), return_inverse=True)
+        counts = np.stack([jj._folded(parts[r], w) for r in rows.tolist()])
+        x, y = at[: len(own)], at[len(own) :]
+        step = max(1, CELLS_AT_ONCE // w)
+        for low in range(0, len(own), step):
+            pairs = own[low : low + step]
+            most = jj.most_common(counts[x[low : low + step]], counts[y[low : low + step]])
+            room[pairs] = (100 + percent) * most >= percent * (n[a[pairs]] + n[b[pairs]])
+    return room
+
+
+def _candidates(percent: int, group: str, suffix: bool):
+    """Rows that have a candidate in their block pair; rows sorted by (group, h, i, j).
+
+    By length, position and the shared shingles before h; with ``suffix`` by the counts per part as well.
+    """
+    given = BLOCKS if suffix else [*BLOCKS, "first"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in regroup(batches, "h"):
+        for part in regroup(batches, group):
             columns, ends = _blocks(part)
             h, i, j, side, meta, key = columns
             rows = part.num_rows
@@ -74,6 +100,7 @@ def _candidates(percent: int):
             earlier[there] = lists.flatten().to_numpy()
             at_h = (earlier == h[:, None]) & there
             earlier[np.maximum.accumulate(at_h, axis=1) | ~there] = 1
+            parts = [np.frombuffer(p.as_buffer(), dtype=np.uint8) for p in part.column("parts")] if suffix else []
             end = np.repeat(ends, np.diff(np.append(0, ends)))
             partners = end - np.arange(rows) - 1
             needed = np.zeros(rows, dtype=bool)
@@ -90,28 +117,38 @@ def _candidates(percent: int):
                 for k in range(FIRST):
                     left = earlier[a, k]
                     met |= (left != 1) & (earlier[b] == left[:, None]).any(axis=1)
-                needed[a[~met]] = True
-                needed[b[~met]] = True
+                a, b = a[~met], b[~met]
+                if suffix and len(a):
+                    room = _room(parts, meta >> 32, a, b, percent)
+                    a, b = a[room], b[room]
+                needed[a] = True
+                needed[b] = True
                 low = high
-            yield pa.RecordBatch.from_arrays([pa.array(c[needed]) for c in columns], ["h", "i", "j", "side", "meta", "key"])
+            yield part.select(given).filter(pa.array(needed)).combine_chunks().to_batches(len(columns[0]) or 1)
 
-    return run
+    def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in run(batches):
+            yield from some
+
+    return flat
 
 
 def _ordered_sets(size: int, bits: int, counts: np.ndarray):
-    """Members in prefix order (as ``jaccard_join._entries`` has it) of the sets asked for."""
+    """Counts per part, and members in prefix order (as ``jaccard_join._entries`` has it), of the sets asked for."""
     common = np.minimum(counts, (1 << 20) - 1).astype(np.uint32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            keys, data = [], []
+            keys, parts, data = [], [], []
             for wanted, text in zip(unsigned(batch.column("key")).tolist(), texts(batch)):
                 members = jj.shingle_set(text, size)
                 if jj.set_key(members) == wanted:
                     rank = (common[bucket(members, bits)].astype(np.uint64) << np.uint64(44)) | (members >> np.uint64(20))
                     keys.append(wanted)
+                    parts.append(jj.part_counts(members).tobytes())
                     data.append(members[np.argsort(rank, kind="stable")].tobytes())
-            yield pa.RecordBatch.from_arrays([longs(np.array(keys, dtype=np.uint64)), pa.array(data, pa.binary())], ["key", "data"])
+            columns = [longs(np.array(keys, dtype=np.uint64)), pa.array(parts, pa.binary()), pa.array(data, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "parts", "data"])
 
     return run
 
@@ -150,10 +187,10 @@ def linked_pairs(meta: np.ndarray, side: np.ndarray, own: bool, data: list[np.nd
 
 
 def _verified(percent: int):
-    """Links per set (a: its key) and edges of a spanning forest (a, b: least ids); rows sorted by (h, i, j, side, meta, key)."""
+    """Links per set (a: its key) and edges of a spanning forest (a, b: least ids); rows sorted by (pair, h, i, j, side, meta, key)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in regroup(batches, "h"):
+        for part in regroup(batches, "pair"):
             (h, i, j, side, meta, key), ends = _blocks(part)
             least, weight = _column(part, "least"), _column(part, "weight")
             column = part.column("data").combine_chunks()
@@ -203,14 +240,20 @@ def linked_documents(docs: DataFrame, size: int = jj.SIZE, percent: int = jj.PER
     own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     dealt = spread.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("h", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "meta", "key", "first")
-    needed = written(dealt.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j").mapInArrow(_candidates(percent), NEEDED), "links-needed")
+    candidates = dealt.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j").mapInArrow(_candidates(percent, "h", False), f"{NEEDED}, first array<long>")
+    needed = written(candidates, "links-needed")
 
     chosen = written(classes.join(needed.select("key").distinct(), "key", "left_semi").select("key", F.col("least").alias("doc_id")), "links-chosen")
     wanted_docs = only_in(docs, "doc_id", chosen.select("doc_id"), jj.FILTER_BITS)
     sets = written(chosen.join(wanted_docs, "doc_id").select("key", "text").mapInArrow(_ordered_sets(size, jj.BITS, counts), SET), "links-sets")
-    full = needed.join(classes, "key").join(sets, "key")
-    order = ["h", "i", "j", "side", "meta", "key"]
-    found = written(full.repartition("h", "i", "j").sortWithinPartitions(*order).mapInArrow(_verified(percent), FOUND), "links-found")
+    pair = F.xxhash64("h", "i", "j").alias("pair")
+    counted = needed.join(sets.select("key", "parts"), "key").select(pair, *BLOCKS, "first", "parts")
+    counted = counted.repartition("pair").sortWithinPartitions("pair", "h", "i", "j")
+    likely = written(counted.mapInArrow(_candidates(percent, "pair", True), NEEDED), "links-likely")
+    discard(shared)
+    discard(needed)
+    full = likely.join(classes, "key").join(sets.select("key", "data"), "key").select(pair, *BLOCKS, "least", "weight", "data")
+    found = written(full.repartition("pair").sortWithinPartitions("pair", *BLOCKS).mapInArrow(_verified(percent), FOUND), "links-found")
 
     joined = connected_components(found.where("b IS NOT NULL").select("a", "b")).withColumnRenamed("node", "least")
     links = found.where("b IS NULL").groupBy(F.col("a").alias("key")).agg(F.sum("links").alias("links"))

@@ -134,6 +134,24 @@ def test_jaccard_links(spark, monkeypatch, salted, block):
     same([r for r in mine if r.doc_id is not None], {k: (*v, n_links[k]) for k, v in brute_join(rows).items()})
 
 
+def test_suffix_filter_of_links(monkeypatch):
+    monkeypatch.setattr(jaccard_links, "CELLS_AT_ONCE", 64)
+    rng = np.random.default_rng(3)
+    sets = []
+    for n in (3, 40, 41, 300):
+        base = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        for changed in (0, 1, n // 12, n // 8, n // 2, n):
+            other = base.copy()
+            other[:changed] = rng.integers(0, 1 << 63, changed, dtype=np.uint64)
+            sets.append(np.unique(other))
+    sizes = np.array([len(s) for s in sets])
+    a, b = np.triu_indices(len(sets), 1)
+    room = jaccard_links._room([jaccard_join.part_counts(s) for s in sets], sizes, a, b, 75)
+    links = np.array([175 * len(np.intersect1d(sets[x], sets[y])) >= 75 * (len(sets[x]) + len(sets[y])) for x, y in zip(a, b)])
+    assert room[links].all() and links.any()
+    assert room.sum() < links.sum() + 10
+
+
 def test_jaccard_links_of_repeated_rows(frame):
     text = " ".join(f"r{i}" for i in range(60))
     rows = frame("doc_id long, text string", (1, text), (2, text + " end"), (2, text + " end"), (3, text), (4, ""), (5, None))
