@@ -4,9 +4,10 @@ Sets, order and prefixes are those of ``jaccard_join``. Groups of one prefix shi
 set; each pair of blocks is a task's work of its own, so a group of any size is spread. Three steps follow. With
 positions and the first few shared shingles only, a set finds out in which block pairs it has a candidate by length and
 position. There its counts by part of the hash space follow (a byte for about each member), and the suffix filter leaves
-out candidates that can't have enough in common. Where one is left, the members themselves follow. A pair belongs to the
-first shingle that its prefixes share, and is verified in that group. No pair leaves a task: links are summed up per set,
-and a spanning forest gives the components.
+out candidates that can't have enough in common. Last, the members themselves follow. Sets that the pairs left connect are
+verified as one group, so a set's members are sent once. Where that group would pass ``BLOCK`` sets or ``MEMBERS`` members,
+its block pairs stay as they are: a pair then belongs to the first shingle that its prefixes share. Either way each pair is
+verified once. No pair leaves a task: links are summed up per set, and a spanning forest gives the components.
 
 Rows with an id are counted one by one, equal texts included; a row doesn't count itself. Rows without an id, or
 without words, link with nothing.
@@ -30,6 +31,7 @@ BLOCK = 1024
 FIRST = 8
 PAIRS_AT_ONCE = 200_000
 CELLS_AT_ONCE = 1 << 24
+MEMBERS = 1 << 22
 LOW = np.int64(0xFFFFFFFF)
 
 BLOCKS = ["h", "i", "j", "side", "meta", "key"]
@@ -83,7 +85,8 @@ def _room(parts: list[np.ndarray], n: np.ndarray, a: np.ndarray, b: np.ndarray,
 def _candidates(percent: int, group: str, suffix: bool):
     """Rows that have a candidate in their block pair; rows sorted by (group, h, i, j).
 
-    By length, position and the shared shingles before h; with ``suffix`` by the counts per part as well.
+    By length, position and the shared shingles before h; with ``suffix`` by the counts per part as well, and then
+    with lead: the smallest key that the task's pairs connect a row with.
     """
     given = BLOCKS if suffix else [*BLOCKS, "first"]
 
@@ -104,6 +107,7 @@ def _candidates(percent: int, group: str, suffix: bool):
             end = np.repeat(ends, np.diff(np.append(0, ends)))
             partners = end - np.arange(rows) - 1
             needed = np.zeros(rows, dtype=bool)
+            nodes = leads = np.empty(0, dtype=np.int64)
             total = np.cumsum(partners)
             low = 0
             while low < rows:
@@ -121,16 +125,16 @@ def _candidates(percent: int, group: str, suffix: bool):
                 if suffix and len(a):
                     room = _room(parts, meta >> 32, a, b, percent)
                     a, b = a[room], b[room]
+                    nodes, leads = local_roots(np.concatenate([nodes, key[a]]), np.concatenate([leads, key[b]]))
                 needed[a] = True
                 needed[b] = True
                 low = high
-            yield part.select(given).filter(pa.array(needed)).combine_chunks().to_batches(len(columns[0]) or 1)
+            out = part.select(given).filter(pa.array(needed)).combine_chunks()
+            if suffix:
+                out = out.append_column("lead", pa.array(leads[np.searchsorted(nodes, key[needed])], pa.int64()))
+            yield from out.to_batches()
 
-    def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for some in run(batches):
-            yield from some
-
-    return flat
+    return run
 
 
 def _ordered_sets(size: int, bits: int, counts: np.ndarray):
@@ -220,6 +224,20 @@ def _verified(percent: int):
     return run
 
 
+def _gathered(likely: DataFrame) -> DataFrame:
+    """Rows of ``BLOCKS``: connected sets as one block with itself (i and j -1, place 0), or the given rows where that would be too large."""
+    labels = connected_components(likely.where("lead <> key").select("key", "lead")).withColumnRenamed("node", "key")
+    sets = likely.groupBy("key").agg(F.max(F.shiftright("meta", 32)).alias("n")).join(labels, "key", "left")
+    sets = written(sets.select("key", "n", F.coalesce("component", "key").alias("component")), "links-connected")
+    large = sets.groupBy("component").agg((F.count("*") > BLOCK).alias("many"), F.sum("n").alias("members"))
+    large = written(large.where(F.col("many") | (F.col("members") > MEMBERS)).select("component"), "links-too-large")
+    whole = sets.join(large, "component", "left_anti").select(
+        F.col("component").alias("h"), F.lit(-1).alias("i"), F.lit(-1).alias("j"), F.lit(0).alias("side"), F.shiftleft("n", 32).alias("meta"), "key"
+    )
+    cut = likely.join(sets.join(large, "component", "left_semi").select("key"), "key", "left_semi")
+    return whole.unionByName(cut.select(*BLOCKS))
+
+
 def linked_documents(docs: DataFrame, size: int = jj.SIZE, percent: int = jj.PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the smallest id reachable by links), n_links (other rows it links with)."""
     docs = jj._narrow(docs, doc_id, text)
@@ -249,11 +267,12 @@ def linked_documents(docs: DataFrame, size: int = jj.SIZE, percent: int = jj.PER
     pair = F.xxhash64("h", "i", "j").alias("pair")
     counted = needed.join(sets.select("key", "parts"), "key").select(pair, *BLOCKS, "first", "parts")
     counted = counted.repartition("pair").sortWithinPartitions("pair", "h", "i", "j")
-    likely = written(counted.mapInArrow(_candidates(percent, "pair", True), NEEDED), "links-likely")
+    likely = written(counted.mapInArrow(_candidates(percent, "pair", True), f"{NEEDED}, lead long"), "links-likely")
     discard(shared)
     discard(needed)
-    full = likely.join(classes, "key").join(sets.select("key", "data"), "key").select(pair, *BLOCKS, "least", "weight", "data")
+    full = _gathered(likely).join(classes, "key").join(sets.select("key", "data"), "key").select(pair, *BLOCKS, "least", "weight", "data")
     found = written(full.repartition("pair").sortWithinPartitions("pair", *BLOCKS).mapInArrow(_verified(percent), FOUND), "links-found")
+    discard(sets)
 
     joined = connected_components(found.where("b IS NOT NULL").select("a", "b")).withColumnRenamed("node", "least")
     links = found.where("b IS NULL").groupBy(F.col("a").alias("key")).agg(F.sum("links").alias("links"))

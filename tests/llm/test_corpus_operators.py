@@ -117,10 +117,11 @@ def test_jaccard_components(spark, monkeypatch, salted):
     assert kept == {k for k, (_, c) in expected.items() if c == k} | {None}
 
 
-@pytest.mark.parametrize(("salted", "block"), [(50_000, 1024), (20, 7)])
-def test_jaccard_links(spark, monkeypatch, salted, block):
+@pytest.mark.parametrize(("salted", "block", "members"), [(50_000, 1024, 1 << 22), (20, 7, 1 << 22), (20, 1024, 500)])
+def test_jaccard_links(spark, monkeypatch, salted, block, members):
     monkeypatch.setattr(jaccard_join, "SALTED_ROWS", salted)
     monkeypatch.setattr(jaccard_links, "BLOCK", block)
+    monkeypatch.setattr(jaccard_links, "MEMBERS", members)
     rows = join_rows(random.Random(5))
     df = spark.createDataFrame([*rows, (None, rows[20][1]), (None, None)], "doc_id long, text string")
     mine = jaccard_links.linked_documents(df.repartition(6)).collect()
