@@ -388,6 +388,11 @@ def drop_near_copies(docs: DataFrame, size: int = SIZE, percent: int = PERCENT,
     more than once have their sets computed again.
     """
     profile, links = link_table(docs, size, percent, doc_id, text)
+    return keep_first(docs, profile, links, size, doc_id, text)
+
+
+def keep_first(docs: DataFrame, profile: DataFrame, links: DataFrame, size: int, doc_id: str, text: str) -> DataFrame:
+    """The rows that ``drop_near_copies`` keeps, given doc_id, n, key per row and links (a, b) between keys."""
     labels = connected_components(links).withColumnRenamed("node", "key")
     named = profile.where("doc_id IS NOT NULL AND n > 0")
     classes = named.groupBy("key").agg(F.min("doc_id").alias("least")).join(labels, "key", "left")

@@ -36,7 +36,7 @@ LOW = np.int64(0xFFFFFFFF)
 
 BLOCKS = ["h", "i", "j", "side", "meta", "key"]
 NEEDED = "h long, i int, j int, side int, meta long, key long"
-SET = "key long, parts binary, data binary"
+PARTS = "key long, data binary"
 FOUND = "a long, b long, links long"
 
 
@@ -137,26 +137,41 @@ def _candidates(percent: int, group: str, suffix: bool):
     return run
 
 
-def _ordered_sets(size: int, bits: int, counts: np.ndarray):
-    """Counts per part, and members in prefix order (as ``jaccard_join._entries`` has it), of the sets asked for."""
-    common = np.minimum(counts, (1 << 20) - 1).astype(np.uint32)
+def _data(size: int, data_of):
+    """``data_of`` each set asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            keys, parts, data = [], [], []
+            keys, data = [], []
             for wanted, text in zip(unsigned(batch.column("key")).tolist(), texts(batch)):
                 members = jj.shingle_set(text, size)
                 if jj.set_key(members) == wanted:
-                    rank = (common[bucket(members, bits)].astype(np.uint64) << np.uint64(44)) | (members >> np.uint64(20))
                     keys.append(wanted)
-                    parts.append(jj.part_counts(members).tobytes())
-                    data.append(members[np.argsort(rank, kind="stable")].tobytes())
-            columns = [longs(np.array(keys, dtype=np.uint64)), pa.array(parts, pa.binary()), pa.array(data, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "parts", "data"])
+                    data.append(data_of(members).tobytes())
+            yield pa.RecordBatch.from_arrays([longs(np.array(keys, dtype=np.uint64)), pa.array(data, pa.binary())], ["key", "data"])
+
+    return run
+
+
+def _in_prefix_order(bits: int, counts: np.ndarray):
+    """Members as ``jaccard_join._entries`` has them."""
+    common = np.minimum(counts, (1 << 20) - 1).astype(np.uint32)
+
+    def run(members: np.ndarray) -> np.ndarray:
+        rank = (common[bucket(members, bits)].astype(np.uint64) << np.uint64(44)) | (members >> np.uint64(20))
+        return members[np.argsort(rank, kind="stable")]
 
     return run
 
 
+def _data_of_sets(docs: DataFrame, classes: DataFrame, rows: DataFrame, size: int, data_of) -> DataFrame:
+    """(key, data) of the sets in ``rows``, from one document of each."""
+    chosen = classes.join(rows.select("key").distinct(), "key", "left_semi").select("key", F.col("least").alias("doc_id"))
+    chosen = written(chosen, "links-chosen")
+    wanted = only_in(docs, "doc_id", chosen.select("doc_id"), jj.FILTER_BITS)
+    return chosen.join(wanted, "doc_id").select("key", "text").mapInArrow(_data(size, data_of), PARTS)
+
+
 def linked_pairs(meta: np.ndarray, side: np.ndarray, own: bool, data: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (row numbers) of a block pair that link and whose first shared prefix shingle is this group's.
 
@@ -191,12 +206,12 @@ def linked_pairs(meta: np.ndarray, side: np.ndarray, own: bool, data: list[np.nd
 
 
 def _verified(percent: int):
-    """Links per set (a: its key) and edges of a spanning forest (a, b: least ids); rows sorted by (pair, h, i, j, side, meta, key)."""
+    """Links per set (a: its key) and edges of a spanning forest (a, b: names); rows sorted by (pair, h, i, j, side, meta, key)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in regroup(batches, "pair"):
             (h, i, j, side, meta, key), ends = _blocks(part)
-            least, weight = _column(part, "least"), _column(part, "weight")
+            name, weight = _column(part, "name"), _column(part, "weight")
             column = part.column("data").combine_chunks()
             at, out = 0, []
             for end in ends.tolist():
@@ -214,7 +229,7 @@ def _verified(percent: int):
                     np.add.at(links, a, weight[rows][b])
                     np.add.at(links, b, weight[rows][a])
                     hit = np.flatnonzero(links)
-                    nodes, roots = local_roots(least[rows][a], least[rows][b])
+                    nodes, roots = local_roots(name[rows][a], name[rows][b])
                     tree = nodes != roots
                     out += [(x, None, y) for x, y in zip(key[rows][hit].tolist(), links[hit].tolist())]
                     out += [(x, y, 0) for x, y in zip(nodes[tree].tolist(), roots[tree].tolist())]
@@ -238,9 +253,8 @@ def _gathered(likely: DataFrame) -> DataFrame:
     return whole.unionByName(cut.select(*BLOCKS))
 
 
-def linked_documents(docs: DataFrame, size: int = jj.SIZE, percent: int = jj.PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (the smallest id reachable by links), n_links (other rows it links with)."""
-    docs = jj._narrow(docs, doc_id, text)
+def _found(docs: DataFrame, size: int, percent: int, name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(profile, classes, found): doc_id, n, key per row; key, least, weight per set; what ``_verified`` finds, with ``name`` for a set."""
     rows = written(docs.mapInArrow(jj._profile(size, jj.BITS), jj.PROFILE), "links-profile")
     profile = rows.where("piece IS NULL").select("doc_id", "n", "key")
     counts = total_counts(rows.where("piece IS NOT NULL").select("piece", "data"), jj.BITS)
@@ -260,20 +274,23 @@ def linked_documents(docs: DataFrame, size: int = jj.SIZE, percent: int = jj.PER
     dealt = dealt.select("h", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "meta", "key", "first")
     candidates = dealt.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j").mapInArrow(_candidates(percent, "h", False), f"{NEEDED}, first array<long>")
     needed = written(candidates, "links-needed")
+    discard(shared)
 
-    chosen = written(classes.join(needed.select("key").distinct(), "key", "left_semi").select("key", F.col("least").alias("doc_id")), "links-chosen")
-    wanted_docs = only_in(docs, "doc_id", chosen.select("doc_id"), jj.FILTER_BITS)
-    sets = written(chosen.join(wanted_docs, "doc_id").select("key", "text").mapInArrow(_ordered_sets(size, jj.BITS, counts), SET), "links-sets")
     pair = F.xxhash64("h", "i", "j").alias("pair")
-    counted = needed.join(sets.select("key", "parts"), "key").select(pair, *BLOCKS, "first", "parts")
-    counted = counted.repartition("pair").sortWithinPartitions("pair", "h", "i", "j")
+    parts = _data_of_sets(docs, classes, needed, size, jj.part_counts).withColumnRenamed("data", "parts")
+    counted = needed.join(parts, "key").select(pair, *BLOCKS, "first", "parts").repartition("pair").sortWithinPartitions("pair", "h", "i", "j")
     likely = written(counted.mapInArrow(_candidates(percent, "pair", True), f"{NEEDED}, lead long"), "links-likely")
-    discard(shared)
     discard(needed)
-    full = _gathered(likely).join(classes, "key").join(sets.select("key", "data"), "key").select(pair, *BLOCKS, "least", "weight", "data")
+
+    members = _data_of_sets(docs, classes, likely, size, _in_prefix_order(jj.BITS, counts))
+    full = _gathered(likely).join(classes.select("key", F.col(name).alias("name"), "weight"), "key").join(members, "key").select(pair, *BLOCKS, "name", "weight", "data")
     found = written(full.repartition("pair").sortWithinPartitions("pair", *BLOCKS).mapInArrow(_verified(percent), FOUND), "links-found")
-    discard(sets)
+    return profile, classes, found
+
 
+def linked_documents(docs: DataFrame, size: int = jj.SIZE, percent: int = jj.PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (the smallest id reachable by links), n_links (other rows it links with)."""
+    profile, classes, found = _found(jj._narrow(docs, doc_id, text), size, percent, "least")
     joined = connected_components(found.where("b IS NOT NULL").select("a", "b")).withColumnRenamed("node", "least")
     links = found.where("b IS NULL").groupBy(F.col("a").alias("key")).agg(F.sum("links").alias("links"))
     of_class = written(
@@ -289,3 +306,9 @@ def linked_documents(docs: DataFrame, size: int = jj.SIZE, percent: int = jj.PER
         F.when(linking, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.when(linking, F.col("n_links")).otherwise(F.lit(0)).cast("long").alias("n_links"),
     )
+
+
+def drop_near_copies(docs: DataFrame, size: int = jj.SIZE, percent: int = jj.PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``jaccard_join.drop_near_copies`` by the components of the complete join."""
+    profile, _, found = _found(jj._narrow(docs, doc_id, text), size, percent, "key")
+    return jj.keep_first(docs, profile, found.where("b IS NOT NULL").select("a", "b"), size, doc_id, text)

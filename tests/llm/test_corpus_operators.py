@@ -113,8 +113,9 @@ def test_jaccard_components(spark, monkeypatch, salted):
     assert sorted((r.n_shingles > 0, r.component_id) for r in mine if r.doc_id is None) == [(False, None), (True, None)]
     expected = brute_join(rows)
     same([r for r in mine if r.doc_id is not None], expected)
-    kept = {r.doc_id for r in jaccard_join.drop_near_copies(df).collect()}
-    assert kept == {k for k, (_, c) in expected.items() if c == k} | {None}
+    for module in (jaccard_join, jaccard_links):
+        kept = {r.doc_id for r in module.drop_near_copies(df).collect()}
+        assert kept == {k for k, (_, c) in expected.items() if c == k} | {None}
 
 
 @pytest.mark.parametrize(("salted", "block", "members"), [(50_000, 1024, 1 << 22), (20, 7, 1 << 22), (20, 1024, 500)])

@@ -11,7 +11,7 @@ import pytest
 from helpers import components, lower, words
 from tokenizers import Tokenizer
 
-from phenomill.llm import exact_index, jaccard_join, packing, secret_scan
+from phenomill.llm import exact_index, jaccard_join, jaccard_links, packing, secret_scan
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -62,7 +62,8 @@ def expected_near(rows):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_near_stage_judges_each_text_of_an_id(frame, seed):
+@pytest.mark.parametrize("module", [jaccard_join, jaccard_links])
+def test_near_stage_judges_each_text_of_an_id(module, frame, seed):
     rng = random.Random(seed)
     base = [[f"w{rng.randrange(10**6)}" for _ in range(40)] for _ in range(12)]
     rows = []
@@ -72,7 +73,7 @@ def test_near_stage_judges_each_text_of_an_id(frame, seed):
             text[rng.randrange(38, 40)] = "other"
         rows.append((rng.choice([None, *range(25)]), " ".join(text)))
     rows += [(5, " ".join(base[0])), (5, " ".join(base[0])), (6, ""), (6, ""), (6, " "), (2, " ".join(base[1])), (None, ""), (None, None)]
-    out = jaccard_join.drop_near_copies(docs(frame, rows))
+    out = module.drop_near_copies(docs(frame, rows))
     assert out.columns == ["doc_id", "text", "digest", "key"]
     found = out.collect()
     kept, stay, without = expected_near(rows)
