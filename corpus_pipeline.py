@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phenomill.llm import exact_index, jaccard_join, packing, quality_mil, secret_scan
+from phenomill.llm import exact_index, jaccard_links, packing, quality_mil, secret_scan
 from phenomill.llm.common import table, written
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -33,7 +33,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id."""
-    return jaccard_join.drop_near_copies(docs)
+    return jaccard_links.drop_near_copies(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
