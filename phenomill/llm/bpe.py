@@ -19,6 +19,7 @@ import base64
 import functools
 import hashlib
 import heapq
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phenomill.llm.common import mix
+from phenomill.llm.common import mix, slices
 
 CACHED = 300_000
 LONGEST_CACHED = 64
@@ -98,6 +99,7 @@ class Codec:
         self.bytes_of: list[bytes] = [b""] * (max(self.ids, default=-1) + 1)
         for token, rank in ranks.items():
             self.bytes_of[rank] = token
+        self.decimal = list(map(str, range(len(self.bytes_of))))
         self.byte_ids = [ranks[bytes([b])] for b in range(256)]
         # Pairs of ids whose joint bytes are a token: the heap then never touches bytes.
         self.pairs: dict[int, int] = {}
@@ -214,12 +216,12 @@ def round_trip(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             count, ids_digest, text_digest = [], [], []
             for parts in c.encode_all([t or "" for t in batch.column("text").to_pylist()]):
-                ids = [i for part in parts for i in part]
+                ids = list(itertools.chain.from_iterable(parts))
                 count.append(len(ids))
-                ids_digest.append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+                ids_digest.append(hashlib.sha256(" ".join(map(c.decimal.__getitem__, ids)).encode()).hexdigest())
                 text_digest.append(hashlib.sha256(c.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(count, pa.int64()), pa.array(ids_digest, pa.string()), pa.array(text_digest, pa.string())],
