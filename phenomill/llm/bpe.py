@@ -177,12 +177,16 @@ class Codec:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
+def read_ranks(path: str) -> dict[bytes, int]:
+    """A rank file: lines of base64 bytes and rank."""
+    with open(path, "rb") as file:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+
+
 @functools.lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> Codec:
-    """The codec of a rank file: lines of base64 bytes and rank."""
-    with open(path, "rb") as file:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-    return Codec(ranks, pattern)
+    """The codec of a rank file."""
+    return Codec(read_ranks(path), pattern)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -17,16 +17,18 @@ of its own, repeated rows are turns of their own, an empty table gives no rows,
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phenomill.llm.secret_scan import encoding
+from phenomill.llm.bpe import codec, read_ranks
 
 BUDGET = 2048
 HISTORY = 512
@@ -59,6 +61,20 @@ def render(role: str, text: str) -> tuple[str, int, int]:
     return f"{head}{body}{END}\n", len(head), len(head) + len(body)
 
 
+@functools.lru_cache(maxsize=2)
+def token_counter(path: str, pattern: str) -> Callable[[str], int]:
+    """Number of tokens of a text, as the tokenizer of this rank file and pre-token pattern has them."""
+    encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens={})
+
+    def count(text: str) -> int:
+        try:
+            return len(encoding.encode(text, disallowed_special=()))
+        except ValueError:  # white space too long for its splitter
+            return len(codec(path, pattern).encode(text))
+
+    return count
+
+
 class WindowBuilder:
     """Takes the turns of one conversation in order, gives its windows."""
 
@@ -126,6 +142,7 @@ def _window_batch(rows: list[tuple]) -> pa.RecordBatch:
 def windows(
     turns: DataFrame,
     ranks_path: str,
+    pattern: str,
     budget: int = BUDGET,
     history: int = HISTORY,
     conv_id: str = "conv_id",
@@ -133,13 +150,16 @@ def windows(
     role: str = "role",
     text: str = "text",
 ) -> DataFrame:
-    """Windows of every conversation, each conversation's in order within one partition."""
+    """Windows of every conversation, each conversation's in order within one partition.
+
+    Tokens are those of the rank file at ``ranks_path`` with the pre-tokens of ``pattern``, counted turn by turn.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = encoding(ranks_path)
+        n_tokens = token_counter(ranks_path, pattern)
         for batch in batches:
             rendered = [render(r, t)[0] for r, t in zip(batch.column("role").to_pylist(), batch.column("text").to_pylist())]
-            sizes = [len(tokens.encode_ordinary(x)) for x in rendered]
+            sizes = [n_tokens(x) for x in rendered]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sizes, pa.int64())], [*batch.schema.names, "n_tokens"])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -63,7 +63,7 @@ def op2_chat_windows(spark, folder):
     probe = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    return chat_windows.read_back(chat_windows.windows(turns, public_tokenizers.path(RANKS)))
+    return chat_windows.read_back(chat_windows.windows(turns, public_tokenizers.path(RANKS), public_tokenizers.PATTERN))
 
 
 @query()

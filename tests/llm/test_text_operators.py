@@ -282,17 +282,28 @@ def test_chat_windows(spark, frame):
     rows += [(7, i, ("user", "assistant")[i % 2], f"{i} " + "word " * (i % 9 * 12) + "<|end|>\n\\.") for i in range(1, 60)]
     rows += [(8, None, None, None), (8, 1, "assistant", "x " * 900), (8, 1, "assistant", "x " * 900), (9, 1, "<|turn|>", "<<|<s>|>\\")]
     df = frame("conv_id long, turn long, role string, text string", *rows).selectExpr("*", "1 AS window", "2 AS n_tokens")
-    windows = chat_windows.windows(df, RANKS, budget=200, history=120)
+    windows = chat_windows.windows(df, RANKS, public_tokenizers.PATTERN, budget=200, history=120)
     found = windows.collect()
     same(chat_windows.read_back(windows).drop("formatted_chars").collect(), expected_chat(rows))
     long = sorted((w for w in found if w.conv_id == 7), key=lambda w: w.window)
     assert len(long) > 5 and all(chat_windows.parse(w.formatted)[0][:2] == ("system", "be brief") for w in long)
     assert any(w.repeated > 1 for w in long) and all((w.n_tokens <= 200) != w.over for w in found)
     assert any(w.over for w in found if w.conv_id == 8)
+    counted = reference()
+    for w in found:
+        said = [chat_windows.render(role, text)[0] for role, text, *_ in chat_windows.parse(w.formatted)]
+        assert "".join(said) == w.formatted and w.n_tokens == sum(len(counted.encode_ordinary(t)) for t in said)
     turns = [r for r in chat_windows.turn_rows(windows).collect() if r.conv_id == 7]
     assert sorted(r.turn_index for r in turns) == list(range(60)) and all(r.target == (r.role == "assistant") for r in turns)
 
 
+def test_chat_tokens_of_long_white_space():
+    count = chat_windows.token_counter(RANKS, public_tokenizers.PATTERN)
+    spaces = " " * 1_000_000
+    assert count(spaces + "x") == len(bpe.codec(RANKS, public_tokenizers.PATTERN).encode(spaces + "x"))
+    assert count("a  b\n\n c's") == len(reference().encode_ordinary("a  b\n\n c's"))
+
+
 def test_chat_escape():
     for text in ("\\", "\\.", "<<|>", "<|\\.|>", "</s><s>[INST][/INST]<<SYS>><</SYS>>", ""):
         escaped = chat_windows.escape(text)
@@ -305,4 +316,4 @@ def test_empty_tables(spark):
     assert secret_scan.scan(docs, RANKS).count() == bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN).count() == 0
     assert packing.packed_documents(docs, path, public_tokenizers.PATTERN).count() == 0
     chats = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
-    assert chat_windows.read_back(chat_windows.windows(chats, RANKS)).count() == 0
+    assert chat_windows.read_back(chat_windows.windows(chats, RANKS, public_tokenizers.PATTERN)).count() == 0
