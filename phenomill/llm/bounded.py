@@ -1,6 +1,6 @@
-"""Summaries of fixed size over all rows: counts by hash bucket, and bitmaps.
+"""Summaries of bounded size over all rows: counts by hash bucket, and bitmaps.
 
-Their size depends on a parameter, never on the data, so they may be sent to every task. They are summed up
+Their size has a bound set by a parameter, so they may be sent to every task. They are summed up
 in pieces across tasks; only the finished summary comes to the driver.
 """
 
@@ -22,6 +22,11 @@ def bucket(hashes: np.ndarray, bits: int) -> np.ndarray:
     return (hashes >> np.uint64(64 - bits)).astype(np.int64)
 
 
+def bits_for(n: int, most: int) -> int:
+    """Bits of an index into a bitmap for ``n`` hashes: at least 8 places for each, at most 2^``most`` in all."""
+    return min(most, max(16, (8 * n).bit_length()))
+
+
 class Counts:
     """Counts of one task, given out as pieces of 2^PIECE_BITS buckets."""
 

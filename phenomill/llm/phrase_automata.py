@@ -2,16 +2,20 @@
 
 1. Anchors. Of the shingles in a window the one with the smallest hash is its anchor; equal windows have equal
    anchors, so documents that share a window share an anchor. Anchors of two documents or more go into a bitmap
-   of fixed size. False hits cost work only, the later steps are exact.
-2. Confirmation. Only windows with such an anchor are counted, by hash; those of several documents recur.
-3. Phrases. In the first document of each recurring window, consecutive windows form passages; around each anchor
-   a passage gives a phrase.
+   whose size follows their number, up to a bound. False hits cost work only.
+2. Stretches. Consecutive windows with the same anchor lie under one stretch of words. All documents give the hashes of
+   their stretches under recurring anchors; equal stretches are one kind, with its first and last document.
+   The words of a kind are sent once, by its first document.
+3. Confirmation. Windows of the kinds are counted by hash; those of several documents recur. Each is looked up in one
+   kind of the first document that has it: there its consecutive recurring windows form a phrase.
 4. Automata. Phrases are dealt out by anchor. Each task compiles an Aho-Corasick automaton over the anchors of its
-   share, then streams the matching stretches of all documents through it. Each hit is extended to both sides, word
+   share, then streams the kinds of all documents through it. Each hit is extended to both sides, word
    by word, against the phrases; a common run of a whole window or more is covered if the phrase's document is earlier.
-   Anchors of many documents are salted; their phrases go to each salt.
+   Kinds and phrases of anchors that have many are both cut into parts, each pair of parts being a task's share.
+5. Occurrences. What is covered in a kind is covered wherever the kind occurs in a later document.
 
 A phrase holds the few windows around one anchor, so a task's automaton grows with its share of anchors only.
+Kinds are told apart by 128 bits: the hash of the anchor and a BLAKE2 digest of the words and the anchor's place.
 Words are the runs between ASCII white space, unchanged. Null texts have no words; rows without an id neither
 lose words nor make others lose any; rows with equal ids don't affect each other; an empty table gives
 no rows; other columns are ignored.
@@ -28,20 +32,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phenomill.llm.bounded import bitmap, in_bitmap, only_in, split_by
-from phenomill.llm.common import longs, rolling_hashes, shingle_hashes, slices, texts, unsigned, word_hashes, written
+from phenomill.llm.bounded import bitmap, bits_for, in_bitmap, only_in, split_by
+from phenomill.llm.common import longs, rolling_hashes, slices, texts, unsigned, word_hashes, written
 
 WINDOW = 50
 ANCHOR = 24
-BITS = 25
-FILTER_BITS = 22
-#: An anchor in more than this share of the documents is salted. So many anchors at most are that frequent: their mean number per document, times 1 / share.
+#: Bitmaps have 8 bits for each element they are made for, up to 2^BITS (16 MB).
+BITS = 27
+#: An anchor with more than this share of all kinds of stretches is cut into parts; at most 1 / share anchors have so many.
 HOT_SHARE = 0.005
 
 ANCHORS = "h long, doc_id long"
-WINDOWS = "w long, doc_id long"
-STRETCH = "h long, salt int, phrase boolean, doc_id long, starts array<long>, at int, words binary"
-COVERED = "doc_id long, start long, end long"
+OCCURRENCES = "h long, sid long, doc_id long, starts array<long>"
+TEXTS = "h long, sid long, first long, last long, at int, words binary"
+WINDOWS = "w long, h long, sid long, first long, last long"
+PHRASES = "h long, sid long, first long, at int, words binary"
+MATCHES = "h long, sid long, start long, end long, owner long"
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
@@ -49,16 +55,24 @@ def _narrow(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
 
+def first_least(values: np.ndarray, width: int) -> np.ndarray:
+    """For each run of ``width`` values the position of the smallest, of equal ones the first."""
+    least, at, span = values, np.arange(len(values)), 1
+    while span < width:
+        step = min(span, width - span)
+        left = least[:-step] <= least[step:]
+        at = np.where(left, at[:-step], at[step:])
+        least = np.where(left, least[:-step], least[step:])
+        span += step
+    return at
+
+
 def window_anchors(words: np.ndarray, window: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingle hashes, and for each window the position of its anchor (of equal ones the first)."""
     if len(words) < window:
         return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
-    shingles = shingle_hashes(words, size)
-    width = window - size + 1
-    views = np.lib.stride_tricks.sliding_window_view(shingles, width)
-    step = 1 << 16  # a long text in parts
-    least = [views[i : i + step].argmin(axis=1) for i in range(0, len(views), step)]
-    return shingles, np.concatenate(least) + np.arange(len(views))
+    shingles = rolling_hashes(words, size)
+    return shingles, first_least(shingles, window - size + 1)
 
 
 def _anchors(window: int, size: int):
@@ -85,27 +99,7 @@ def _result(words: list[bytes], removed: np.ndarray) -> tuple[int, str]:
     return int(removed.sum()), hashlib.sha256(b" ".join(words)).hexdigest()
 
 
-def _windows(window: int, size: int, recurring: np.ndarray, bits: int):
-    """Hashes of the distinct windows of each document whose anchor may recur."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            hashes, owners = [], []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
-                if doc_id is None:
-                    continue
-                words = word_hashes(text)
-                shingles, at = window_anchors(words, window, size)
-                if len(at) and (suspect := in_bitmap(shingles[at], bits, recurring)).any():
-                    hashes.append(np.unique(rolling_hashes(words, window)[suspect]))
-                    owners.append(np.full(len(hashes[-1]), doc_id, dtype=np.int64))
-            if hashes:
-                yield pa.RecordBatch.from_arrays([longs(np.concatenate(hashes)), pa.array(np.concatenate(owners))], ["w", "doc_id"])
-
-    return run
-
-
-_KINDS = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
+_KINDS = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
@@ -114,15 +108,21 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), _KINDS[k]) for c, k in zip(columns, kinds)], list(names))
 
 
-def _stretches(
-    windows: np.ndarray, at: np.ndarray, window: int, words: list[bytes], shingles: np.ndarray
-) -> Iterator[tuple[int, int, bytes, list[int]]]:
-    """(anchor hash, its place, words, starts) of the distinct stretches under runs of windows that share an anchor.
+def _sid(place: int, data: bytes) -> int:
+    digest = hashlib.blake2b(data, digest_size=8, salt=place.to_bytes(8, "little"))
+    return int.from_bytes(digest.digest(), "little", signed=True)
+
+
+def _stretches(text: bytes, window: int, size: int, recurring: np.ndarray, bits: int) -> Iterator[tuple[int, int, int, bytes, list[int]]]:
+    """(anchor hash, sid, place of the anchor, words, starts) of the distinct stretches under windows whose anchor may recur.
 
     A text that repeats itself has the same stretch at many starts.
     """
+    shingles, at = window_anchors(word_hashes(text), window, size)
+    windows = np.flatnonzero(in_bitmap(shingles, bits, recurring)[at])
     if not len(windows):
         return
+    words = text.split()
     cut = np.flatnonzero((np.diff(windows) > 1) | (np.diff(at[windows]) != 0)) + 1
     begin = windows[np.append(0, cut)]
     end = windows[np.append(cut, len(windows)) - 1] + window
@@ -131,51 +131,72 @@ def _stretches(
     for s, e, a, h in zip(begin.tolist(), end.tolist(), anchor.tolist(), shingles[anchor].view(np.int64).tolist()):
         starts.setdefault((h, a - s, b" ".join(words[s:e])), []).append(s)
     for (h, place, data), own in starts.items():
-        yield h, place, data, own
+        yield h, _sid(place, data), place, data, own
 
 
-def _phrases(window: int, size: int, hot: dict[int, int]):
-    """Phrases of the documents that are the first ones of recurring windows (hashes in ``own``)."""
+def _occurrences(window: int, size: int, recurring: np.ndarray, bits: int):
+    """Stretches of all documents, by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             rows = []
-            for doc_id, text, own in zip(batch.column("doc_id").to_pylist(), texts(batch), batch.column("own")):
-                words, hashes = text.split(), word_hashes(text)
-                shingles, at = window_anchors(hashes, window, size)
-                # Each recurring window once, where it first starts.
-                distinct, begin = np.unique(rolling_hashes(hashes, window), return_index=True)
-                found = np.sort(begin[np.isin(distinct, unsigned(own.values))])
-                for h, place, data, starts in _stretches(found, at, window, words, shingles):
-                    rows += [(h, salt, True, doc_id, starts[:1], place, data) for salt in range(hot.get(h, 1))]
-                if len(rows) >= 2000:
-                    yield _batch(rows, STRETCH)
-                    rows = []
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
+                if doc_id is not None:
+                    rows += [(h, sid, doc_id, starts) for h, sid, _, _, starts in _stretches(text, window, size, recurring, bits)]
             if rows:
-                yield _batch(rows, STRETCH)
+                yield _batch(rows, OCCURRENCES)
 
     return run
 
 
-def _candidates(window: int, size: int, confirmed: np.ndarray, bits: int, hot: dict[int, int]):
-    """Stretches of all documents under windows whose anchor belongs to a phrase."""
+def _kind_texts(window: int, size: int, recurring: np.ndarray, bits: int):
+    """The words of the kinds (h, sid, last) that a document is the first one of."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
-                shingles, at = window_anchors(word_hashes(text), window, size)
-                found = np.flatnonzero(in_bitmap(shingles[at], bits, confirmed))
-                if doc_id is None or not len(found):
-                    continue
-                words = text.split()
-                for h, place, data, starts in _stretches(found, at, window, words, shingles):
-                    rows.append((h, doc_id % hot[h] if h in hot else 0, False, doc_id, starts, place, data))
-                if len(rows) >= 2000:
-                    yield _batch(rows, STRETCH)
-                    rows = []
+        for batch in slices(batches, 64):
+            rows, held = [], 0
+            columns = (batch.column("doc_id"), batch.column("hs"), batch.column("sids"), batch.column("lasts"))
+            for text, doc_id, hs, sids, lasts in zip(texts(batch), *(c.to_pylist() for c in columns)):
+                wanted = dict(zip(zip(hs, sids), lasts))
+                for h, sid, place, data, _ in _stretches(text, window, size, recurring, bits):
+                    if (h, sid) in wanted:
+                        rows.append((h, sid, doc_id, wanted[h, sid], place, data))
+                        held += len(data)
+                    if held > 1 << 20:
+                        yield _batch(rows, TEXTS)
+                        rows, held = [], 0
             if rows:
-                yield _batch(rows, STRETCH)
+                yield _batch(rows, TEXTS)
+
+    return run
+
+
+def _windows(window: int):
+    """Hashes of the distinct windows of each kind."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1000):
+            hashes = [np.unique(rolling_hashes(word_hashes(data), window)) for data in batch.column("words").to_pylist()]
+            row = pa.array(np.repeat(np.arange(len(hashes)), [len(h) for h in hashes]))
+            others = [batch.column(c).take(row) for c in ("h", "sid", "first", "last")]
+            yield pa.RecordBatch.from_arrays([longs(np.concatenate(hashes)), *others], [f.split()[0] for f in WINDOWS.split(", ")])
+
+    return run
+
+
+def _phrases(window: int):
+    """Phrases of the kinds in which recurring windows (hashes in ``own``) are looked up."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1000):
+            rows = []
+            columns = [batch.column(c).to_pylist() for c in ("h", "sid", "first", "at", "words")]
+            for h, sid, first, at, data, own in zip(*columns, batch.column("own")):
+                words = data.split(b" ")
+                found = np.flatnonzero(np.isin(rolling_hashes(word_hashes(data), window), unsigned(own.values)))
+                for part in np.split(found, np.flatnonzero(np.diff(found) > 1) + 1):
+                    rows.append((h, sid, first, at - int(part[0]), b" ".join(words[part[0] : part[-1] + window])))
+            yield _batch(rows, PHRASES)
 
     return run
 
@@ -235,26 +256,26 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _search(window: int, size: int):
-    """Rows sorted with the phrases first, then by words: compile, then stream; equal stretches are searched once."""
+    """Rows with the phrases first: compile, then stream."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton, compiled, last, found = Automaton(window, size), False, None, []
-        for batch in batches:
+        automaton, compiled = Automaton(window, size), False
+        for batch in slices(batches, 2000):
             rows = []
-            for phrase, doc_id, starts, at, data in zip(*(batch.column(c).to_pylist() for c in ("phrase", "doc_id", "starts", "at", "words"))):
+            for h, phrase, sid, doc_id, at, data in zip(*(batch.column(c).to_pylist() for c in ("h", "phrase", "sid", "doc_id", "at", "words"))):
                 if phrase:
                     automaton.add(data.split(b" "), at, doc_id)
                     continue
                 if not compiled:
                     automaton.compile()
                     compiled = True
-                if data != last:
-                    last, found = data, automaton.matches(data.split(b" "))
-                spans = merged([(a, b) for a, b, owner in found if owner < doc_id])
-                if spans:
-                    rows += [(doc_id, a, b) for a, b in merged([(s + a, s + b) for s in starts for a, b in spans])]
+                spans: dict[tuple, int] = {}
+                for start, end, owner in automaton.matches(data.split(b" ")):
+                    if owner < doc_id:
+                        spans[start, end] = min(owner, spans.get((start, end), owner))
+                rows += [(h, sid, start, end, owner) for (start, end), owner in spans.items()]
             if rows:
-                yield _batch(rows, COVERED)
+                yield _batch(rows, MATCHES)
 
     return run
 
@@ -271,26 +292,63 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(rows, RESULT)
 
 
+def _dealt(phrases: DataFrame, kinds: DataFrame) -> DataFrame:
+    """Phrases and kinds with the number of a share beside their anchor: (h, salt, phrase, sid, doc_id, at, words).
+
+    A kind's ``doc_id`` is the last one that has it.
+    """
+    many = max(1000, int(kinds.count() * HOT_SHARE))
+    parts = lambda n: F.floor(F.col(n) / many).cast("int") + 1
+    counted = kinds.groupBy("h").agg(F.count("*").alias("k")).where(F.col("k") > many)
+    counted = counted.join(phrases.groupBy("h").agg(F.count("*").alias("p")), "h")
+    hot = written(counted.select("h", parts("k").alias("k"), parts("p").alias("p")), "phrase-hot")
+    one = F.lit(1)
+
+    def salted(rows: DataFrame, phrase: bool, doc_id: str) -> DataFrame:
+        k, p = F.coalesce("k", one), F.coalesce("p", one)
+        if phrase:
+            salts = F.transform(F.sequence(F.lit(0), k - 1), lambda i: i * p + F.pmod("sid", p).cast("int"))
+        else:
+            salts = F.transform(F.sequence(F.lit(0), p - 1), lambda j: F.pmod("sid", k).cast("int") * p + j)
+        # At most 1 / HOT_SHARE rows.
+        return rows.join(F.broadcast(hot), "h", "left").select(
+            "h", F.explode(salts).alias("salt"), F.lit(phrase).alias("phrase"), "sid", F.col(doc_id).alias("doc_id"), "at", "words"
+        )
+
+    return salted(phrases, True, "first").unionByName(salted(kinds, False, "last"))
+
+
 def repeated_passages(docs: DataFrame, window: int = WINDOW, size: int = ANCHOR, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, start, end): stretches of words under windows that a document with a smaller id also has."""
     docs = _narrow(docs, doc_id, text)
-    per_anchor = docs.mapInArrow(_anchors(window, size), ANCHORS).groupBy("h")
-    counted = per_anchor.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")).where("low <> high")
-    counted = written(counted.select("h", "n"), "phrase-anchors")
-    recurring = bitmap(counted.select("h"), BITS)
-    many = max(1000, int(docs.count() * HOT_SHARE))
-    hot = {r.h: r.n // many + 1 for r in counted.where(F.col("n") > many).collect()}
-
-    windows = docs.mapInArrow(_windows(window, size, recurring, BITS), WINDOWS).groupBy("w").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    firsts = written(windows.where("first <> last").groupBy("first").agg(F.collect_list("w").alias("own")), "phrase-windows")
-
-    firsts = firsts.withColumnRenamed("first", "doc_id")
-    owners = only_in(docs, "doc_id", firsts.select("doc_id"), FILTER_BITS).join(firsts, "doc_id")
-    phrases = written(owners.mapInArrow(_phrases(window, size, hot), STRETCH), "phrases")
-    confirmed = bitmap(phrases.select("h"), BITS)
-    stretches = docs.mapInArrow(_candidates(window, size, confirmed, BITS, hot), STRETCH)
-    dealt = phrases.unionByName(stretches).repartition("h", "salt").sortWithinPartitions(F.col("phrase").desc(), "words")
-    return written(dealt.mapInArrow(_search(window, size), COVERED), "phrase-covered")
+    several = F.min("doc_id") < F.max("doc_id")
+    anchors = docs.mapInArrow(_anchors(window, size), ANCHORS).groupBy("h").agg(several.alias("several")).where("several")
+    anchors = written(anchors.select("h"), "phrase-anchors")
+    bits = bits_for(anchors.count(), BITS)
+    recurring = bitmap(anchors, bits)
+
+    occurrences = written(docs.mapInArrow(_occurrences(window, size, recurring, bits), OCCURRENCES), "phrase-occurrences")
+    kinds = occurrences.groupBy("h", "sid").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    # What the bitmap let through in vain goes here.
+    kinds = written(kinds.join(anchors, "h", "left_semi"), "phrase-kinds")
+    wanted = kinds.groupBy(F.col("first").alias("doc_id")).agg(F.collect_list(F.struct("h", "sid", "last")).alias("own"))
+    wanted = wanted.select("doc_id", F.col("own.h").alias("hs"), F.col("own.sid").alias("sids"), F.col("own.last").alias("lasts"))
+    owners = only_in(docs, "doc_id", kinds.select("first"), bits_for(kinds.count(), BITS)).join(wanted, "doc_id")
+    kinds = written(owners.mapInArrow(_kind_texts(window, size, recurring, bits), TEXTS), "phrase-texts")
+
+    low = F.min(F.struct("first", "h", "sid"))
+    confirmed = kinds.mapInArrow(_windows(window), WINDOWS).groupBy("w").agg(low.alias("low"), F.max("last").alias("high"))
+    confirmed = confirmed.where("low.first < high").groupBy("low.h", "low.sid").agg(F.collect_list("w").alias("own"))
+    phrases = written(kinds.join(confirmed, ["h", "sid"]).mapInArrow(_phrases(window), PHRASES), "phrases")
+
+    searched = only_in(kinds, "h", phrases.select("h"), bits_for(phrases.count(), BITS))
+    dealt = _dealt(phrases, searched).repartition("h", "salt").sortWithinPartitions(F.col("phrase").desc())
+    matches = written(dealt.mapInArrow(_search(window, size), MATCHES), "phrase-matches")
+    spans = matches.groupBy("h", "sid").agg(F.collect_set(F.struct("start", "end", "owner")).alias("spans"))
+    hits = occurrences.join(spans, ["h", "sid"]).select("doc_id", "starts", F.explode("spans").alias("span")).where("span.owner < doc_id")
+    hits = hits.select("doc_id", "span", F.explode("starts").alias("at"))
+    covered = hits.select("doc_id", (F.col("at") + F.col("span.start")).alias("start"), (F.col("at") + F.col("span.end")).alias("end"))
+    return written(covered, "phrase-covered")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, size: int = ANCHOR, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -298,6 +356,6 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, size: int = ANCHOR, do
     docs = _narrow(docs, doc_id, text)
     covered = repeated_passages(docs, window, size)
     spans = covered.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    touched, whole = split_by(docs, "doc_id", covered.select("doc_id"), FILTER_BITS)
+    touched, whole = split_by(docs, "doc_id", covered.select("doc_id"), bits_for(covered.count(), BITS))
     none = F.lit(None).cast(spans.schema["spans"].dataType).alias("spans")
     return touched.join(spans, "doc_id", "left").unionByName(whole.select("doc_id", "text", none)).mapInArrow(_remove, RESULT)

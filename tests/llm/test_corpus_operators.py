@@ -228,6 +228,21 @@ def test_repeats_without_id_and_twice(frame):
     assert mine == [(5, 70, 0), (5, 70, 0), (9, 71, 70), (None, 70, 0)]
 
 
+def test_first_least():
+    rng = np.random.default_rng(4)
+    for n, width in [(1, 1), (9, 9), (40, 27), (300, 5), (300, 8)]:
+        values = rng.integers(0, 6, n).astype(np.uint64)
+        want = [i + int(values[i : i + width].argmin()) for i in range(n - width + 1)]
+        assert phrase_automata.first_least(values, width).tolist() == want
+
+
+def test_full_bitmaps_cost_work_only(spark, monkeypatch):
+    rows = repeat_rows(random.Random(12))
+    monkeypatch.setattr(phrase_automata, "BITS", 3)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    same(phrase_automata.remove_repeats(df, window=12, size=5).collect(), brute_repeats(rows, 12))
+
+
 def test_automaton():
     automaton = phrase_automata.Automaton(4, 2)
     automaton.add([b"a", b"b", b"c", b"d", b"e"], 1, 3)
