@@ -4,7 +4,7 @@
    anchors, so documents that share a window share an anchor. Anchors of two documents or more go into a bitmap
    whose size follows their number, up to a bound. False hits cost work only.
 2. Stretches. Consecutive windows with the same anchor lie under one stretch of words. All documents give the hashes of
-   their stretches under recurring anchors; equal stretches are one kind, with its first and last document.
+   their stretches under recurring anchors; equal stretches (byte by byte) are one kind, with its first and last document.
    The words of a kind are sent once, by its first document.
 3. Confirmation. Windows of the kinds are counted by hash; those of several documents recur. Each is looked up in one
    kind of the first document that has it: there its consecutive recurring windows form a phrase.
@@ -15,7 +15,7 @@
 5. Occurrences. What is covered in a kind is covered wherever the kind occurs in a later document.
 
 A phrase holds the few windows around one anchor, so a task's automaton grows with its share of anchors only.
-Kinds are told apart by 128 bits: the hash of the anchor and a BLAKE2 digest of the words and the anchor's place.
+Kinds are told apart by 128 bits: the hash of the anchor and a BLAKE2 digest of the stretch.
 Words are the runs between ASCII white space, unchanged. Null texts have no words; rows without an id neither
 lose words nor make others lose any; rows with equal ids don't affect each other; an empty table gives
 no rows; other columns are ignored.
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phenomill.llm.bounded import bitmap, bits_for, in_bitmap, only_in, split_by
-from phenomill.llm.common import longs, rolling_hashes, slices, texts, unsigned, word_hashes, written
+from phenomill.llm.common import longs, rolling_hashes, slices, texts, word_hashes, word_spans, written
 
 WINDOW = 50
 ANCHOR = 24
@@ -45,7 +45,7 @@ HOT_SHARE = 0.005
 ANCHORS = "h long, doc_id long"
 OCCURRENCES = "h long, sid long, doc_id long, starts array<long>"
 TEXTS = "h long, sid long, first long, last long, at int, words binary"
-WINDOWS = "w long, h long, sid long, first long, last long"
+WINDOWS = "w long, h long, sid long, first long, last long, i int"
 PHRASES = "h long, sid long, first long, at int, words binary"
 MATCHES = "h long, sid long, start long, end long, owner long"
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
@@ -75,19 +75,41 @@ def window_anchors(words: np.ndarray, window: int, size: int) -> tuple[np.ndarra
     return shingles, first_least(shingles, window - size + 1)
 
 
+def _joined(items: list[bytes], size: int = 1 << 16) -> Iterator[tuple[bytes, tuple[np.ndarray, np.ndarray], np.ndarray]]:
+    """Texts put together until they have ``size`` bytes, with the spans of the words and the number of each word's text."""
+    at = 0
+    while at < len(items):
+        end, held = at + 1, len(items[at])
+        while end < len(items) and held + len(items[end]) <= size:
+            held += len(items[end])
+            end += 1
+        lengths = np.array([len(t) + 1 for t in items[at:end]])
+        data = b" ".join(items[at:end])
+        spans = word_spans(data)
+        yield data, spans, at + np.searchsorted(np.cumsum(lengths) - lengths, spans[0], side="right") - 1
+        at = end
+
+
+def _whole(owner: np.ndarray, window: int) -> np.ndarray:
+    """Which windows over the words of joined texts lie in one text."""
+    return owner[: len(owner) - window + 1] == owner[window - 1 :] if len(owner) >= window else np.empty(0, dtype=bool)
+
+
+def _with_id(batch: pa.RecordBatch) -> list[bytes]:
+    """The texts, empty where the row has no id."""
+    return [t if known else b"" for t, known in zip(texts(batch), batch.column("doc_id").is_valid().to_pylist())]
+
+
 def _anchors(window: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            hashes, owners = [], []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
-                if doc_id is None:
-                    continue
-                shingles, at = window_anchors(word_hashes(text), window, size)
-                if len(at):
-                    hashes.append(np.unique(shingles[at]))
-                    owners.append(np.full(len(hashes[-1]), doc_id, dtype=np.int64))
-            if hashes:
-                yield pa.RecordBatch.from_arrays([longs(np.concatenate(hashes)), pa.array(np.concatenate(owners))], ["h", "doc_id"])
+            for data, spans, owner in _joined(_with_id(batch)):
+                shingles, at = window_anchors(word_hashes(data, spans), window, size)
+                whole = np.flatnonzero(_whole(owner, window))
+                hashes, owners = shingles[at[whole]], owner[whole]
+                new = np.ones(len(whole), dtype=bool)
+                new[1:] = (hashes[1:] != hashes[:-1]) | (owners[1:] != owners[:-1])
+                yield pa.RecordBatch.from_arrays([longs(hashes[new]), batch.column("doc_id").take(pa.array(owners[new]))], ["h", "doc_id"])
 
     return run
 
@@ -108,43 +130,36 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), _KINDS[k]) for c, k in zip(columns, kinds)], list(names))
 
 
-def _sid(place: int, data: bytes) -> int:
-    digest = hashlib.blake2b(data, digest_size=8, salt=place.to_bytes(8, "little"))
-    return int.from_bytes(digest.digest(), "little", signed=True)
-
-
-def _stretches(text: bytes, window: int, size: int, recurring: np.ndarray, bits: int) -> Iterator[tuple[int, int, int, bytes, list[int]]]:
-    """(anchor hash, sid, place of the anchor, words, starts) of the distinct stretches under windows whose anchor may recur.
-
-    A text that repeats itself has the same stretch at many starts.
-    """
-    shingles, at = window_anchors(word_hashes(text), window, size)
-    windows = np.flatnonzero(in_bitmap(shingles, bits, recurring)[at])
-    if not len(windows):
-        return
-    words = text.split()
-    cut = np.flatnonzero((np.diff(windows) > 1) | (np.diff(at[windows]) != 0)) + 1
-    begin = windows[np.append(0, cut)]
-    end = windows[np.append(cut, len(windows)) - 1] + window
-    anchor = at[begin]
-    starts: dict[tuple, list[int]] = {}
-    for s, e, a, h in zip(begin.tolist(), end.tolist(), anchor.tolist(), shingles[anchor].view(np.int64).tolist()):
-        starts.setdefault((h, a - s, b" ".join(words[s:e])), []).append(s)
-    for (h, place, data), own in starts.items():
-        yield h, _sid(place, data), place, data, own
+def _stretches(
+    data: bytes, spans: tuple[np.ndarray, np.ndarray], owner: np.ndarray, window: int, size: int, recurring: np.ndarray, bits: int
+) -> tuple[np.ndarray, ...]:
+    """h, sid, text, place of the anchor, first word, first byte, end byte of the stretches under windows whose anchor may recur."""
+    shingles, at = window_anchors(word_hashes(data, spans), window, size)
+    windows = np.flatnonzero(in_bitmap(shingles, bits, recurring)[at] & _whole(owner, window))
+    new = np.ones(len(windows), dtype=bool)
+    new[1:] = (np.diff(windows) > 1) | (np.diff(at[windows]) != 0)
+    begin, last = windows[new], windows[np.append(new[1:], True)[: len(windows)]]
+    anchor, first, end = at[begin], spans[0][begin], spans[1][last + window - 1]
+    digests = b"".join([hashlib.blake2b(data[a:b], digest_size=8).digest() for a, b in zip(first.tolist(), end.tolist())])
+    return shingles[anchor].view(np.int64), np.frombuffer(digests, dtype="<i8"), owner[begin], anchor - begin, begin, first, end
 
 
 def _occurrences(window: int, size: int, recurring: np.ndarray, bits: int):
-    """Stretches of all documents, by hash."""
+    """Stretches of all documents, by hash; a text that repeats itself has the same one at many starts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
-                if doc_id is not None:
-                    rows += [(h, sid, doc_id, starts) for h, sid, _, _, starts in _stretches(text, window, size, recurring, bits)]
-            if rows:
-                yield _batch(rows, OCCURRENCES)
+            for data, spans, owner in _joined(_with_id(batch)):
+                h, sid, text, _, begin, _, _ = _stretches(data, spans, owner, window, size, recurring, bits)
+                order = np.lexsort((begin, sid, h, text))
+                h, sid, text = h[order], sid[order], text[order]
+                begin = begin[order] - np.searchsorted(owner, text)
+                new = np.ones(len(h), dtype=bool)
+                new[1:] = (np.diff(text) != 0) | (h[1:] != h[:-1]) | (sid[1:] != sid[:-1])
+                offsets = np.append(np.flatnonzero(new), len(h)).astype(np.int32)
+                starts = pa.ListArray.from_arrays(pa.array(offsets), pa.array(begin.astype(np.int64)))
+                columns = [pa.array(h[new]), pa.array(sid[new]), batch.column("doc_id").take(pa.array(text[new])), starts]
+                yield pa.RecordBatch.from_arrays(columns, ["h", "sid", "doc_id", "starts"])
 
     return run
 
@@ -154,14 +169,17 @@ def _kind_texts(window: int, size: int, recurring: np.ndarray, bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 64):
+            columns = (batch.column("hs"), batch.column("sids"), batch.column("lasts"))
+            wanted = [dict(zip(zip(hs, sids), lasts)) for hs, sids, lasts in zip(*(c.to_pylist() for c in columns))]
+            ids = batch.column("doc_id").to_pylist()
             rows, held = [], 0
-            columns = (batch.column("doc_id"), batch.column("hs"), batch.column("sids"), batch.column("lasts"))
-            for text, doc_id, hs, sids, lasts in zip(texts(batch), *(c.to_pylist() for c in columns)):
-                wanted = dict(zip(zip(hs, sids), lasts))
-                for h, sid, place, data, _ in _stretches(text, window, size, recurring, bits):
-                    if (h, sid) in wanted:
-                        rows.append((h, sid, doc_id, wanted[h, sid], place, data))
-                        held += len(data)
+            for data, spans, owner in _joined(texts(batch)):
+                found = _stretches(data, spans, owner, window, size, recurring, bits)
+                for h, sid, text, place, _, first, end in zip(*(x.tolist() for x in found)):
+                    last = wanted[text].pop((h, sid), None)
+                    if last is not None:
+                        rows.append((h, sid, ids[text], last, place, data[first:end]))
+                        held += end - first
                     if held > 1 << 20:
                         yield _batch(rows, TEXTS)
                         rows, held = [], 0
@@ -172,30 +190,30 @@ def _kind_texts(window: int, size: int, recurring: np.ndarray, bits: int):
 
 
 def _windows(window: int):
-    """Hashes of the distinct windows of each kind."""
+    """Hashes of the windows of each kind, with their number in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1000):
-            hashes = [np.unique(rolling_hashes(word_hashes(data), window)) for data in batch.column("words").to_pylist()]
-            row = pa.array(np.repeat(np.arange(len(hashes)), [len(h) for h in hashes]))
-            others = [batch.column(c).take(row) for c in ("h", "sid", "first", "last")]
-            yield pa.RecordBatch.from_arrays([longs(np.concatenate(hashes)), *others], [f.split()[0] for f in WINDOWS.split(", ")])
+            for data, spans, owner in _joined(batch.column("words").to_pylist()):
+                whole = np.flatnonzero(_whole(owner, window))
+                hashes, row = rolling_hashes(word_hashes(data, spans), window)[whole], owner[whole]
+                number = pa.array((whole - np.searchsorted(owner, row)).astype(np.int32))
+                others = [batch.column(c).take(pa.array(row)) for c in ("h", "sid", "first", "last")]
+                yield pa.RecordBatch.from_arrays([longs(hashes), *others, number], [f.split()[0] for f in WINDOWS.split(", ")])
 
     return run
 
 
 def _phrases(window: int):
-    """Phrases of the kinds in which recurring windows (hashes in ``own``) are looked up."""
+    """Phrases of the kinds in which recurring windows (numbers in ``own``) are looked up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1000):
             rows = []
-            columns = [batch.column(c).to_pylist() for c in ("h", "sid", "first", "at", "words")]
-            for h, sid, first, at, data, own in zip(*columns, batch.column("own")):
-                words = data.split(b" ")
-                found = np.flatnonzero(np.isin(rolling_hashes(word_hashes(data), window), unsigned(own.values)))
-                for part in np.split(found, np.flatnonzero(np.diff(found) > 1) + 1):
-                    rows.append((h, sid, first, at - int(part[0]), b" ".join(words[part[0] : part[-1] + window])))
+            for h, sid, first, at, data, own in zip(*(batch.column(c).to_pylist() for c in ("h", "sid", "first", "at", "words", "own"))):
+                words = data.split()
+                for start, end in merged([(i, i + 1) for i in own]):
+                    rows.append((h, sid, first, at - start, b" ".join(words[start : end - 1 + window])))
             yield _batch(rows, PHRASES)
 
     return run
@@ -217,31 +235,49 @@ class Automaton:
     def compile(self) -> None:
         around: dict[tuple, list[tuple]] = {}
         for (ids, at), doc_id in self.owner.items():
-            around.setdefault(ids[at : at + self.size], []).append((ids, at, doc_id))
+            around.setdefault(ids[at : at + self.size], []).append((ids[:at][::-1], ids[at + self.size :], doc_id))
         if around:
             self.compiled = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
             for key, phrases in around.items():
-                self.compiled.add_word(key, phrases)
+                left, right, owners = zip(*phrases)
+                self.compiled.add_word(key, (self._rows(left), self._rows(right), np.array(owners, dtype=np.int64)))
             self.compiled.make_automaton()
 
-    def matches(self, words: list[bytes]) -> list[tuple[int, int, int]]:
-        """(start, end, document) of the stretches of ``words`` that lie under windows of a phrase."""
+    @staticmethod
+    def _rows(sides: tuple[tuple, ...]) -> np.ndarray:
+        """Words beside an anchor, the nearest first; -1, which no text has, behind the last."""
+        out = np.full((len(sides), max(map(len, sides)) + 1), -1, dtype=np.int32)
+        for row, side in zip(out, sides):
+            row[: len(side)] = side
+        return out
+
+    @staticmethod
+    def _common(sides: np.ndarray, words: tuple) -> np.ndarray:
+        """How many words of each row ``words`` begins with."""
+        own = np.zeros(sides.shape[1], dtype=np.int32)
+        own[: len(words)] = words[: len(own)]
+        return (sides != own).argmax(axis=1)
+
+    def matches(self, words: list[bytes], place: int | None = None) -> list[tuple[int, int, int]]:
+        """(start, end, document) of the stretches of ``words`` that lie under windows of a phrase; only around ``place`` if given.
+
+        Of equal stretches the one of the first document.
+        """
         if self.compiled is None:
             return []
         ids = tuple(self.word.get(w, 0) for w in words)
-        found = set()
-        for last, phrases in self.compiled.iter(ids):
+        found: dict[tuple, int] = {}
+        for last, (left, right, owners) in self.compiled.iter(ids):
             first = last - self.size + 1
-            for phrase, at, owner in phrases:
-                left, most = 0, min(first, at)
-                while left < most and ids[first - left - 1] == phrase[at - left - 1]:
-                    left += 1
-                right, end = self.size, min(len(ids) - first, len(phrase) - at)
-                while right < end and ids[first + right] == phrase[at + right]:
-                    right += 1
-                if left + right >= self.window:
-                    found.add((first - left, first + right, owner))
-        return sorted(found)
+            if place is not None and first != place:
+                continue
+            before = self._common(left, ids[max(0, first - left.shape[1]) : first][::-1])
+            after = self._common(right, ids[last + 1 : last + 1 + right.shape[1]])
+            hit = before + after + self.size >= self.window
+            for a, b, owner in zip(before[hit].tolist(), after[hit].tolist(), owners[hit].tolist()):
+                span = (first - a, last + 1 + b)
+                found[span] = min(owner, found.get(span, owner))
+        return sorted((*span, owner) for span, owner in found.items())
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -264,16 +300,13 @@ def _search(window: int, size: int):
             rows = []
             for h, phrase, sid, doc_id, at, data in zip(*(batch.column(c).to_pylist() for c in ("h", "phrase", "sid", "doc_id", "at", "words"))):
                 if phrase:
-                    automaton.add(data.split(b" "), at, doc_id)
+                    automaton.add(data.split(), at, doc_id)
                     continue
                 if not compiled:
                     automaton.compile()
                     compiled = True
-                spans: dict[tuple, int] = {}
-                for start, end, owner in automaton.matches(data.split(b" ")):
-                    if owner < doc_id:
-                        spans[start, end] = min(owner, spans.get((start, end), owner))
-                rows += [(h, sid, start, end, owner) for (start, end), owner in spans.items()]
+                # All windows of a kind lie around its one anchor.
+                rows += [(h, sid, *found) for found in automaton.matches(data.split(), at) if found[2] < doc_id]
             if rows:
                 yield _batch(rows, MATCHES)
 
@@ -336,9 +369,9 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, size: int = ANCHOR,
     owners = only_in(docs, "doc_id", kinds.select("first"), bits_for(kinds.count(), BITS)).join(wanted, "doc_id")
     kinds = written(owners.mapInArrow(_kind_texts(window, size, recurring, bits), TEXTS), "phrase-texts")
 
-    low = F.min(F.struct("first", "h", "sid"))
+    low = F.min(F.struct("first", "h", "sid", "i"))
     confirmed = kinds.mapInArrow(_windows(window), WINDOWS).groupBy("w").agg(low.alias("low"), F.max("last").alias("high"))
-    confirmed = confirmed.where("low.first < high").groupBy("low.h", "low.sid").agg(F.collect_list("w").alias("own"))
+    confirmed = confirmed.where("low.first < high").groupBy("low.h", "low.sid").agg(F.collect_list("low.i").alias("own"))
     phrases = written(kinds.join(confirmed, ["h", "sid"]).mapInArrow(_phrases(window), PHRASES), "phrases")
 
     searched = only_in(kinds, "h", phrases.select("h"), bits_for(phrases.count(), BITS))
