@@ -10,12 +10,13 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
+from phenomill.functions import saddlepoint
 from phenomill.functions.ranks import ordered_prefix
 from phenomill.functions.nulls import join_null_safe
 from phenomill.functions.stats import normal_quantile
@@ -29,6 +30,8 @@ MIN_MAC = 0.5
 MIN_MAC_VARIANT = 4
 SPA_CUTOFF = 0.5
 MAX_MAFS = [0.0001, 0.001, 0.01]
+#: Carriers of a variant in one row, on average at most.
+CARRIERS = 1024
 
 
 def rank_inverse_normal(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
@@ -359,166 +362,156 @@ def assoc_scan(genotypes: DataFrame, null: DataFrame, min_mac: float = MIN_MAC,
     return score_sums(genotypes, null, width).mapInPandas(test, schema)
 
 
-def spa_pvalue(scan: DataFrame, genotypes: DataFrame, null: DataFrame, cutoff: float = SPA_CUTOFF) -> DataFrame:
+def _solved(key: list[str]):
+    """p-values of variants whose carriers are all in one row."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                q, var, carrier_var, top, bottom = (part.column(c).to_numpy() for c in ("q", "var", "carrier_var", "top", "bottom"))
+                g, mu = (part.column(c).flatten().to_numpy() for c in ("g", "mu"))
+                row = np.repeat(np.arange(part.num_rows), part.column("g").value_lengths().to_numpy())
+                rest = np.maximum(var - carrier_var, 0.0)
+                sides = [saddlepoint.solve(g, mu, row, x, var, rest, saddlepoint.reached(x, rest, top, bottom)) for x in (q, -q)]
+                p = pa.array(sides[0] + sides[1], from_pandas=True)
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in key), p], [*key, "__spa"])
+
+    return run
+
+
+def _piece_cumulants(key: list[str]):
+    """The cumulants of each piece at the t of its variant and side."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                g, mu = (part.column(c).flatten().to_numpy() for c in ("g", "mu"))
+                row = np.repeat(np.arange(part.num_rows), part.column("g").value_lengths().to_numpy())
+                sums = saddlepoint.cumulants(g, mu, row, part.column("t").to_numpy())
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in [*key, "side"]), *map(pa.array, sums)], [*key, "side", "s0", "s1", "s2"])
+
+    return run
+
+
+def _advanced(batches):
+    """One step of the variants that are still open."""
+    for pdf in batches:
+        open_ = ~pdf["done"].to_numpy(dtype=bool)
+        own = pdf[open_]
+        values = [own[c].to_numpy(dtype=float) for c in ("t", "low", "high", "q", "rest", "s1", "s2")]
+        number = own["number"].to_numpy() + 1
+        t, low, high, done = saddlepoint.step(number, *values)
+        columns = {"t": t, "low": low, "high": high, "done": done, "number": number, "k0": own["s0"], "k1": own["s1"], "k2": own["s2"]}
+        for name, column in columns.items():
+            pdf.loc[open_, name] = np.asarray(column)
+        yield pdf.drop(columns=["s0", "s1", "s2"])
+
+
+def _side_tails(key: list[str]):
+    def run(batches):
+        for pdf in batches:
+            tail = saddlepoint.tails(*(pdf[c].to_numpy(dtype=float) for c in ("t", "q", "rest", "var", "k0", "k1", "k2")))
+            yield pdf[key].assign(tail=tail)
+
+    return run
+
+
+def _common_pvalues(pieces: DataFrame, key: list[str]) -> DataFrame:
+    """p-values of variants whose carriers are in several rows: the pieces' sums are added up, one aggregate per round.
+
+    Only the state of a variant, two rows, is rewritten; pieces are read where they are, by the variants that are open.
+    """
+    total = {c: F.sum(c).alias(c) for c in ("carrier_var", "top", "bottom")}
+    q, var, rest = F.col("q"), F.col("var"), F.col("rest")
+    state = (
+        pieces.groupBy(*key, "q", "var")
+        .agg(*total.values())
+        .withColumn("rest", F.greatest(var - F.col("carrier_var"), F.lit(0.0)))
+        .withColumn("side", F.explode(F.array(F.lit(1), F.lit(-1))))
+        .withColumn("q", q * F.col("side"))
+        .where((rest > 0) | (q < F.col("top")) & (q > F.col("bottom")))
+        .select(*key, "side", "q", "var", "rest", (q / var).alias("t"), F.when(q > 0, 0.0).otherwise(-saddlepoint.FAR).alias("low"))
+        .withColumns({"high": F.when(q > 0, saddlepoint.FAR).otherwise(0.0), "number": F.lit(0), "done": F.lit(False)})
+        .withColumns({c: F.lit(0.0) for c in ("k0", "k1", "k2")})
+    )
+    types = dict(state.dtypes)
+    keys = ", ".join(f"{k} {types[k]}" for k in key)
+    schema = ", ".join(f"{c} {types[c]}" for c in state.columns)
+    while True:
+        state = write_intermediate(state, "saddlepoint")
+        open_ = state.where("NOT done")
+        if open_.isEmpty():
+            break
+        at = broadcast_checked(open_.select(*key, "side", "t"), 200)
+        sums = pieces.select(*key, "g", "mu").join(at, key).mapInArrow(_piece_cumulants(key), f"{keys}, side int, s0 double, s1 double, s2 double")
+        sums = sums.groupBy(*key, "side").agg(*(F.sum(c).alias(c) for c in ("s0", "s1", "s2")))
+        state = state.join(sums, [*key, "side"], "left").select(*state.columns, "s0", "s1", "s2").mapInPandas(_advanced, schema)
+    sides = state.mapInPandas(_side_tails(key), f"{keys}, tail double")
+    both = F.when(F.count("tail") == 2, F.sum("tail"))
+    return sides.groupBy(*key).agg(both.alias("__spa"))
+
+
+def spa_pvalue(
+    scan: DataFrame, genotypes: DataFrame, null: DataFrame, cutoff: float = SPA_CUTOFF, piece: int = CARRIERS
+) -> DataFrame:
     """Saddlepoint p-value of binary traits for scores beyond ``cutoff`` standard deviations.
 
-    Carriers enter the cumulant function exactly, all others by their normal part. The two
-    saddlepoints (for +|score| and -|score|) of all variants are found together: each round sums
-    the derivatives per variant over the carrier rows and takes one guarded Newton step (or halves the
-    bracket), so no variant's carriers have to meet in one task. Rounds go on, over what is still open, until each
-    root is found or its bracket can't shrink. ``Is.SPA`` tells where the p-value was used; ``SPA.Converged`` is FALSE where
-    it was wanted but no root was found (a score at the edge of what its carriers allow).
+    Carriers enter the cumulant function exactly, all others by their normal part. The carriers of a variant are stored as
+    arrays, in pieces of about ``piece`` by a hash of the sample. A variant of one piece, as nearly all are, is solved where its
+    row is read; a common one takes one sum over its pieces per round, so its carriers don't have to meet in one task.
+    Steps go on until each root is found or its bracket can't shrink. ``Is.SPA`` tells where the p-value was used;
+    ``SPA.Converged`` is FALSE where it was wanted but no root was found (a score at the edge of what its carriers allow).
     """
+    groups = group_keys(null)
+    key = [*VARIANT, *groups]
     beyond = (F.abs("Tstat") > cutoff * F.sqrt("var")) & F.col("N_case").isNotNull()
     scan = write_intermediate(scan, "scan")
+    carried = genotypes.where(F.col("dosage").isNull() | (F.col("dosage") != 0)).select(*VARIANT, "s", "dosage")
+    counted = carried.groupBy(*VARIANT).agg(F.ceil(F.count(F.lit(1)) / piece).cast("int").alias("pieces"))
     wanted = scan.where(beyond).select(
-        F.col("MarkerID").alias("marker_id"), "trait", F.abs("Tstat").alias("q"), "var", "mean_dosage", "covariate_effect"
+        "chrom", "pos", F.col("MarkerID").alias("marker_id"), *groups, F.abs("Tstat").alias("q"), "var", "mean_dosage", "covariate_effect"
     )
-    rows = write_intermediate(null.select("s", "trait", "mu", "weight", "x"), "null-model")
+    wanted = write_intermediate(wanted.join(counted, VARIANT), "beyond")
+    rows = write_intermediate(null.select("s", *groups, "mu", "weight", "x"), "null-model")
     width = rows.agg(F.max(F.size("x"))).first()[0]
     adjusted = F.coalesce(F.col("dosage").cast("double"), F.col("mean_dosage")) - F.aggregate(
         F.zip_with("x", "covariate_effect", lambda a, b: F.coalesce(a * b, F.lit(0.0))),
         F.lit(0.0),
         lambda total, e: total + e,
     )
-    carriers = write_intermediate(
-        genotypes.where(F.col("dosage").isNull() | (F.col("dosage") != 0))
-        .select("marker_id", "s", "dosage")
-        .join(broadcast_checked(rows, 8 * width + 60), "s")
-        .join(wanted, ["marker_id", "trait"])
-        .select("marker_id", "trait", adjusted.alias("g"), "mu", "weight"),
-        "carriers",
-    )
-    key = ["marker_id", "trait"]
-    g, mu, t = F.col("g"), F.col("mu"), F.col("t")
+    g, mu = F.col("g"), F.col("mu")
     # As t grows without bound the slope of the carriers' part tends to ``top``, in the other direction to ``bottom``.
-    rest = carriers.groupBy(*key).agg(
-        F.sum(F.col("weight") * g * g).alias("carrier_var"),
-        F.sum(F.when(g > 0, g * (1.0 - mu)).otherwise(-g * mu)).alias("top"),
-        F.sum(F.when(g > 0, -g * mu).otherwise(g * (1.0 - mu))).alias("bottom"),
-    )
-    sides = wanted.join(rest, key).select(
-        *key,
-        F.greatest(F.col("var") - F.col("carrier_var"), F.lit(0.0)).alias("rest_var"),
-        F.explode(F.array(F.col("q"), -F.col("q"))).alias("q"),
-        "var",
-        "top",
-        "bottom",
-    )
-    reached = (F.col("rest_var") > 0) | (F.col("q") < F.col("top")) & (F.col("q") > F.col("bottom"))
-    sides = sides.where(reached).drop("top", "bottom")
-    # The first step of Newton from 0; brackets keep the root between 0 and the far side.
-    state = sides.withColumns(
-        {
-            "t": F.col("q") / F.col("var"),
-            "low": F.when(F.col("q") > 0, 0.0).otherwise(-1e6),
-            "high": F.when(F.col("q") > 0, 1e6).otherwise(0.0),
-            "excess": F.col("q"),
-            "round": F.lit(0),
-        }
-    )
-    # mu e^(gt) / (1 - mu + mu e^(gt)) without overflow
-    tilt = 1.0 / (1.0 + (1.0 - mu) / mu * F.exp(-F.greatest(F.least(g * t, F.lit(500.0)), F.lit(-500.0))))
-    found = None
-    while True:
-        state = write_intermediate(state, "saddlepoint")
-        width = F.col("high") - F.col("low")
-        exact = F.abs("excess") <= 1e-7 * F.greatest(F.abs("q"), F.lit(1.0))
-        settled = exact | (width <= 1e-12 * F.greatest(F.abs("t"), F.lit(1e-6)))
-        done = state.where(settled)
-        found = done if found is None else found.unionByName(done)
-        state = state.where(~settled)
-        if state.isEmpty():
-            break
-        slopes = (
-            carriers.join(state.select(*key, "q", "t"), key)
-            .groupBy(*key, "q")
-            .agg(
-                F.sum(g * (tilt - mu)).alias("k1"),
-                F.sum(g * g * tilt * (1.0 - tilt)).alias("k2"),
-            )
-        )
-        excess = F.col("k1") + F.col("rest_var") * t - F.col("q")
-        stepped = (
-            state.drop("excess")
-            .join(slopes, [*key, "q"])
-            .withColumn("excess", excess)
-            .withColumns(
-                {
-                    "low": F.when(F.col("excess") < 0, t).otherwise(F.col("low")),
-                    "high": F.when(F.col("excess") > 0, t).otherwise(F.col("high")),
-                    "next": t - F.col("excess") / F.greatest(F.col("k2") + F.col("rest_var"), F.lit(1e-300)),
-                    "round": F.col("round") + 1,
-                }
-            )
-        )
-        # Newton inside the bracket; every third round its middle, by factors while it spans more than one of four.
-        near_end, far_end = F.least(F.abs("low"), F.abs("high")), F.greatest(F.abs("low"), F.abs("high"))
-        by_factor = F.signum("q") * F.sqrt(F.greatest(near_end, F.lit(1e-9)) * far_end)
-        middle = F.when(far_end > 4 * near_end, by_factor).otherwise((F.col("low") + F.col("high")) / 2)
-        inside = (F.col("next") > F.col("low")) & (F.col("next") < F.col("high")) & (F.col("round") % 3 != 0)
-        near = F.abs("excess") <= 1e-7 * F.greatest(F.abs("q"), F.lit(1.0))
-        state = stepped.withColumn(
-            "t", F.when(near, t).when(inside, F.col("next")).otherwise(middle)
-        ).select(*state.columns)
-    state = found
-    # log(1 - mu + mu e^(gt)) - mu g t, stable for large gt
-    gt = g * t
-    log_mgf = F.when(gt > 0, gt + F.log((1.0 - mu) * F.exp(-gt) + mu)).otherwise(
-        F.log1p(mu * (F.exp(gt) - 1.0))
-    )
-    at_root = (
-        carriers.join(state, key)
-        .groupBy(*key, "q")
+    pieces = (
+        carried.join(broadcast_checked(rows, 8 * width + 60), "s")
+        .join(wanted, key)
+        .select(*key, "pieces", "q", "var", "mu", "weight", adjusted.alias("g"), F.pmod(F.xxhash64("s"), "pieces").alias("piece"))
+        .groupBy(*key, "pieces", "q", "var", "piece")
         .agg(
-            F.max("t").alias("t"),
-            F.max("rest_var").alias("rest_var"),
-            F.max("var").alias("var"),
-            F.sum(log_mgf - mu * gt).alias("k0"),
-            F.sum(g * (tilt - mu)).alias("k1"),
-            F.sum(g * g * tilt * (1.0 - tilt)).alias("k2"),
+            F.sum(F.col("weight") * g * g).alias("carrier_var"),
+            F.sum(F.when(g > 0, g * (1.0 - mu)).otherwise(-g * mu)).alias("top"),
+            F.sum(F.when(g > 0, -g * mu).otherwise(g * (1.0 - mu))).alias("bottom"),
+            F.collect_list(F.struct("g", "mu")).alias("carriers"),
         )
+        .select(*key, "pieces", "q", "var", "carrier_var", "top", "bottom", F.col("carriers.g").alias("g"), F.col("carriers.mu").alias("mu"))
     )
-    tails = at_root.withColumn(
-        "tail",
-        _lugannani_rice("t", "q", "rest_var", "var", "k0", "k1", "k2"),
-    )
-    p = tails.groupBy(*key).agg(
-        F.sum("tail").alias("__spa"), F.count("tail").alias("__tails")
-    ).withColumnRenamed("marker_id", "MarkerID")
-    use = F.coalesce(F.col("__tails") == 2, F.lit(False))
+    pieces = write_intermediate(pieces, "carriers")
+    types = dict(pieces.dtypes)
+    schema = ", ".join(f"{k} {types[k]}" for k in key) + ", __spa double"
+    rare = pieces.where("pieces = 1").mapInArrow(_solved(key), schema)
+    p = rare.unionByName(_common_pvalues(pieces.where("pieces > 1"), key)).withColumnRenamed("marker_id", "MarkerID")
+    use = F.col("__spa").isNotNull()
     return (
-        scan.join(p, ["MarkerID", "trait"], "left")
+        scan.join(p, ["chrom", "pos", "MarkerID", *groups], "left")
         .withColumn("p.value.NA", F.col("`p.value`"))
         .withColumn("p.value", F.when(use, F.least("__spa", F.lit(1.0))).otherwise(F.col("`p.value`")))
         .withColumn("Is.SPA", use)
         .withColumn("SPA.Converged", F.when(F.coalesce(beyond, F.lit(False)), use))
-        .drop("__spa", "__tails")
+        .select(*(f"`{c}`" for c in scan.columns), "`p.value.NA`", "`Is.SPA`", "`SPA.Converged`")
     )
 
 
-@F.pandas_udf(DoubleType())
-def _lugannani_rice(
-    t: pd.Series, q: pd.Series, rest: pd.Series, var: pd.Series, k0: pd.Series, k1: pd.Series, k2: pd.Series
-) -> pd.Series:
-    """Tail probability beyond q on its side; missing when the root was not reached."""
-    out = []
-    for t_, q_, rest_, var_, a, b, c in zip(t, q, rest, var, k0, k1, k2):
-        k, slope, curve = a + rest_ * t_ * t_ / 2, b + rest_ * t_, c + rest_
-        square = 2 * (t_ * q_ - k)
-        if abs(slope - q_) > 1e-4 * max(1.0, abs(q_)) or square <= 0 or curve <= 0:
-            out.append(None)
-            continue
-        w = math.copysign(math.sqrt(square), t_)
-        v = t_ * math.sqrt(curve)
-        if abs(w) < 1e-4 or v / w <= 0:
-            out.append(0.5 * math.erfc(abs(q_) / math.sqrt(2 * var_)))
-            continue
-        r = w + math.log(v / w) / w
-        out.append(0.5 * math.erfc((r if q_ > 0 else -r) / math.sqrt(2)))
-    return pd.Series(out, dtype="float64")
-
-
 def gene_burden(
     genotypes: DataFrame,
     frequencies: DataFrame,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,12 +12,14 @@ from phenomill.functions.ranks import ordered_prefix, top_n_per_group
 from phenomill.operators import alleles, pca
 from phenomill.operators.genotypes import VARIANT, allele_frequency
 from phenomill.operators.variant_rows import from_long, is_variant_rows, restrict, sample_index
-from phenomill.session import broadcast_checked, write_intermediate
+from phenomill.session import broadcast_checked, scratch_path, write_intermediate
+from phenomill.sources.blocks import Blocks, write_block
 
 # Number of components; relatedness cut-off and marker count.
 N_COMPONENTS = 20
 RELATEDNESS_CUTOFF = 0.05
 KINSHIP_MARKERS = 5000
+PAIRS_PER_TASK = 4
 
 
 def polymorphic_index(genotypes: DataFrame) -> DataFrame:
@@ -136,8 +139,8 @@ def sparse_relatedness(
 
     Kinship is the mean over markers of the product of normalized genotypes, missing as 0. No
     bound can rule a pair out beforehand, so all are multiplied, but as matrix products
-    of sample blocks: a block pair is one group of two blocks by ``n_markers`` bytes,
-    and only the pairs that reach the cut-off leave it.
+    of sample blocks. A block of ``block_size`` samples by ``n_markers`` bytes is written once, as a file in the shared folder; the
+    work list has a row per block pair, whose task fetches the two. Only the pairs that reach the cut-off leave it.
     """
     chosen = genotypes.join(random_markers(genotypes, n_markers, seed), "marker_id", "left_semi")
     index = write_intermediate(polymorphic_index(chosen), "kinship-variants")
@@ -163,41 +166,53 @@ def sparse_relatedness(
                 packed.append(line.tobytes())
             yield pd.DataFrame({"s": pdf["s"], "line": packed})
 
+    spark = genotypes.sparkSession
     s_type = dict(genotypes.dtypes)["s"]
     packed = write_intermediate(rows.mapInPandas(pack, f"s {s_type}, line binary"), "packed")
-    n_blocks = max(1, -(-packed.count() // block_size))
-    placed = packed.withColumn("block", F.pmod(F.xxhash64("s"), F.lit(n_blocks)).cast("int"))
-    left = placed.select(
-        "s", "line", F.col("block").alias("bi"), F.explode(F.sequence(F.col("block"), F.lit(n_blocks - 1))).alias("bj")
-    )
-    right = placed.select(
-        F.col("s").alias("s2"),
-        F.col("line").alias("line2"),
-        F.explode(F.sequence(F.lit(0), F.col("block"))).alias("bi2"),
-        F.col("block").alias("bj2"),
-    )
-
-    def normalized(lines) -> np.ndarray:
-        g = np.frombuffer(b"".join(lines), dtype="int8").reshape(-1, m)
+    samples = write_intermediate(sample_index(packed), "kinship-samples")
+    n_blocks = max(1, -(-samples.count() // block_size))
+    folder = scratch_path(spark, "kinship-blocks")
+    placed = packed.join(samples, "s").select(F.floor(F.col("sample_idx") / block_size).cast("int").alias("block"), "sample_idx", "line")
+
+    def store(batches):
+        block, lines = None, []
+        for batch in batches:
+            for own, line in zip(batch.column("block").to_pylist(), batch.column("line").to_pylist()):
+                if own != block:
+                    if lines:
+                        write_block(folder, f"s-{block}", np.stack(lines))
+                    block, lines = own, []
+                lines.append(np.frombuffer(line, dtype="int8"))
+        if lines:
+            write_block(folder, f"s-{block}", np.stack(lines))
+        yield pa.RecordBatch.from_arrays([pa.array([], pa.int32())], ["block"])
+
+    placed.repartition("block").sortWithinPartitions("block", "sample_idx").mapInArrow(store, "block int").count()
+
+    def normalized(g: np.ndarray) -> np.ndarray:
         z = (g - 2 * af) / scale
         z[g < 0] = 0.0
         return z
 
-    def multiply(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame({"i": [], "j": [], "kinship": []})
-        sa, sb = a["s"].to_numpy(), b["s2"].to_numpy()
-        kinship = normalized(a["line"]) @ normalized(b["line2"]).T / m
-        keep = kinship >= cutoff
-        if key[0] == key[1]:
-            keep &= sa[:, None] <= sb[None, :]
-        x, y = np.nonzero(keep)
-        return pd.DataFrame(
-            {"i": np.minimum(sa[x], sb[y]), "j": np.maximum(sa[x], sb[y]), "kinship": kinship[x, y]}
-        )
-
-    return (
-        left.groupBy("bi", "bj")
-        .cogroup(right.groupBy("bi2", "bj2"))
-        .applyInPandas(multiply, f"i {s_type}, j {s_type}, kinship double")
+    def multiply(batches):
+        fetch, left = Blocks(folder, 2), None
+        for batch in batches:
+            for a, b in zip(batch.column("bi").to_pylist(), batch.column("bj").to_pylist()):
+                if left is None or left[0] != a:
+                    left = (a, normalized(fetch(f"s-{a}")))
+                right = left[1] if a == b else normalized(fetch(f"s-{b}"))
+                kinship = left[1] @ right.T / m
+                keep = kinship >= cutoff
+                x, y = np.nonzero(np.triu(keep) if a == b else keep)
+                columns = [pa.array(a * block_size + x), pa.array(b * block_size + y), pa.array(kinship[x, y])]
+                yield pa.RecordBatch.from_arrays(columns, ["a", "b", "kinship"])
+
+    n_pairs = n_blocks * (n_blocks + 1) // 2
+    pairs = spark.range(n_blocks).select(
+        F.col("id").cast("int").alias("bi"), F.explode(F.sequence(F.col("id").cast("int"), F.lit(n_blocks - 1))).alias("bj")
     )
+    work = pairs.repartitionByRange(-(-n_pairs // PAIRS_PER_TASK), "bi", "bj").sortWithinPartitions("bi", "bj")
+    edges = write_intermediate(work.mapInArrow(multiply, "a long, b long, kinship double"), "kinship")
+    name = lambda c, side: samples.select(F.col("sample_idx").cast("long").alias(side), F.col("s").alias(c))
+    named = edges.join(name("s1", "a"), "a").join(name("s2", "b"), "b")
+    return named.select(F.least("s1", "s2").alias("i"), F.greatest("s1", "s2").alias("j"), "kinship")

@@ -314,11 +314,12 @@ def spa_numpy(g, mu, rest, q):
     return 0.5 * math.erfc((r if q > 0 else -r) / math.sqrt(2))
 
 
-def test_saddlepoint(long, matrix, phenotypes):
+@pytest.mark.parametrize("piece", [1024, 6])
+def test_saddlepoint(long, matrix, phenotypes, piece):
     x, y, _, df = phenotypes
     null = association.null_model(df, "t", "y", ["a", "b"], "binary")
     scan = association.assoc_scan(long, null)
-    rows = {int(r.MarkerID[1:]): r for r in association.spa_pvalue(scan, long, null).collect()}
+    rows = {int(r.MarkerID[1:]): r for r in association.spa_pvalue(scan, long, null, piece=piece).collect()}
     assert len(rows) == M - 1
     used = [j for j, r in rows.items() if r["Is.SPA"]]
     assert used and all(abs(rows[j].Tstat) > 0.5 * math.sqrt(rows[j]["var"]) for j in used)
