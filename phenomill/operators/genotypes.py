@@ -7,17 +7,20 @@ those of long rows are sums over samples, built from partial sums of bounded til
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
+from urllib.parse import quote
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from phenomill.functions.ranks import ordered_prefix, top_n_per_group
 from phenomill.functions.stats import hwe_exact_p
-from phenomill.operators.variant_rows import VARIANT, called, copies, having, is_variant_rows, restrict, variant_key
-from phenomill.session import broadcast_checked, write_intermediate
+from phenomill.operators.variant_rows import VARIANT, called, copies, having, is_variant_rows, restrict, sample_index, variant_key
+from phenomill.session import broadcast_checked, scratch_path, write_intermediate
+from phenomill.sources.blocks import Blocks, write_block
 
 # Thresholds of the array quality filter and of linkage pruning.
 MIN_MAF = 0.01
@@ -26,6 +29,10 @@ LD_WINDOW = 50
 LD_R2 = 0.05
 LD_KB_R2 = 0.1
 MARKERS_PER_CLASS = 2000
+#: Variants by samples of a stored tile of calls (2 MB), and how many pairs of tiles a task multiplies.
+LD_TILE = (512, 4096)
+TILE_PAIRS_PER_TASK = 8
+TILE = ["chrom", "block", "sblock"]
 
 
 def allele_frequency(genotypes: DataFrame) -> DataFrame:
@@ -193,71 +200,126 @@ def ld_pairs_kb(indexed: DataFrame, kb: int = 1000) -> DataFrame:
     )
 
 
-def _tile_sums(span: int):
-    def sums(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Pair sums over the samples of one tile (up to two blocks of variants)."""
-        ids, first, row = np.unique(pdf["idx"].to_numpy(), return_index=True, return_inverse=True)
-        at = pdf["at"].to_numpy()[first]
-        col, samples = pd.factorize(pdf["s"])
-        x = np.zeros((len(ids), len(samples)))
-        seen = np.zeros_like(x)
-        x[row, col] = pdf["dosage"].to_numpy(dtype=float)
-        seen[row, col] = 1.0
-        later, gap = ids[None, :] > ids[:, None], at[None, :] - at[:, None]
-        own = (at // span == pdf["block"].iloc[0])[:, None]
-        i, j = np.nonzero(own & later & (gap < span))
-        squares = x * x
-        grids = {
-            "n": seen @ seen.T,
-            "sx": x @ seen.T,
-            "sy": seen @ x.T,
-            "sxx": squares @ seen.T,
-            "syy": seen @ squares.T,
-            "sxy": x @ x.T,
-        }
-        out = {name: grid[i, j].astype("int64") for name, grid in grids.items()}
-        return pd.DataFrame({"chrom": pdf["chrom"].iloc[0], "i": ids[i], "j": ids[j], **out})
-
-    return sums
+def _chromosome_file(chrom) -> str:
+    return quote(str(chrom), safe="")
+
+
+def _store_tiles(folder: str, shape: tuple[int, int]):
+    """Calls sorted by tile as files of (variant, sample) bytes, -1 where there is none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, calls = None, None
+        for batch in batches:
+            keys = list(zip(*(batch.column(c).to_pylist() for c in TILE)))
+            row, col, dosage = (batch.column(c).to_numpy() for c in ("row", "col", "dosage"))
+            cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
+            for start, end in zip(cuts, cuts[1:]):
+                if end == start:
+                    continue
+                if keys[start] != key:
+                    if key is not None:
+                        write_block(folder, f"{_chromosome_file(key[0])}-{key[1]}-{key[2]}", calls)
+                        yield _batch_of_tile(key, batch)
+                    key, calls = keys[start], np.full(shape, -1, dtype="int8")
+                calls[row[start:end], col[start:end]] = dosage[start:end]
+        if key is not None:
+            write_block(folder, f"{_chromosome_file(key[0])}-{key[1]}-{key[2]}", calls)
+            yield _batch_of_tile(key, batch)
+
+    return run
+
+
+def _batch_of_tile(key: tuple, like: pa.RecordBatch) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([k], like.schema.field(c).type) for k, c in zip(key, TILE)], TILE)
+
+
+def _pair_sums(folder: str, span: int, variants: int):
+    """Sums over the samples of one sample block, for the variant pairs of two variant blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fetch = Blocks(folder, 2)
+        for batch in batches:
+            for work in range(batch.num_rows):
+                chrom, a, b, sblock, at_a, at_b = (batch.column(c)[work].as_py() for c in ("chrom", "a", "b", "sblock", "at_a", "at_b"))
+                x, y = (fetch(f"{_chromosome_file(chrom)}-{k}-{sblock}")[: len(at)] for k, at in ((a, at_a), (b, at_b)))
+                in_x, in_y = (x >= 0).astype(np.float32), (y >= 0).astype(np.float32)
+                x, y = np.maximum(x, 0).astype(np.float32), np.maximum(y, 0).astype(np.float32)
+                n = in_x @ in_y.T
+                near = np.subtract.outer(np.array(at_b), np.array(at_a)).T < span
+                i, j = np.nonzero((np.triu(near, 1) if a == b else near) & (n > 0))
+                grids = (n, x @ in_y.T, in_x @ y.T, (x * x) @ in_y.T, in_x @ (y * y).T, x @ y.T)
+                sums = [pa.array(np.rint(grid[i, j]).astype(np.int64)) for grid in grids]
+                head = [pa.array([chrom] * len(i), batch.schema.field("chrom").type), pa.array(a * variants + i), pa.array(b * variants + j)]
+                yield pa.RecordBatch.from_arrays([*head, *sums], ["chrom", "i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
+
+    return run
+
+
+def _block_pairs(indexed: DataFrame, at: Column, span: int, variants: int) -> DataFrame:
+    """(chrom, a, b, at_a, at_b): pairs of blocks of ``variants`` that hold variants fewer than ``span`` apart, with their places."""
+    place = F.struct((F.col("idx") % variants).alias("row"), at.cast("bigint").alias("at"))
+    blocks = indexed.groupBy("chrom", F.floor(F.col("idx") / variants).cast("bigint").alias("block")).agg(
+        F.array_sort(F.collect_list(place)).alias("places")
+    )
+    blocks = write_intermediate(blocks.select("chrom", "block", F.col("places.at").alias("at")), "variant-blocks")
+    end = F.floor(F.element_at("at", -1) / span)
+    left = blocks.select("chrom", F.col("block").alias("a"), F.col("at").alias("at_a"), F.explode(F.array(end, end + 1)).alias("bucket"))
+    right = blocks.select("chrom", F.col("block").alias("b"), F.col("at").alias("at_b"), F.floor(F.get("at", F.lit(0)) / span).alias("bucket"))
+    near = F.get("at_b", F.lit(0)) - F.element_at("at_a", -1) < span
+    others = left.join(right, ["chrom", "bucket"]).where((F.col("b") > F.col("a")) & near).drop("bucket")
+    own = blocks.select("chrom", F.col("block").alias("a"), F.col("block").alias("b"), F.col("at").alias("at_a"), F.col("at").alias("at_b"))
+    return own.unionByName(others)
 
 
 def ld_r2(
     genotypes: DataFrame,
     window: int = LD_WINDOW,
-    sample_blocks: int = 64,
+    tile: tuple[int, int] = LD_TILE,
     indexed: DataFrame | None = None,
     kb: int | None = None,
 ) -> DataFrame:
-    """Squared correlation of all variant pairs within the window, over samples called at both.
+    """Squared correlation of all variant pairs within the window, over samples called at both (at least one).
 
-    The window is ``window`` variants, or ``kb`` kilobases if that is given. A tile is two windows of variants by one
-    of ``sample_blocks`` sample blocks; its pair sums add up over the blocks. The genotypes are sent
-    twice, whatever the window, instead of once per pair. Choose ``sample_blocks`` so that a tile
-    (samples of a block times variants of two windows) fits a task.
+    The window is ``window`` variants, or ``kb`` kilobases if that is given. Calls are whole numbers. They are cut into tiles
+    of ``tile`` variants by samples, each a file in the shared folder, sent once whatever the window. The work list has a row
+    for two blocks of variants within a window of each other and a block of samples; its task fetches two tiles,
+    so it needs memory for six grids of variants by variants and four arrays of a tile, however dense the variants are. Pair sums add up over the
+    sample blocks.
     """
+    variants, width = tile
     span, at = (window, F.col("idx")) if kb is None else (kb * 1000 + 1, F.col("pos"))
     if indexed is None:
         indexed = write_intermediate(variant_index(genotypes), "variants")
-    block = F.floor(at / span).cast("bigint")
-    tiles = (
-        genotypes.where(F.col("dosage").isNotNull())
-        .join(broadcast_checked(indexed, 64), VARIANT)
+    spark = genotypes.sparkSession
+    present = genotypes.where(F.col("dosage").isNotNull())
+    samples = write_intermediate(sample_index(present), "samples")
+    folder = scratch_path(spark, "linkage")
+    calls = (
+        present.join(broadcast_checked(indexed, 64), VARIANT)
+        .join(broadcast_checked(samples, 40), "s")
         .select(
             "chrom",
-            "idx",
-            at.alias("at"),
-            "s",
-            "dosage",
-            F.pmod(F.xxhash64("s"), F.lit(sample_blocks)).alias("sblock"),
-            F.explode(F.array(block, block - 1)).alias("block"),
+            F.floor(F.col("idx") / variants).cast("bigint").alias("block"),
+            F.floor(F.col("sample_idx") / width).cast("int").alias("sblock"),
+            (F.col("idx") % variants).cast("int").alias("row"),
+            (F.col("sample_idx") % width).cast("int").alias("col"),
+            F.col("dosage").cast("tinyint").alias("dosage"),
         )
-        .where(F.col("block") >= 0)
     )
     chrom_type = dict(indexed.dtypes)["chrom"]
+    stored = calls.repartition(*TILE).sortWithinPartitions(*TILE).mapInArrow(_store_tiles(folder, tile), f"chrom {chrom_type}, block bigint, sblock int")
+    stored = write_intermediate(stored, "tiles")
+    work = (
+        _block_pairs(indexed, at, span, variants)
+        .join(stored.withColumnRenamed("block", "a"), ["chrom", "a"])
+        .join(stored.withColumnRenamed("block", "b"), ["chrom", "b", "sblock"])
+    )
+    work = write_intermediate(work, "tile-pairs")
+    order = ["chrom", "sblock", "a", "b"]
+    dealt = work.repartitionByRange(max(1, -(-work.count() // TILE_PAIRS_PER_TASK)), *order).sortWithinPartitions(*order)
     schema = f"chrom {chrom_type}, i bigint, j bigint, n bigint, sx bigint, sy bigint, sxx bigint, syy bigint, sxy bigint"
     sums = (
-        tiles.groupBy("chrom", "block", "sblock")
-        .applyInPandas(_tile_sums(span), schema)
+        dealt.mapInArrow(_pair_sums(folder, span, variants), schema)
         .groupBy("chrom", "i", "j")
         .agg(*[F.sum(c).cast("double").alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
     )
@@ -281,7 +343,7 @@ def ld_prune(
     genotypes: DataFrame,
     window: int = LD_WINDOW,
     max_r2: float | None = None,
-    sample_blocks: int = 64,
+    tile: tuple[int, int] = LD_TILE,
     kb: int | None = None,
 ) -> DataFrame:
     """Variants left after removing one of each linked pair: the one with the lower minor allele
@@ -295,7 +357,7 @@ def ld_prune(
     indexed = write_intermediate(variant_index(genotypes), "variants")
     if max_r2 is None:
         max_r2 = LD_R2 if kb is None else LD_KB_R2
-    pairs = ld_r2(genotypes, window, sample_blocks, indexed, kb).where(F.col("r2") > max_r2)
+    pairs = ld_r2(genotypes, window, tile, indexed, kb).where(F.col("r2") > max_r2)
     maf = with_maf(genotype_counts(genotypes)).select("marker_id", "maf")
     first = F.struct(-F.col("maf_i"), F.col("i"))
     second = F.struct(-F.col("maf_j"), F.col("j"))
@@ -340,7 +402,7 @@ def markers_for_variance_ratio(
     samples: DataFrame,
     per_class: dict[str, int] = {"rare": MARKERS_PER_CLASS, "common": MARKERS_PER_CLASS},
     min_hwe_p: float = MIN_HWE_P,
-    sample_blocks: int = 64,
+    tile: tuple[int, int] = LD_TILE,
     kb: float | None = None,
 ) -> DataFrame:
     """Quality filter, pruning, then the wanted number of markers of each class; fails when a class is
@@ -348,7 +410,7 @@ def markers_for_variance_ratio(
     kept = genotypes.join(samples.select("s"), "s", "left_semi")
     passed = variant_qc(kept, min_maf=None, min_hwe_p=min_hwe_p).select("marker_id")
     kept = kept.join(passed, "marker_id", "left_semi")
-    pruned = ld_prune(kept, sample_blocks=sample_blocks, kb=kb)
+    pruned = ld_prune(kept, tile=tile, kb=kb)
     counts = allele_counts(kept.join(pruned.select("marker_id"), "marker_id", "left_semi"))
     classes = mac_class(counts)
     assert_min_rows(classes, "mac_class", per_class)

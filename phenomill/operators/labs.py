@@ -19,7 +19,7 @@ from phenomill.functions.quantiles import (
     value_counts,
 )
 from phenomill.functions.scalar import truncated
-from phenomill.session import small_table, write_intermediate
+from phenomill.session import broadcast_checked, small_table, write_intermediate
 
 CONTRACT = [
     "person_id",
@@ -42,9 +42,6 @@ CLEAN_COLUMNS = [
     "value_as_number",
 ]
 
-# From this size on, the concept table is first cut to the concepts in use.
-MANY_CONCEPTS = 200_000
-
 # Numbers that stand for "no value", and the unit text for a missing unit.
 NAN_EQUIVALENTS = [10000000, 100000000]
 NO_UNIT = "none"
@@ -87,37 +84,41 @@ def join_fact_ext(measurement: DataFrame, ext: DataFrame) -> DataFrame:
     return measurement.join(ext, "measurement_id")
 
 
+CONCEPT_ROLES = ["measurement_concept_id", "operator_concept_id", "unit_concept_id", "value_as_concept_id"]
+
+
 def join_concept_roles(facts: DataFrame, concept: DataFrame) -> DataFrame:
     """Attach concept names for the measurement, operator, unit and value roles. ``concept`` has one
-    row per concept id."""
+    row per concept id.
 
-    def role(key: str, **columns: str) -> DataFrame:
-        return concept.select(
-            F.col("concept_id").alias(key), *[F.col(c).alias(new) for new, c in columns.items()]
-        )
+    Where a dictionary is too large to be broadcast, facts without an id are spread by a second key, which the
+    dictionary has as 0, so that missing ids aren't one hot key.
+    """
+    spread = F.xxhash64("person_id", "measurement_datetime", "value_as_number")
 
-    return (
-        facts.join(
-            role(
-                "measurement_concept_id",
-                standard_concept_name="concept_name",
-                standard_concept_code="concept_code",
-                standard_vocabulary="vocabulary_id",
-            ),
-            "measurement_concept_id",
-            "left",
+    def named(rows: DataFrame, key: str, **columns: str) -> DataFrame:
+        role = concept.select(
+            F.col("concept_id").alias(key), F.lit(0).cast("bigint").alias("__spread"), *[F.col(c).alias(new) for new, c in columns.items()]
         )
-        .join(role("operator_concept_id", operator_concept_name="concept_name"), "operator_concept_id", "left")
-        .join(role("unit_concept_id", unit_concept_name="concept_name"), "unit_concept_id", "left")
-        .join(role("value_as_concept_id", value_as_concept_name="concept_name"), "value_as_concept_id", "left")
+        rows = rows.withColumn("__spread", F.when(F.col(key).isNull(), spread).otherwise(F.lit(0)).cast("bigint"))
+        return rows.join(role, [key, "__spread"], "left").drop("__spread")
+
+    facts = named(
+        facts,
+        "measurement_concept_id",
+        standard_concept_name="concept_name",
+        standard_concept_code="concept_code",
+        standard_vocabulary="vocabulary_id",
     )
+    for key in CONCEPT_ROLES[1:]:
+        facts = named(facts, key, **{key.removesuffix("_id") + "_name": "concept_name"})
+    return facts
 
 
 def used_concepts(facts: DataFrame, concept: DataFrame) -> DataFrame:
-    """The concepts that occur in any role: small enough to broadcast, unlike a full vocabulary, so
-    the facts are not shuffled once per role."""
-    roles = ["measurement_concept_id", "operator_concept_id", "unit_concept_id", "value_as_concept_id"]
-    ids = facts.select(F.explode(F.array(*roles)).alias("concept_id")).distinct()
+    """The concepts that occur in any role, found in one pass over the four id columns: small enough to broadcast, unlike a
+    full vocabulary, so the facts are not shuffled once per role."""
+    ids = facts.select(F.explode(F.array(*CONCEPT_ROLES)).alias("concept_id")).where("concept_id IS NOT NULL").distinct()
     return write_intermediate(concept.join(ids, "concept_id", "left_semi"), "concepts")
 
 
@@ -137,8 +138,7 @@ def scan_measurements(
     names are attached: the wide text columns are never shuffled.
     """
     wanted = filter_concepts(measurement, concepts)
-    if concept.count() > MANY_CONCEPTS:
-        concept = used_concepts(wanted, concept)
+    concept = broadcast_checked(used_concepts(wanted, concept), 200)
     facts = (
         join_fact_ext(wanted, ext)
         .select(

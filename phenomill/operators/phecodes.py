@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from phenomill.functions.nulls import join_null_safe
 from phenomill.functions.scalar import sex_code
+from phenomill.session import write_intermediate
 
 # Vocabularies of diagnosis codes.
 ICD_VOCABULARIES = ["ICD9CM", "ICD10CM"]
@@ -182,6 +183,7 @@ def case_control_breakdown(status: DataFrame, demographics: DataFrame) -> DataFr
         .groupBy("phecode", *dims)
         .agg(F.count_if("status").alias("cases"), F.count_if(F.col("status").isNull()).alias("unclear"))
     )
+    coded = write_intermediate(coded, "coded-cells")
     sets = {
         "age": ["age_group"],
         "sex": ["sex_at_birth"],

@@ -10,8 +10,6 @@ from phenomill.session import scratch_path
 from phenomill.sources import genotypes as genotype_files
 from phenomill.sources import sinks
 
-SAMPLE_BLOCKS = 8
-
 # --- variant statistics ---
 
 
@@ -105,7 +103,7 @@ def ld_pairs_kb(t):
     FROM g a JOIN g b ON a.s = b.s AND a.chrom = b.chrom AND b.idx > a.idx AND b.idx - a.idx < 50
     GROUP BY ALL""")
 def ld_r2(t):
-    return rounded(genotypes.ld_r2(t.genotypes(), sample_blocks=SAMPLE_BLOCKS), "r2")
+    return rounded(genotypes.ld_r2(t.genotypes()), "r2")
 
 
 @query("""
@@ -117,7 +115,7 @@ def ld_r2(t):
     GROUP BY ALL""")
 def ld_r2_kb(t):
     """A window of 1000 kb over chromosomes that are longer."""
-    return rounded(genotypes.ld_r2(t.spread_genotypes(), sample_blocks=SAMPLE_BLOCKS, kb=1000), "r2")
+    return rounded(genotypes.ld_r2(t.spread_genotypes(), kb=1000), "r2")
 
 
 @query("""
@@ -129,7 +127,7 @@ def ld_r2_kb(t):
     GROUP BY ALL""")
 def ld_r2_1000kb(t):
     """The window in use; it holds all pairs of a chromosome here."""
-    return rounded(genotypes.ld_r2(t.genotypes(), sample_blocks=SAMPLE_BLOCKS, kb=1000), "r2")
+    return rounded(genotypes.ld_r2(t.genotypes(), kb=1000), "r2")
 
 
 PRUNE = """
@@ -153,7 +151,7 @@ PRUNE = """
 
 @query(PRUNE.format(near="abs(b.idx - a.idx) < 50", r2="CAST(0.05 AS DOUBLE)"))
 def ld_prune(t):
-    return genotypes.ld_prune(t.genotypes(), sample_blocks=SAMPLE_BLOCKS)
+    return genotypes.ld_prune(t.genotypes())
 
 
 @query(
@@ -162,26 +160,26 @@ def ld_prune(t):
     )
 )
 def ld_prune_kb(t):
-    return genotypes.ld_prune(t.spread_genotypes(), sample_blocks=SAMPLE_BLOCKS, kb=1000)
+    return genotypes.ld_prune(t.spread_genotypes(), kb=1000)
 
 
 @query(PRUNE.format(near="abs(b.pos - a.pos) <= 1000000", r2="CAST(0.1 AS DOUBLE)"))
 def ld_prune_1000kb(t):
-    return genotypes.ld_prune(t.genotypes(), sample_blocks=SAMPLE_BLOCKS, kb=1000)
+    return genotypes.ld_prune(t.genotypes(), kb=1000)
 
 
 @query()
 def markers_for_variance_ratio(t):
     """Both classes, pruned by the window of variants."""
     samples = t.raw("embeddings").select(F.col("vec_id").alias("s"))
-    return genotypes.markers_for_variance_ratio(t.spread_genotypes(), samples, {"rare": 5, "common": 5}, sample_blocks=SAMPLE_BLOCKS)
+    return genotypes.markers_for_variance_ratio(t.spread_genotypes(), samples, {"rare": 5, "common": 5})
 
 
 @query()
 def markers_for_variance_ratio_kb(t):
     """Both classes, pruned by 1000 kb at an r2 of 0.1."""
     samples = t.raw("embeddings").select(F.col("vec_id").alias("s"))
-    return genotypes.markers_for_variance_ratio(t.spread_genotypes(), samples, {"rare": 5, "common": 5}, sample_blocks=SAMPLE_BLOCKS, kb=1000)
+    return genotypes.markers_for_variance_ratio(t.spread_genotypes(), samples, {"rare": 5, "common": 5}, kb=1000)
 
 
 # --- structure ---

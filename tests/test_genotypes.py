@@ -53,14 +53,14 @@ def test_pairs_and_r2_across_tile_borders(long, matrix):
         want = expected_pairs(window)
         pairs = genotypes.ld_pairs(indexed, window).collect()
         assert len(pairs) == len(want)
-        rows = genotypes.ld_r2(long, window, sample_blocks=3, indexed=indexed).collect()
+        rows = genotypes.ld_r2(long, window, tile=(7, 20), indexed=indexed).collect()
         got = {(int(r.marker_i[1:]), int(r.marker_j[1:])): r.r2 for r in rows}
         assert set(got) == want
         for (i, j), r2 in got.items():
             assert r2 == (pytest.approx(pair_r2(matrix, i, j)) if pair_r2(matrix, i, j) is not None else None)
     near = genotypes.ld_pairs_kb(indexed, 1).collect()
     assert len(near) == len(expected_pairs(11))
-    by_length = {(r.marker_i, r.marker_j): r.r2 for r in genotypes.ld_r2(long, sample_blocks=3, indexed=indexed, kb=1).collect()}
+    by_length = {(r.marker_i, r.marker_j): r.r2 for r in genotypes.ld_r2(long, tile=(7, 20), indexed=indexed, kb=1).collect()}
     assert set(by_length) == {(r.marker_i, r.marker_j) for r in near}
     assert all(
         (r2 is None and pair_r2(matrix, int(i[1:]), int(j[1:])) is None) or r2 == pytest.approx(pair_r2(matrix, int(i[1:]), int(j[1:])))
@@ -69,7 +69,7 @@ def test_pairs_and_r2_across_tile_borders(long, matrix):
 
 
 def test_prune_equals_greedy(long, matrix):
-    kept = {int(r.marker_id[1:]) for r in genotypes.ld_prune(long, 12, 0.1, sample_blocks=2).collect()}
+    kept = {int(r.marker_id[1:]) for r in genotypes.ld_prune(long, 12, 0.1, tile=(16, 33)).collect()}
     af = np.nanmean(matrix, axis=0) / 2
     maf = np.minimum(af, 1 - af)
     linked = {p for p in expected_pairs(12) if (pair_r2(matrix, *p) or 0) > 0.1}
@@ -82,7 +82,7 @@ def test_prune_equals_greedy(long, matrix):
 
 
 def test_prune_without_linked_pairs(long):
-    assert genotypes.ld_prune(long, 12, 1.0, sample_blocks=2).count() == M
+    assert genotypes.ld_prune(long, 12, 1.0, tile=(16, 33)).count() == M
 
 
 def test_counts_and_filters(long, frame):
