@@ -1,7 +1,7 @@
 """Words of many texts at once as 64-bit hashes, straight from Arrow's buffers.
 
-Texts are taken in chunks of about ``CHUNK`` bytes; a longer text is a chunk of its own and is read in segments cut between
-words, so that only its words' offsets and hashes (24 bytes a word) are held whole. The hash of a word is the difference of two prefix
+Texts are taken in chunks of about ``CHUNK`` bytes, or of as many as asked for; a longer text is a chunk of its own. A chunk beyond
+``CHUNK`` is read in segments cut between words, so that only its words' offsets and hashes (24 bytes a word) are held whole. The hash of a word is the difference of two prefix
 sums of a polynomial over its bytes, brought to the same power; it equals ``common.word_hashes``.
 """
 
@@ -70,16 +70,16 @@ def _segment(data: np.ndarray, cuts: np.ndarray, breaks: np.ndarray) -> tuple[np
     return starts, ends, mix(hashes + (ends - starts).astype(np.uint64) * _MIX_B)
 
 
-def _long(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """One long text in segments that end at a separator."""
+def _long(data: np.ndarray, cuts: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A long chunk in segments that end at a separator; words also end at ``cuts``, which ascend."""
     parts, at = [], 0
-    none = np.empty(0, dtype=np.int64)
     while at < len(data):
         to = min(at + CHUNK, len(data))
         while to < len(data) and not breaks[data[to]]:
             ahead = np.flatnonzero(breaks[data[to : to + 65536]])
             to = to + int(ahead[0]) if len(ahead) else min(to + 65536, len(data))
-        starts, ends, hashes = _segment(data[at:to], none, breaks)
+        own = cuts[np.searchsorted(cuts, at) : np.searchsorted(cuts, to)]
+        starts, ends, hashes = _segment(data[at:to], own - at, breaks)
         parts.append((starts + at, ends + at, hashes))
         at = to
     return tuple(np.concatenate(x) for x in zip(*parts))
@@ -101,8 +101,8 @@ def chunks(column: pa.Array, breaks: np.ndarray = WHITE, lower: bool = True, siz
         if lower:
             part = UPPER[part]
         local = offsets[first:last] - offsets[first]
-        if len(part) > size and last == first + 1:
-            starts, ends, hashes = _long(part, breaks)
+        if len(part) > CHUNK:
+            starts, ends, hashes = _long(part, local, breaks)
         else:
             starts, ends, hashes = _segment(part, local, breaks)
         owner = np.searchsorted(local, starts, side="right") - 1

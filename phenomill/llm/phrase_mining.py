@@ -36,6 +36,7 @@ CONTAINED_PERCENT = 50
 SHARD_BYTES = 8 << 20
 PRINTS_AT_ONCE = 4_000_000
 READ_AT_ONCE = 4 << 20
+BYTES_AT_ONCE = 1 << 18
 
 ENDS_PIECE = separators(".,;:!?\n\v\f\r")
 BETWEEN = ENDS_PIECE | separators(" \t")
@@ -55,7 +56,8 @@ class Grams:
         salt = np.array([int.from_bytes(blake2b(x.encode(), digest_size=8).digest(), "little") for x in self.langs], dtype=np.uint64)
         self.lang = code[chunk.owner]
         self.words = mix(chunk.hashes * _LANG + salt[self.lang])
-        pieces = np.cumsum(ENDS_PIECE[chunk.data], dtype=np.int64) if len(chunk.data) else np.empty(0, np.int64)
+        # A text has fewer than 2^31 bytes.
+        pieces = np.cumsum(ENDS_PIECE[chunk.data], dtype=np.int32)
         together = np.zeros(len(self.words), dtype=bool)
         if len(self.words) > 1:
             # No piece ends between the last byte of a word and the first of the next.
@@ -94,21 +96,37 @@ def _pieces(shards: list[int], data: list[bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["shard", "data", "lang", "n"])
 
 
+class Held:
+    """Fingerprints of a task in one array that is sorted where it lies and given out as pieces of counted ones."""
+
+    def __init__(self, bits: int):
+        self.bits, self.size, self.room = bits, 0, np.empty(PRINTS_AT_ONCE, dtype=np.uint64)
+
+    def add(self, prints: np.ndarray) -> Iterator[pa.RecordBatch]:
+        while len(prints):
+            part = prints[: len(self.room) - self.size]
+            self.room[self.size : self.size + len(part)] = part
+            self.size += len(part)
+            prints = prints[len(part) :]
+            if self.size == len(self.room):
+                yield from self.out()
+
+    def out(self) -> Iterator[pa.RecordBatch]:
+        held = self.room[: self.size]
+        held.sort()
+        cuts = _shards(held, self.bits)
+        for number in np.flatnonzero(np.diff(cuts)).tolist():
+            part = held[cuts[number] : cuts[number + 1]]
+            first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+            counts = np.diff(first, append=len(part)).astype(np.uint32)
+            yield _pieces([number], [part[first].tobytes() + counts.tobytes()])
+        self.size = 0
+
+
 def _count(longest: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held = Held(bits)
         totals: dict[str, int] = {}
-
-        def out() -> Iterator[pa.RecordBatch]:
-            prints, counts = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            cuts = _shards(prints, bits)
-            for number in range(1 << bits):
-                part = slice(cuts[number], cuts[number + 1])
-                if part.stop > part.start:
-                    yield _pieces([number], [prints[part].tobytes() + counts[part].astype(np.uint32).tobytes()])
-
-        size = 0
         for batch in batches:
             langs = _languages(batch)
             for chunk in chunks(batch.column(0), BETWEEN):
@@ -116,13 +134,8 @@ def _count(longest: int, bits: int):
                 for number, n in enumerate(np.bincount(grams.lang, minlength=len(grams.langs)).tolist()):
                     totals[grams.langs[number]] = totals.get(grams.langs[number], 0) + n
                 for k, at in enumerate(grams.starts(longest), 1):
-                    held.append(grams.prints(at, k))
-                    size += len(at)
-                if size >= PRINTS_AT_ONCE:
-                    yield from out()
-                    size = 0
-        if held:
-            yield from out()
+                    yield from held.add(grams.prints(at, k))
+        yield from held.out()
         n = len(totals)
         columns = [pa.array([-1] * n, pa.int32()), pa.nulls(n, pa.binary()), pa.array(list(totals), pa.string()), pa.array(list(totals.values()), pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, ["shard", "data", "lang", "n"])
@@ -137,6 +150,7 @@ def _merge(folder: str, least: int):
         sizes = [len(p) // 12 for p in pieces]
         prints = np.concatenate([np.frombuffer(p, np.uint64, n) for p, n in zip(pieces, sizes)])
         counts = np.concatenate([np.frombuffer(p, np.uint32, n, 8 * n) for p, n in zip(pieces, sizes)])
+        pieces.clear()
         order = np.argsort(prints, kind="stable")
         prints, counts = prints[order], counts[order].astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], prints[1:] != prints[:-1]]))
@@ -152,7 +166,6 @@ def _merge(folder: str, least: int):
                     continue
                 if shard != number and pieces:
                     finish(number, pieces)
-                    pieces = []
                 number = shard
                 pieces.append(data)
         if pieces:
@@ -192,13 +205,19 @@ def _differs(chunk: Chunk, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     size, other = (chunk.ends - chunk.starts)[a], (chunk.ends - chunk.starts)[b]
     out = size != other
     same = np.flatnonzero(~out)
-    lengths = size[same]
-    # Bytes of all pairs at once, pairs of like number of bytes after each other.
-    first = np.cumsum(lengths) - lengths
-    place = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
-    unlike = chunk.data[place + np.repeat(chunk.starts[a[same]], lengths)] != chunk.data[place + np.repeat(chunk.starts[b[same]], lengths)]
-    if unlike.any():
-        out[same[np.unique(np.searchsorted(first, np.flatnonzero(unlike), side="right") - 1)]] = True
+    total = np.cumsum(size[same])
+    low = 0
+    while low < len(same):
+        high = max(low + 1, int(np.searchsorted(total, (total[low - 1] if low else 0) + BYTES_AT_ONCE, side="right")))
+        pairs = same[low:high]
+        lengths = size[pairs]
+        # Bytes of all pairs at once, pairs of like number of bytes after each other.
+        first = np.cumsum(lengths) - lengths
+        place = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
+        unlike = chunk.data[place + np.repeat(chunk.starts[a[pairs]], lengths)] != chunk.data[place + np.repeat(chunk.starts[b[pairs]], lengths)]
+        if unlike.any():
+            out[pairs[np.unique(np.searchsorted(first, np.flatnonzero(unlike), side="right") - 1)]] = True
+        low = high
     return out
 
 
@@ -220,39 +239,43 @@ def exact_words(grams: Grams) -> tuple[np.ndarray, np.ndarray]:
     return number, np.concatenate([first, np.array(extra, dtype=np.int64)])
 
 
+def _said(chunk: Chunk, langs: list[str], frequent: Frequent, longest: int) -> Iterator[pa.RecordBatch]:
+    """The chunk's phrases with a frequent fingerprint, and how often they occur in it."""
+    grams = Grams(chunk, langs)
+    number, sample = exact_words(grams)
+    spans = zip(chunk.starts[sample].tolist(), chunk.ends[sample].tolist())
+    word = pa.array([chunk.data[s:e].tobytes().decode() for s, e in spans], pa.string())
+    named = pa.array(grams.langs.tolist(), pa.string())
+    ids = number.astype(np.int64, copy=False)
+    phrase = ids  # numbers of the phrases of k words that begin at each word
+    for k, at in enumerate(grams.starts(longest), 1):
+        if not len(at):
+            break
+        # A phrase is its first k - 1 words, which have a number, and one more.
+        key = ids[at] if k == 1 else phrase[at] * len(sample) + ids[at + k - 1]
+        _, first, back, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+        phrase = np.zeros(len(ids), dtype=np.int64)
+        phrase[at] = back
+        pointer = at[first]
+        prints = grams.prints(pointer, k)
+        order = np.argsort(prints)
+        order = order[frequent.has(prints[order])]
+        pointer = pointer[order]
+        parts = [word.take(pa.array(ids[pointer + j])) for j in range(k)]
+        said = pc.binary_join_element_wise(*parts, " ") if k > 1 else parts[0]
+        columns = [named.take(pa.array(grams.lang[pointer])), said, pa.array(np.full(len(pointer), k, np.int32)), pa.array(count[order].astype(np.int64))]
+        for low in range(0, len(pointer), 50_000):
+            yield pa.RecordBatch.from_arrays([c.slice(low, 50_000) for c in columns], ["lang", "phrase", "words", "a"])
+
+
 def _confirm(folder: str, bits: int, longest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = Frequent(folder, bits)
         for batch in batches:
             langs = _languages(batch)
             for chunk in chunks(batch.column(0), BETWEEN, size=READ_AT_ONCE):
-                if not len(chunk.starts):
-                    continue
-                grams = Grams(chunk, langs)
-                number, sample = exact_words(grams)
-                raw = chunk.data.tobytes()
-                word = pa.array([raw[s:e].decode() for s, e in zip(chunk.starts[sample].tolist(), chunk.ends[sample].tolist())], pa.string())
-                named = pa.array(grams.langs.tolist(), pa.string())
-                ids = number.astype(np.int64)
-                phrase = ids  # numbers of the phrases of k words that begin at each word
-                for k, at in enumerate(grams.starts(longest), 1):
-                    if not len(at):
-                        break
-                    # A phrase is its first k - 1 words, which have a number, and one more.
-                    key = ids[at] if k == 1 else phrase[at] * len(sample) + ids[at + k - 1]
-                    _, first, back, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-                    phrase = np.zeros(len(ids), dtype=np.int64)
-                    phrase[at] = back
-                    pointer = at[first]
-                    prints = grams.prints(pointer, k)
-                    order = np.argsort(prints)
-                    order = order[frequent.has(prints[order])]
-                    pointer = pointer[order]
-                    parts = [word.take(pa.array(ids[pointer + j])) for j in range(k)]
-                    said = pc.binary_join_element_wise(*parts, " ") if k > 1 else parts[0]
-                    columns = [named.take(pa.array(grams.lang[pointer])), said, pa.array(np.full(len(pointer), k, np.int32)), pa.array(count[order].astype(np.int64))]
-                    for low in range(0, len(pointer), 50_000):
-                        yield pa.RecordBatch.from_arrays([c.slice(low, 50_000) for c in columns], ["lang", "phrase", "words", "a"])
+                if len(chunk.starts):
+                    yield from _said(chunk, langs, frequent, longest)
 
     return run
 

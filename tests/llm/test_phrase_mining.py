@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -89,3 +90,25 @@ def test_colliding_hashes(frame, monkeypatch):
     for part in phrase_mining._confirm("/nowhere", 0, 3)(iter([batch])):
         found.append(part)
     assert sum(p.num_rows for p in found) == 0  # no file, nothing is frequent
+
+
+def test_memory_of_both_scans():
+    """A task holds its fingerprints once, and only segments of a chunk at full width; nothing is lost in between."""
+    rng = random.Random(4)
+    vocabulary = [f"{rng.choice(['Wort', 'é', 'of'])}{i}" for i in range(60_000)]
+    texts = [" ".join(rng.choices(vocabulary, k=20_000)) for _ in range(100)]
+    batch = pa.record_batch([pa.array(texts), pa.array(["en"] * len(texts))], ["text", "lang"])
+    total = 0
+    tracemalloc.start()
+    try:
+        for part in phrase_mining._count(3, 4)(iter([batch])):
+            for data in part.column("data").drop_null().to_pylist():
+                total += int(np.frombuffer(data, np.uint32, len(data) // 12, len(data) // 12 * 8).sum())
+        of_count = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        assert not sum(part.num_rows for part in phrase_mining._confirm("/nowhere", 4, 3)(iter([batch])))
+        of_confirm = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert total == 3 * 20_000 * 100 - 3 * 100
+    assert of_count < 140e6 and of_confirm < 160e6, (of_count, of_confirm)
