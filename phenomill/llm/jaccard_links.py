@@ -1,6 +1,7 @@
 """The complete Jaccard self-join: every pair of different sets that may link is verified once, and links are counted.
 
-Sets, order and prefixes are those of ``jaccard_join``. Groups of one prefix shingle are cut into blocks by a hash of the
+Sets, order and prefixes are those of ``jaccard_join``. In groups of up to ``CHECKED`` sets with one prefix shingle, sets without a
+candidate by length and position leave at once. Groups are cut into blocks by a hash of the
 set; each pair of blocks is a task's work of its own, so a group of any size is spread. Three steps follow. With
 positions and the first few shared shingles only, a set finds out in which block pairs it has a candidate by length and
 position. There its counts by part of the hash space follow (a byte for about each member), and the suffix filter leaves
@@ -23,15 +24,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phenomill.llm import jaccard_join as jj
-from phenomill.llm.bounded import bucket, only_in, total_counts
+from phenomill.llm.bounded import bits_for, bucket, only_in, total_counts
 from phenomill.llm.common import discard, longs, regroup, slices, texts, unsigned, written
 from phenomill.llm.components import connected_components, local_roots
 
 BLOCK = 1024
+CHECKED = 256
 FIRST = 8
 PAIRS_AT_ONCE = 200_000
 CELLS_AT_ONCE = 1 << 24
 MEMBERS = 1 << 22
+MOST_BITS = 27
 LOW = np.int64(0xFFFFFFFF)
 
 BLOCKS = ["h", "i", "j", "side", "meta", "key"]
@@ -44,16 +47,45 @@ def _column(part, name: str) -> np.ndarray:
     return part.column(name).to_numpy(zero_copy_only=False) if isinstance(part, pa.RecordBatch) else part.column(name).to_numpy()
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Entries, each once, of shingles that several sets have; rows sorted by (h, salt, key)."""
-    for part in regroup(batches, "h"):
-        h, salt, meta, key = (_column(part, c) for c in ("h", "salt", "meta", "key"))
-        once = np.append(True, (h[1:] != h[:-1]) | (key[1:] != key[:-1]))
-        h, salt, meta, key = h[once], salt[once], meta[once], key[once]
-        start = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
-        n = np.diff(np.append(start, len(h)))
-        keep = (np.repeat(n, n) > 1) | (salt > 0)
-        yield pa.RecordBatch.from_arrays([pa.array(h[keep]), pa.array(meta[keep]), pa.array(key[keep])], ["h", "meta", "key"])
+def _pairs(ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs (row numbers) within groups of rows, some at a time; ``ends``: of the groups."""
+    rows = int(ends[-1]) if len(ends) else 0
+    partners = np.repeat(ends, np.diff(ends, prepend=0)) - np.arange(rows) - 1
+    total = np.cumsum(partners)
+    low = 0
+    while low < rows:
+        high = max(low + 1, int(np.searchsorted(total, (total[low - 1] if low else 0) + PAIRS_AT_ONCE, side="right")))
+        count = partners[low:high]
+        a = np.repeat(np.arange(low, high), count)
+        yield a, a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(count) - count, count)
+        low = high
+
+
+def _shared(percent: int):
+    """Entries, each once, of shingles that several sets have; rows sorted by (h, salt, key).
+
+    In groups of at most ``CHECKED`` sets those with a candidate by length and position only. Sets that pass at one shingle
+    pass at every earlier one that they share, so a pair keeps the first.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in regroup(batches, "h"):
+            h, salt, meta, key = (_column(part, c) for c in ("h", "salt", "meta", "key"))
+            once = np.append(True, (h[1:] != h[:-1]) | (key[1:] != key[:-1]))
+            h, salt, meta, key = h[once], salt[once], meta[once], key[once]
+            start = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+            n = np.diff(np.append(start, len(h)))
+            size = np.repeat(n, n)
+            keep = (size > CHECKED) | (salt > 0)
+            small = np.flatnonzero(~keep & (size > 1))
+            own = meta[small]
+            for a, b in _pairs(np.cumsum(n[(n > 1) & (n <= CHECKED) & (salt[start] == 0)])):
+                ok = jj._may_link(own[a], own[b], percent)
+                keep[small[a[ok]]] = True
+                keep[small[b[ok]]] = True
+            yield pa.RecordBatch.from_arrays([pa.array(h[keep]), pa.array(meta[keep]), pa.array(key[keep])], ["h", "meta", "key"])
+
+    return run
 
 
 def _blocks(part: pa.Table) -> tuple[list[np.ndarray], np.ndarray]:
@@ -104,17 +136,9 @@ def _candidates(percent: int, group: str, suffix: bool):
             at_h = (earlier == h[:, None]) & there
             earlier[np.maximum.accumulate(at_h, axis=1) | ~there] = 1
             parts = [np.frombuffer(p.as_buffer(), dtype=np.uint8) for p in part.column("parts")] if suffix else []
-            end = np.repeat(ends, np.diff(np.append(0, ends)))
-            partners = end - np.arange(rows) - 1
             needed = np.zeros(rows, dtype=bool)
             nodes = leads = np.empty(0, dtype=np.int64)
-            total = np.cumsum(partners)
-            low = 0
-            while low < rows:
-                high = max(low + 1, int(np.searchsorted(total, (total[low - 1] if low else 0) + PAIRS_AT_ONCE, side="right")))
-                count = partners[low:high]
-                a = np.repeat(np.arange(low, high), count)
-                b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(count) - count, count)
+            for a, b in _pairs(ends):
                 ok = ((i[a] == j[a]) | (side[a] != side[b])) & jj._may_link(meta[a], meta[b], percent)
                 a, b = a[ok], b[ok]
                 met = np.zeros(len(a), dtype=bool)
@@ -128,7 +152,6 @@ def _candidates(percent: int, group: str, suffix: bool):
                     nodes, leads = local_roots(np.concatenate([nodes, key[a]]), np.concatenate([leads, key[b]]))
                 needed[a] = True
                 needed[b] = True
-                low = high
             out = part.select(given).filter(pa.array(needed)).combine_chunks()
             if suffix:
                 out = out.append_column("lead", pa.array(leads[np.searchsorted(nodes, key[needed])], pa.int64()))
@@ -138,16 +161,15 @@ def _candidates(percent: int, group: str, suffix: bool):
 
 
 def _data(size: int, data_of):
-    """``data_of`` each set asked for."""
+    """``data_of`` the set of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             keys, data = [], []
-            for wanted, text in zip(unsigned(batch.column("key")).tolist(), texts(batch)):
+            for text in texts(batch):
                 members = jj.shingle_set(text, size)
-                if jj.set_key(members) == wanted:
-                    keys.append(wanted)
-                    data.append(data_of(members).tobytes())
+                keys.append(jj.set_key(members))
+                data.append(data_of(members).tobytes())
             yield pa.RecordBatch.from_arrays([longs(np.array(keys, dtype=np.uint64)), pa.array(data, pa.binary())], ["key", "data"])
 
     return run
@@ -165,11 +187,12 @@ def _in_prefix_order(bits: int, counts: np.ndarray):
 
 
 def _data_of_sets(docs: DataFrame, classes: DataFrame, rows: DataFrame, size: int, data_of) -> DataFrame:
-    """(key, data) of the sets in ``rows``, from one document of each."""
-    chosen = classes.join(rows.select("key").distinct(), "key", "left_semi").select("key", F.col("least").alias("doc_id"))
+    """(key, data), each key once: at least the sets in ``rows``, from one document of each. No text is shuffled for it."""
+    chosen = classes.join(rows.select("key").distinct(), "key", "left_semi").select(F.col("least").alias("doc_id"))
     chosen = written(chosen, "links-chosen")
-    wanted = only_in(docs, "doc_id", chosen.select("doc_id"), jj.FILTER_BITS)
-    return chosen.join(wanted, "doc_id").select("key", "text").mapInArrow(_data(size, data_of), PARTS)
+    # 32 places for each id, so that few other documents pass.
+    wanted = only_in(docs, "doc_id", chosen, max(jj.FILTER_BITS, bits_for(4 * chosen.count(), MOST_BITS)))
+    return wanted.mapInArrow(_data(size, data_of), PARTS).dropDuplicates(["key"])
 
 
 def linked_pairs(meta: np.ndarray, side: np.ndarray, own: bool, data: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -263,7 +286,7 @@ def _found(docs: DataFrame, size: int, percent: int, name: str) -> tuple[DataFra
 
     entries = docs.mapInArrow(jj._entries(size, percent, jj.BITS, counts, jj.SALTED_ROWS), jj.ENTRY)
     ordered = entries.repartition("h", "salt").sortWithinPartitions("h", "salt", "key")
-    shared = written(ordered.mapInArrow(_shared, "h long, meta long, key long"), "links-shared")
+    shared = written(ordered.mapInArrow(_shared(percent), "h long, meta long, key long"), "links-shared")
     large = shared.groupBy("h").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("blocks > 1")
     large = written(large, "links-large")
     of_set = shared.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("meta", "h"))).alias("own"))

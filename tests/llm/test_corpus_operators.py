@@ -154,6 +154,35 @@ def test_suffix_filter_of_links(monkeypatch):
     assert room.sum() < links.sum() + 10
 
 
+def test_jaccard_links_early_filter(frame, monkeypatch):
+    """Sets that share prefix shingles but differ too much in length leave at once; data of a set comes once, without its text."""
+    rng = random.Random(6)
+    other = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+    rows = []
+    for i in range(12):
+        common = other(8)
+        rows += [(3 * i, common), (3 * i + 1, f"{common} {other(300)}")]
+    near = other(40)
+    rows += [(100, near), (101, near + " tail"), (101, near + " tail"), (102, None)]
+    stored, found = {}, {}
+    real, data = jaccard_links.written, jaccard_links._data_of_sets
+    monkeypatch.setattr(jaccard_links, "written", lambda df, label: stored.setdefault(label, []).append(real(df, label)) or stored[label][-1])
+    monkeypatch.setattr(jaccard_links, "discard", lambda df: None)
+
+    def kept(*args):
+        out = data(*args)
+        found.setdefault(args[-1].__name__, out)
+        return out
+
+    monkeypatch.setattr(jaccard_links, "_data_of_sets", kept)
+    mine = jaccard_links.linked_documents(frame("doc_id long, text string", *rows)).collect()
+    assert sorted((r.doc_id, r.component_id, r.n_links) for r in mine if r.n_links) == [(100, 100, 2), (101, 100, 2), (101, 100, 2)]
+    keys = {r.key for r in stored["links-classes"][0].where("least >= 100").collect()}
+    assert {r.key for r in stored["links-shared"][0].select("key").distinct().collect()} == keys
+    parts = [r.key for r in found["part_counts"].collect()]
+    assert len(parts) == len(set(parts)) and keys <= set(parts)
+
+
 def test_jaccard_links_of_repeated_rows(frame):
     text = " ".join(f"r{i}" for i in range(60))
     rows = frame("doc_id long, text string", (1, text), (2, text + " end"), (2, text + " end"), (3, text), (4, ""), (5, None))
