@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from phenomill.session import write_intermediate
+from phenomill.session import broadcast_checked, write_intermediate
 
 # The three leading bytes of a variant-major bed file, and the count of the first bim
 # allele for the 2-bit codes 00, 01, 10, 11 (-1: missing).
 BED_MAGIC = b"\x6c\x1b\x01"
 BED_CODES = [2, -1, 1, 0]
+# Variants that are decoded at once, and calls of a task.
+BED_ROWS = 16
+CALLS_PER_TASK = 1 << 20
 
 
 def with_line_number(lines: DataFrame) -> DataFrame:
@@ -60,48 +65,53 @@ def scan_fam(spark: SparkSession, path: str) -> DataFrame:
 def scan_plink(spark: SparkSession, prefix: str, variants_per_task: int = 256) -> DataFrame:
     """Variant rows (chrom, pos, marker_id, ref, alt, dosages in fam order; NULL for a missing call).
 
-    A bed file has a fixed number of bytes per variant: each task seeks to its range of variants
-    and decodes it, so the file is read once and in parallel.
+    A bed file has a fixed number of bytes per variant. The lines of the bim are the work list: they are dealt in file order, each task
+    seeks to its variants and decodes a few at a time, so the file is read once and in parallel, and no dosages are joined.
+    A task has ``variants_per_task`` variants, or ``CALLS_PER_TASK`` calls if these are fewer.
     """
     n_samples = spark.read.text(prefix + ".fam").count()
     n_variants = spark.read.text(prefix + ".bim").count()
     width = -(-n_samples // 4)
     bed = prefix + ".bed"
+    columns = ["chrom", "pos", "marker_id", "ref", "alt"]
 
-    def decode(batches):
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.array(BED_CODES, dtype="int8")
-        for pdf in batches:
-            for first in pdf["id"]:
-                system, name = fs.FileSystem.from_uri(bed if ":/" in bed else "file://" + bed)
-                count = min(variants_per_task, n_variants - first)
-                with system.open_input_file(name) as handle:
-                    if handle.read(3) != BED_MAGIC:
-                        raise ValueError(f"{bed} is not a variant-major bed file")
-                    handle.seek(3 + first * width)
-                    raw = np.frombuffer(handle.read(count * width), dtype="uint8").reshape(count, width)
-                # Four samples per byte, lowest bits first.
-                codes = np.stack([(raw >> shift) & 3 for shift in (0, 2, 4, 6)], axis=-1)
-                dosages = table[codes.reshape(count, -1)[:, :n_samples]]
-                for start in range(0, count, 16):
-                    part = dosages[start : start + 16]
-                    yield pd.DataFrame(
-                        {"variant_idx": np.arange(first + start, first + start + len(part)), "dosages": list(part)}
-                    )
-
-    tasks = max(1, -(-n_variants // variants_per_task))
-    ranges = spark.range(0, n_variants, variants_per_task, min(tasks, 100_000))
-    decoded = ranges.mapInPandas(decode, "variant_idx bigint, dosages array<tinyint>")
-    dosages = F.transform("dosages", lambda d: F.when(d >= 0, d)).alias("dosages")
-    return scan_bim(spark, prefix + ".bim").join(decoded, "variant_idx").select(
-        "chrom", "pos", "marker_id", "ref", "alt", dosages
-    )
+        for batch in batches:
+            places = batch.column("variant_idx").to_numpy()
+            ends = [i for i in range(1, len(places)) if places[i] != places[i - 1] + 1]
+            system, name = fs.FileSystem.from_uri(bed if ":/" in bed else "file://" + bed)
+            with system.open_input_file(name) as handle:
+                if handle.read(3) != BED_MAGIC:
+                    raise ValueError(f"{bed} is not a variant-major bed file")
+                for first, last in zip([0, *ends], [*ends, len(places)]):
+                    for start in range(first, last, BED_ROWS):
+                        count = min(BED_ROWS, last - start)
+                        handle.seek(3 + int(places[start]) * width)
+                        raw = np.frombuffer(handle.read(count * width), dtype="uint8").reshape(count, width)
+                        # Four samples per byte, lowest bits first.
+                        codes = np.stack([(raw >> shift) & 3 for shift in (0, 2, 4, 6)], axis=-1)
+                        calls = table[codes.reshape(count, width * 4)[:, :n_samples]].ravel()
+                        offsets = pa.array(np.arange(count + 1) * n_samples, pa.int32())
+                        dosages = pa.ListArray.from_arrays(offsets, pa.array(calls, mask=calls < 0))
+                        part = batch.slice(start, count)
+                        yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), dosages], [*columns, "dosages"])
+
+    per_task = max(1, min(variants_per_task, CALLS_PER_TASK // max(1, n_samples)))
+    tasks = max(1, min(-(-n_variants // per_task), 100_000))
+    ranges = scan_bim(spark, prefix + ".bim").repartitionByRange(tasks, "variant_idx").sortWithinPartitions("variant_idx")
+    return ranges.mapInArrow(decode, "chrom string, pos bigint, marker_id string, ref string, alt string, dosages array<tinyint>")
 
 
 def to_long(variants: DataFrame, samples: DataFrame) -> DataFrame:
-    """Variant rows with dosage arrays to one row per variant and sample."""
+    """Variant rows with dosage arrays to one row per variant and sample.
+
+    The samples are broadcast, up to a million of them; beyond that both sides are merged. The optimizer can't know how long
+    the arrays are, so it must not choose to broadcast the rows made of them.
+    """
     keys = [c for c in variants.columns if c != "dosages"]
     exploded = variants.select(*keys, F.posexplode("dosages").alias("sample_idx", "dosage"))
-    return exploded.join(samples, "sample_idx").drop("sample_idx")
+    return exploded.hint("merge").join(broadcast_checked(samples, 64, 64 << 20), "sample_idx").drop("sample_idx")
 
 
 def scan_vcf_dosage(

@@ -425,6 +425,30 @@ def test_plink_files(spark, tmp_path, matrix):
     assert r.dosage == (None if np.isnan(matrix[17, 5]) else int(matrix[17, 5]))
 
 
+def test_plink_rows_are_never_broadcast(spark, tmp_path, monkeypatch):
+    n, places = 5000, [5, 9, 40]
+    calls = np.random.default_rng(7).integers(-1, 3, (3, n))
+    codes = np.array([3, 2, 0, 1], dtype="uint8")[calls].reshape(3, -1, 4)
+    (tmp_path / "few.bed").write_bytes(b"\x6c\x1b\x01" + (codes << np.array([0, 2, 4, 6], dtype="uint8")).sum(axis=2, dtype="uint8").tobytes())
+    (tmp_path / "few.bim").write_text("".join(f"1\tv{pos}\t0\t{pos}\tG\tA\n" for pos in places))
+    (tmp_path / "few.fam").write_text("".join(f"family sample{i} 0 0 0 -9\n" for i in range(n)))
+    prefix, limit = str(tmp_path / "few"), "spark.sql.autoBroadcastJoinThreshold"
+    want = {(pos, f"sample{i}", None if g < 0 else int(g)) for pos, line in zip(places, calls) for i, g in enumerate(line)}
+    spark.conf.set(limit, "8k")
+    try:
+        for merged in (False, True):
+            if merged:  # as if there were too many samples
+                monkeypatch.setattr(files, "broadcast_checked", lambda df, *limits: df)
+            long = files.to_long(files.scan_plink(spark, prefix), files.scan_fam(spark, prefix + ".fam"))
+            plan = long._jdf.queryExecution().executedPlan().toString()
+            top = next(line for line in plan.splitlines() if "Join" in line)
+            assert "SortMergeJoin" in top if merged else "BuildRight" in top
+            rows = long.select("pos", "s", "dosage").collect()
+            assert len(rows) == len(want) and set(map(tuple, rows)) == want
+    finally:
+        spark.conf.unset(limit)
+
+
 def test_vcf(spark, tmp_path):
     head = "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT"
     (tmp_path / "a.vcf").write_text(
