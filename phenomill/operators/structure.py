@@ -20,6 +20,9 @@ N_COMPONENTS = 20
 RELATEDNESS_CUTOFF = 0.05
 KINSHIP_MARKERS = 5000
 PAIRS_PER_TASK = 4
+#: Kinships that a task computes in all, and at once.
+KINSHIPS_PER_TASK = 1 << 24
+KINSHIPS_AT_ONCE = 1 << 18
 
 
 def polymorphic_index(genotypes: DataFrame) -> DataFrame:
@@ -139,8 +142,9 @@ def sparse_relatedness(
 
     Kinship is the mean over markers of the product of normalized genotypes, missing as 0. No
     bound can rule a pair out beforehand, so all are multiplied, but as matrix products
-    of sample blocks. A block of ``block_size`` samples by ``n_markers`` bytes is written once, as a file in the shared folder; the
-    work list has a row per block pair, whose task fetches the two. Only the pairs that reach the cut-off leave it.
+    of sample blocks. A block of ``block_size`` samples by ``n_markers`` bytes is written once, with its names, as files in the shared
+    folder; the work list has a row per block pair, whose task fetches the two. Only the pairs that reach the cut-off leave it,
+    under their names, so they are neither stored nor joined, however many they are; reading the result twice multiplies twice.
     """
     chosen = genotypes.join(random_markers(genotypes, n_markers, seed), "marker_id", "left_semi")
     index = write_intermediate(polymorphic_index(chosen), "kinship-variants")
@@ -150,7 +154,7 @@ def sparse_relatedness(
     af = np.asarray(frequencies)
     scale = np.sqrt(2 * af * (1 - af))
     rows = (
-        chosen.where(F.col("dosage").isNotNull())
+        chosen.where(F.col("dosage").isNotNull() & F.col("s").isNotNull())
         .join(index.select(*VARIANT, "idx"), VARIANT)
         .groupBy("s")
         .agg(F.collect_list(F.struct("idx", F.col("dosage").cast("tinyint").alias("g"))).alias("gs"))
@@ -170,21 +174,34 @@ def sparse_relatedness(
     s_type = dict(genotypes.dtypes)["s"]
     packed = write_intermediate(rows.mapInPandas(pack, f"s {s_type}, line binary"), "packed")
     samples = write_intermediate(sample_index(packed), "kinship-samples")
-    n_blocks = max(1, -(-samples.count() // block_size))
+    n_blocks = -(-samples.count() // block_size)
     folder = scratch_path(spark, "kinship-blocks")
-    placed = packed.join(samples, "s").select(F.floor(F.col("sample_idx") / block_size).cast("int").alias("block"), "sample_idx", "line")
+    placed = packed.join(samples, "s").select(F.floor(F.col("sample_idx") / block_size).cast("int").alias("block"), "sample_idx", "s", "line")
+
+    def write(block: int, parts: list[pa.RecordBatch]) -> None:
+        whole = pa.Table.from_batches(parts)
+        lines = np.frombuffer(b"".join(whole["line"].to_pylist()), dtype="int8")
+        write_block(folder, f"s-{block}", lines.reshape(whole.num_rows, m))
+        names = pa.BufferOutputStream()
+        with pa.ipc.new_stream(names, pa.schema([whole.schema.field("s")])) as out:
+            out.write_table(whole.select(["s"]))
+        write_block(folder, f"names-{block}", np.frombuffer(names.getvalue(), dtype="uint8"))
 
     def store(batches):
-        block, lines = None, []
+        block, parts = None, []
         for batch in batches:
-            for own, line in zip(batch.column("block").to_pylist(), batch.column("line").to_pylist()):
-                if own != block:
-                    if lines:
-                        write_block(folder, f"s-{block}", np.stack(lines))
-                    block, lines = own, []
-                lines.append(np.frombuffer(line, dtype="int8"))
-        if lines:
-            write_block(folder, f"s-{block}", np.stack(lines))
+            own = batch.column("block").to_numpy()
+            cuts = [0, *(np.flatnonzero(own[1:] != own[:-1]) + 1).tolist(), len(own)]
+            for start, end in zip(cuts, cuts[1:]):
+                if end == start:
+                    continue
+                if own[start] != block:
+                    if parts:
+                        write(block, parts)
+                    block, parts = int(own[start]), []
+                parts.append(batch.slice(start, end - start))
+        if parts:
+            write(block, parts)
         yield pa.RecordBatch.from_arrays([pa.array([], pa.int32())], ["block"])
 
     placed.repartition("block").sortWithinPartitions("block", "sample_idx").mapInArrow(store, "block int").count()
@@ -196,23 +213,31 @@ def sparse_relatedness(
 
     def multiply(batches):
         fetch, left = Blocks(folder, 2), None
+
+        def block(k: int) -> tuple[pa.Array, np.ndarray]:
+            names = pa.ipc.open_stream(pa.py_buffer(fetch(f"names-{k}"))).read_all()["s"].combine_chunks()
+            return names, normalized(fetch(f"s-{k}"))
+
         for batch in batches:
             for a, b in zip(batch.column("bi").to_pylist(), batch.column("bj").to_pylist()):
                 if left is None or left[0] != a:
-                    left = (a, normalized(fetch(f"s-{a}")))
-                right = left[1] if a == b else normalized(fetch(f"s-{b}"))
-                kinship = left[1] @ right.T / m
-                keep = kinship >= cutoff
-                x, y = np.nonzero(np.triu(keep) if a == b else keep)
-                columns = [pa.array(a * block_size + x), pa.array(b * block_size + y), pa.array(kinship[x, y])]
-                yield pa.RecordBatch.from_arrays(columns, ["a", "b", "kinship"])
+                    left = (a, *block(a))
+                (left_names, x), (right_names, y) = left[1:], left[1:] if a == b else block(b)
+                step = max(1, KINSHIPS_AT_ONCE // len(y))
+                for top in range(0, len(x), step):
+                    kinship = x[top : top + step] @ y.T / m
+                    keep = kinship >= cutoff
+                    at = np.flatnonzero(np.triu(keep, top) if a == b else keep)
+                    i, j = np.divmod(at, len(y))
+                    columns = [left_names.take(pa.array(top + i)), right_names.take(pa.array(j)), pa.array(kinship.ravel()[at])]
+                    yield pa.RecordBatch.from_arrays(columns, ["i", "j", "kinship"])
 
     n_pairs = n_blocks * (n_blocks + 1) // 2
     pairs = spark.range(n_blocks).select(
         F.col("id").cast("int").alias("bi"), F.explode(F.sequence(F.col("id").cast("int"), F.lit(n_blocks - 1))).alias("bj")
     )
-    work = pairs.repartitionByRange(-(-n_pairs // PAIRS_PER_TASK), "bi", "bj").sortWithinPartitions("bi", "bj")
-    edges = write_intermediate(work.mapInArrow(multiply, "a long, b long, kinship double"), "kinship")
-    name = lambda c, side: samples.select(F.col("sample_idx").cast("long").alias(side), F.col("s").alias(c))
-    named = edges.join(name("s1", "a"), "a").join(name("s2", "b"), "b")
-    return named.select(F.least("s1", "s2").alias("i"), F.greatest("s1", "s2").alias("j"), "kinship")
+    # Small blocks are dealt by the kinships of a task, but not to fewer tasks than run at once.
+    tasks = max(-(-n_pairs * block_size**2 // KINSHIPS_PER_TASK), min(-(-n_pairs // PAIRS_PER_TASK), spark.sparkContext.defaultParallelism))
+    work = pairs.repartitionByRange(max(1, tasks), "bi", "bj").sortWithinPartitions("bi", "bj")
+    # Samples are numbered in the order of their names, so i <= j.
+    return work.mapInArrow(multiply, f"i {s_type}, j {s_type}, kinship double")

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from phenomill.functions import quantiles, ranks, scalar, stats
+from phenomill.plans.registry import rounded
 
 
 @pytest.mark.parametrize("limits", [{}, {"max_group_rows": 50}, {"max_group_rows": 50, "max_map_values": 10}])
@@ -112,3 +113,14 @@ def test_scratch_is_removed(spark):
     assert os.path.isdir(own)
     remove_scratch(spark)
     assert not os.path.exists(own)
+
+
+def test_rounding_many_rows_gives_the_same_values(spark):
+    rng = np.random.default_rng(5)
+    ties = np.arange(-2000, 2000) / 1e6 + 5e-7
+    odd = [0.0, -0.0, -1e-9, 4.9999999e-7, 5e-7, -5e-7, 0.0500005, 1e5 + 5e-7, 123456.7890125, 1e15 / 7, 1e300, math.inf, -math.inf, math.nan, None]
+    values = [*rng.normal(size=3000), *(rng.normal(size=3000) * 1e4), *ties, *np.nextafter(ties, 1), *np.nextafter(ties, -1)]
+    df = spark.createDataFrame([(None if v is None else float(v),) for v in [*values, *odd]], "x double").coalesce(1)
+    both = rounded(rounded(df.withColumn("y", F.col("x")), "x"), "y", many=True).collect()
+    assert len(both) == len(values) + len(odd)
+    assert [repr(r.x) for r in both] == [repr(r.y) for r in both]

@@ -212,6 +212,32 @@ def test_relatedness_over_blocks(long, matrix):
     assert len(few) == 5 and few == structure.random_markers(long.repartition(3), 5).collect()
 
 
+def test_related_pairs_leave_under_their_names_without_a_join(spark, long, matrix):
+    # A sample without a name counts for the frequencies only, as in SQL; the others keep their own names.
+    named = long.withColumn("s", F.when(F.col("s") != 5, F.format_string("p%03d", "s")))
+    af = np.nanmean(matrix, axis=0) / 2
+    ok = (af > 0) & (af < 1)
+    z = np.nan_to_num((matrix[:, ok] - 2 * af[ok]) / np.sqrt(2 * af[ok] * (1 - af[ok])))
+    kinship = z @ z.T / ok.sum()
+    others = [i for i in range(N) if i != 5]
+    want = {(f"p{i:03d}", f"p{j:03d}"): kinship[i, j] for i in others for j in others if i <= j and kinship[i, j] >= 0.05}
+    for size in (11, 1000):
+        edges = structure.sparse_relatedness(named, block_size=size)
+        assert "Join" not in edges._jdf.queryExecution().executedPlan().toString()
+        rows = edges.collect()
+        got = {(r.i, r.j): r.kinship for r in rows}
+        assert len(rows) == len(got) and set(got) == set(want)
+        assert all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_kinships_are_cut_into_bounded_pieces(long, monkeypatch):
+    want = {(r.i, r.j): r.kinship for r in structure.sparse_relatedness(long, block_size=40).collect()}
+    monkeypatch.setattr(structure, "KINSHIPS_AT_ONCE", 100)
+    rows = structure.sparse_relatedness(long, block_size=40).collect()
+    assert len(rows) == len(want) and all(r.kinship == pytest.approx(want[r.i, r.j]) for r in rows)
+    assert structure.sparse_relatedness(long.where("false")).count() == 0
+
+
 # --- association ---
 
 
